@@ -20,8 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import common
-from .pieces import PieceCache
+from .pieces import encode_texts
 
+#: Encoded pieces, and words, that a worker keeps, and the longest piece kept.
+KEPT, LONGEST_KEPT = 400_000, 40
 _held: dict[tuple[str, str], Codec] = {}
 
 
@@ -36,45 +38,40 @@ class Codec:
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
-        self.of_byte = [self.ranks[bytes([b])] for b in range(256)]
+        self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)])
+        self.byte_pairs = np.array([[self.ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
         self.pairs: dict[int, int] = {}
         self.words = regex.compile(pattern)
-        self.pieces = PieceCache(self._encode_pieces)
+        self.known: dict[str, bytes] = {}
+        self.known_words: dict[bytes, list[int]] = {}
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word, by applying every merge that occurs in rank order over all of them."""
+        """Ids of each non-empty word, by applying every merge that occurs in rank order over all of them."""
         ranks, tokens, pairs = self.ranks, self.tokens, self.pairs
         if len(pairs) > 1_000_000:
             pairs.clear()
-        symbols: list[int] = []
-        starts = []
-        for word in words:
-            starts.append(len(symbols))
-            symbols += [self.of_byte[b] for b in word]
-        n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        for start, word in zip(starts, words, strict=True):
-            if word:
-                before[start] = after[start + len(word) - 1] = -1
-        pair_rank, index = [-1] * n, {}
-
-        def note(at: int, a: int, b: int) -> None:
-            key = a << 20 | b
-            rank = pairs.get(key)
-            if rank is None:
-                rank = pairs[key] = ranks.get(tokens[a] + tokens[b], -1)
-            pair_rank[at] = rank
-            if rank >= 0:
-                if (places := index.get(rank)) is None:
-                    index[rank] = [at]
-                    heapq.heappush(heap, rank)
-                else:
-                    places.append(at)
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        n, sizes = len(flat), np.fromiter(map(len, words), np.int64, len(words))
+        stops = np.cumsum(sizes)
+        links = np.arange(1, n + 1)
+        links[stops - 1] = -1
+        after = links.tolist()
+        links = np.arange(-1, n - 1)
+        links[stops - sizes] = -1
+        before = links.tolist()
+        symbols = self.of_byte[flat].tolist()
+
+        # the inverted index: rank of a pair to the places of its left symbol
+        first = np.full(n, -1)
+        first[:-1] = self.byte_pairs[flat[:-1], flat[1:]]
+        first[stops - 1] = -1
+        pair_rank = first.tolist()
+        order = np.argsort(first, kind="stable")
+        order = order[np.searchsorted(first[order], 0) :]
+        found, starts = np.unique(first[order], return_index=True)
+        index = {r: places.tolist() for r, places in zip(found.tolist(), np.split(order, starts[1:]), strict=True)} if len(order) else {}
+        heap = found.tolist()  # ascending, so a heap
 
-        heap: list[int] = []
-        for at in range(n):
-            if after[at] >= 0:
-                note(at, symbols[at], symbols[after[at]])
         while heap:
             rank = heapq.heappop(heap)
             places = index.pop(rank)
@@ -82,32 +79,64 @@ class Codec:
             for at in places:
                 if pair_rank[at] != rank:
                     continue
-                gone = after[at]
+                gone, left = after[at], before[at]
                 symbols[at], symbols[gone], pair_rank[gone] = rank, -1, -1
                 right = after[at] = after[gone]
                 if right >= 0:
                     before[right] = at
-                    note(at, rank, symbols[right])
                 else:
                     pair_rank[at] = -1
-                if (left := before[at]) >= 0:
-                    note(left, symbols[left], rank)
-        ends = [*starts[1:], n]
-        return [[s for s in symbols[a:b] if s >= 0] for a, b in zip(starts, ends, strict=True)]
-
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        split = [[w.encode() for w in self.words.findall(p)] for p in pieces]
-        words = list({w for parts in split for w in parts})
-        ids = {w: [self.ranks[w]] for w in words if w in self.ranks}
-        rest = [w for w in words if w not in ids]
-        for at in range(0, len(rest), 20_000):
-            ids.update(zip(rest[at : at + 20_000], self.replay(rest[at : at + 20_000]), strict=True))
-        packed = {w: np.array(x, "<i4").tobytes() for w, x in ids.items()}
-        return [packed[parts[0]] if len(parts) == 1 else b"".join([packed[w] for w in parts]) for parts in split]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Per text its ids as little-endian 32-bit integers."""
-        return [b"".join(parts) for parts in self.pieces.encode(texts)]
+                for place, other in ((at, right), (left, at)):  # only these two pairs are new
+                    if place >= 0 and other >= 0:
+                        key = symbols[place] << 20 | symbols[other]
+                        new = pairs.get(key)
+                        if new is None:
+                            new = pairs[key] = ranks.get(tokens[symbols[place]] + tokens[symbols[other]], -1)
+                        pair_rank[place] = new
+                        if new >= 0:
+                            if new in index:
+                                index[new].append(place)
+                            else:
+                                index[new] = [place]
+                                heapq.heappush(heap, new)
+        kept = np.array(symbols)
+        real = kept >= 0
+        bounds = np.concatenate([[0], np.cumsum(real)])[np.concatenate([[0], stops])].tolist()
+        out = kept[real].tolist()
+        return [out[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def each(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; its words' merges are replayed together."""
+        split = [[w.encode() for w in self.words.findall(t)] for t in texts]
+        if len(self.known_words) > KEPT:
+            self.known_words = {}
+        ids = self.known_words
+        rest = list({w for parts in split for w in parts if w not in ids})
+        ids.update((w, [self.ranks[w]]) for w in rest if w in self.ranks)
+        rest = [w for w in rest if w not in ids]
+        for at in range(0, len(rest), 50_000):
+            ids.update(zip(rest[at : at + 50_000], self.replay(rest[at : at + 50_000]), strict=True))
+        return [np.array(ids[parts[0]] if len(parts) == 1 else [i for w in parts for i in ids[w]], np.int32) for parts in split]
+
+    def pieces(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces with a space before each. Up to KEPT encodings stay between calls, beyond that
+        those of short pieces, which recur."""
+        if len(self.known) > KEPT:
+            self.known = {p: v for p, v in self.known.items() if len(p) < 10}
+            if len(self.known) > KEPT * 3 // 4:
+                self.known = {}
+        pieces = distinct.to_pylist()
+        packed = list(map(self.known.get, pieces))
+        fresh = [i for i, v in enumerate(packed) if v is None]
+        for i, ids in zip(fresh, self.each([" " + pieces[i] for i in fresh]), strict=True):
+            packed[i] = ids.tobytes()
+            if len(pieces[i]) <= LONGEST_KEPT:
+                self.known[pieces[i]] = packed[i]
+        return np.frombuffer(b"".join(packed), np.int32), np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text; a null counts as empty."""
+        return encode_texts(texts, self.pieces, self.each)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
@@ -123,11 +152,10 @@ def codec(ranks_path: str, pattern: str) -> Codec:
 def _run(ranks_path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)
-        for batch in common.slices(batches):
-            packed = own.encode([t or "" for t in batch.column("text").to_pylist()])
-            ids = [np.frombuffer(p, "<i4") for p in packed]
+        for batch in common.slices(batches, 4000):
+            ids = own.encode(batch.column("text"))
             counts = [len(x) for x in ids]
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pa.array(np.concatenate([*ids, np.zeros(0, "<i4")])))
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)])))
             decoded = pa.array([own.decode(x) for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), lists, decoded], ["doc_id", "n_tokens", "ids", "decoded"])
 

@@ -35,10 +35,14 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
+#: Scratch data are read once or twice: the fastest level will do.
+ZSTD = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared folder and read it again."""
     path = scratch(df.sparkSession, label)
-    df.write.option("compression", compression).parquet(path)
+    df.write.options(**ZSTD).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .pieces import words
 
 THRESHOLD, OVERLAP, K1, B, BLOCK = 0.6, 0.5, 1.2, 0.75, 16
 SHARD_BYTES = 16 << 20
@@ -46,12 +47,12 @@ class Index:
     def __init__(self, items: list[tuple[int, str]]):
         items = [(i, t) for i, t in items if t and terms(t)]
         self.ids = [i for i, _ in items]
-        words = [terms(t) for _, t in items]
-        self.vocabulary = {t: k for k, t in enumerate(dict.fromkeys(t for w in words for t in w))}
-        n, mean = len(items), sum(map(len, words)) / max(1, len(items))
-        df = Counter(t for w in words for t in set(w))
+        split = [terms(t) for _, t in items]
+        self.vocabulary = {t: k for k, t in enumerate(dict.fromkeys(t for w in split for t in w))}
+        n, mean = len(items), sum(map(len, split)) / max(1, len(items))
+        df = Counter(t for w in split for t in set(w))
         postings: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
-        for k, w in enumerate(words):
+        for k, w in enumerate(split):
             impact = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(w) / mean)) for t, c in Counter(w).items()}
             whole = sum(impact.values())
             for t, x in impact.items():
@@ -66,10 +67,9 @@ class Index:
             np.maximum.at(top, where, x)
             self.block_best.append((blocks, top))
         self.parts = [tuple(self.grams(np.array([self.vocabulary[t] for t in terms(p)], np.int64)) for p in _question_answer(t)) for _, t in items]
-        longest = max(map(len, words), default=1)
+        longest = max(map(len, split), default=1)
         self.stride = max(32, longest)
         self.passage = self.stride + longest
-        self.known: dict[str, int] = {}
 
     def grams(self, ids: np.ndarray) -> tuple[int, np.ndarray]:
         """Length and codes of the n-grams, n = 3 or the number of words if smaller."""
@@ -85,22 +85,17 @@ class Index:
             code, whole = code * base + part, whole & (part >= 0)
         return code[whole]
 
-    def numbers(self, texts: list[str]) -> list[np.ndarray]:
+    def numbers(self, texts: pa.Array) -> list[np.ndarray]:
         """Per text the term of each word, -1 for words of no item; pieces without letters vanish."""
-        split = [t.split() for t in texts]
-        if len(self.known) > 1_000_000:
-            self.known.clear()
-        known, fresh = self.known, set()
-        for parts in split:
-            fresh.update(parts)
-        for p in fresh:
-            if p not in known:
-                known[p] = self.vocabulary.get(t, -1) if (t := term(p)) else -2
-        out = []
-        for parts in split:
-            ids = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
-            out.append(ids[ids > -2])
-        return out
+        if not len(texts):
+            return []
+        distinct, codes, offsets = words(texts)
+        table = np.fromiter((self.vocabulary.get(t, -1) if (t := term(p)) else -2 for p in distinct), np.int64, len(distinct))
+        ids = table[codes]
+        real = ids > -2
+        bounds = np.concatenate([[0], np.cumsum(real)])[offsets].tolist()
+        ids = ids[real]
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def search(self, ids: np.ndarray) -> list[tuple[int, float, float, float, int]]:
         """Verified items of a document: item's place, best score, overlaps, first word of the passage."""
@@ -162,9 +157,9 @@ class _Shared:
 def _find(shared: _Shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index_of(shared)
-        for batch in common.slices(batches):
+        for batch in common.slices(batches, 4000):
             where, rows = [], []
-            for k, ids in enumerate(index.numbers([t or "" for t in batch.column("text").to_pylist()])):
+            for k, ids in enumerate(index.numbers(batch.column("text"))):
                 for item, *values in index.search(ids):
                     where.append(k)
                     rows.append((index.ids[item], *values))
@@ -188,8 +183,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def _clean(shared: _Shared, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index_of(shared)
-        for batch in common.slices(batches):
-            ids = index.numbers([t or "" for t in batch.column(text_col).to_pylist()])
+        for batch in common.slices(batches, 4000):
+            ids = index.numbers(batch.column(text_col))
             yield batch.filter(pa.array([not index.search(x) for x in ids], pa.bool_()))
 
     return run

@@ -21,42 +21,61 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
-from .pieces import PieceCache
+from .pieces import encode_texts
 
 #: Chunks have at least MIN ids, 2**MEAN_BITS beyond that on average, MAX at most.
 MIN, MEAN_BITS, MAX, ROLL = 64, 9, 4096, 16
 SEGMENT_BITS = 20
+#: Pieces that are joined for one call of the tokenizer.
+JOIN = 256
 _ENCODED = "doc_id {id}, n_tokens bigint, root binary, digests array<binary>, ends array<bigint>, payloads array<binary>"
-_held: dict[tuple, PieceCache] = {}
+_held: dict[str, Encoder] = {}
 
 
-def _tokenizer_cache(path: str, width: str) -> PieceCache:
-    """The worker's tokenizer, kept between tasks."""
-    if (path, width) not in _held:
+class Encoder:
+    """The tokenizers library over Arrow columns: distinct pieces are encoded JOIN at a time, and told
+    apart by the length of their tokens."""
+
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.sizes[i] = len(token)  # a byte-level token has a character for each byte
+
+    def each(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-        def encode_many(parts: list[str]) -> list[bytes]:
-            out = []
-            for at in range(0, len(parts), 20_000):
-                ids = [e.ids for e in tokenizer.encode_batch_fast(parts[at : at + 20_000], add_special_tokens=False)]
-                flat = np.fromiter((i for x in ids for i in x), width).tobytes()
-                size, ends = np.dtype(width).itemsize, np.cumsum([0, *map(len, ids)]).tolist()
-                out += [flat[a * size : b * size] for a, b in zip(ends, ends[1:], strict=False)]
-            return out
+    def pieces(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        bounds = [*range(0, len(distinct), JOIN), len(distinct)]
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), distinct), " ").to_pylist() if len(distinct) else []
+        ids = np.concatenate([np.zeros(0, np.int32), *self.each([" " + t for t in joined])])
+        ends, stops = np.cumsum(self.sizes[ids]), np.cumsum(pc.binary_length(distinct).to_numpy().astype(np.int64) + 1)
+        at = np.searchsorted(ends, stops)
+        if len(stops) and (ends[at] != stops).any():
+            raise ValueError("a token crosses a space")
+        return ids, np.diff(at + 1, prepend=0)
 
-        _held[path, width] = PieceCache(encode_many)
-    return _held[path, width]
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        return encode_texts(texts, self.pieces, self.each)
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's tokenizer, kept between tasks."""
+    if path not in _held:
+        _held[path] = Encoder(path)
+    return _held[path]
 
 
 def chunk_ends(ids: np.ndarray) -> np.ndarray:
@@ -98,14 +117,13 @@ def merkle(leaves: list[bytes]) -> bytes:
 
 def _encode(path: str, end_id: int, width: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, end = _tokenizer_cache(path, width), np.array([end_id], width).tobytes()
-        for batch in common.slices(batches):
+        own, end = encoder(path), np.array([end_id])
+        for batch in common.slices(batches, 4000):
             rows: list[list] = [[], [], [], [], []]
-            for parts in cache.encode([t or "" for t in batch.column("text").to_pylist()]):
-                raw = b"".join(parts) + end
-                ids = np.frombuffer(raw, width)
+            for ids in own.encode(batch.column("text")):
+                ids = np.concatenate([ids, end]).astype(width)
                 ends = cuts(chunk_ends(ids), len(ids))
-                starts, size = [0, *ends[:-1]], ids.itemsize
+                starts, size, raw = [0, *ends[:-1]], ids.itemsize, ids.tobytes()
                 payloads = [raw[a * size : b * size] for a, b in zip(starts, ends, strict=True)]
                 digests = [hashlib.sha256(p).digest() for p in payloads]
                 for column, value in zip(rows, (len(ids), merkle(digests), digests, ends, payloads), strict=True):
@@ -126,7 +144,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
     docs = common.keyed(docs, id_col, text_col)
     encoded = common.stored(docs.mapInArrow(_encode(tokenizer_path, end_id, width), _ENCODED.format(id=docs.schema["doc_id"].dataType.simpleString())), "token-ids")
     parts = F.explode(F.arrays_zip("digests", "payloads")).alias("c")
-    encoded.select(parts).select(F.col("c.digests").alias("digest"), F.col("c.payloads").alias("ids")).dropDuplicates(["digest"]).write.option("compression", "zstd").parquet(f"{path}/chunks")
+    encoded.select(parts).select(F.col("c.digests").alias("digest"), F.col("c.payloads").alias("ids")).dropDuplicates(["digest"]).write.options(**common.ZSTD).parquet(f"{path}/chunks")
 
     ordered = encoded.select("doc_id", "n_tokens", "root", "digests", "ends").repartitionByRange("doc_id", "root").withColumn("part", F.spark_partition_id())
     ordered = common.stored(ordered, "token-recipes")
@@ -134,7 +152,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
     offsets = ordered.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.coalesce(F.sum("n").over(by_part), F.lit(0)).alias("before"))
     within = Window.partitionBy("part").orderBy("doc_id", "root").rowsBetween(Window.unboundedPreceding, -1)
     recipes = ordered.withColumn("own", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(F.broadcast(offsets), "part").withColumn("start", F.col("before") + F.col("own"))
-    recipes.select("doc_id", "start", "n_tokens", "root", "digests", "ends").repartitionByRange("start").sortWithinPartitions("start").write.option("compression", "zstd").parquet(f"{path}/recipes")
+    recipes.select("doc_id", "start", "n_tokens", "root", "digests", "ends").repartitionByRange("start").sortWithinPartitions("start").write.options(**common.ZSTD).parquet(f"{path}/recipes")
     common.release(encoded, ordered)
     manifest(docs.sparkSession, path).write.parquet(f"{path}/manifest")
 

@@ -359,9 +359,9 @@ def test_pieces_around_spaces():
     from tokenizers import Tokenizer
 
     tokenizer, rng = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), random.Random(2)
-    cache = token_store._tokenizer_cache(public_tokenizers.path("byte_bpe_50k.json"), "<u2")
+    own = token_store.encoder(public_tokenizers.path("byte_bpe_50k.json"))
     texts = ["".join(rng.choice([" ", " ", "\n", "\t", "a", "b1", "'s", "!", " ", "é"]) for _ in range(rng.randint(0, 12))) for _ in range(5000)]
-    for text, ids in zip(texts, cache.encode(pa.array(texts)), strict=True):
+    for text, ids in zip(texts, own.encode(pa.array(texts)), strict=True):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
