@@ -224,23 +224,49 @@ def suffix_array(text: list[int]) -> list[int]:
     return order[1:]
 
 
+def _shared(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    n = min(len(a), len(b))
+    different = int.from_bytes(a[:n], "big") ^ int.from_bytes(b[:n], "big")
+    return n - (different.bit_length() + 7) // 8
+
+
+def _reach(contexts: list[bytes]) -> list[int]:
+    """Per context, how much of it another one shares: the more of its two neighbours in order."""
+    order = sorted(range(len(contexts)), key=contexts.__getitem__)
+    out = [0] * len(contexts)
+    for i, j in zip(order, order[1:], strict=False):
+        n = _shared(contexts[i], contexts[j])
+        out[i], out[j] = max(out[i], n), max(out[j], n)
+    return out
+
+
 def repeats(bucket: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]]:
-    """Of the segments (doc, place, bytes) of one anchor: doc, place and start of each repeated window."""
+    """Of the segments (doc, place, bytes) of one anchor: doc, place and start of each repeated window.
+
+    What lies beyond the bytes that a segment shares with any other, to either side of the anchor, is in
+    no repeated window; the suffix array is built of the rest.
+    """
+    offsets = [place >> _OFFSET & 127 for _, place, _ in bucket]
+    lefts = _reach([raw[:o][::-1] for o, (_, _, raw) in zip(offsets, bucket, strict=True)])
+    rights = _reach([raw[o:] for o, (_, _, raw) in zip(offsets, bucket, strict=True)])
     text, owner, places = [], [], []
-    for k, (_, place, raw) in enumerate(bucket):
+    for k, ((_, place, raw), o) in enumerate(zip(bucket, offsets, strict=True)):
         start, windows, _ = _unpacked(place)
-        text += [b + 1 for b in raw]
-        text.append(0)
-        owner += [k] * (len(raw) + 1)
-        places += [start + i if i < windows else -1 for i in range(len(raw) + 1)]
+        low, high = o - lefts[k], o + rights[k]
+        if high - low >= LENGTH:
+            text += [b + 1 for b in raw[low:high]]
+            text.append(0)
+            owner += [k] * (high - low + 1)
+            places += [start + i if i < windows and i + LENGTH <= high else -1 for i in range(low, high + 1)]
     found, same, before = [], [], b""
-    for at in [*suffix_array(text), None]:
+    for at in [*suffix_array(text), None] if text else ():
         window = None
         if at is not None:
             if places[at] < 0:
                 continue
-            raw = bucket[owner[at]][2]
-            offset = places[at] - (bucket[owner[at]][1] >> 30)
+            _, place, raw = bucket[owner[at]]
+            offset = places[at] - (place >> 30)
             window = raw[offset : offset + LENGTH]
         if window != before and same:
             if len(same) > 1:
@@ -326,9 +352,10 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.where("doc_id is not null")
     scanned = common.stored(docs.mapInArrow(_scan, "doc_id bigint, place bigint, anchor bigint, own bigint"), "segments")
-    several = scanned.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    several = common.stored(scanned.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
+    common.sweep(spark)
     again = common.stored(scanned.join(several, "anchor", "left_semi"), "repeated-anchors")
-    common.release(scanned)
+    common.release(scanned, several)
     common.sweep(spark)
 
     firsts = again.groupBy("anchor", "own").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
