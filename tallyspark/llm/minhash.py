@@ -7,9 +7,8 @@ give 128 values; a band takes values of four different permutations.
 
 - Documents with equal sets are linked to the smallest id; one of them goes on.
 - Each bucket of a band compares its members with its leader, the smallest id, by full sets.
-- Buckets that still hold several components compare members with other leaders, and then all members
-  of different components with each other. A bucket never compares members of one component, so groups
-  of near copies cost as many comparisons as they have members.
+- Buckets that still hold several components are compared across these, in blocks within tasks that
+  give out links only. Documents of a cluster's largest component are never compared with each other.
 
 Null and empty texts are linked with nothing. Rows that share a doc_id are one node, linked by any of
 its rows. A null doc_id has no component and is kept.
@@ -25,15 +24,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import common
 from .components import components
+from .pieces import words
 
 WORDS, BANDS, ROWS, SIMILAR = 5, 32, 4, 75
 PERMUTATIONS = BANDS * ROWS // 2
-#: Rounds with other leaders before the rest is compared in full.
-ROUNDS = 2
-_words: dict[bytes, int] = {}
+#: Documents that one task compares with each other, or with as many others.
+BLOCK = 2048
 _constants = np.random.default_rng(20240229).integers(0, 2**64, (2, PERMUTATIONS), np.uint64)
 TIMES, PLUS = _constants[0] | np.uint64(1), _constants[1]
 
@@ -44,16 +44,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingle_sets(texts: list[str | None], n: int = WORDS) -> list[np.ndarray]:
-    """Per text the sorted 64-bit hashes of its distinct shingles; bytes.lower and bytes.split take
-    exactly A-Z and the bytes 20 and 09 to 0D."""
-    if len(_words) > 1_000_000:
-        _words.clear()
-    split = [(t or "").encode().lower().split() for t in texts]
-    for w in {w for words in split for w in words if w not in _words}:
-        _words[w] = xxhash.xxh3_64_intdigest(w)
-    counts = np.array([len(words) for words in split])
-    hashes = np.fromiter((_words[w] for words in split for w in words), np.uint64, counts.sum())
+def shingle_sets(texts: pa.Array, n: int = WORDS) -> list[np.ndarray]:
+    """Per text the sorted 64-bit hashes of its distinct shingles. bytes.lower takes exactly A-Z; words
+    are separated by the bytes 20 and 09 to 0D."""
+    if not len(texts):
+        return []
+    distinct, codes, offsets = words(texts, ascii_only=True)
+    counts = np.diff(offsets)
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode().lower()) for w in distinct), np.uint64, len(distinct))[codes]
     step, power = np.uint64(0x9E3779B97F4A7C15), np.uint64(1)
     rolled = np.zeros(max(0, len(hashes) - n + 1), np.uint64)
     with np.errstate(over="ignore"):
@@ -96,7 +94,7 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in common.slices(batches):
-        sets = shingle_sets(batch.column("text").to_pylist())
+        sets = shingle_sets(batch.column("text"))
         full = [i for i, s in enumerate(sets) if len(s)]
         keys = [None] * len(sets)
         if full:
@@ -108,7 +106,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in common.slices(batches):
-        sets = [s.view(np.int64) for s in shingle_sets(batch.column("text").to_pylist())]
+        sets = [s.view(np.int64) for s in shingle_sets(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
 
 
@@ -131,6 +129,88 @@ def _sized(pairs: DataFrame) -> DataFrame:
     return pairs.where(allowed).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _first_unlinked(docs: list[tuple], within: bool) -> list[tuple]:
+    """Links (a, b) between different components of docs (doc_id, block, component, shingles), by full
+    sets: every document outside the largest component is held against all others, or against those of
+    the other block. A link that joins nothing new is left out."""
+    parent: dict = {}
+
+    def root(x):
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    sizes = np.array([len(d[3]) for d in docs])
+    _, codes = np.unique(np.concatenate([d[3] for d in docs]), return_inverse=True)
+    stops = np.cumsum(sizes)
+    starts, here = stops - sizes, np.zeros(codes.max() + 1, bool)
+    blocks, labels = np.array([d[1] for d in docs]), [d[2] for d in docs]
+    largest, found = max(set(labels), key=labels.count), []
+    for i, (doc, block, label, _) in enumerate(docs):
+        if label == largest:
+            continue
+        own = codes[starts[i] : stops[i]]
+        here[own] = True
+        shared = np.add.reduceat(here[codes], starts, dtype=np.int64)
+        here[own] = False
+        near = _similar(shared, sizes[i], sizes) & ((blocks == block) == within)
+        for j in np.flatnonzero(near).tolist():
+            x, y = root(label), root(labels[j])
+            if x != y:
+                parent[x] = y
+                found.append((doc, docs[j][0]))
+    return found
+
+
+def _compare(kind: pa.DataType):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups (cluster, low, high) come together; each holds two blocks at most."""
+        at, docs = None, []
+
+        def finished() -> pa.RecordBatch:
+            links = _first_unlinked(docs, at[1] == at[2]) if docs else []
+            a, b = zip(*links, strict=True) if links else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
+
+        for batch in batches:
+            shingles = batch.column("shingles")
+            flat, ends = shingles.flatten().to_numpy(), shingles.offsets.to_numpy() - shingles.offsets[0].as_py()
+            keys = zip(*(batch.column(k).to_pylist() for k in ("cluster", "low", "high")), strict=True)
+            rest = zip(*(batch.column(k).to_pylist() for k in ("doc_id", "block", "c")), ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+            for key, (doc, block, c, start, end) in zip(keys, rest, strict=True):
+                if key != at:
+                    yield finished()
+                    at, docs = key, []
+                docs.append((doc, block, c, flat[start:end]))
+        yield finished()
+
+    return run
+
+
+def _across(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
+    """Links that the leaders' comparisons left out.
+
+    Buckets that hold several components after these, and more members than a leader and one other,
+    are put together to clusters; a document's set goes to its cluster once. A cluster is compared
+    across its components in one task, or, beyond BLOCK documents, in one task for each pair of blocks.
+    """
+    labelled = members.join(found.withColumnsRenamed({"node": "doc_id", "component_id": "c"}), "doc_id", "left").select("key", "doc_id", "leader", F.coalesce("c", "doc_id").alias("c"))
+    labelled = common.stored(labelled, "labelled")
+    several = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).where("low != high and n > 2").select("key")
+    open_rows = labelled.join(several, "key").select("doc_id", "c", F.col("leader.doc_id").alias("leader")).distinct()
+    open_rows = common.stored(open_rows, "open")
+    clusters = components(open_rows.select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))).withColumnsRenamed({"node": "doc_id", "component_id": "cluster"})
+    docs = open_rows.select("doc_id", "c").distinct().join(clusters, "doc_id")
+    blocks = docs.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    docs = docs.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = docs.join(sets, "doc_id").select("cluster", "doc_id", "block", "c", "shingles", others.alias("other"))
+    dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
+    ordered = dealt.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "doc_id")
+    kind = sets.schema["doc_id"].dataType
+    return ordered.mapInArrow(_compare(to_arrow_type(kind)), f"a {kind.simpleString()}, b {kind.simpleString()}")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs."""
     docs = common.keyed(docs, id_col, text_col)
@@ -149,32 +229,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = members.select("doc_id").distinct()
     sets = common.stored(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, f"doc_id {kind}, shingles array<bigint>").where("size(shingles) > 0"), "shingles")
     pairs = _sized(members.select(F.col("leader.doc_id").alias("a"), F.col("leader.n").alias("na"), F.col("doc_id").alias("b"), F.col("n").alias("nb")))
-    pairs = common.stored(pairs, "pairs")
     linked = common.stored(_confirmed(pairs, sets), "similar")
-    used, tested, turn, rest = [members, sets, linked, pairs], pairs, 0, True
-    while rest:
-        turn += 1
-        found = components(linked)
-        label = found.withColumnsRenamed({"node": "doc_id", "component_id": "c"})
-        labelled = common.stored(members.join(label, "doc_id", "left").select("key", "doc_id", "n", F.coalesce("c", "doc_id").alias("c")), "labelled")
-        leader = F.min(F.struct(F.xxhash64(F.lit(turn), "doc_id").alias("o"), "doc_id", "n", "c")).alias("leader")
-        several = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("members"), leader).where("low != high and members > 2")
-        several = common.stored(several.select("key", "leader", "members"), "several")
-        used += [found, labelled, several]
-        size = several.agg(F.sum(F.col("members") * (F.col("members") - 1) / 2).alias("pairs"), F.sum("members").alias("members")).first()
-        if not size["members"]:
-            break
-        rest = turn <= ROUNDS and size["pairs"] > 8 * size["members"]
-        rows_of = labelled.join(several.select("key", "leader"), "key")
-        if rest:
-            more = rows_of.where(F.col("leader.c") != F.col("c")).select(F.col("leader.doc_id").alias("a"), F.col("leader.n").alias("na"), F.col("doc_id").alias("b"), F.col("n").alias("nb"))
-        else:
-            left, right = rows_of.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca")), rows_of.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-            more = left.join(right, "key").where("ca < cb")
-        fresh = common.stored(_sized(more).join(tested, ["a", "b"], "left_anti"), "pairs")
-        added = common.stored(_confirmed(fresh, sets), "similar")
-        used += [fresh, added]
-        linked, tested = linked.union(added), tested.union(fresh)
+    found = components(linked)
+    rest = common.stored(_across(members, sets, found), "similar")
+    used = [members, sets, linked, found, rest]
+    linked = linked.union(rest)
     found = components(linked.union(copies))
     label = found.withColumnsRenamed({"node": "doc_id"})
     out = signed.select("doc_id", "n").join(label, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
