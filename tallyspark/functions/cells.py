@@ -170,4 +170,4 @@ def looks_like_date(text: Column) -> Column:
 
 def unfenced(text: Column) -> Column:
     """Model output without code fences."""
-    return F.regexp_replace(F.regexp_replace(F.trim(text), r"^```(?:json)?\s*", ""), r"\s*```$", "")
+    return F.regexp_replace(F.regexp_replace(text, r"^\s*(?:```(?:json)?\s*)?", ""), r"\s*(?:```\s*)?$", "")

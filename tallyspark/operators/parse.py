@@ -37,8 +37,12 @@ def drop_index_column(rows: Column) -> Column:
 
 def resolve_column(header: Column, field: str) -> Column:
     """1-based place of the first column that contains the field's best keyword; null where none does."""
-    names = F.transform(header, F.lower)
-    return F.coalesce(*(F.nullif(F.array_position(F.transform(names, lambda h, k=k: h.contains(k)), True), F.lit(0)) for k in X.COLUMN_KEYWORDS[field])).cast("int")
+    names = F.transform(header, lambda h: F.lower(h))
+
+    def first_with(keyword: str) -> Column:
+        return F.nullif(F.array_position(F.transform(names, lambda h: h.contains(keyword)), True), F.lit(0))
+
+    return F.coalesce(*map(first_with, X.COLUMN_KEYWORDS[field])).cast("int")
 
 
 def match_field(field: Column, column: Column, ignored: tuple[str, ...] = ("the", "a", "an", "of", "est")) -> Column:

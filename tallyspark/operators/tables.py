@@ -8,15 +8,13 @@ whatever relates tables to each other is a window or a grouping by document.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.cells import unfenced
 
-ROWS = T.ArrayType(T.ArrayType(T.StringType()))
-
 # -- fixed values: the delimited format and the repair rules' patterns
 START, END, NO_TABLES = "===TABLE_START===", "===TABLE_END===", "NO_TABLES_FOUND"
 SECTION_HEADINGS = (
@@ -64,8 +62,8 @@ def split_blocks(responses: DataFrame) -> DataFrame:
 
 def split_cells(text: Column) -> Column:
     """Rows of trimmed cells out of lines with | between cells."""
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda line: line != "")
-    rows = F.transform(lines, lambda line: F.transform(F.split(line, r"\|"), F.trim))
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda line: F.trim(line)), lambda line: line != "")
+    rows = F.transform(lines, lambda line: F.transform(F.split(line, r"\|"), lambda c: F.trim(c)))
     return F.filter(rows, lambda row: F.exists(row, lambda c: c != ""))
 
 
@@ -177,22 +175,22 @@ def fix_stacked_pairs(rows: list[list[str]]) -> list[list[str]]:
     return out
 
 
-@F.pandas_udf(ROWS)
-def _repaired(tables):
-    return tables.map(lambda t: merge_split_securities(merge_continuations([list(r) for r in t])))
+def _each(tables: DataFrame, repair: Callable[[list[list[str]]], list[list[str]]]) -> DataFrame:
+    """tables with their rows repaired one table at a time."""
 
+    def run(frames: Iterator) -> Iterator:
+        for frame in frames:
+            yield frame.assign(rows=[repair([list(r) for r in t]) for t in frame["rows"]])
 
-@F.pandas_udf(ROWS)
-def _unstacked(tables):
-    return tables.map(lambda t: fix_stacked_pairs([list(r) for r in t]))
+    return tables.mapInPandas(run, tables.schema)
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
     """Model responses to repaired tables: split, outer pipes, continuations, split securities, codes,
     stacked columns, in this order."""
     tables = split_blocks(responses).withColumn("rows", drop_pipe_columns(F.col("rows")))
-    tables = tables.withColumn("rows", strip_lot_codes(_repaired("rows")))
-    return tables.withColumn("rows", _unstacked("rows"))
+    tables = _each(tables, lambda rows: merge_split_securities(merge_continuations(rows)))
+    return _each(tables.withColumn("rows", strip_lot_codes(F.col("rows"))), fix_stacked_pairs)
 
 
 # -- relations between tables
