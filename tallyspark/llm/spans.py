@@ -1,9 +1,9 @@
 """Removal of repeated passages by sliding sentence spans.
 
-A text is cut into sentences at final punctuation before white space and at line ends. Every run of RUN
-consecutive sentences with at least WORDS words is hashed (128 bits over lower-cased words) and joined
-globally; of the places of one hash the first, by doc_id and start, stays, and all sentences that
-another place covers are removed.
+A text is cut into sentences at final punctuation before white space and at line ends. At every sentence
+a span begins: RUN consecutive sentences, or as many more as it takes to WORDS words. Spans are hashed
+(128 bits over lower-cased words) and joined globally; of the places of one hash the first, by doc_id
+and start, stays, and all sentences that another place covers are removed.
 
 Null and empty texts have no spans and stay as they are. Rows that share doc_id and text count as one
 document; rows with a null doc_id are neither compared nor changed.
@@ -38,26 +38,36 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return [*out, (at, len(text))] if at < len(text) else out
 
 
+_STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def _run_hash(hashes: np.ndarray, ends: np.ndarray, step: int) -> np.ndarray:
+    """A polynomial hash of hashes[i:ends[i]] for each i, by prefix sums."""
+    n = len(hashes)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(hashes * np.cumprod(np.full(n, step, np.uint64)), out=sums[1:])
+    back = np.cumprod(np.full(n, pow(step, -1, 2**64), np.uint64))
+    first = np.arange(len(ends))
+    x = (sums[ends] - sums[first]) * back[first] + (ends - first).astype(np.uint64)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    return x ^ (x >> np.uint64(29))
+
+
 def spans(text: str, run: int = RUN, least: int = WORDS) -> tuple[np.ndarray, ...]:
-    """Two 64-bit hashes, start and end of each run of sentences that is long enough."""
-    places = sentences(text)
-    words = [text[a:b].lower().split() for a, b in places]
-    kept = [(p, w) for p, w in zip(places, words, strict=True) if w]
-    n = len(kept) - run + 1
-    if n < 1:
+    """Two 64-bit hashes, start and end of the span that begins at each sentence: the fewest sentences,
+    but ``run`` at least, that have ``least`` words together."""
+    kept = [(a, b, w) for a, b in sentences(text) if (w := text[a:b].lower().split())]
+    total = np.cumsum([0, *(len(w) for _, _, w in kept)])
+    firsts = np.arange(len(kept))
+    ends = np.maximum(firsts + run, np.searchsorted(total, total[:-1] + least))
+    ends = ends[ends <= len(kept)]  # ends never decrease
+    n = len(ends)
+    if not n:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty, empty
-    starts, ends = np.array([p[0] for p, _ in kept]), np.array([p[1] for p, _ in kept])
-    sizes = np.array([len(w) for _, w in kept])
-    digests = b"".join([xxhash.xxh3_128_digest(" ".join(w)) for _, w in kept])
-    halves = np.frombuffer(digests, np.uint64).reshape(-1, 2)
-    total, one, two = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-    for j in range(run):
-        total += sizes[j : j + n]
-        one = (one ^ (one >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + halves[j : j + n, 0]
-        two = (two ^ (two >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F) + halves[j : j + n, 1]
-    long = total >= least
-    return one[long].view(np.int64), two[long].view(np.int64), starts[:n][long], ends[run - 1 :][long]
+    digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(" ".join(w)) for _, _, w in kept]), np.uint64).reshape(-1, 2)
+    one, two = (_run_hash(digests[:, k], ends, step).view(np.int64) for k, step in enumerate(_STEPS))
+    return one, two, np.array([a for a, _, _ in kept[:n]]), np.array([kept[e - 1][1] for e in ends.tolist()])
 
 
 def _scan(run: int, least: int):

@@ -516,13 +516,16 @@ def brute_spans(texts, run=spans.RUN, least=spans.WORDS):
         text = text or ""
         places = [p for p in spans.sentences(text) if text[p[0] : p[1]].split()]
         gone = bytearray(len(text))
-        for at in range(len(places) - run + 1):
-            words = [tuple(text[a:b].lower().split()) for a, b in places[at : at + run]]
-            if sum(map(len, words)) < least:
-                continue
-            key = tuple(words)
+        words = [tuple(text[a:b].lower().split()) for a, b in places]
+        for at in range(len(places)):
+            end = at + run
+            while end <= len(places) and sum(map(len, words[at:end])) < least:
+                end += 1
+            if end > len(places):
+                break
+            key = tuple(words[at:end])
             if key in seen:
-                gone[places[at][0] : places[at + run - 1][1]] = b"\1" * (places[at + run - 1][1] - places[at][0])
+                gone[places[at][0] : places[end - 1][1]] = b"\1" * (places[end - 1][1] - places[at][0])
             seen.add(key)
         out.append("".join(c for c, g in zip(text, gone, strict=True) if not g))
     return out
