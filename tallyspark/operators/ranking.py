@@ -22,7 +22,7 @@ def _ranged(df: DataFrame, by: str, descending: bool) -> DataFrame:
     if cuts:
         place = F.aggregate(F.lit(cuts), F.lit(0), lambda n, c: n + F.when(value > c, 1).otherwise(0))
     place = (F.lit(len(cuts)) - place) if descending else place
-    df = df.withColumn("__range", F.coalesce(place, F.lit(len(cuts) + 1)))
+    df = df.withColumn("__range", F.when(value.isNull(), len(cuts) + 1).otherwise(place))
     sizes = df.groupBy("__range").agg(F.count("*").alias("n"))
     order = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
     before = sizes.select("__range", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("__before"))

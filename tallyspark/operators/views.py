@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from ..schema import SENTINEL
 from .ranking import with_ntile, with_rank
 
-EVERYTHING = Window.partitionBy()  # over aggregates of a few rows
-
-
 def _known(name: str) -> Column:
     """The amount, null where it is the sentinel."""
     return F.nullif(F.col(name), F.lit(SENTINEL).cast("decimal(20,6)"))
@@ -39,13 +36,18 @@ def clean_holdings(holdings: DataFrame) -> DataFrame:
     return holdings.withColumns({"cost_basis": _known("cost_basis"), "unrealized_gl": _known("unrealized_gl")})
 
 
+def _overall(name: str) -> Column:
+    """The sum over all rows; used on aggregates of a few rows only."""
+    return F.sum(name).over(Window.partitionBy())
+
+
 def _weighted_yield() -> Column:
     return _ratio(F.sum(F.col("market_value") * F.col("est_yield")), F.sum("market_value"), 4, 1.0)
 
 
 def asset_class_allocation(holdings: DataFrame) -> DataFrame:
     sums = clean_holdings(holdings).groupBy("asset_class").agg(F.count("*").alias("holding_count"), F.sum("market_value").alias("mv"), F.sum("cost_basis").alias("cb"), F.sum("unrealized_gl").alias("gl"))
-    share = _ratio(F.col("mv"), F.sum("mv").over(EVERYTHING), 2)
+    share = _ratio(F.col("mv"), _overall("mv"), 2)
     out = sums.select("asset_class", "holding_count", _money(F.col("mv")).alias("total_market_value"), share.alias("pct_of_portfolio"), _money(F.col("cb")).alias("total_cost_basis"), _money(F.col("gl")).alias("total_unrealized_gl"))
     return out.orderBy(F.desc_nulls_first("total_market_value"))
 
@@ -155,7 +157,7 @@ def yield_tier_distribution(holdings: DataFrame, tiebreak: str | None = None, sy
     order = f"market_value DESC{f', {tiebreak}' if tiebreak else ''}"
     listed = [F.expr(f"listagg(symbol, ', ') WITHIN GROUP (ORDER BY {order})").alias("symbols")] if symbols else []
     sums = rows.withColumn("tier", tier).groupBy("tier").agg(F.count("*").alias("holding_count"), F.sum("market_value").alias("mv"), F.sum("est_annual_income").alias("income"), *listed)
-    share = _ratio(F.col("mv"), F.sum("mv").over(EVERYTHING), 2)
+    share = _ratio(F.col("mv"), _overall("mv"), 2)
     out = sums.orderBy("tier").select(label.alias("yield_tier"), "holding_count", _money(F.col("mv")).alias("total_market_value"), share.alias("pct_of_portfolio"), _money(F.col("income")).alias("total_est_income"), *(["symbols"] if symbols else []), "tier")
     return out.orderBy("tier").drop("tier")
 
@@ -173,7 +175,7 @@ def projected_income_by_account(holdings: DataFrame) -> DataFrame:
     """Shares are taken of incomes that are rounded already."""
     rows = holdings.where("est_annual_income > 0")
     sums = rows.groupBy("account_type", "account").agg(F.count("*").alias("income_holding_count"), F.round(F.sum("market_value"), 2).alias("mv"), F.round(F.sum("est_annual_income"), 2).alias("income"), _weighted_yield().alias("weighted_avg_yield_pct"))
-    share = _ratio(F.col("income"), F.sum("income").over(EVERYTHING), 2)
+    share = _ratio(F.col("income"), _overall("income"), 2)
     out = sums.select("account", "account_type", "income_holding_count", F.col("mv").cast("double").alias("total_market_value"), F.col("income").cast("double").alias("total_est_income"), "weighted_avg_yield_pct", share.alias("pct_of_total_income"))
     return out.orderBy(F.desc_nulls_first("total_est_income"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..schema import holdings_oracle
 
-_CLEAN = "clean AS (SELECT * REPLACE (NULLIF(cost_basis, 999999.99) AS cost_basis, NULLIF(unrealized_gl, 999999.99) AS unrealized_gl) FROM holdings)"
+_CLEAN = "clean AS (SELECT * REPLACE (NULLIF(cost_basis, 999999.99) AS cost_basis, NULLIF(unrealized_gl, 999999.99) AS unrealized_gl), unrealized_gl IS NOT NULL AS stated FROM holdings)"
 
 
 def _money(expr: str) -> str:
@@ -43,7 +43,7 @@ _VIEWS = {
         {_money("SUM(CASE WHEN unrealized_gl < 0 THEN unrealized_gl ELSE 0 END)")} AS total_losses, {_money("SUM(unrealized_gl)")} AS net_unrealized_gl,
         {_ratio("SUM(unrealized_gl)", "SUM(cost_basis)", 2)} AS net_return_pct, COUNT(CASE WHEN unrealized_gl > 0 THEN 1 END) AS winning_positions,
         COUNT(CASE WHEN unrealized_gl < 0 THEN 1 END) AS losing_positions
-        FROM (SELECT clean.* FROM clean JOIN holdings h USING (holding_id) WHERE h.unrealized_gl IS NOT NULL) GROUP BY account_type, asset_class""",
+        FROM clean WHERE stated GROUP BY account_type, asset_class""",
     "v_short_positions": f"""WITH {_CLEAN} SELECT symbol, name, asset_class, account_type, account, CAST(ROUND(quantity, 4) AS DOUBLE) AS quantity, {_AMOUNTS},
         {_ratio("unrealized_gl", "ABS(cost_basis)", 2)} AS return_pct,
         CASE WHEN unrealized_gl > 0 THEN 'Gain' WHEN unrealized_gl < 0 THEN 'Loss' ELSE 'Flat' END AS position_status FROM clean WHERE quantity < 0""",

@@ -5,11 +5,12 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from tallyspark import schema
 from tallyspark.operators import ranking, views
 from tallyspark.plans import queries
-from tallyspark.schema import HOLDINGS, testdata_holdings
 
 
 def plain(value):
@@ -50,7 +51,7 @@ def test_entry(spark):
 
 
 def empty(spark):
-    return spark.createDataFrame([], HOLDINGS.add("holding_id", "string") if "holding_id" not in HOLDINGS.names else HOLDINGS)
+    return spark.createDataFrame([], schema.HOLDINGS).withColumn("holding_id", F.lit("x"))
 
 
 def test_views_of_no_holdings(spark):
@@ -63,7 +64,7 @@ def test_views_of_no_holdings(spark):
 
 
 def test_order_of_views(spark, sf):
-    holdings = testdata_holdings(spark, sf)
+    holdings = schema.testdata_holdings(spark, sf)
     rows = views.account_summary(holdings).collect()
     assert rows[-1].account == "— TOTAL PORTFOLIO —"
     values = [r.total_market_value for r in rows[:-1]]
@@ -78,7 +79,7 @@ def test_order_of_views(spark, sf):
 
 
 def test_created_views_answer_sql(spark, sf):
-    names = views.create_views(testdata_holdings(spark, sf))
+    names = views.create_views(schema.testdata_holdings(spark, sf))
     assert len(names) == 12
     statuses = spark.sql("SELECT cost_basis_status, count(*) AS n FROM v_cost_basis_quality GROUP BY 1").collect()
     assert {r.cost_basis_status for r in statuses} == {"Known", "Missing", "Sentinel"}
@@ -97,7 +98,7 @@ def test_ranks_and_tiles(spark, n):
 def test_no_global_sort_of_all_holdings(spark, sf):
     """Ranks and tiles don't move all rows to one partition."""
     for view in (views.return_on_cost_by_holding, views.gain_loss_quartiles, views.income_generating_holdings):
-        plan = view(testdata_holdings(spark, sf))._jdf.queryExecution().optimizedPlan().toString()
+        plan = view(schema.testdata_holdings(spark, sf))._jdf.queryExecution().optimizedPlan().toString()
         for line in plan.splitlines():
             if "Window" in line and "windowspecdefinition" in line and "rank" in line.lower():
                 assert "windowspecdefinition(__range" in line or "windowspecdefinition(asset_class" in line, line
