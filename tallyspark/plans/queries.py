@@ -321,3 +321,137 @@ def final_disposition(spark, sf_dir):
     """A customer is an issue, an order an iteration, its status the verdict."""
     ledger = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("issue_id"), F.lit("m").alias("message"), F.col("o_orderstatus").alias("verdict"), F.col("o_orderkey").alias("iteration"))
     return correct.final_disposition(ledger).select("issue_id", "verdict")
+
+
+@query("u2_correctable", f"{_WITH_HOLDINGS}, issues AS ({_ISSUES}) SELECT COUNT(*) AS n FROM issues WHERE {_TURN} = 0 AND category IN ('negative_values', 'missing_symbol', 'missing_data')")
+def correctable(spark, sf_dir):
+    rows, verdicts = _judged(spark, sf_dir)
+    return correct.proposed_changes(verdicts, rows).agg(F.count_distinct("issue_id").alias("n"))
+
+
+_CHANGED = " UNION ALL ".join(
+    [
+        *(f"SELECT holding_id, '{c}' AS \"column\", {c}::DECIMAL(20,6) AS old_value, 77.25::DECIMAL(20,6) AS new_value FROM holdings WHERE {_TURN} = 0 AND {c} < 0" for c in validate.CHECKED),
+        f"SELECT holding_id, 'cost_basis', NULL, 1234.5 FROM holdings WHERE {_TURN} = 0 AND (quantity IS NULL OR cost_basis IS NULL OR market_value IS NULL)",
+    ]
+)
+
+
+@query("u7_change_log", f"{_WITH_HOLDINGS} {_CHANGED}")
+def change_log(spark, sf_dir):
+    rows, verdicts = _judged(spark, sf_dir)
+    log = correct.change_log(rows, correct.proposed_changes(verdicts, rows)).where("column <> 'symbol' and status = 'APPLIED'")
+    return log.select("holding_id", "column", F.col("old_value").cast("decimal(20,6)").alias("old_value"), F.col("new_value").cast("decimal(20,6)").alias("new_value"))
+
+
+@query("x9_parsed_issues", f"""{_WITH_HOLDINGS} {" UNION ALL ".join(f"SELECT holding_id, name AS security, '{validate.TITLES[c]}' AS field FROM holdings WHERE {c} < 0" for c in validate.CHECKED)}""")
+def parsed_issues(spark, sf_dir):
+    """What the messages of negative values say, read back from their text."""
+    from ..sources.readers import parse_issue
+
+    issues = validate.record_issues(testdata_holdings(spark, sf_dir)).where("category = 'negative_values'")
+    parsed = parse_issue(F.col("message"))
+    return issues.select("holding_id", parsed["security"].alias("security"), parsed["field"].alias("field"))
+
+
+@query("x11_json", "SELECT event_id, TRY_CAST(regexp_extract(props, '\"k\": *(\\d+)', 1) AS INTEGER) AS k FROM events")
+def json_cells(spark, sf_dir):
+    """JSON texts, every other one fenced, as columns."""
+    fenced = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("```json\n"), F.col("props"), F.lit("\n```"))).otherwise(F.col("props"))
+    return table(spark, sf_dir, "events").select("event_id", F.from_json(X.unfenced(fenced), "k int")["k"].alias("k"))
+
+
+_ANSWERS = "SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN 'STOP' WHEN 1 THEN 'MAX_TOKENS' WHEN 2 THEN NULL ELSE 'STOP' END AS reason, concat('===TABLE_START===', CASE WHEN conv_id % 2 = 0 THEN '===TABLE_END===' ELSE '' END, text) AS answer FROM {conversations}"
+
+
+@query("m3_truncated", f"SELECT conv_id, turn, reason IS NULL OR reason = 'MAX_TOKENS' OR conv_id % 2 = 1 AS truncated FROM ({_oracle(_ANSWERS, 'conversations')})")
+def truncated(spark, sf_dir):
+    from ..operators.extract import is_truncated
+
+    return _derived(spark, _ANSWERS, sf_dir, "conversations").select("conv_id", "turn", is_truncated(F.col("reason"), F.col("answer")).alias("truncated"))
+
+
+@query("m4_page_batches", "SELECT page_id % 9 AS doc_id, page_id, CAST(floor((ROW_NUMBER() OVER (PARTITION BY page_id % 9 ORDER BY page_id) - 1) / 7) AS INTEGER) AS batch_idx FROM pages")
+def page_batches(spark, sf_dir):
+    from ..operators.extract import batched
+
+    pages = table(spark, sf_dir, "pages").select((F.col("page_id") % 9).alias("doc_id"), F.col("page_id").alias("page_number"))
+    return batched(pages).select("doc_id", F.col("page_number").alias("page_id"), "batch_idx")
+
+
+@query("t1_blocks", """WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), rows AS (SELECT doc_id, COUNT(*) AS n FROM lines WHERE len(list_filter(string_split(trim(line, ' '), '|'), lambda c: trim(c, ' ') <> '')) > 0 GROUP BY doc_id)
+    SELECT doc_id, 0 AS table_idx, n AS n_rows FROM rows UNION ALL SELECT doc_id, 1, 2 FROM rows WHERE doc_id % 3 = 0""")
+def blocks(spark, sf_dir):
+    """A document's text as one table, every third with a second, and a third without end."""
+    body = F.concat(F.lit(f"{tables.START}\n"), F.col("text"), F.lit(f"\n{tables.END}"), F.when(F.col("doc_id") % 3 == 0, f"\n{tables.START}\n```\nA|B\n1|2\n```\n{tables.END}").otherwise(""), F.lit(f"{tables.START}\nC|D"))
+    found = tables.split_blocks(table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("batch_idx"), body.alias("text")))
+    return found.select("doc_id", "table_idx", F.size("rows").cast("bigint").alias("n_rows"))
+
+
+#: Printed statements: a supplier is a document, a line number a table.
+_PRINTED = """
+SELECT l_suppkey, l_linenumber, concat(p_name, ' ', p_brand, CASE WHEN l_linenumber = 6 THEN '' ELSE concat(' (P', l_partkey, ')') END) AS description,
+  concat_ws('-', l_orderkey, l_partkey) AS nth, CAST(CAST(l_quantity AS DECIMAL(12,2)) AS VARCHAR(20)) AS quantity,
+  CASE WHEN l_returnflag = 'R' THEN concat('(', CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR(20)), ')') ELSE concat('$', CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR(20))) END AS market_value,
+  CASE WHEN l_linenumber = 7 THEN 'N/A' ELSE concat('$', CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR(20)), '*') END AS cost_basis
+FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
+"""
+_HEADINGS = {1: "Common Stock", 2: "Municipal Bonds", 3: "Bond Funds", 4: "Cash & Sweep"}
+
+
+def _statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, table_idx, rows: an account list, two markers, and a table for each line number."""
+    printed = _derived(spark, _PRINTED, sf_dir, "lineitem", "part")
+    cells = lambda *values: F.array(*(v if not isinstance(v, str) else F.lit(v) for v in values))
+    row = F.struct("nth", cells(F.col("description"), F.col("quantity"), F.col("market_value"), F.col("cost_basis")).alias("cells"))
+    data = printed.groupBy("l_suppkey", "l_linenumber").agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["cells"]).alias("data"))
+    heading = F.coalesce(*(F.when(F.col("l_linenumber") == n, h) for n, h in _HEADINGS.items()), F.lit("Other"))
+    top = F.array(cells("Description", "Quantity", "Ending Market Value", "Total Cost Basis"), cells(heading, "", "", ""))
+    body = data.select(F.col("l_suppkey").alias("doc_id"), (F.col("l_linenumber") * 2 + 1).alias("table_idx"), F.concat(top, F.col("data"), F.array(cells("Total holdings", "1", "$1.00", "$1.00"))).alias("rows"))
+    docs = data.select(F.col("l_suppkey").alias("doc_id")).distinct()
+    accounts = F.array(cells("Account Type/Name", "Account Number"), cells("Doe - Individual TOD", "1-1"), cells("Doe - Roth IRA", "2-2"), cells("Total Portfolio", ""))
+    marker = F.array(cells("", "This Period"), cells(parse.MARKER, "$1.00"))
+    others = [(0, accounts), (4, marker), (10, marker), (12, marker)]
+    extra = docs.select("doc_id", F.explode(F.array(*(F.struct(F.lit(i).alias("table_idx"), rows.alias("rows")) for i, rows in others))).alias("t")).select("doc_id", "t.table_idx", "t.rows")
+    return body.unionByName(extra)
+
+
+_H3_CLASS = "CASE l_linenumber WHEN 1 THEN 'Equities' WHEN 2 THEN 'Fixed Income' WHEN 3 THEN 'Funds' WHEN 4 THEN 'Cash & Equivalents' ELSE 'Equities' END"
+_H3_ACCOUNT = "CASE WHEN l_linenumber = 1 THEN 'Unknown Account' WHEN l_linenumber <= 4 THEN 'Individual TOD 1-1' ELSE 'Roth IRA 2-2' END"
+
+
+@query("h3_extract_holdings", f"""SELECT l_suppkey AS doc_id, l_linenumber * 2 + 1 AS table_idx, CASE WHEN l_linenumber = 6 THEN NULL ELSE concat('P', l_partkey) END AS symbol, concat(p_name, ' ', p_brand) AS name,
+    {_H3_CLASS} AS asset_class, CAST(l_quantity AS DECIMAL(20,6)) AS quantity, CAST(CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(l_extendedprice AS DECIMAL(12,2)) AS DECIMAL(20,6)) AS market_value,
+    CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(20,6)) END AS cost_basis, {_H3_ACCOUNT} AS account,
+    CASE WHEN l_linenumber = 1 THEN 'Unknown' WHEN l_linenumber <= 4 THEN 'Taxable' ELSE 'Tax-Exempt' END AS account_type FROM lineitem JOIN part ON l_partkey = p_partkey""")
+def extract_holdings(spark, sf_dir):
+    """Printed tables back to holdings: headers, columns, accounts as of a table, classes carried down."""
+    found = parse.extract_holdings(_statements(spark, sf_dir))
+    return found.select("doc_id", "table_idx", "symbol", "name", "asset_class", "quantity", "market_value", "cost_basis", "account", "account_type")
+
+
+@query("t11_merge_shared_headers", """WITH marked AS (SELECT *, CASE WHEN role = lag(role) OVER (PARTITION BY conv_id ORDER BY turn) THEN 0 ELSE 1 END AS opens FROM conversations),
+    islands AS (SELECT *, SUM(opens) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM marked)
+    SELECT conv_id AS doc_id, MIN(turn) AS table_idx, 1 + COUNT(*) AS n_rows FROM islands GROUP BY conv_id, island""")
+def merge_shared_headers(spark, sf_dir):
+    """A turn is a table with its role as header; each has a row of its own."""
+    rows = F.array(F.array(F.col("role"), F.lit("x")), F.array(F.lit("turn"), F.col("turn").cast("string")))
+    merged = tables.merge_shared_headers(table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("table_idx"), rows.alias("rows")))
+    return merged.select("doc_id", "table_idx", F.size("rows").cast("bigint").alias("n_rows"))
+
+
+@query("t12_drop_repeated_tables", "SELECT source AS doc_id, MAX(doc_id) AS table_idx FROM documents GROUP BY source, lower(lang), doc_id % 50")
+def drop_repeated_tables(spark, sf_dir):
+    """Tables of one row, which language and a number tell apart."""
+    rows = F.array(F.array(F.lit("h")), F.array(F.col("lang"), (F.col("doc_id") % 50).cast("string")))
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("doc_id"), F.col("doc_id").alias("table_idx"), rows.alias("rows"))
+    return tables.drop_repeated_tables(docs).select("doc_id", "table_idx")
+
+
+@query("k5_report_lines", f"""{_WITH_HOLDINGS}, issues AS ({_ISSUES}) SELECT upper(replace(category, '_', ' ')) AS title, COUNT(*) AS n FROM issues GROUP BY category""")
+def report_titles(spark, sf_dir):
+    """The titles of the issue report with their counts, read back from its lines."""
+    from ..sources.writers import issue_lines
+
+    lines = issue_lines(validate.record_issues(testdata_holdings(spark, sf_dir))).where("line not like '- %'")
+    return lines.select(F.regexp_extract("line", r"^(.*) \((\d+)\)$", 1).alias("title"), F.regexp_extract("line", r"^(.*) \((\d+)\)$", 2).cast("bigint").alias("n"))
