@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 RANGES = 64
 
 
-def _ranged(df: DataFrame, by: str, descending: bool) -> DataFrame:
-    """df with __range (ascending in rank order) and __before, the rows of earlier ranges."""
+def _ranged(df: DataFrame, by: str, descending: bool, within: tuple[str, ...] = ()) -> DataFrame:
+    """df with __range (ascending in rank order) and __before, the rows of earlier ranges of its group."""
     value = F.col(by).cast("double")
     cuts = df.select(value.alias("v")).approxQuantile("v", [k / RANGES for k in range(1, RANGES)], 0.002)
     cuts = sorted(set(cuts))
@@ -23,17 +23,21 @@ def _ranged(df: DataFrame, by: str, descending: bool) -> DataFrame:
         place = F.aggregate(F.lit(cuts), F.lit(0), lambda n, c: n + F.when(value > c, 1).otherwise(0))
     place = (F.lit(len(cuts)) - place) if descending else place
     df = df.withColumn("__range", F.when(value.isNull(), len(cuts) + 1).otherwise(place))
-    sizes = df.groupBy("__range").agg(F.count("*").alias("n"))
-    order = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
-    before = sizes.select("__range", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("__before"))
-    return df.join(F.broadcast(before), "__range")
-
-
-def with_rank(df: DataFrame, by: str, out: str) -> DataFrame:
-    """RANK() OVER (ORDER BY by DESC NULLS LAST); nulls share the rank after all others."""
-    within = Window.partitionBy("__range").orderBy(F.desc_nulls_last(by))
-    ranked = _ranged(df, by, descending=True)
-    return ranked.withColumn(out, (F.col("__before") + F.rank().over(within)).cast("int")).drop("__range", "__before")
+    sizes = df.groupBy(*within, "__range").agg(F.count("*").alias("n"))
+    order = Window.partitionBy(*within).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    before = sizes.select(*(F.col(c).alias(f"__{c}") for c in within), F.col("__range").alias("__r"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("__before"))
+    same = F.col("__range") == F.col("__r")
+    for c in within:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return df.join(before if within else F.broadcast(before), same).drop("__r", *(f"__{c}" for c in within))
+
+
+def with_rank(df: DataFrame, by: str, out: str, within: tuple[str, ...] = ()) -> DataFrame:
+    """RANK() OVER (PARTITION BY within ORDER BY by DESC NULLS LAST), for groups of any size; nulls share
+    the rank after all others."""
+    inside = Window.partitionBy(*within, "__range").orderBy(F.desc_nulls_last(by))
+    ranked = _ranged(df, by, descending=True, within=within)
+    return ranked.withColumn(out, (F.col("__before") + F.rank().over(inside)).cast("int")).drop("__range", "__before")
 
 
 def with_ntile(df: DataFrame, n: int, by: str, tiebreak: str, out: str) -> DataFrame:

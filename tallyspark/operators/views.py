@@ -87,8 +87,8 @@ def _costed(holdings: DataFrame) -> DataFrame:
 
 
 def return_on_cost_by_holding(holdings: DataFrame) -> DataFrame:
-    in_class = F.rank().over(Window.partitionBy("asset_class").orderBy(F.desc_nulls_last("return_pct")))
-    ranked = with_rank(_costed(holdings), "return_pct", "rank_overall").withColumn("rank_within_class", in_class)
+    ranked = with_rank(_costed(holdings), "return_pct", "rank_overall")
+    ranked = with_rank(ranked, "return_pct", "rank_within_class", within=("asset_class",))  # of classes there are few
     amounts = _position("quantity", "cost_basis", "market_value", "unrealized_gl")
     out = ranked.select("symbol", "name", "asset_class", "account_type", "account", *amounts, "return_pct", "rank_within_class", "rank_overall")
     return out.orderBy(F.asc_nulls_last("asset_class"), "rank_within_class")
