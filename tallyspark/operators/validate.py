@@ -19,8 +19,8 @@ def _issue(category: str, field: str | None, message: Column, when: Column) -> C
     return F.when(when, F.struct(F.lit(category).alias("category"), F.lit(field).cast("string").alias("field"), message.alias("message")))
 
 
-def record_issues(holdings: DataFrame) -> DataFrame:
-    """holding_id, name, category, field, message: each broken rule of each holding."""
+def record_issues(holdings: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """holding_id, name, category, field, message: each broken rule of each holding, with its columns ``keep``."""
     name = F.coalesce("name", F.lit("Unknown"))
     missing = lambda c: F.col(c).isNull() | (F.col(c) == "")
     text = lambda *parts: F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts))
@@ -32,7 +32,7 @@ def record_issues(holdings: DataFrame) -> DataFrame:
         *(_issue("missing_data", c, text(f"Missing {TITLES[c]} for ", name), F.col(c).isNull()) for c in CHECKED),
     ]
     broken = F.filter(F.array(*rules), lambda i: i.isNotNull())
-    return holdings.select("holding_id", "name", F.explode(broken).alias("i")).select("holding_id", "name", "i.category", "i.field", "i.message")
+    return holdings.select("holding_id", "name", *keep, F.explode(broken).alias("i")).select("holding_id", "name", "i.category", "i.field", "i.message", *keep)
 
 
 def reconcile(holdings: DataFrame, totals: DataFrame, keys: list[str], tolerance: float = TOLERANCE) -> DataFrame:
@@ -64,8 +64,7 @@ def extraction_failures(failed: DataFrame) -> DataFrame:
 
 def find_issues(holdings: DataFrame, totals: DataFrame, tolerance: float = TOLERANCE, failed: DataFrame | None = None) -> DataFrame:
     """All issues of holdings with doc_id and table_idx: records, totals, failed pages."""
-    records = record_issues(holdings).join(holdings.select("holding_id", "doc_id", "table_idx"), "holding_id")
-    issues = records.unionByName(mismatch_issues(reconcile(holdings, totals, ["doc_id", "table_idx"], tolerance)), allowMissingColumns=True)
+    issues = record_issues(holdings, ("doc_id", "table_idx")).unionByName(mismatch_issues(reconcile(holdings, totals, ["doc_id", "table_idx"], tolerance)), allowMissingColumns=True)
     if failed is not None:
         issues = issues.unionByName(extraction_failures(failed), allowMissingColumns=True)
     return issues.withColumn("issue_id", F.sha2(F.concat_ws("\x1f", "doc_id", "table_idx", "holding_id", "category", "field"), 256))
