@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame
 from . import common
 from .pieces import encode_texts
 
-#: Encoded pieces, and words, that a worker keeps, and the longest piece kept.
-KEPT, LONGEST_KEPT = 400_000, 40
+#: Encoded words that a worker keeps.
+KEPT = 400_000
 _held: dict[tuple[str, str], Codec] = {}
 
 
@@ -43,12 +44,12 @@ class Codec:
         self.pairs: dict[int, int] = {}
         self.words = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
-        self.known_words: dict[bytes, list[int]] = {}
+        self.code = "H" if len(self.tokens) <= 2**16 else "I"
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each non-empty word, by applying every merge that occurs in rank order over all of them."""
         ranks, tokens, pairs = self.ranks, self.tokens, self.pairs
-        if len(pairs) > 1_000_000:
+        if len(pairs) > 300_000:
             pairs.clear()
         flat = np.frombuffer(b"".join(words), np.uint8)
         n, sizes = len(flat), np.fromiter(map(len, words), np.int64, len(words))
@@ -105,34 +106,31 @@ class Codec:
         out = kept[real].tolist()
         return [out[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
+    def _packed(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, packed; the merges of all words that aren't known are replayed together."""
+        if len(self.known) > KEPT:  # short words recur
+            self.known = {w: v for w, v in self.known.items() if len(w) < 10}
+            if len(self.known) > KEPT * 3 // 4:
+                self.known = {}
+        split = list(map(self.words.findall, texts))
+        known = self.known
+        fresh = list({w for parts in split for w in parts if w not in known})
+        raw = [w.encode() for w in fresh]
+        ids = list(map(self.ranks.get, raw))
+        known.update((w, array(self.code, (i,)).tobytes()) for w, i in zip(fresh, ids, strict=True) if i is not None)
+        rest = [k for k, i in enumerate(ids) if i is None]
+        for at in range(0, len(rest), 20_000):
+            some = rest[at : at + 20_000]
+            known.update((fresh[k], array(self.code, x).tobytes()) for k, x in zip(some, self.replay([raw[k] for k in some]), strict=True))
+        return [known[parts[0]] if len(parts) == 1 else b"".join(map(known.__getitem__, parts)) for parts in split]
+
     def each(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; its words' merges are replayed together."""
-        split = [[w.encode() for w in self.words.findall(t)] for t in texts]
-        if len(self.known_words) > KEPT:
-            self.known_words = {}
-        ids = self.known_words
-        rest = list({w for parts in split for w in parts if w not in ids})
-        ids.update((w, [self.ranks[w]]) for w in rest if w in self.ranks)
-        rest = [w for w in rest if w not in ids]
-        for at in range(0, len(rest), 50_000):
-            ids.update(zip(rest[at : at + 50_000], self.replay(rest[at : at + 50_000]), strict=True))
-        return [np.array(ids[parts[0]] if len(parts) == 1 else [i for w in parts for i in ids[w]], np.int32) for parts in split]
+        return [np.frombuffer(v, self.code).astype(np.int32) for v in self._packed(texts)]
 
     def pieces(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces with a space before each. Up to KEPT encodings stay between calls, beyond that
-        those of short pieces, which recur."""
-        if len(self.known) > KEPT:
-            self.known = {p: v for p, v in self.known.items() if len(p) < 10}
-            if len(self.known) > KEPT * 3 // 4:
-                self.known = {}
-        pieces = distinct.to_pylist()
-        packed = list(map(self.known.get, pieces))
-        fresh = [i for i, v in enumerate(packed) if v is None]
-        for i, ids in zip(fresh, self.each([" " + pieces[i] for i in fresh]), strict=True):
-            packed[i] = ids.tobytes()
-            if len(pieces[i]) <= LONGEST_KEPT:
-                self.known[pieces[i]] = packed[i]
-        return np.frombuffer(b"".join(packed), np.int32), np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        """Ids of pieces with a space before each, one after another, and the number of each one's ids."""
+        packed = self._packed([" " + p for p in distinct.to_pylist()])
+        return np.frombuffer(b"".join(packed), self.code).astype(np.int32), np.fromiter(map(len, packed), np.int64, len(packed)) // np.dtype(self.code).itemsize
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text; a null counts as empty."""
@@ -152,7 +150,7 @@ def codec(ranks_path: str, pattern: str) -> Codec:
 def _run(ranks_path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)
-        for batch in common.slices(batches, 4000):
+        for batch in common.slices(batches, 2000):
             ids = own.encode(batch.column("text"))
             counts = [len(x) for x in ids]
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)])))

@@ -64,10 +64,12 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Record batches of at most ``rows`` rows, so a task's working set stays small."""
+    """Record batches of at most ``rows`` rows, so a task's working set stays small. What Arrow holds
+    for reuse is given back at the end, for a worker goes on to tasks of other kinds."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

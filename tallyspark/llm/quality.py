@@ -15,21 +15,21 @@ row every score is 0.5. Of several labels of a document the smallest counts.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .pieces import words
 
 SAMPLE, NEIGHBOURS, DIMENSIONS, ACCEPT = 1500, 25, 32, 0.7
 SHAPES, SHORT, OTHER = 256, 192, 16
 WIDTH = SHAPES + SHORT + OTHER
 _SHAPE = str.maketrans({**{chr(c): "A" for c in range(65, 91)}, **{chr(c): "a" for c in range(97, 123)}, **{chr(c): "9" for c in range(48, 58)}})
-_known: dict[str, tuple[int, ...]] = {}
 
 
 def _bucket(text: str, n: int) -> int:
@@ -51,29 +51,40 @@ def _terms(word: str) -> tuple[int, ...]:
     return (*out, SHAPES + _bucket(word.lower(), SHORT)) if len(word) <= 4 else out
 
 
-def vector(text: str) -> np.ndarray:
-    """Log-scaled term rates of one text."""
-    words, at = text.split(), SHAPES + SHORT
-    counts, out = Counter(words), np.zeros(WIDTH, np.float32)
-    for word, n in counts.items():
-        terms = _known.get(word)
-        if terms is None:
-            terms = _known[word] = _terms(word)
-        for t in terms:
-            out[t] += n
-    n = max(1, len(words))
-    pairs = sum(a == b for a, b in zip(words, words[1:], strict=False))
-    out[at : at + 6] = (n - len(counts), pairs, text.count("\n"), max(counts.values(), default=0), not words, len(text) / 8)
-    out = np.log1p(out * (200 / (n + 10)))
-    out[at + 6 + min(8, len(words).bit_length())] = 1
-    return out
+def vectors(texts: pa.Array) -> np.ndarray:
+    """Log-scaled term rates of each text, (texts, WIDTH)."""
+    n, at = len(texts), SHAPES + SHORT
+    if not n:
+        return np.zeros((0, WIDTH), np.float32)
+    texts = pc.fill_null(texts, "")
+    distinct, codes, offsets = words(texts)
+    terms = [_terms(w) for w in distinct]
+    total, owner = np.diff(offsets), np.repeat(np.arange(n), np.diff(offsets))
+    shape = np.array([t[0] for t in terms], np.int64)[codes]
+    short = np.array([t[1] if len(t) > 1 else -1 for t in terms], np.int64)[codes]
+    where = np.concatenate([owner * WIDTH + shape, (owner * WIDTH + short)[short >= 0]])
+    out = np.bincount(where, minlength=n * WIDTH).reshape(n, WIDTH).astype(np.float32)
+
+    pairs, repeats = np.unique(owner * len(distinct) + codes, return_counts=True)
+    holder = pairs // max(1, len(distinct))
+    most = np.zeros(n, np.int64)
+    np.maximum.at(most, holder, repeats)
+    same = (codes[1:] == codes[:-1]) & (owner[1:] == owner[:-1])
+    size = np.maximum(total, 1)
+    out[:, at] = size - np.bincount(holder, minlength=n)
+    out[:, at + 1] = np.bincount(owner[1:][same], minlength=n)
+    out[:, at + 2] = pc.count_substring(texts, "\n").to_numpy()
+    out[:, at + 3], out[:, at + 4] = most, total == 0
+    out[:, at + 5] = pc.utf8_length(texts).to_numpy() / 8
+    out = np.log1p(out * (200 / (size + 10))[:, None].astype(np.float32))
+    bits = np.minimum(8, np.ceil(np.log2(total + 1)).astype(int))
+    out[np.arange(n), at + 6 + bits] = 1
+    return out.astype(np.float16)
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in common.slices(batches):
-        if len(_known) > 400_000:
-            _known.clear()
-        rows = [vector(t or "").astype(np.float16).tobytes() for t in batch.column("text").to_pylist()]
+    for batch in common.slices(batches, 2000):
+        rows = [v.tobytes() for v in vectors(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "vector"])
 
 
@@ -165,11 +176,9 @@ def drop_poor(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT, id_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
-        for batch in common.slices(batches):
+        for batch in common.slices(batches, 2000):
             if own is not None and batch.num_rows:
-                if len(_known) > 400_000:
-                    _known.clear()
-                dense = np.stack([vector(t or "") for t in batch.column(text_col).to_pylist()]).astype(np.float16).astype(np.float32)
+                dense = vectors(batch.column(text_col)).astype(np.float32)
                 batch = batch.filter(pa.array(own.scores(dense) >= accept))
             yield batch
 
