@@ -172,6 +172,20 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return segments.unionByName(top.where("n_docs > 0").select(F.lit(-1).cast("bigint").alias("segment"), "n_docs", "n_tokens", "root"))
 
 
+def verify(spark: SparkSession, path: str) -> None:
+    """Hold every recipe's root against its digests, and the manifest against the recipes; an error where
+    they differ. The chunks themselves are checked as they are read."""
+    wrong = F.raise_error(F.lit("a recipe doesn't match its root"))
+    digests = F.transform("digests", lambda d: F.struct(d.alias("root")))
+    recipes = spark.read.parquet(f"{path}/recipes").select(F.when(_root_of(digests) != F.col("root"), wrong).alias("checked"))
+    if recipes.where("checked is not null").count() or not _same(manifest(spark, path), spark.read.parquet(f"{path}/manifest")):
+        raise ValueError("the manifest doesn't match the recipes")
+
+
+def _same(one: DataFrame, other: DataFrame) -> bool:
+    return one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
 # -- crc32 of a concatenation from the crc32 of its parts: moving a part left by n bytes multiplies its
 #    crc by x**(8n) modulo the crc polynomial
 

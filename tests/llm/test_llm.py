@@ -66,6 +66,7 @@ def test_token_store_round_trip(spark, odd_texts):
         start += len(want)
     chunks = spark.read.parquet(f"{path}/chunks")
     assert chunks.count() == chunks.select("digest").distinct().count()
+    token_store.verify(spark, path)
     top = spark.read.parquet(f"{path}/manifest").where("segment = -1").first()
     assert (top.n_docs, top.n_tokens) == (len(odd_texts), start)
 
@@ -94,6 +95,13 @@ def test_token_store_detects_damage(spark):
     spark.read.parquet(f"{path}/recipes").write.parquet(f"{other}/recipes")
     with pytest.raises(Exception, match="doesn't match its digest"):
         token_store.read_digests(spark, other).collect()
+    recipes = spark.read.parquet(f"{path}/recipes")
+    for n, bad in enumerate((recipes.withColumn("digests", F.reverse("digests")).where("size(digests) > 1").union(recipes.withColumn("root", F.unhex(F.lit("00")))), recipes.limit(1))):
+        changed = common.scratch(spark, f"test-store-{n}")
+        bad.write.parquet(f"{changed}/recipes")
+        spark.read.parquet(f"{path}/manifest").write.parquet(f"{changed}/manifest")
+        with pytest.raises(Exception, match="doesn't match"):
+            token_store.verify(spark, changed)
 
 
 def test_crc_moved():
