@@ -218,12 +218,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = common.stored(docs.mapInArrow(_sign, f"doc_id {kind}, n bigint, whole binary, keys array<bigint>"), "signed")
     rows = signed.where("doc_id is not null and n > 0")
 
+    # groups are stored before they are joined, so that the joins stand alone and Spark can split a hot key
     firsts = rows.groupBy("whole").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    repeats = rows.select("doc_id", "whole").join(firsts.where("copies > 1"), "whole").where("doc_id != first").distinct()
+    firsts = common.stored(firsts.where("copies > 1"), "copies")
+    repeats = common.stored(rows.select("doc_id", "whole").join(firsts, "whole").where("doc_id != first").select("doc_id", "whole", "first"), "repeats")
     copies = repeats.select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    singles = rows.join(repeats.select("doc_id", "whole"), ["doc_id", "whole"], "left_anti")
+    singles = rows.join(repeats, ["doc_id", "whole"], "left_anti")
     keyed = singles.select("doc_id", "n", F.explode("keys").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min(F.struct("doc_id", "n")).alias("leader"), F.count("*").alias("members")).where("members > 1")
+    buckets = common.stored(buckets.select("key", "leader"), "leaders")
     members = common.stored(keyed.join(buckets, "key").select("key", "doc_id", "n", "leader"), "buckets")
 
     ids = members.select("doc_id").distinct()
@@ -232,7 +235,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = common.stored(_confirmed(pairs, sets), "similar")
     found = components(linked)
     rest = common.stored(_across(members, sets, found), "similar")
-    used = [members, sets, linked, found, rest]
+    used = [firsts, repeats, buckets, members, sets, linked, found, rest]
     linked = linked.union(rest)
     found = components(linked.union(copies))
     label = found.withColumnsRenamed({"node": "doc_id"})

@@ -104,6 +104,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 100, level: int = 6
     pages = pages.withColumns({"digest": F.sha2(payload, 256), "payload_bytes": F.length(payload).cast("bigint")})
     large = pages.where(F.col("payload_bytes") >= least).select("page_id", "digest")
     owners = large.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
+    owners = common.stored(owners, "payload-owners")  # the join stands alone, so Spark can split a hot payload
     revisits = large.join(owners, "digest").where("page_id != refers_to").distinct()
     rows = pages.join(revisits, ["page_id", "digest"], "left")
     kind = pages.schema["page_id"].dataType.simpleString()
