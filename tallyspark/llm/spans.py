@@ -2,8 +2,8 @@
 
 A text is cut into sentences at final punctuation before white space and at line ends. At every sentence
 a span begins: RUN consecutive sentences, or as many more as it takes to WORDS words. Spans are hashed
-(128 bits over lower-cased words) and joined globally; of the places of one hash the first, by doc_id
-and start, stays, and all sentences that another place covers are removed.
+(128 bits over lower-cased words) and grouped over the whole corpus; of the places of one hash the
+first, by doc_id and start, stays, and all sentences that another place covers are removed.
 
 Null and empty texts have no spans and stay as they are. Rows that share doc_id and text count as one
 document; rows with a null doc_id are neither compared nor changed.
@@ -77,44 +77,38 @@ def _scan(run: int, least: int):
             found = [spans(t, run, least) for t in texts]
             index = np.repeat(np.arange(len(texts)), [len(f[0]) for f in found])
             rows = np.array([zlib.crc32(t.encode()) for t in texts], np.int64)
-            columns = [np.concatenate([f[k] for f in found]).astype(np.int64) for k in range(4)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(index)), pa.array(rows[index]), *map(pa.array, columns)], ["doc_id", "row", "one", "two", "start", "end"])
+            columns = [np.concatenate([f[k] for f in found]).astype(np.int64) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(index)), pa.array(rows[index]), *map(pa.array, columns)], ["doc_id", "row", "one", "two", "start"])
 
     return go
 
 
-def repeated_spans(docs: DataFrame, run: int = RUN, least: int = WORDS) -> DataFrame:
-    """doc_id, row (crc32 of the text), start, end (characters) of every span that isn't the first of its hash."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    docs = docs.where("doc_id is not null")
-    scanned = common.stored(docs.mapInArrow(_scan(run, least), f"doc_id {kind}, row bigint, one bigint, two bigint, start bigint, end bigint"), "spans")
-    place = F.struct("doc_id", "start")
-    firsts = scanned.groupBy("one", "two").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").select("one", "two", "first")
-    later = scanned.join(firsts, ["one", "two"]).where(place != F.col("first")).select("doc_id", "row", "start", "end")
-    out = common.stored(later, "repeated-spans")
-    common.release(scanned)
-    common.sweep(docs.sparkSession)
-    return out
-
-
-def _kept(text: str | None, ranges) -> tuple[str | None, int]:
-    if text is None or ranges is None or not len(ranges):
-        return text, 0
-    parts, at, gone = [], 0, 0
-    for packed in sorted(ranges):
-        start, end = int(packed) >> 32, int(packed) & 0xFFFFFFFF
-        if start > at:
-            parts.append(text[at:start])
-        gone += max(0, end - max(at, start))
-        at = max(at, end)
-    return "".join([*parts, text[at:]]), gone
+def first_spans(docs: DataFrame, run: int = RUN, least: int = WORDS) -> DataFrame:
+    """doc_id, row (crc32 of the text), starts: the spans of a document that are the first of their hash.
 
+    What a document has beyond these are repeats. So a hash's places, however many, are only ever
+    reduced to the first, on the map side already; they are never joined.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    scanned = docs.where("doc_id is not null").mapInArrow(_scan(run, least), f"doc_id {kind}, row bigint, one bigint, two bigint, start bigint")
+    firsts = scanned.groupBy("one", "two").agg(F.min(F.struct("doc_id", "start", "row")).alias("first"))
+    return firsts.groupBy("first.doc_id", "first.row").agg(F.collect_list("first.start").alias("starts"))
 
-@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("removed_chars", T.LongType())]))
-def _strip(text, ranges):
-    import pandas as pd
 
-    return pd.DataFrame([_kept(t, r) for t, r in zip(text, ranges, strict=True)], columns=["text", "removed_chars"])
+def _kept(text: str | None, firsts, run: int, least: int) -> tuple[str | None, int]:
+    """The text without the sentences of spans that begin elsewhere than at firsts, and how much went.
+    A null list leaves the text as it is."""
+    if text is None or firsts is None:
+        return text, 0
+    _, _, starts, ends = spans(text, run, least)
+    own, parts, at, gone = set(firsts), [], 0, 0
+    for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+        if start not in own:
+            if start > at:
+                parts.append(text[at:start])
+            gone += end - max(at, start)
+            at = end
+    return "".join([*parts, text[at:]]), gone
 
 
 def remove_repeated_spans(docs: DataFrame, run: int = RUN, least: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,11 +116,18 @@ def remove_repeated_spans(docs: DataFrame, run: int = RUN, least: int = WORDS, i
 
     A column of docs that is named removed_chars is replaced.
     """
-    ranges = repeated_spans(common.keyed(docs, id_col, text_col), run, least)
-    packed = F.shiftleft("start", 32).bitwiseOR(F.col("end"))
-    merged = ranges.groupBy(F.col("doc_id").alias("__doc"), F.col("row").alias("__row")).agg(F.collect_set(packed).alias("__ranges"))
+    firsts = first_spans(common.keyed(docs, id_col, text_col), run, least)
+    firsts = firsts.select(F.col("doc_id").alias("__doc"), F.col("row").alias("__row"), F.col("starts").alias("__starts"))
     row = F.crc32(F.coalesce(docs[text_col], F.lit("")))
-    joined = docs.join(merged, (docs[id_col] == F.col("__doc")) & (row == F.col("__row")), "left")
-    stripped = joined.withColumn("__out", _strip(F.col(text_col), F.col("__ranges")))
+    joined = docs.join(firsts, (docs[id_col] == F.col("__doc")) & (row == F.col("__row")), "left")
+    compared = F.when(docs[id_col].isNotNull(), F.coalesce("__starts", F.array().cast("array<bigint>")))
+
+    @F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("removed_chars", T.LongType())]))
+    def stripped(text, starts):
+        import pandas as pd
+
+        return pd.DataFrame([_kept(t, s, run, least) for t, s in zip(text, starts, strict=True)], columns=["text", "removed_chars"])
+
+    found = joined.withColumn("__out", stripped(F.col(text_col), compared))
     out = [F.col("__out.text").alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "removed_chars"]
-    return stripped.select(*out, F.col("__out.removed_chars").alias("removed_chars"))
+    return found.select(*out, F.col("__out.removed_chars").alias("removed_chars"))
