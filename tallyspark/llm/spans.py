@@ -116,7 +116,8 @@ def remove_repeated_spans(docs: DataFrame, run: int = RUN, least: int = WORDS, i
 
     A column of docs that is named removed_chars is replaced.
     """
-    firsts = first_spans(common.keyed(docs, id_col, text_col), run, least)
+    firsts = common.stored(first_spans(common.keyed(docs, id_col, text_col), run, least), "first-spans")
+    common.sweep(docs.sparkSession)  # the spans' shuffle files go before the texts are shuffled
     firsts = firsts.select(F.col("doc_id").alias("__doc"), F.col("row").alias("__row"), F.col("starts").alias("__starts"))
     row = F.crc32(F.coalesce(docs[text_col], F.lit("")))
     joined = docs.join(firsts, (docs[id_col] == F.col("__doc")) & (row == F.col("__row")), "left")
