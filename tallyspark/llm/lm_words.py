@@ -1,0 +1,228 @@
+"""Language-model scores over whole words, with neighbour counts that grow with the corpus.
+
+The vocabulary is every lower-cased word of the corpus (64-bit hashes). The OWN most frequent words are
+classes of their own, the others are dealt into classes of equal total frequency. A word between a left
+and a right one gets the interpolation
+
+    (1 - a - b) * network(class | both classes) * n(word) / n(class) + a * n(left, word) / n(left, any) + b * n(word, right) / n(any, right)
+
+where a = n(left, any) / 2 (n(left, any) + WEIGHT), b likewise for the right: a proper distribution over
+the vocabulary. A text's ends count as a word beside it. All counts run over the whole corpus; ``lm``
+has the network.
+
+Documents stay together in slices. A slice gives out each of its words and pairs once, with its count;
+what other slices have too comes back with the corpus's count. The rest is the slice's own count
+already.
+
+Null and empty texts have no words and score 0. Rows are independent: repeated rows get equal scores and
+count as often as they occur.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from . import common
+from .lm import CLASSES, EDGE, OWN, Network
+from .pieces import words
+
+SLICE, WEIGHT = 2000, 4.0
+_END = np.uint64(0x9E3779B97F4A7C15)  # the word beside a text's first and last
+_SLICE = "slice string, docs array<{id}>, sizes binary, codes binary, words binary, n binary, firsts binary, lasts binary"
+_COUNTED = _SLICE + ", own binary"
+_TYPES = {"sizes": np.int64, "codes": np.uint32, "words": np.uint64, "n": np.int64, "firsts": np.int64, "lasts": np.int64, "own": np.bool_}
+
+
+def _arrays(row: dict) -> dict[str, np.ndarray]:
+    return {k: np.frombuffer(row[k], t) for k, t in _TYPES.items() if k in row}
+
+
+def _slice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in common.slices(batches, SLICE):
+        distinct, codes, offsets = words(batch.column("text"))
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.lower().encode()) for w in distinct), np.uint64, len(distinct))
+        vocabulary, of = np.unique(hashes, return_inverse=True)
+        codes, sizes = of[codes].astype(np.uint32), np.diff(offsets).astype(np.int64)
+        some = sizes > 0
+        count = lambda x: np.bincount(x, minlength=len(vocabulary)).astype(np.int64)
+        found = (sizes, codes, vocabulary, count(codes), count(codes[offsets[:-1][some]]), count(codes[offsets[1:][some] - 1]))
+        docs = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id"))
+        yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), docs, *(pa.array([x.tobytes()], pa.binary()) for x in found)], ["slice", "docs", *list(_TYPES)[:-1]])
+
+
+def _give_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            x = _arrays(row)
+            yield pa.RecordBatch.from_arrays([pa.array([row["slice"]] * len(x["words"])), pa.array(x["words"].view(np.int64)), *(pa.array(x[k]) for k in ("n", "firsts", "lasts"))], ["slice", "word", "n", "firsts", "lasts"])
+
+
+def _take_words(slices: pa.Table, back: pa.Table) -> pa.Table:
+    """The slice with the corpus's counts in place of its own; ``own`` marks words of no other slice."""
+    row = slices.to_pylist()[0]
+    x = {k: v.copy() for k, v in _arrays(row).items()}
+    at = np.searchsorted(x["words"], back.column("word").to_numpy().view(np.uint64))
+    own = np.ones(len(x["words"]), bool)
+    own[at] = False
+    for k in ("n", "firsts", "lasts"):
+        x[k][at] = back.column(k).to_numpy()
+    columns = [slices.column("slice"), slices.column("docs"), *(pa.array([v.tobytes()], pa.binary()) for v in x.values()), pa.array([own.tobytes()], pa.binary())]
+    return pa.Table.from_arrays(columns, ["slice", "docs", *x, "own"])
+
+
+class Classes:
+    """The class of any word of the corpus by its count; words of equal count are dealt by their hash."""
+
+    def __init__(self, top: list[tuple[int, int]], levels: list[tuple[int, int]]):
+        """top: the OWN most frequent words and their counts; levels: how many words have each count."""
+        self.top = np.array([w for w, _ in top], np.int64).view(np.uint64)
+        mass = {n: n * k for n, k in levels}
+        for _, n in top:
+            mass[n] -= n
+        self.levels = np.array(sorted(mass), np.int64)
+        self.mass = np.array([mass[n] for n in self.levels.tolist()], np.float64)
+        self.before = self.mass.sum() - np.cumsum(self.mass)  # what is more frequent
+
+    def of(self, vocabulary: np.ndarray, n: np.ndarray) -> np.ndarray:
+        level = np.searchsorted(self.levels, n)
+        share = (self.before[level] + self.mass[level] * (vocabulary / 2.0**64)) / max(1.0, self.mass.sum())
+        out = OWN + np.minimum((share * (CLASSES - OWN)).astype(np.int64), CLASSES - OWN - 1)
+        for k, w in enumerate(self.top):
+            out[vocabulary == w] = k
+        return out
+
+
+def _padded(x: dict[str, np.ndarray], of: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """of[codes] with an ``end`` before each text and one after the last, and the places of the words."""
+    filled = x["sizes"][x["sizes"] > 0]
+    at = np.arange(len(x["codes"])) + 1 + np.repeat(np.arange(len(filled)), filled)
+    out = np.full(len(x["codes"]) + len(filled) + 1, end, np.int64)
+    out[at] = of[x["codes"]]
+    return out, at
+
+
+def _contexts(x: dict[str, np.ndarray], of: np.ndarray) -> np.ndarray:
+    """Code (left class, own, right class) of each word."""
+    c, at = _padded(x, of, EDGE)
+    return (c[at - 1] * CLASSES + c[at]) * (CLASSES + 1) + c[at + 1]
+
+
+def _pairs(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (left, right) as left * (words + 1) + right, count of each, and which of them is left and
+    right of each word."""
+    size = len(x["words"])
+    c, at = _padded(x, np.arange(size), size)
+    distinct, which, n = np.unique(c[:-1] * (size + 1) + c[1:], return_inverse=True, return_counts=True)
+    return distinct, n, which[at - 1], which[at]
+
+
+def _key(x: dict[str, np.ndarray], pairs: np.ndarray) -> np.ndarray:
+    hashes = np.append(x["words"], _END)
+    left, right = np.divmod(pairs, len(hashes))
+    k = (hashes[left] ^ (hashes[left] >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9) + hashes[right]
+    k = (k ^ (k >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return (k ^ (k >> np.uint64(32))).view(np.int64)
+
+
+def _give_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that other slices may have: none with a word of this slice alone."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            x = _arrays(row)
+            distinct, n, _, _ = _pairs(x)
+            left, right = np.divmod(distinct, len(x["words"]) + 1)
+            own = np.append(x["own"], False)
+            shared = ~(own[left] | own[right])
+            keys = _key(x, distinct[shared])
+            yield pa.RecordBatch.from_arrays([pa.array([row["slice"]] * len(keys)), pa.array(keys), pa.array(n[shared])], ["slice", "pair", "n"])
+
+
+class Model:
+    def __init__(self, classes: Classes, contexts: np.ndarray):
+        counts = contexts.reshape(CLASSES + 1, CLASSES, CLASSES + 1)
+        self.classes, self.mass = classes, counts.sum(axis=(0, 2))
+        self.texts = int(counts[EDGE].sum())  # texts with a word: what follows, and what precedes, an end
+        self.by_context = np.exp(Network(counts).log_p).ravel()
+
+    def log_p(self, x: dict[str, np.ndarray], left_n: np.ndarray, right_n: np.ndarray) -> np.ndarray:
+        """Of each word, from the corpus's counts of its pairs to the left and to the right."""
+        of, size = self.classes.of(x["words"], x["n"]), len(x["words"])
+        c, at = _padded(x, np.arange(size), size)
+        follow, precede = np.append(x["n"] - x["lasts"], self.texts)[c[at - 1]], np.append(x["n"] - x["firsts"], self.texts)[c[at + 1]]
+        a, b = 0.5 / (follow + WEIGHT), 0.5 / (precede + WEIGHT)  # the weights over n(left, any) and n(any, right)
+        base = self.by_context[_contexts(x, of)] * (x["n"] / self.mass[of])[x["codes"]]
+        return np.log((1 - a * follow - b * precede) * base + a * left_n + b * right_n)
+
+
+def _back(counts: DataFrame, key: str, sums: list[str]) -> DataFrame:
+    """Counts over all slices, for each slice that has the key."""
+    over = Window.partitionBy(key)
+    return counts.select("slice", key, F.col("n").alias("__n"), *(F.sum(c).over(over).alias(c) for c in sums))
+
+
+def slices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Classes]:
+    """The slices with the corpus's counts of their words, and the classes; both written once."""
+    docs = common.keyed(docs, id_col, text_col)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    cut = common.stored(docs.mapInArrow(_slice, _SLICE.format(id=kind)), "lm-slices")
+    given = cut.select("slice", *list(_TYPES)[:-1]).mapInArrow(_give_words, "slice string, word bigint, n bigint, firsts bigint, lasts bigint")
+    lead = (F.min("slice").over(Window.partitionBy("word")) == F.col("slice")).alias("lead")
+    back = common.stored(_back(given, "word", ["n", "firsts", "lasts"]).select("*", lead), "lm-vocabulary")
+    vocabulary = back.where("lead").select("word", "n")
+    top = [(r.word, r.n) for r in vocabulary.orderBy(F.desc("n"), "word").limit(OWN).collect()]
+    levels = [(r.n, r.k) for r in vocabulary.groupBy("n").agg(F.count("*").alias("k")).collect()]
+    shared = back.where("n > __n").drop("__n", "lead")
+    counted = cut.groupBy("slice").cogroup(shared.groupBy("slice")).applyInArrow(_take_words, _COUNTED.format(id=kind))
+    out = common.stored(counted, "lm-counted")
+    common.release(cut, back)
+    common.sweep(docs.sparkSession)
+    return out, Classes(top, levels)
+
+
+def fit(counted: DataFrame, classes: Classes) -> Model:
+    """Context counts of the classes over the whole corpus; at most 65 * 64 * 65 rows reach the driver."""
+    shared, size = counted.sparkSession.sparkContext.broadcast(classes), (CLASSES + 1) ** 2 * CLASSES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(size, np.int64)
+        for batch in batches:
+            for row in batch.to_pylist():
+                x = _arrays(row)
+                seen += np.bincount(_contexts(x, shared.value.of(x["words"], x["n"])), minlength=size)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["context", "n"])
+
+    contexts = np.zeros(size, np.int64)
+    table = counted.select("sizes", "codes", "words", "n").mapInArrow(run, "context bigint, n bigint").groupBy("context").agg(F.sum("n").alias("n")).toArrow()
+    contexts[table.column("context").to_numpy()] = table.column("n").to_numpy()
+    return Model(classes, contexts)
+
+
+def score(counted: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, log_likelihood (natural logarithm) and per_token of every document."""
+    kind = counted.schema["docs"].dataType.elementType.simpleString()
+    shared = counted.sparkSession.sparkContext.broadcast(model)
+
+    def run(slices: pa.Table, back: pa.Table) -> pa.Table:
+        row = slices.to_pylist()[0]
+        x = _arrays(row)
+        distinct, n, left, right = _pairs(x)
+        keys = _key(x, distinct)
+        order, found = np.argsort(keys), back.column("pair").to_numpy()
+        n[order[np.searchsorted(keys, found, sorter=order)]] = back.column("n").to_numpy()
+        log_p = shared.value.log_p(x, n[left], n[right])
+        sizes = x["sizes"]
+        sums = np.bincount(np.repeat(np.arange(len(sizes)), sizes), log_p, minlength=len(sizes))
+        means = pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)
+        return pa.Table.from_arrays([slices.column("docs").combine_chunks().flatten(), pa.array(sizes), pa.array(sums), means], ["doc_id", "n_tokens", "log_likelihood", "per_token"])
+
+    given = counted.select("slice", *_TYPES).mapInArrow(_give_pairs, "slice string, pair bigint, n bigint")
+    back = _back(given, "pair", ["n"]).where("n > __n").drop("__n")
+    return counted.groupBy("slice").cogroup(back.groupBy("slice")).applyInArrow(run, f"doc_id {kind}, n_tokens bigint, log_likelihood double, per_token double")

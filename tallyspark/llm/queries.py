@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, lm, media, minhash, quality, spans, suffix, token_store, warc
+from . import bpe, common, decontam, lm_words, media, minhash, quality, spans, suffix, token_store, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -80,8 +80,8 @@ def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenized = lm.tokenize(common.table(spark, sf_dir, "documents"))
-    return lm.score(tokenized, lm.fit(tokenized))
+    counted, classes = lm_words.slices(common.table(spark, sf_dir, "documents"))
+    return lm_words.score(counted, lm_words.fit(counted, classes))
 
 
 def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, common, components, decontam, lm, media, minhash, quality, queries, spans, suffix, token_store, warc
+from tallyspark.llm import bpe, common, components, decontam, lm, lm_words, media, minhash, quality, queries, spans, suffix, token_store, warc
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, start bigint, n bigint, row string, key string, score double"
 
@@ -515,6 +515,42 @@ def test_lm_learns_both_sides(spark):
     assert mean(ordered) > mean(shuffled) + 1
 
 
+def test_lm_whole_words(spark, odd_texts, monkeypatch):
+    texts = [*odd_texts, *(f"w{k} v{k} w{k + 1}" for k in range(300)), *["w7 v7 w8"] * 3]
+    tokens = [(t or "").lower().split() for t in texts]
+    monkeypatch.setattr(lm_words, "SLICE", 25)
+    counted, classes = lm_words.slices(some(spark, texts).repartition(3))
+    model = lm_words.fit(counted, classes)
+    n = Counter(w for x in tokens for w in x)
+    pairs = Counter(p for x in tokens if x for p in itertools.pairwise([None, *x, None]))
+    follow, precede = Counter(), Counter()
+    for (a, b), k in pairs.items():
+        follow[a] += k * (b is not None)
+        precede[b] += k * (a is not None)
+    names = np.array([lm_words.xxhash.xxh3_64_intdigest(w.encode()) for w in n], np.uint64)
+    of = dict(zip(n, classes.of(names, np.array(list(n.values()))).tolist(), strict=True)) | {None: lm.EDGE}
+    mass, table = Counter(), model.by_context.reshape(lm.CLASSES + 1, lm.CLASSES, lm.CLASSES + 1)
+    for w in n:
+        mass[of[w]] += n[w]
+    assert sorted(n[w] for w in n if of[w] < lm.OWN) == sorted(sorted(n.values())[-lm.OWN :])
+
+    def p(a, w, b):
+        x, y = 0.5 / (follow[a] + lm_words.WEIGHT), 0.5 / (precede[b] + lm_words.WEIGHT)
+        return (1 - x * follow[a] - y * precede[b]) * table[of[a], of[w], of[b]] * n[w] / mass[of[w]] + x * pairs[a, w] + y * pairs[w, b]
+
+    for a, b in (("w7", "w8"), (None, "v9"), (next(iter(n)), None)):
+        assert sum(p(a, w, b) for w in n) == pytest.approx(1, abs=1e-4)
+    got = rows_of(lm_words.score(counted, model))
+    assert len(got) == len(texts)
+    for i, x in enumerate(tokens):
+        want = sum(np.log(p(a, w, b)) for a, w, b in zip([None, *x], x, [*x[1:], None], strict=False))
+        assert got[i].n_tokens == len(x) and got[i].log_likelihood == pytest.approx(want, rel=1e-6, abs=1e-6)
+    swapped = [t.replace(f"v{k}", f"v{k + 1}") for k, t in enumerate(texts[-303:-3])]  # a word of the same class and count: only its neighbours tell
+    assert np.mean([p(*t.split()) for t in texts[-303:-3]]) > 10 * np.mean([p(*t.split()) for t in swapped[:-1]])
+    empty, none = lm_words.slices(some(spark, []))
+    assert lm_words.score(empty, lm_words.fit(empty, none)).count() == 0
+
+
 # -- operator 10
 
 
