@@ -1,10 +1,17 @@
 """Removal of repeated passages by sliding sentence spans.
 
-A text is cut into sentences at final punctuation before white space and at line ends. At every sentence
+A text is cut into sentences at final punctuation before white space and at line ends. A sentence of more
+than LONG words is cut further, before the word of the smallest hash of any WINDOW successive ones, so
+equal passages are cut equally whatever is around them; its last piece has WORDS words at least, so that
+a span ends where it ends. Pieces count as sentences from here on. At every sentence
 a span begins: RUN consecutive sentences, or as many more as it takes to WORDS words. Spans are hashed
 (128 bits over lower-cased words) and grouped over the whole corpus; of the places of one hash the
 first, by doc_id and start, stays, and all sentences that another place covers are removed.
 
+A passage of over 50 words always holds a span: what is beside it changes the cuts in its first 5 and
+last 9 words, and whether a part of 15 words or less is cut. A text of one sentence has spans from 16 words
+on.
+
 Null and empty texts have no spans and stay as they are. Rows that share doc_id and text count as one
 document; rows with a null doc_id are neither compared nor changed.
 """
@@ -25,17 +32,33 @@ from pyspark.sql import types as T
 from . import common
 
 RUN, WORDS = 2, 10
+LONG, WINDOW = 15, 6
+_WORD = re.compile(r"\S+")
 _END = re.compile(r"[.!?]+[\"')\]]*\s+|\s*\n\s*")
 
 
+def _cuts(text: str, start: int, end: int) -> list[int]:
+    """Where pieces of a sentence begin, its start left out."""
+    words = text[start:end].lower().split()
+    if len(words) <= LONG:
+        return []
+    n = len(words) - WORDS + 1  # words that may begin a piece
+    hashes = np.fromiter((zlib.crc32(w.encode()) for w in words[:n]), np.int64, n)
+    ranked = hashes << 30 | np.arange(n, 0, -1)  # of equal words the last
+    first = np.unique(np.lib.stride_tricks.sliding_window_view(ranked, WINDOW).argmin(axis=1) + np.arange(n - WINDOW + 1))
+    places = [m.start() for m in _WORD.finditer(text, start, end)]
+    return [places[k] for k in first.tolist() if k]
+
+
 def sentences(text: str) -> list[tuple[int, int]]:
-    """Start and end of each sentence, the white space behind it included."""
+    """Start and end of each sentence, or piece of a long one, the white space behind it included."""
     out, at = [], 0
-    for m in _END.finditer(text):
-        if m.end() > at:
-            out.append((at, m.end()))
-            at = m.end()
-    return [*out, (at, len(text))] if at < len(text) else out
+    for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
+        if end > at:
+            for cut in [*_cuts(text, at, end), end]:
+                out.append((at, cut))
+                at = cut
+    return out
 
 
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)

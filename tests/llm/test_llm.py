@@ -600,6 +600,31 @@ def test_repeated_spans_odd_tables(spark):
     assert sorted((r.doc_id or 0, r.text is not None and len(r.text)) for r in got) == [(0, len(text)), (1, len(text)), (1, len(text)), (2, 0), (3, False)]
 
 
+def test_repeated_passages_without_whole_sentences(spark):
+    rng = random.Random(8)
+    some_words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    texts, passages = [], []
+    for k in range(120):
+        # one sentence, or the middle of one, or parts of two or three sentences: over 50 words each
+        parts = rng.choice([[51], [90], [40, 15], [16, 35], [17, 17, 17], [16, 19, 16], [25, 1, 25]])
+        passage = ". ".join(some_words(n) for n in parts)
+        own = lambda: rng.choice(["", some_words(rng.randint(1, 30)) + rng.choice([" ", ". "])]), lambda: rng.choice([" ", ". "]) + some_words(rng.randint(1, 30))  # noqa: B023, E731
+        texts += [own[0]() + passage + own[1](), own[0]() + passage + own[1]()]
+        passages.append(passage)
+    clean = [some_words(rng.randint(1, 80)) + "." for _ in range(60)]
+    single = [some_words(n) + "." for n in (16, 30, 70)]
+    got = rows_of(spans.remove_repeated_spans(some(spark, [*texts, *clean, *single, *single])))
+    for k, passage in enumerate(passages):
+        assert got[2 * k].removed_chars == 0
+        assert got[2 * k + 1].removed_chars >= 10 * 7 - 1 and passage not in got[2 * k + 1].text
+        first, second = passage.split(), set(got[2 * k + 1].text.split())
+        own = [w for w in texts[2 * k + 1].split() if w.strip(".") not in {x.strip(".") for x in first}]
+        assert set(own) <= second  # what isn't repeated stays
+    rest = [got[i] for i in range(len(texts), len(texts) + len(clean) + 6)]
+    assert all(r.removed_chars == 0 for r in rest[:-3])
+    assert rest[-3].text == rest[-2].text == rest[-1].text == ""
+
+
 # -- pipeline
 
 
