@@ -16,7 +16,7 @@ def _vocabulary(name: str) -> str:
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.scratch(spark, "token-store")
-    token_store.write_store(common.table(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.json"))
+    token_store.write_store(common.table(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.json"), special=True)
     token_store.verify(spark, path)
     return token_store.read_digests(spark, path)
 

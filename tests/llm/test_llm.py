@@ -71,6 +71,20 @@ def test_token_store_round_trip(spark, odd_texts):
     assert (top.n_docs, top.n_tokens) == (len(odd_texts), start)
 
 
+def test_op1_query_encodes_as_the_file_defines(spark, odd_texts, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = [*odd_texts, "a <|endoftext|> b", "x<|endoftext|>", "<|endoftext|><|endoftext|>", "a  <|endoftext|>  b", "<|endoftext|", "no token"]
+    some(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got, start = rows_of(queries.op1_token_store(spark, str(tmp_path))), 0
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for i, text in enumerate(texts):
+        want = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
+        start += len(want)
+
+
 def test_token_store_odd_tables(spark):
     import public_tokenizers
 
