@@ -37,12 +37,26 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 #: Scratch data are read once or twice: the fastest level will do.
 ZSTD = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
+#: Spark's setting that has a query's shuffle files deleted as soon as the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write(df: DataFrame, path: str, **options: str) -> None:
+    """Write ``df`` as Parquet; its shuffle files go when it is written, and so don't add up over the
+    steps of an operator."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.options(**(ZSTD | options)).parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared folder and read it again."""
     path = scratch(df.sparkSession, label)
-    df.write.options(**ZSTD).parquet(path)
+    write(df, path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
@@ -58,20 +72,53 @@ def release(*tables: DataFrame) -> None:
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Rows up to which a table of numbers is broadcast, 8 bytes and their share of a hash table each.
+BROADCAST_ROWS = 4_000_000
+
+
+def small(table: DataFrame) -> DataFrame:
+    """A stored table of numbers, to be broadcast in a join if it has at most BROADCAST_ROWS rows. Beyond
+    that, and for other types, Spark shuffles both sides."""
+    fixed = all(f.dataType.typeName() in ("long", "integer", "short", "byte") for f in table.schema)
+    return F.broadcast(table) if fixed and table.count() <= BROADCAST_ROWS else table
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The filesystem and inner path of a shared-folder URI (file, hdfs, s3, gs)."""
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Record batches of at most ``rows`` rows, so a task's working set stays small. What Arrow holds
-    for reuse is given back at the end, for a worker goes on to tasks of other kinds."""
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000, most_bytes: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+    """Record batches of at most ``rows`` rows and ``most_bytes`` bytes (a longer row is alone), so a
+    task's working set stays small. What Arrow holds for reuse is given back at the end, for a worker
+    goes on to tasks of other kinds."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        parts = [batch.slice(at, rows) for at in range(0, batch.num_rows, rows)][::-1]
+        while parts:
+            part = parts.pop()
+            if part.num_rows > 1 and part.nbytes > most_bytes:
+                half = part.num_rows // 2
+                parts += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
     pa.default_memory_pool().release_unused()
 
 
+def runs(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple, list[dict]]]:
+    """Rows that come together by ``keys``, a key's rows at once."""
+    at, rows = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            key = tuple(row[k] for k in keys)
+            if key != at:
+                if rows:
+                    yield at, rows
+                at, rows = key, []
+            rows.append(row)
+    if rows:
+        yield at, rows
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Just the id and the text, under fixed names: other columns can't clash."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -79,11 +126,3 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def sweep(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs now, not when the driver next collects garbage."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

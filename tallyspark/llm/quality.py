@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 from .pieces import words
@@ -171,15 +172,24 @@ def score(vectors: DataFrame, model: Model | None) -> DataFrame:
 
 
 def drop_poor(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of docs, with all their columns, whose score reaches ``accept``."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(vectorize(docs, id_col, text_col), labels))
+    """Rows of docs, with all their columns, whose score reaches ``accept``.
+
+    The rows are staged with their vectors, so no text is read twice and nothing is joined back.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches, 2000):
+            rows = pa.array([v.tobytes() for v in vectors(batch.column(text_col))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, rows], [*batch.schema.names, "__vector"])
+
+    staged = common.stored(docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField("__vector", T.BinaryType())])), "quality-staged")
+    model = docs.sparkSession.sparkContext.broadcast(fit(staged.select(F.col(id_col).alias("doc_id"), F.col("__vector").alias("vector")), labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         for batch in common.slices(batches, 2000):
             if own is not None and batch.num_rows:
-                dense = vectors(batch.column(text_col)).astype(np.float32)
-                batch = batch.filter(pa.array(own.scores(dense) >= accept))
-            yield batch
+                batch = batch.filter(pa.array(own.scores(_dense(batch.column("__vector"))) >= accept))
+            yield batch.drop_columns(["__vector"])
 
-    return docs.mapInArrow(run, docs.schema)
+    return staged.mapInArrow(run, docs.schema)

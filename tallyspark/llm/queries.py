@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, lm_words, media, minhash, quality, spans, suffix, token_store, warc
+from . import bpe, common, decontam, lm, media, minhash, quality, spans, suffix, token_store, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -16,7 +16,7 @@ def _vocabulary(name: str) -> str:
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.scratch(spark, "token-store")
-    token_store.write_store(common.table(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.json"), special=True)
+    token_store.write_store(common.table(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.json"))
     token_store.verify(spark, path)
     return token_store.read_digests(spark, path)
 
@@ -80,8 +80,8 @@ def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted, classes = lm_words.slices(common.table(spark, sf_dir, "documents"))
-    return lm_words.score(counted, lm_words.fit(counted, classes))
+    corpus = lm.gather(common.table(spark, sf_dir, "documents"))
+    return lm.score(corpus, lm.fit(corpus))
 
 
 def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

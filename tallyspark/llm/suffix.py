@@ -353,10 +353,8 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     docs = docs.where("doc_id is not null")
     scanned = common.stored(docs.mapInArrow(_scan, "doc_id bigint, place bigint, anchor bigint, own bigint"), "segments")
     several = common.stored(scanned.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
-    common.sweep(spark)
     again = common.stored(scanned.join(several, "anchor", "left_semi"), "repeated-anchors")
     common.release(scanned, several)
-    common.sweep(spark)
 
     firsts = again.groupBy("anchor", "own").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
     firsts = common.stored(firsts, "first-segments")
@@ -370,7 +368,6 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     wanted = mixed.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("place").alias("places"))
     cut = docs.join(wanted, "doc_id").mapInArrow(_cut, "anchor bigint, doc_id bigint, place bigint, bytes binary")
     cut = common.stored(cut.join(sizes, "anchor"), "segment-bytes")
-    common.sweep(spark)
 
     few = cut.where(F.col("different") <= MOST).select("anchor", "doc_id", "place", "bytes")
     compared = few.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "place").mapInArrow(_compare, "doc_id bigint, row bigint, start bigint, end bigint")
@@ -379,7 +376,6 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     single = spread.join(earliest, "window").where(F.struct("doc_id", "start", "row") != F.col("first")).select("doc_id", "row", "start", (F.col("start") + LENGTH).alias("end"))
     out = common.stored(whole.unionByName(compared).unionByName(single), "repeated-ranges")
     common.release(again, firsts, cut, spread)
-    common.sweep(spark)
     return out
 
 

@@ -9,8 +9,8 @@ Layout under the store's path, all Parquet:
 - ``manifest``: segment, n_docs, n_tokens, root; the Merkle root over the recipes' roots of each
   segment of 2**20 ids, and the top root in segment -1.
 
-With ``special``, added tokens of the tokenizer's file (<|endoftext|>) that a text spells out get their
-own ids, as the library does by default; otherwise they are text like any other.
+Added tokens of the tokenizer's file (<|endoftext|>) that a text spells out get their own ids, as in a plain
+call of the library: such texts are encoded whole.
 
 A null text counts as empty and so has the end id alone. Rows with equal or null doc_id are documents
 of their own, nulls first. An empty table gives an empty store.
@@ -39,26 +39,21 @@ SEGMENT_BITS = 20
 #: Pieces that are joined for one call of the tokenizer.
 JOIN = 256
 _ENCODED = "doc_id {id}, n_tokens bigint, root binary, digests array<binary>, ends array<bigint>, payloads array<binary>"
-_held: dict[tuple[str, bool], Encoder] = {}
+_held: dict[str, Encoder] = {}
 
 
 class Encoder:
     """The tokenizers library over Arrow columns: distinct pieces are encoded JOIN at a time, and told
     apart by the length of their tokens."""
 
-    def __init__(self, path: str, special: bool = False):
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # pieces are joined and have no added token
-        self.whole = self.tokenizer
-        self.added = None
-        if special:
-            self.whole = Tokenizer.from_file(path)
-            self.added = "|".join(re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()) or None
+        self.added = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
         self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.sizes[i] = len(token)  # a byte-level token has a character for each byte
@@ -77,20 +72,21 @@ class Encoder:
         return ids, np.diff(at + 1, prepend=0)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        out = encode_texts(texts, self.pieces, self.each)
+        spelt = np.zeros(len(texts), bool)
         if self.added:
-            found = np.flatnonzero(pc.fill_null(pc.match_substring_regex(texts, self.added), False).to_numpy(zero_copy_only=False)).tolist()
-            spelt = self.whole.encode_batch_fast([texts[k].as_py() for k in found], add_special_tokens=False)
-            for k, e in zip(found, spelt, strict=True):
-                out[k] = np.array(e.ids, np.int32)
+            spelt = pc.fill_null(pc.match_substring_regex(texts, self.added), False).to_numpy(zero_copy_only=False)
+        out = encode_texts(pc.if_else(pa.array(spelt), None, texts), self.pieces, self.each)
+        found = np.flatnonzero(spelt).tolist()
+        for k, ids in zip(found, self.each([texts[k].as_py() for k in found]), strict=True):
+            out[k] = ids
         return out
 
 
-def encoder(path: str, special: bool = False) -> Encoder:
+def encoder(path: str) -> Encoder:
     """The worker's tokenizer, kept between tasks."""
-    if (path, special) not in _held:
-        _held[path, special] = Encoder(path, special)
-    return _held[path, special]
+    if path not in _held:
+        _held[path] = Encoder(path)
+    return _held[path]
 
 
 def chunk_ends(ids: np.ndarray) -> np.ndarray:
@@ -130,9 +126,9 @@ def merkle(leaves: list[bytes]) -> bytes:
     return level[0]
 
 
-def _encode(path: str, end_id: int, width: str, special: bool):
+def _encode(path: str, end_id: int, width: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = encoder(path, special), np.array([end_id])
+        own, end = encoder(path), np.array([end_id])
         for batch in common.slices(batches, 4000):
             rows: list[list] = [[], [], [], [], []]
             for ids in own.encode(batch.column("text")):
@@ -149,7 +145,7 @@ def _encode(path: str, end_id: int, width: str, special: bool):
     return run
 
 
-def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, vocabulary: int = 50_257, id_col: str = "doc_id", text_col: str = "text", special: bool = False) -> None:
+def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, vocabulary: int = 50_257, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Tokenize whole texts with the tokenizers library and write the store at ``path``.
 
     The encoded rows are staged once. The distinct chunks take one shuffle by digest, in which copies
@@ -157,17 +153,18 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
     """
     width = "<u2" if max(vocabulary, end_id + 1) <= 2**16 else "<u4"
     docs = common.keyed(docs, id_col, text_col)
-    encoded = common.stored(docs.mapInArrow(_encode(tokenizer_path, end_id, width, special), _ENCODED.format(id=docs.schema["doc_id"].dataType.simpleString())), "token-ids")
+    encoded = common.stored(docs.mapInArrow(_encode(tokenizer_path, end_id, width), _ENCODED.format(id=docs.schema["doc_id"].dataType.simpleString())), "token-ids")
     parts = F.explode(F.arrays_zip("digests", "payloads")).alias("c")
-    encoded.select(parts).select(F.col("c.digests").alias("digest"), F.col("c.payloads").alias("ids")).dropDuplicates(["digest"]).write.options(**common.ZSTD).parquet(f"{path}/chunks")
+    chunks = encoded.select(parts).select(F.col("c.digests").alias("digest"), F.col("c.payloads").alias("ids")).dropDuplicates(["digest"])
 
+    common.write(chunks, f"{path}/chunks")
     ordered = encoded.select("doc_id", "n_tokens", "root", "digests", "ends").repartitionByRange("doc_id", "root").withColumn("part", F.spark_partition_id())
     ordered = common.stored(ordered, "token-recipes")
     by_part = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
     offsets = ordered.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.coalesce(F.sum("n").over(by_part), F.lit(0)).alias("before"))
     within = Window.partitionBy("part").orderBy("doc_id", "root").rowsBetween(Window.unboundedPreceding, -1)
     recipes = ordered.withColumn("own", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(F.broadcast(offsets), "part").withColumn("start", F.col("before") + F.col("own"))
-    recipes.select("doc_id", "start", "n_tokens", "root", "digests", "ends").repartitionByRange("start").sortWithinPartitions("start").write.options(**common.ZSTD).parquet(f"{path}/recipes")
+    common.write(recipes.select("doc_id", "start", "n_tokens", "root", "digests", "ends").repartitionByRange("start").sortWithinPartitions("start"), f"{path}/recipes")
     common.release(encoded, ordered)
     manifest(docs.sparkSession, path).write.parquet(f"{path}/manifest")
 
@@ -198,7 +195,10 @@ def verify(spark: SparkSession, path: str) -> None:
 
 
 def _same(one: DataFrame, other: DataFrame) -> bool:
-    return one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+    """Manifests have a row for each segment."""
+    names = {c: f"__{c}" for c in one.columns}
+    differs = ~(F.struct(*one.columns).eqNullSafe(F.struct(*names.values())))
+    return one.join(other.withColumnsRenamed(names), F.col("segment") == F.col("__segment"), "full").where(differs).isEmpty()
 
 
 # -- crc32 of a concatenation from the crc32 of its parts: moving a part left by n bytes multiplies its

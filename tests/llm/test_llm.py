@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, common, components, decontam, lm, lm_words, media, minhash, quality, queries, spans, suffix, token_store, warc
+from tallyspark.llm import bpe, common, components, decontam, lm, media, minhash, quality, queries, spans, suffix, token_store, warc
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, start bigint, n bigint, row string, key string, score double"
 
@@ -56,7 +57,6 @@ def test_token_store_round_trip(spark, odd_texts):
     name = public_tokenizers.path("byte_bpe_50k.json")
     token_store.write_store(some(spark, odd_texts), path, name)
     tokenizer = Tokenizer.from_file(name)
-    tokenizer.encode_special_tokens = True
     got, ids, start = rows_of(token_store.read_digests(spark, path)), rows_of(token_store.read_ids(spark, path)), 0
     assert len(got) == len(odd_texts)
     for i, text in enumerate(odd_texts):
@@ -243,6 +243,37 @@ def test_near_duplicates_odd_tables(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 9] and kept.columns == some(spark, []).columns
 
 
+def test_near_duplicates_in_a_cluster_of_several_components(spark):
+    """Families that share half of their text: one cluster, many components, no link between them."""
+    rng = random.Random(15)
+    common_part = [f"c{i}" for i in range(120)]
+    texts = []
+    for family in range(40):
+        own = common_part + [f"f{family}x{i}" for i in range(90)]
+        for _ in range(rng.randint(1, 6)):
+            text = list(own)
+            text[rng.randrange(125, 205)] = f"y{rng.random()}"
+            texts.append(" ".join(text))
+    rng.shuffle(texts)
+    got = rows_of(minhash.near_duplicates(some(spark, texts)))
+    assert [got[i].component_id for i in range(len(texts))] == brute_components(texts)[0]
+
+
+def test_banding_and_sketches_find_similar_pairs():
+    """Of 2,000 pairs at the threshold none is lost by bands or sketches."""
+    rng = np.random.default_rng(17)
+    for union in (20, 100, 400):
+        sets = []
+        for _ in range(2000):
+            x = rng.integers(0, 2**64, union, np.uint64)
+            part = union // 8
+            sets += [np.sort(x[part:]), np.sort(x[: union - part])]
+        values = minhash.signatures(sets)
+        keys, sketches = minhash.band_keys(values), values.astype(np.uint8)
+        assert (keys[::2] == keys[1::2]).any(axis=1).all()
+        assert minhash._near(sketches[::2], sketches[1::2]).all()
+
+
 def test_components(spark):
     rng = random.Random(8)
     for links in ([(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)], [(rng.randrange(80), rng.randrange(80)) for _ in range(60)]):
@@ -500,95 +531,118 @@ def test_removed_repeats_odd_tables(spark):
 # -- operator 9
 
 
-def test_lm_scores(spark, odd_texts):
-    tokenized = lm.tokenize(some(spark, odd_texts))
-    model = lm.fit(tokenized)
-    counts = Counter()
-    for t in odd_texts:
-        counts.update(zlib.crc32(w.lower().encode()) % lm.TOKENS for w in (t or "").split())
-    of = lm.classes(np.array([counts[k] for k in range(lm.TOKENS)]))
-    assert (of == model.of).all()
-    table = model.by_context.reshape(lm.CLASSES + 1, lm.CLASSES, lm.CLASSES + 1)
-    assert np.allclose(np.exp(table).sum(axis=1), 1, atol=1e-4)
-    assert np.allclose(np.bincount(of, np.exp(model.within), minlength=lm.CLASSES), 1, atol=1e-3)
-    for i, r in rows_of(lm.score(tokenized, model)).items():
-        x = [zlib.crc32(w.lower().encode()) % lm.TOKENS for w in (odd_texts[i] or "").split()]
-        c = [lm.EDGE, *(int(of[t]) for t in x), lm.EDGE]
-        want = sum(float(table[c[k], c[k + 1], c[k + 2]] + model.within[t]) for k, t in enumerate(x))
-        assert r.n_tokens == len(x) and r.log_likelihood == pytest.approx(want, rel=1e-4, abs=1e-3)
-    empty = lm.tokenize(some(spark, []))
-    assert lm.score(empty, lm.fit(empty)).count() == 0
-
-
-def test_lm_learns_both_sides(spark):
-    rng = random.Random(3)
-    ordered = [" ".join(rng.choice(["a b c", "d e f"]) for _ in range(50)) for _ in range(60)]
-    shuffled = [" ".join(rng.sample(t.split(), len(t.split()))) for t in ordered]
-    model = lm.fit(lm.tokenize(some(spark, ordered)))
-    mean = lambda texts: np.mean([r.per_token for r in lm.score(lm.tokenize(some(spark, texts)), model).collect()])
-    assert mean(ordered) > mean(shuffled) + 1
-
-
-def test_lm_whole_words(spark, odd_texts, monkeypatch):
-    texts = [*odd_texts, *(f"w{k} v{k} w{k + 1}" for k in range(300)), *["w7 v7 w8"] * 3]
+def test_lm_scores(spark, odd_texts, monkeypatch):
+    """Plain counting of words and windows over all texts, and the network's probability word by word."""
+    monkeypatch.setattr(lm, "PART", 1 << 9)
+    texts = [*odd_texts[:40], None, "", "One", "One", "one two three four", "zero two three four"]
+    corpus = lm.gather(some(spark, texts).repartition(3))
+    assert corpus.parts > 3
+    model = lm.fit(corpus)
     tokens = [(t or "").lower().split() for t in texts]
-    monkeypatch.setattr(lm_words, "SLICE", 25)
-    counted, classes = lm_words.slices(some(spark, texts).repartition(3))
-    model = lm_words.fit(counted, classes)
+    window = lambda x, k: tuple(x[k + j] if 0 <= k + j < len(x) else None for j in (-2, -1, 1, 2))
+    places = Counter(window(x, k) for x in tokens for k in range(len(x)))
+    same = Counter((window(x, k), x[k]) for x in tokens for k in range(len(x)))
     n = Counter(w for x in tokens for w in x)
-    pairs = Counter(p for x in tokens if x for p in itertools.pairwise([None, *x, None]))
-    follow, precede = Counter(), Counter()
-    for (a, b), k in pairs.items():
-        follow[a] += k * (b is not None)
-        precede[b] += k * (a is not None)
-    names = np.array([lm_words.xxhash.xxh3_64_intdigest(w.encode()) for w in n], np.uint64)
-    of = dict(zip(n, classes.of(names, np.array(list(n.values()))).tolist(), strict=True)) | {None: lm.EDGE}
-    mass, table = Counter(), model.by_context.reshape(lm.CLASSES + 1, lm.CLASSES, lm.CLASSES + 1)
+    name = {w: lm.xxhash.xxh3_64_intdigest(w.encode()) for w in n}
+    code = {w: int(model.coder.codes(np.array([h], np.uint64))[0]) for w, h in name.items()} | {None: lm.EDGE}
+    top = sorted(n, key=lambda w: (-n[w], np.array([name[w]], np.uint64).view(np.int64)[0]))
+    assert [code[w] for w in top[:20]] == list(range(20))
+    mass = Counter()
     for w in n:
-        mass[of[w]] += n[w]
-    assert sorted(n[w] for w in n if of[w] < lm.OWN) == sorted(sorted(n.values())[-lm.OWN :])
-
-    def p(a, w, b):
-        x, y = 0.5 / (follow[a] + lm_words.WEIGHT), 0.5 / (precede[b] + lm_words.WEIGHT)
-        return (1 - x * follow[a] - y * precede[b]) * table[of[a], of[w], of[b]] * n[w] / mass[of[w]] + x * pairs[a, w] + y * pairs[w, b]
-
-    for a, b in (("w7", "w8"), (None, "v9"), (next(iter(n)), None)):
-        assert sum(p(a, w, b) for w in n) == pytest.approx(1, abs=1e-4)
-    got = rows_of(lm_words.score(counted, model))
+        mass[code[w]] += n[w]
+    got = rows_of(lm.score(corpus, model))
     assert len(got) == len(texts)
     for i, x in enumerate(tokens):
-        want = sum(np.log(p(a, w, b)) for a, w, b in zip([None, *x], x, [*x[1:], None], strict=False))
-        assert got[i].n_tokens == len(x) and got[i].log_likelihood == pytest.approx(want, rel=1e-6, abs=1e-6)
-    swapped = [t.replace(f"v{k}", f"v{k + 1}") for k, t in enumerate(texts[-303:-3])]  # a word of the same class and count: only its neighbours tell
-    assert np.mean([p(*t.split()) for t in texts[-303:-3]]) > 10 * np.mean([p(*t.split()) for t in swapped[:-1]])
-    empty, none = lm_words.slices(some(spark, []))
-    assert lm_words.score(empty, lm_words.fit(empty, none)).count() == 0
+        want = 0.0
+        for k, w in enumerate(x):
+            at = window(x, k)
+            net = float(np.exp(model.network.log_p(np.array([[code[v] for v in at]]), np.array([code[w]]))[0])) * n[w] / mass[code[w]]
+            want += np.log((same[at, w] - 1 + lm.WEIGHT * net) / (places[at] - 1 + lm.WEIGHT))
+        assert got[i].n_tokens == len(x) and got[i].log_likelihood == pytest.approx(want, rel=1e-4, abs=1e-3)
+        assert got[i].per_token == (pytest.approx(want / len(x), rel=1e-4, abs=1e-4) if x else None)
+    empty = lm.gather(some(spark, []))
+    assert lm.score(empty, lm.fit(empty)).count() == 0
+
+
+def test_lm_tells_texts_that_occur_twice(spark):
+    rng = random.Random(4)
+    prose = [" ".join(rng.choice("abcdefghijklmnop") * rng.randint(1, 3) for _ in range(60)) for _ in range(80)]
+    corpus = lm.gather(some(spark, [*prose, *prose[:20]]))
+    got = rows_of(lm.score(corpus, lm.fit(corpus)))
+    once = [got[i].per_token for i in range(20, 80)]
+    assert all(got[i].per_token > max(once) + 1 for i in [*range(20), *range(80, 100)])
+
+
+def test_lm_network():
+    """Probabilities sum to 1 over all codes, gradients are those of the loss, and both sides are learnt."""
+    rng = np.random.default_rng(2)
+    network = lm.Network(rng.integers(0, 50, lm.CODES))
+    window = rng.integers(0, lm.CODES + 1, (1, 4))
+    assert np.exp(network.log_p(np.repeat(window, lm.CODES, axis=0), np.arange(lm.CODES)).astype(float)).sum() == pytest.approx(1, abs=1e-4)
+    windows, codes = rng.integers(0, 6, (40, 4)), rng.integers(0, 6, 40)
+    grads = network.gradients(windows, codes)
+    for k in ("embedding", "inner", "outer", "last", "last_bias"):
+        at = np.unravel_index(np.abs(grads[k]).argmax(), grads[k].shape)
+        loss = []
+        for step in (1e-2, -2e-2):
+            network.weights[k][at] += step
+            loss.append(-network.log_p(windows, codes).astype(float).mean())
+        network.weights[k][at] += 1e-2
+        assert (loss[0] - loss[1]) / 2e-2 == pytest.approx(float(grads[k][at]), rel=0.05, abs=1e-4)
+    left, right = rng.integers(0, 8, (2, 30_000))
+    windows = np.stack([rng.integers(0, 8, 30_000), left, right, rng.integers(0, 8, 30_000)], axis=1)
+    codes = 8 + (left + right) % 8
+    network = lm.Network(np.bincount(codes, minlength=lm.CODES))
+    before = network.log_p(windows, codes).mean()
+    assert network.learn(iter([(windows, codes)] * 60)) == 60 * 30_000
+    assert network.log_p(windows, codes).mean() > before + 1
 
 
 # -- operator 10
 
 
-def brute_spans(texts, run=spans.RUN, least=spans.WORDS):
+def brute_spans(texts):
+    """The texts without what spans repeat, by plain loops over words."""
     seen, out = set(), []
+    rank_of = {}
     for text in texts:
         text = text or ""
-        places = [p for p in spans.sentences(text) if text[p[0] : p[1]].split()]
-        gone = bytearray(len(text))
-        words = [tuple(text[a:b].lower().split()) for a, b in places]
-        for at in range(len(places)):
-            end = at + run
-            while end <= len(places) and sum(map(len, words[at:end])) < least:
-                end += 1
-            if end > len(places):
-                break
-            key = tuple(words[at:end])
+        found = list(re.finditer("[\u3000-\U0010ffff]|[^\t-\r \u3000-\U0010ffff]+", text))
+        words, n = [m[0].encode().lower() for m in found], len(found)
+        for w in words:
+            if w not in rank_of:
+                rank_of[w] = int(spans.Words([w]).hashes[0][0]) >> 28
+        closed = [re.search(rb"[.!?][\"')\]]?$", w) for w in words]
+        opens = [k == 0 or bool(closed[k - 1]) or "\n" in text[found[k - 1].end() : found[k].start()] for k in range(n)]
+        begins = {k for k in range(n) if opens[k]}
+        for k in range(n - spans.WINDOW + 1):
+            if not any(opens[k : k + spans.WINDOW]):
+                begins.add(min(range(k, k + spans.WINDOW), key=lambda j: (rank_of[words[j]], -j)))
+        gone, places = bytearray(len(text)), []
+        for k in sorted(begins):
+            if k + spans.WORDS <= n:
+                places.append((k, min((j for j in begins if j >= k + spans.WORDS), default=n)))
+        if spans.LEAST <= n < spans.WORDS:
+            places.append((0, n))
+        for a, b in places:
+            key = tuple(words[a:b])
             if key in seen:
-                gone[places[at][0] : places[end - 1][1]] = b"\1" * (places[end - 1][1] - places[at][0])
+                start, end = found[a].start(), found[b].start() if b < n else len(text)
+                gone[start:end] = b"\1" * (end - start)
             seen.add(key)
         out.append("".join(c for c, g in zip(text, gone, strict=True) if not g))
     return out
 
 
+def test_long_texts_are_read_in_stretches(monkeypatch):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["ab", "cde.", "f\ng", "日本", "x" * 300]) for _ in range(rng.randint(1, 400))).encode() for _ in range(30)]
+    whole = spans.spans(texts)
+    monkeypatch.setattr(spans, "STRETCH", 500)
+    for one, other in zip(whole, spans.spans(texts), strict=True):
+        assert (one == other).all()
+
+
 def test_repeated_spans(spark, odd_texts):
     rng = random.Random(6)
     lines = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 4) for _ in range(rng.randint(3, 12))) + rng.choice([". ", "! ", "\n", "? "]) for _ in range(60)]
@@ -630,7 +684,7 @@ def test_repeated_passages_without_whole_sentences(spark):
     got = rows_of(spans.remove_repeated_spans(some(spark, [*texts, *clean, *single, *single])))
     for k, passage in enumerate(passages):
         assert got[2 * k].removed_chars == 0
-        assert got[2 * k + 1].removed_chars >= 10 * 7 - 1 and passage not in got[2 * k + 1].text
+        assert got[2 * k + 1].removed_chars >= spans.WORDS * 7 - 1 and passage not in got[2 * k + 1].text
         first, second = passage.split(), set(got[2 * k + 1].text.split())
         own = [w for w in texts[2 * k + 1].split() if w.strip(".") not in {x.strip(".") for x in first}]
         assert set(own) <= second  # what isn't repeated stays
