@@ -49,5 +49,6 @@ STAGES = [("quality", keep_quality), ("near duplicates", drop_near_duplicates),
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = common.stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        before, docs = docs, common.stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        common.release(before)  # of the tables that stages were given, only the last is still read
     return docs
