@@ -66,7 +66,7 @@ class Words:
 
     def __init__(self, texts: list[bytes]):
         parts = [self._stretch(*x) for x in self._stretches(texts)]
-        self.start, self.text, opens, closes, one, two = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(6))
+        self.start, self.text, opens, closes, one, two = (np.concatenate([p[k] for p in [*parts, self._stretch([0], [0], [b""])]]) for k in range(6))
         self.hashes, self.opens = (one, two), np.ones(len(self.text), bool)
         self.opens[1:] = opens[1:] | closes[:-1] | (self.text[1:] != self.text[:-1])
 
@@ -192,7 +192,7 @@ def _scan(parts: int, kind: pa.DataType):
         part = ((one >> _U64(40)) * _U64(parts) >> _U64(24)).astype(np.int64)
         out = []
         some, at = np.unique(part, return_index=True)  # ascending, as the hashes are
-        for p, a, b in zip(some.tolist(), at.tolist(), [*at[1:].tolist(), len(part)], strict=True):
+        for p, a, b in zip(some.tolist(), at.tolist(), np.append(at, len(part))[1:].tolist(), strict=True):
             here = np.concatenate([a + np.flatnonzero(lead[a:b]), a + np.flatnonzero(~lead[a:b])])
             docs, number = np.unique(doc[here], return_inverse=True)
             n = int(lead[a:b].sum())

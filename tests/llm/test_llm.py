@@ -560,6 +560,8 @@ def test_lm_scores(spark, odd_texts, monkeypatch):
             want += np.log((same[at, w] - 1 + lm.WEIGHT * net) / (places[at] - 1 + lm.WEIGHT))
         assert got[i].n_tokens == len(x) and got[i].log_likelihood == pytest.approx(want, rel=1e-4, abs=1e-3)
         assert got[i].per_token == (pytest.approx(want / len(x), rel=1e-4, abs=1e-4) if x else None)
+    blank = lm.gather(some(spark, [None, "", " "]))
+    assert [(r.n_tokens, r.log_likelihood, r.per_token) for r in lm.score(blank, lm.fit(blank)).collect()] == [(0, 0.0, None)] * 3
     empty = lm.gather(some(spark, []))
     assert lm.score(empty, lm.fit(empty)).count() == 0
 
