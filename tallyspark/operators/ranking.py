@@ -1,53 +1,94 @@
 """Global ranks without a single-partition sort.
 
-Values are dealt into ranges by approximate quantiles (a bounded list on the driver); equal values share
-a range. A row's rank is its rank within the range plus the number of rows in the ranges before it, of
-which there are at most RANGES.
+Rows are counted by value first, so a frequent value is one row from there on. The values are then placed
+by a few numbers that grow with them (whole multiples of each of STEPS): how many rows lie before a value
+is the sum of what lies before its multiple of each step, among those of one multiple of the step before.
+Every window so holds multiples or values of one interval only, whatever their distribution; nothing is
+sampled and no job runs while a query is built.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+STEPS = (1e4, 1e-2, 1e-6)
+_FIRST, _LAST = Window.unboundedPreceding, -1
+
+
+def _same(columns: tuple[str, ...], prefix: str, plain: tuple[str, ...] = ()) -> Column:
+    """Equality of columns with their prefixed namesakes; nulls are equal, but ``plain`` columns have none."""
+    pairs = [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in columns] + [F.col(c) == F.col(f"{prefix}{c}") for c in plain]
+    return reduce(lambda a, b: a & b, pairs, F.lit(True))
+
+
+def _before(counts: DataFrame, value: str, within: tuple[str, ...], descending: bool, steps: tuple[float, ...]) -> DataFrame:
+    """counts (within, value, n) with __before, the rows of earlier values of their group."""
+    levels = tuple(f"__level{k}" for k in range(len(steps)))
+    v = F.col(value).cast("double")  # rounding, division and floor keep the order
+    placed = counts.withColumns({c: F.when(F.isnan(v), F.lit(2**63 - 1)).otherwise(F.floor(v / s)) for c, s in zip(levels, steps, strict=True)})
+    direction = F.desc if descending else F.asc
+    above = None  # offsets of the level before
+    for k, name in enumerate([*levels, value]):
+        keys = (*within, *levels[:k])
+        sums = placed if name == value else placed.groupBy(*keys, name).agg(F.sum("n").alias("n"))
+        window = Window.partitionBy(*keys).orderBy(direction(name)).rowsBetween(_FIRST, _LAST)
+        sums = sums.withColumn("__before", F.coalesce(F.sum("n").over(window), F.lit(0)))
+        if above is not None:
+            above = above.select(*(F.col(c).alias(f"__of_{c}") for c in keys), F.col("__before").alias("__offset"))
+            sums = sums.join(above, _same(within, "__of_", levels[:k])).withColumn("__before", F.col("__before") + F.col("__offset")).drop("__offset", *(f"__of_{c}" for c in keys))
+        above = sums
+    return above.drop(*levels)
 
 
-def _ranged(df: DataFrame, by: str, descending: bool, within: tuple[str, ...] = ()) -> DataFrame:
-    """df with __range (ascending in rank order) and __before, the rows of earlier ranges of its group."""
-    value = F.col(by).cast("double")
-    cuts = df.select(value.alias("v")).approxQuantile("v", [k / RANGES for k in range(1, RANGES)], 0.002)
-    cuts = sorted(set(cuts))
-    place: Column = F.lit(0)
-    if cuts:
-        place = F.aggregate(F.lit(cuts), F.lit(0), lambda n, c: n + F.when(value > c, 1).otherwise(0))
-    place = (F.lit(len(cuts)) - place) if descending else place
-    df = df.withColumn("__range", F.when(value.isNull(), len(cuts) + 1).otherwise(place))
-    sizes = df.groupBy(*within, "__range").agg(F.count("*").alias("n"))
-    order = Window.partitionBy(*within).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
-    before = sizes.select(*(F.col(c).alias(f"__{c}") for c in within), F.col("__range").alias("__r"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("__before"))
-    same = F.col("__range") == F.col("__r")
-    for c in within:
-        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return df.join(before if within else F.broadcast(before), same).drop("__r", *(f"__{c}" for c in within))
+def _steps(df: DataFrame, by: str) -> tuple[float, ...]:
+    """Decimals have few values between two multiples of the second step."""
+    return STEPS if df.schema[by].dataType.typeName() in ("double", "float") else STEPS[:2]
+
+
+def with_ranks(df: DataFrame, by: str, outs: dict[str, tuple[str, ...]]) -> DataFrame:
+    """df with RANK() OVER (PARTITION BY within ORDER BY by DESC NULLS LAST) for each out: within, for groups
+    of any size; nulls share the rank after all others. Rows are counted once for all ranks."""
+    groups = tuple(dict.fromkeys(c for within in outs.values() for c in within))
+    counted = df.groupBy(*groups, by).agg(F.count("*").alias("n"))
+    known = counted.where(F.col(by).isNotNull())
+    ranks = counted
+    for out, within in outs.items():
+        sums = known if set(within) == set(groups) else known.groupBy(*within, by).agg(F.sum("n").alias("n"))
+        before = _before(sums, by, within, True, _steps(df, by)).select(*(F.col(c).alias(f"__r_{c}") for c in (*within, by)), (F.col("__before") + 1).alias(out))
+        total = known.groupBy(*within).agg(F.sum("n").alias("__known")).select(*(F.col(c).alias(f"__t_{c}") for c in within), "__known")
+        ranks = ranks.join(before, _same(within, "__r_", (by,)), "left").join(total, _same(within, "__t_"), "left")
+        ranks = ranks.withColumn(out, F.coalesce(out, F.coalesce("__known", F.lit(0)) + 1).cast("int")).drop("__known", *(f"__r_{c}" for c in (*within, by)), *(f"__t_{c}" for c in within))
+    ranks = ranks.drop("n").withColumnsRenamed({c: f"__k_{c}" for c in (*groups, by)})
+    return df.join(ranks, _same((*groups, by), "__k_")).drop(*(f"__k_{c}" for c in (*groups, by)))
 
 
 def with_rank(df: DataFrame, by: str, out: str, within: tuple[str, ...] = ()) -> DataFrame:
-    """RANK() OVER (PARTITION BY within ORDER BY by DESC NULLS LAST), for groups of any size; nulls share
-    the rank after all others."""
-    inside = Window.partitionBy(*within, "__range").orderBy(F.desc_nulls_last(by))
-    ranked = _ranged(df, by, descending=True, within=within)
-    return ranked.withColumn(out, (F.col("__before") + F.rank().over(inside)).cast("int")).drop("__range", "__before")
+    return with_ranks(df, by, {out: within})
 
 
 def with_ntile(df: DataFrame, n: int, by: str, tiebreak: str, out: str) -> DataFrame:
-    """NTILE(n) OVER (ORDER BY by NULLS LAST, tiebreak): the first count % n tiles have one row more."""
-    within = Window.partitionBy("__range").orderBy(F.asc_nulls_last(by), tiebreak)
-    total = df.agg(F.count("*").alias("__total"))
-    ranked = _ranged(df, by, descending=False).crossJoin(F.broadcast(total))  # one row
-    row = F.col("__before") + F.row_number().over(within) - 1
+    """NTILE(n) OVER (ORDER BY by NULLS LAST, tiebreak): the first count % n tiles have one row more.
+
+    Most values have all their rows in one tile; the tiebreak orders rows of the at most n - 1 values that
+    lie across a border, and only those."""
+    counted = df.groupBy(by).agg(F.count("*").alias("n"))
+    known = counted.where(F.col(by).isNotNull())
+    before = _before(known, by, (), False, _steps(df, by))
+    sizes = counted.agg(F.sum("n").alias("__total"), F.coalesce(F.sum(F.when(F.col(by).isNotNull(), F.col("n"))), F.lit(0)).alias("__known"))
+    nulls = counted.where(F.col(by).isNull()).crossJoin(F.broadcast(sizes)).select(by, "n", F.col("__known").alias("__before"))  # one row each
     small, more = F.expr(f"__total div {n}"), F.expr(f"__total % {n}")
-    early = F.floor(row / (small + 1))
-    late = more + F.floor((row - more * (small + 1)) / F.greatest(small, F.lit(1)))
-    tile = F.when(row < more * (small + 1), early).otherwise(late) + 1
-    return ranked.withColumn(out, tile.cast("int")).drop("__range", "__before", "__total")
+
+    def tile(row: Column) -> Column:
+        late = more + F.floor((row - more * (small + 1)) / F.greatest(small, F.lit(1)))
+        return (F.when(row < more * (small + 1), F.floor(row / (small + 1))).otherwise(late) + 1).cast("int")
+
+    values = before.select(by, "n", "__before").unionByName(nulls).crossJoin(F.broadcast(sizes))
+    values = values.withColumns({"__tile": tile(F.col("__before")), "__until": tile(F.col("__before") + F.col("n") - 1)}).withColumnsRenamed({by: "__value"}).drop("n", "__known")
+    rows = df.join(values, F.col(by).eqNullSafe(F.col("__value"))).drop("__value")
+    whole = rows.where("__tile = __until").withColumn(out, F.col("__tile"))
+    order = Window.partitionBy("__before").orderBy(tiebreak)
+    across = rows.where("__tile < __until").withColumn(out, tile(F.col("__before") + F.row_number().over(order) - 1))
+    return whole.unionByName(across).drop("__tile", "__until", "__before", "__total")

@@ -7,9 +7,6 @@ whatever relates tables to each other is a window or a grouping by document.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,14 +30,15 @@ STACKED_PAIRS = [
 LOT_CODES = ("ST", "LT", "MT", "N")
 OVERLAP_TAIL, KEY_ROWS = 30, 5
 
-_HEADING = re.compile(SECTION_HEADINGS, re.IGNORECASE)
-_IDENTIFIER = re.compile(r"^(?:CUSIP|ISIN|Symbol)\s*:", re.IGNORECASE)
-_DATE_OR_NUMBER = re.compile(r"^(?:\d|Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)", re.IGNORECASE)
-_CURRENCY = re.compile(r"\$[\d,]+\.\d{2}")
+IDENTIFIER = r"(?i)^(?:CUSIP|ISIN|Symbol)\s*:"
+DATE_OR_NUMBER = r"(?i)^(?:\d|Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
+DATED = r"(?i)\d{1,2}\s+(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)|(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\s+\d{1,2}|\d{4}"
+CODE_BEHIND_NUMBER = r"(?i)(?<=[\d)])\s+(?:ST|LT|MT|N)\s*$"
+CURRENCY = r"^\$[\d,]+\.\d{2}$"
 
 
-def blank(cell: str) -> bool:
-    return cell.strip() in ("", "--")
+def blank(cell: Column) -> Column:
+    return F.trim(cell).isin("", "--")
 
 
 # -- text to tables
@@ -79,118 +77,128 @@ def drop_pipe_columns(rows: Column) -> Column:
 # -- repairs within a table
 
 
-def _joined(a: str, b: str) -> str:
-    return f"{a.strip()} {b}" if a.strip() else b
+def _first(row: Column) -> Column:
+    return F.coalesce(F.trim(F.try_element_at(row, F.lit(1))), F.lit(""))
+
+
+def _values(row: Column) -> Column:
+    return F.slice(row, F.lit(2), F.size(row))
+
+
+def _with_last(rows: Column, row: Column) -> Column:
+    return F.concat(F.slice(rows, F.lit(1), F.size(rows) - 1), F.array(row))
 
 
-def merge_continuations(rows: list[list[str]]) -> list[list[str]]:
-    """Identifier rows and lone first cells, unless headings, are the end of the row above."""
-    out = rows[:1]
-    for row in rows[1:]:
-        text, values = (row[0].strip() if row else ""), row[1:]
-        identifier = bool(_IDENTIFIER.match(text))
-        lone = text and all(not v.strip() for v in values) and not _HEADING.search(text)
-        if len(out) < 2 or not (identifier or lone):
-            out.append(list(row))
-            continue
-        above = out[-1]
-        above[0] = _joined(above[0], text)
-        for at, value in enumerate(values, 1) if identifier else ():
-            if not blank(value):
-                above += [""] * (at + 1 - len(above))
-                if blank(above[at]):
-                    above[at] = value
-    return out
+def merge_continuations(rows: Column) -> Column:
+    """Identifier rows and lone first cells, unless headings, are the end of the row above.
 
+    A fold over the data rows; the first of them always stands alone. An identifier row also fills the
+    blank cells of the row above with its values."""
+    lone = lambda row: (_first(row) != "") & F.forall(_values(row), lambda v: F.trim(v) == "") & ~_first(row).rlike(f"(?i){SECTION_HEADINGS}")
 
-def _leading(text: str) -> list[str]:
-    return [w.upper() for w in re.findall(r"[A-Za-z0-9]+", text)[:3]]
+    def completed(above: Column, row: Column) -> Column:
+        text = F.when(_first(above) == "", _first(row)).otherwise(F.concat_ws(" ", _first(above), _first(row)))
+        reach = F.array_max(F.transform(row, lambda v, i: F.when(blank(v), 0).otherwise(i + 1)))  # up to its last value
+        filled = F.zip_with(_values(above), _values(F.slice(row, F.lit(1), reach)), lambda old, new: F.when(new.isNull() | blank(new), F.coalesce(old, F.lit(""))).when(old.isNull() | blank(old), new).otherwise(old))
+        return F.concat(F.array(text), F.when(_first(row).rlike(IDENTIFIER), filled).otherwise(_values(above)))
 
+    def step(done: Column, row: Column) -> Column:
+        joins = (F.size(done) > 0) & (_first(row).rlike(IDENTIFIER) | lone(row))
+        return F.when(joins, _with_last(done, completed(F.element_at(done, -1), row))).otherwise(F.concat(done, F.array(row)))
 
-def merge_split_securities(rows: list[list[str]]) -> list[list[str]]:
+    return F.concat(F.slice(rows, 1, 1), F.aggregate(_values(rows), F.array().cast("array<array<string>>"), step))
+
+
+def merge_split_securities(rows: Column) -> Column:
     """A row that begins like the one above, and is empty or has borrowed its values, only completes
-    the description; its values are dropped."""
-    out = rows[:1]
-    for row in rows[1:]:
-        text = row[0].strip() if row else ""
-        above = out[-1][0].strip() if out[-1] else ""
-        alike = len(out) > 1 and text and _leading(text) == _leading(above) and text.upper() != above.upper()
-        empty = all(blank(v) for v in row[1:])
-        borrowed = any(not blank(v) for v in out[-1][1:]) and not _DATE_OR_NUMBER.match(text)
-        if not (alike and (empty or borrowed)):
-            out.append(list(row))
-            continue
-        known, words = above.upper().split(), text.split()
-        same = next((k for k, w in enumerate(words) if k >= len(known) or w.upper() != known[k]), len(words))
-        rest = " ".join(words[same:])
-        if rest and rest.upper() not in above.upper():
-            out[-1][0] = f"{above} {rest}"
-    return out
+    the description; its values are dropped.
+
+    A fold, since what stands above grows: rows begin alike if their first three words agree."""
+    words = lambda text: F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    leading = lambda text: F.slice(F.regexp_extract_all(F.upper(text), F.lit("[A-Z0-9]+"), 0), 1, 3)
+
+    def absorbed(above: Column, row: Column) -> Column:
+        known, own = words(F.upper(_first(above))), words(_first(row))
+        same = F.transform(own, lambda w, k: F.coalesce(F.get(known, k) == F.upper(w), F.lit(False)))
+        other = F.array_position(same, False).cast("int")
+        rest = F.when(other > 0, F.array_join(F.slice(own, other, F.size(own)), " ")).otherwise("")
+        adds = (rest != "") & ~F.upper(_first(above)).contains(F.upper(rest))
+        return F.when(adds, F.concat(F.array(F.concat_ws(" ", _first(above), rest)), _values(above))).otherwise(above)
+
+    def step(done: Column, row: Column) -> Column:
+        above = F.element_at(done, -1)
+        alike = (_first(row) != "") & (leading(_first(row)) == leading(_first(above))) & (F.upper(_first(row)) != F.upper(_first(above)))
+        empty = F.forall(_values(row), blank)
+        borrowed = F.exists(_values(above), lambda v: ~blank(v)) & ~_first(row).rlike(DATE_OR_NUMBER)
+        joins = (F.size(done) > 0) & alike & (empty | borrowed)
+        return F.when(joins, _with_last(done, absorbed(above, row))).otherwise(F.concat(done, F.array(row)))
+
+    return F.concat(F.slice(rows, 1, 1), F.aggregate(_values(rows), F.array().cast("array<array<string>>"), step))
 
 
 def strip_lot_codes(rows: Column) -> Column:
     """Data rows without holding-period codes: an N behind a date makes way for the cells after it, a
     code on its own leaves an empty cell, a code behind a number goes."""
-    dated = r"(?i)\d{1,2}\s+(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)|(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\s+\d{1,2}|\d{4}"
-
     def row_of(row: Column) -> Column:
-        kept = F.filter(row, lambda c, i: ~((i > 0) & (F.upper(F.trim(c)) == "N") & F.coalesce(F.try_element_at(row, i).rlike(dated), F.lit(False))))
+        kept = F.filter(row, lambda c, i: ~((i > 0) & (F.upper(F.trim(c)) == "N") & F.coalesce(F.try_element_at(row, i).rlike(DATED), F.lit(False))))
         padded = F.concat(kept, F.array_repeat(F.lit(""), F.size(row) - F.size(kept)))
-        clean = lambda c: F.when(F.upper(F.trim(c)).isin(*LOT_CODES), "").otherwise(F.trim(F.regexp_replace(F.trim(c), r"(?i)(?<=[\d)])\s+(?:ST|LT|MT|N)\s*$", "")))
+        clean = lambda c: F.when(F.upper(F.trim(c)).isin(*LOT_CODES), "").otherwise(F.trim(F.regexp_replace(F.trim(c), CODE_BEHIND_NUMBER, "")))
         return F.transform(padded, lambda c, i: F.when(i == 0, c).otherwise(clean(c)))
 
     return F.transform(rows, lambda row, k: F.when(k == 0, row).otherwise(row_of(row)))
 
 
-def stacked_pairs(header: list[str]) -> list[tuple[int, str]]:
-    """Neighbouring columns that statements print one above the other, and of which kind."""
-    names = [h.strip().lower() for h in header]
-    kinds = (next((kind for one, two, kind in STACKED_PAIRS if one in a and two in b), None) for a, b in zip(names, names[1:], strict=False))
-    return [(at, kind) for at, kind in enumerate(kinds) if kind]
-
-
-def fix_stacked_pairs(rows: list[list[str]]) -> list[list[str]]:
-    """Values of stacked columns back under their headers; shifted totals back under market value."""
-    pairs = stacked_pairs(rows[0]) if len(rows) > 1 else []
-    if not pairs:
-        return rows
-    width, out = len(rows[0]), rows[:1]
-    market = next((i for i, h in enumerate(rows[0]) if "market" in h.lower() and "value" in h.lower()), 0)
-    for row in rows[1:]:
-        row = list(row)
-        if row and row[0].strip().upper().startswith("TOTAL"):
-            early = next((i for i in range(2, min(market, len(row))) if _CURRENCY.fullmatch(row[i].strip())), None)
-            if early is not None:
-                row[early:early] = [""] * (market - early)
-        row += [""] * (pairs[-1][0] + 3 - len(row))
-        for at, kind in pairs:
-            one, two, over = (c.strip() for c in row[at : at + 3])
-            if kind == "double" and one == "--" and not blank(two):
-                row[at] = ""
-            elif kind == "double" and two == "--" and not blank(over):
-                row[at + 1 : at + 3] = [over, ""]
-            elif kind == "single" and not blank(two):
-                row[at : at + 2] = [two if blank(one) else row[at], ""]
-        out.append(row[:width])
-    return out
-
-
-def _each(tables: DataFrame, repair: Callable[[list[list[str]]], list[list[str]]]) -> DataFrame:
-    """tables with their rows repaired one table at a time."""
-
-    def run(frames: Iterator) -> Iterator:
-        for frame in frames:
-            yield frame.assign(rows=[repair([list(r) for r in t]) for t in frame["rows"]])
-
-    return tables.mapInPandas(run, tables.schema)
+def stacked_pairs(header: Column) -> Column:
+    """Places (from 0) of neighbouring columns that statements print one above the other, and of which kind."""
+    names = F.transform(header, lambda h: F.lower(F.trim(h)))
+    kind = lambda a, b: F.coalesce(*(F.when(a.contains(one) & b.contains(two), k) for one, two, k in STACKED_PAIRS))
+    pairs = F.transform(names, lambda h, i: F.struct(i.alias("at"), kind(h, F.get(names, i + 1)).alias("kind")))
+    return F.filter(pairs, lambda p: p["kind"].isNotNull())
+
+
+def fix_stacked_pairs(rows: Column) -> Column:
+    """Values of stacked columns back under their headers; shifted totals back under market value.
+
+    Tables without such columns stay as they are. Per pair of places, in order: of a double pair the
+    second value moves left into a dash's place, or the dash before a value goes; of a single pair the
+    first column gets the one value there is."""
+    header = F.element_at(rows, 1)
+    pairs = stacked_pairs(header)
+    market = F.greatest(F.array_position(F.transform(header, lambda h: F.lower(h).contains("market") & F.lower(h).contains("value")), True) - 1, F.lit(0)).cast("int")
+    widest = F.element_at(pairs, -1)["at"] + 3
+    blanks = lambda n: F.array_repeat(F.lit(""), F.greatest(n, F.lit(0)).cast("int"))
+
+    def shifted(row: Column) -> Column:
+        early = F.array_position(F.transform(row, lambda c, i: (i >= 2) & (i < market) & F.trim(c).rlike(CURRENCY)), True).cast("int") - 1
+        moved = F.concat(F.slice(row, F.lit(1), early), blanks(market - early), F.slice(row, early + 1, F.size(row)))
+        return F.when(F.upper(_first(row)).startswith("TOTAL") & (early >= 0), moved).otherwise(row)
+
+    def placed(row: Column, pair: Column) -> Column:
+        at = pair["at"]
+        one, two, over = (F.trim(F.get(row, at + k)) for k in range(3))
+        dash_first = (pair["kind"] == "double") & (one == "--") & ~blank(two)
+        dash_second = (pair["kind"] == "double") & ~dash_first & (two == "--") & ~blank(over)
+        single = (pair["kind"] == "single") & ~blank(two)
+        new_one = F.when(dash_first, "").when(single & blank(one), two).otherwise(F.get(row, at))
+        new_two = F.when(dash_second, over).when(single, "").otherwise(F.get(row, at + 1))
+        new_over = F.when(dash_second, "").otherwise(F.get(row, at + 2))
+        return F.transform(row, lambda c, i: F.when(i == at, new_one).when(i == at + 1, new_two).when(i == at + 2, new_over).otherwise(c))
+
+    def fixed(row: Column) -> Column:
+        wide = F.concat(shifted(row), blanks(widest - F.size(shifted(row))))
+        return F.slice(F.aggregate(pairs, wide, placed), F.lit(1), F.size(header))
+
+    fixes = F.concat(F.slice(rows, 1, 1), F.transform(_values(rows), fixed))
+    return F.when((F.size(rows) > 1) & (F.size(pairs) > 0), fixes).otherwise(rows)
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
     """Model responses to repaired tables: split, outer pipes, continuations, split securities, codes,
     stacked columns, in this order."""
-    tables = split_blocks(responses).withColumn("rows", drop_pipe_columns(F.col("rows")))
-    tables = _each(tables, lambda rows: merge_split_securities(merge_continuations(rows)))
-    return _each(tables.withColumn("rows", strip_lot_codes(F.col("rows"))), fix_stacked_pairs)
+    tables = split_blocks(responses)
+    for repair in (drop_pipe_columns, merge_continuations, merge_split_securities, strip_lot_codes, fix_stacked_pairs):
+        tables = tables.withColumn("rows", repair(F.col("rows")))
+    return tables
 
 
 # -- relations between tables

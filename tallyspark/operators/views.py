@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import SENTINEL
-from .ranking import with_ntile, with_rank
+from .ranking import with_ntile, with_rank, with_ranks
 
 def _known(name: str) -> Column:
     """The amount, null where it is the sentinel."""
@@ -87,8 +87,7 @@ def _costed(holdings: DataFrame) -> DataFrame:
 
 
 def return_on_cost_by_holding(holdings: DataFrame) -> DataFrame:
-    ranked = with_rank(_costed(holdings), "return_pct", "rank_overall")
-    ranked = with_rank(ranked, "return_pct", "rank_within_class", within=("asset_class",))  # of classes there are few
+    ranked = with_ranks(_costed(holdings), "return_pct", {"rank_overall": (), "rank_within_class": ("asset_class",)})
     amounts = _position("quantity", "cost_basis", "market_value", "unrealized_gl")
     out = ranked.select("symbol", "name", "asset_class", "account_type", "account", *amounts, "return_pct", "rank_within_class", "rank_overall")
     return out.orderBy(F.asc_nulls_last("asset_class"), "rank_within_class")

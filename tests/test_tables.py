@@ -14,6 +14,10 @@ def expression(spark, rows, f):
     return spark.createDataFrame([(rows,)], "rows array<array<string>>").select(f(F.col("rows"))).first()[0]
 
 
+def run(spark, repair, rows):
+    return [list(r) for r in expression(spark, rows, repair)]
+
+
 def response(*tables, fence=False):
     blocks = [f"===TABLE_START===\n{t}\n===TABLE_END===" if not fence else f"===TABLE_START===\n```\n{t}\n```\n===TABLE_END===" for t in tables]
     return "\n".join(blocks)
@@ -29,20 +33,20 @@ def test_blocks(spark):
     assert expression(spark, [["", "a"], [""]], T.drop_pipe_columns) == [["", "a"], [""]]
 
 
-def test_continuations():
+def test_continuations(spark):
     rows = [["Description", "Qty", "Value"], ["lone first row", "", ""], ["ACME", "--", ""], ["CUSIP: 123", "5", "7"], ["ISIN: X", "9"], ["more words", "", ""], ["BOND FUNDS", "", ""], ["BETA", "1", "2"], ["Symbol: B"]]
-    assert T.merge_continuations(rows) == [["Description", "Qty", "Value"], ["lone first row ACME CUSIP: 123"[:14], "", ""], ["ACME CUSIP: 123 ISIN: X more words", "5", "7"], ["BOND FUNDS", "", ""], ["BETA Symbol: B", "1", "2"]]
-    assert T.merge_continuations([["H"]]) == [["H"]]
+    assert run(spark, T.merge_continuations, rows) == [["Description", "Qty", "Value"], ["lone first row ACME CUSIP: 123"[:14], "", ""], ["ACME CUSIP: 123 ISIN: X more words", "5", "7"], ["BOND FUNDS", "", ""], ["BETA Symbol: B", "1", "2"]]
+    assert run(spark, T.merge_continuations, [["H"]]) == [["H"]]
 
 
-def test_split_securities():
+def test_split_securities(spark):
     head = ["D", "Q", "V"]
-    assert T.merge_split_securities([head, ["ACME CORP NEW SHS", "1", "2"], ["ACME CORP NEW CLASS A", "", "--"]]) == [head, ["ACME CORP NEW SHS CLASS A", "1", "2"]]
-    assert T.merge_split_securities([head, ["ACME CORP NEW SHS", "1", "2"], ["ACME CORP NEW CLASS A", "8", "9"]]) == [head, ["ACME CORP NEW SHS CLASS A", "1", "2"]]
+    assert run(spark, T.merge_split_securities, [head, ["ACME CORP NEW SHS", "1", "2"], ["ACME CORP NEW CLASS A", "", "--"]]) == [head, ["ACME CORP NEW SHS CLASS A", "1", "2"]]
+    assert run(spark, T.merge_split_securities, [head, ["ACME CORP NEW SHS", "1", "2"], ["ACME CORP NEW CLASS A", "8", "9"]]) == [head, ["ACME CORP NEW SHS CLASS A", "1", "2"]]
     same = [head, ["ACME CORP", "1", "2"], ["acme corp", "3", "4"]]
-    assert T.merge_split_securities(same) == same
+    assert run(spark, T.merge_split_securities, same) == same
     dated = [head, ["12 Feb note x", "1", "2"], ["12 Feb note y", "3", "4"]]
-    assert T.merge_split_securities(dated) == dated
+    assert run(spark, T.merge_split_securities, dated) == dated
 
 
 def test_lot_codes(spark):
@@ -50,13 +54,13 @@ def test_lot_codes(spark):
     assert expression(spark, rows, T.strip_lot_codes) == [rows[0], ["A", "03 Feb 2021", "5.00", ""], ["B", "x", "", "7"], ["N", "(1)", "", "text N"]]
 
 
-def test_stacked_pairs():
+def test_stacked_pairs(spark):
     double = ["D", "Est. Accrued Inc.", "Est. Annual Inc."]
-    assert T.fix_stacked_pairs([double, ["a", "--", "5"], ["b", "3", "--", "4"], ["c", "1", "2"]]) == [double, ["a", "", "5"], ["b", "3", "4"], ["c", "1", "2"]]
+    assert run(spark, T.fix_stacked_pairs, [double, ["a", "--", "5"], ["b", "3", "--", "4"], ["c", "1", "2"]]) == [double, ["a", "", "5"], ["b", "3", "4"], ["c", "1", "2"]]
     single = ["D", "Qty", "Price", "Ending Market Value", "Accrued Interest (AI)", "Cost"]
-    got = T.fix_stacked_pairs([single, ["a", "1", "2", "3", "4", "5"], ["b", "1", "2", "--", "4", "5"], ["Total x", "", "$5.00", "", "", ""]])
+    got = run(spark, T.fix_stacked_pairs, [single, ["a", "1", "2", "3", "4", "5"], ["b", "1", "2", "--", "4", "5"], ["Total x", "", "$5.00", "", "", ""]])
     assert got[1:] == [["a", "1", "2", "3", "", "5"], ["b", "1", "2", "4", "", "5"], ["Total x", "", "", "$5.00", "", ""]]
-    assert T.fix_stacked_pairs([["D", "Q"], ["a", "1"]]) == [["D", "Q"], ["a", "1"]]
+    assert run(spark, T.fix_stacked_pairs, [["D", "Q"], ["a", "1"]]) == [["D", "Q"], ["a", "1"]]
 
 
 def fingerprint(row):
