@@ -1,21 +1,27 @@
-"""Benchmark decontamination with a BM25 index of the test items and block-max pruning.
+"""Benchmark decontamination with a BM25 index of the test items and block-max WAND.
 
 Every training passage (a window of words, long enough that any item fits whole into one) is a query.
 Impacts are divided by the item's score for its own text, so a score is the share of an item that the
-passage covers. Passages whose terms' best impacts can't reach THRESHOLD are skipped, then blocks of
-items whose maxima can't; the rest is scored exactly, and every item at or above THRESHOLD is verified:
-at least OVERLAP of the word trigrams of its question and of its answer must be in the passage. The
-answer is an item's last sentence, or its last third where it has just one.
-
-Null or empty texts and items match nothing. Rows are independent: repeated rows each give their own
-result, and equal items are each reported. The index is broadcast in shards of at most SHARD_BYTES of
-item text; more items mean more shards.
+passage covers. Passages whose terms' best impacts can't reach THRESHOLD are skipped. For the others the
+terms' postings are walked in item order: the pivot is the first item at which the best impacts of the
+terms before it reach THRESHOLD; where the maxima of the blocks around the pivot can't, all terms leap
+behind the nearest block's end; else the pivot is scored exactly. Every item at or above THRESHOLD is
+verified: at least OVERLAP of the word trigrams of its question and of its answer must be in the passage.
+The answer is an item's last sentence, or its last third where it has just one.
+
+Item counts, document frequencies, mean and greatest length are those of the whole benchmark. The index is
+broadcast in shards of at most SHARD_BYTES of item text; more items mean more shards, and the same scores.
+
+Null or empty texts and items match nothing. Very long texts are many passages. Of an item's passages with
+equal scores the first is reported. Rows are independent: repeated rows each give their own result, and
+equal items are each reported. Empty tables on either side give no rows. Only ids and texts are read.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,16 +47,29 @@ def terms(text: str) -> list[str]:
     return [t for t in map(term, text.split()) if t]
 
 
+class Statistics:
+    """Of the whole benchmark: items, their mean and greatest length, and in how many items terms are."""
+
+    def __init__(self, n: int, mean: float, longest: int, df: dict[str, int]):
+        self.n, self.mean, self.longest, self.df = n, mean, longest, df
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Statistics:
+        split = [w for w in map(terms, texts) if w]
+        sizes = [len(w) for w in split]
+        return cls(len(split), sum(sizes) / max(1, len(split)), max(sizes, default=1), Counter(t for w in split for t in set(w)))
+
+
 class Index:
     """Postings with normalised impacts, their maxima per term and per block of items."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], statistics: Statistics | None = None):
         items = [(i, t) for i, t in items if t and terms(t)]
+        statistics = statistics or Statistics.of([t for _, t in items])
         self.ids = [i for i, _ in items]
         split = [terms(t) for _, t in items]
         self.vocabulary = {t: k for k, t in enumerate(dict.fromkeys(t for w in split for t in w))}
-        n, mean = len(items), sum(map(len, split)) / max(1, len(items))
-        df = Counter(t for w in split for t in set(w))
+        n, mean, df = statistics.n, statistics.mean, statistics.df
         postings: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
         for k, w in enumerate(split):
             impact = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(w) / mean)) for t, c in Counter(w).items()}
@@ -60,16 +79,13 @@ class Index:
         self.items = [np.array([k for k, _ in p], np.int64) for p in postings]
         self.impacts = [np.array([x for _, x in p]) for p in postings]
         self.best = np.array([*(x.max() for x in self.impacts), 0.0])  # the last: words of no item
-        self.block_best = []
-        for at, x in zip(self.items, self.impacts, strict=True):
-            blocks, where = np.unique(at // BLOCK, return_inverse=True)
-            top = np.zeros(len(blocks))
-            np.maximum.at(top, where, x)
-            self.block_best.append((blocks, top))
+        #: per term the last item of each block of BLOCK postings, and the block's best impact
+        self.ends = [x[np.minimum(np.arange(0, len(x), BLOCK) + BLOCK, len(x)) - 1].tolist() for x in self.items]
+        self.tops = [np.maximum.reduceat(x, np.arange(0, len(x), BLOCK)).tolist() for x in self.impacts]
+        self.items, self.impacts = [x.tolist() for x in self.items], [x.tolist() for x in self.impacts]
         self.parts = [tuple(self.grams(np.array([self.vocabulary[t] for t in terms(p)], np.int64)) for p in _question_answer(t)) for _, t in items]
-        longest = max(map(len, split), default=1)
-        self.stride = max(32, longest)
-        self.passage = self.stride + longest
+        self.stride = max(32, statistics.longest)
+        self.passage = self.stride + statistics.longest
 
     def grams(self, ids: np.ndarray) -> tuple[int, np.ndarray]:
         """Length and codes of the n-grams, n = 3 or the number of words if smaller."""
@@ -105,22 +121,51 @@ class Index:
         found: dict[int, tuple] = {}
         for k in np.flatnonzero(bound[ends] - bound[starts] >= THRESHOLD - 1e-9).tolist():
             passage = ids[starts[k] : ends[k]]
-            distinct = np.unique(passage[passage >= 0]).tolist()
-            blocks = np.concatenate([self.block_best[t][0] for t in distinct])
-            tops = np.bincount(blocks, np.concatenate([self.block_best[t][1] for t in distinct]))
-            open_blocks = tops >= THRESHOLD - 1e-9
-            if not open_blocks.any():
-                continue
-            at, impact = np.concatenate([self.items[t] for t in distinct]), np.concatenate([self.impacts[t] for t in distinct])
-            inside = open_blocks[at // BLOCK]
-            scores = np.bincount(at[inside], impact[inside])
-            for item in np.flatnonzero(scores >= THRESHOLD - 1e-9).tolist():
+            for item, score in self.reaching(np.unique(passage[passage >= 0]).tolist()):
                 shares = [np.isin(codes, self.codes(passage, n)).mean() if n else 1.0 for n, codes in self.parts[item]]
-                if min(shares) >= OVERLAP and (item not in found or scores[item] > found[item][1]):
-                    found[item] = (item, float(scores[item]), float(shares[0]), float(shares[1]), int(starts[k]))
+                if min(shares) >= OVERLAP and (item not in found or score > found[item][1]):
+                    found[item] = (item, score, float(shares[0]), float(shares[1]), int(starts[k]))
         return list(found.values())
 
 
+    def reaching(self, query: list[int]) -> list[tuple[int, float]]:
+        """Items, in order, whose score for the terms of ``query`` reaches THRESHOLD, by block-max WAND."""
+        least, out = THRESHOLD - 1e-9, []
+        at = dict.fromkeys(query, 0)  # each term's place in its postings
+        order = sorted((self.items[t][0], t) for t in query)  # by the item that each term is at
+        while order:
+            reach, pivot = 0.0, 0
+            while pivot < len(order) and (reach := reach + self.best[order[pivot][1]]) < least:
+                pivot += 1
+            if pivot == len(order):
+                break
+            item = order[pivot][0]
+            while pivot + 1 < len(order) and order[pivot + 1][0] == item:
+                pivot += 1
+            some, tops, leap = [t for _, t in order[: pivot + 1]], 0.0, order[pivot + 1][0] if pivot + 1 < len(order) else len(self.ids)
+            for t in some:
+                block = bisect_left(self.ends[t], item)
+                if block < len(self.ends[t]):
+                    tops += self.tops[t][block]
+                    leap = min(leap, self.ends[t][block] + 1)
+            if tops >= least:
+                score = 0.0
+                for t in some:
+                    place = bisect_left(self.items[t], item, at[t])
+                    if place < len(self.items[t]) and self.items[t][place] == item:
+                        score += self.impacts[t][place]
+                if score >= least:
+                    out.append((item, score))
+                leap = item + 1
+            rest = order[pivot + 1 :]
+            for t in some:
+                at[t] = bisect_left(self.items[t], leap, at[t])
+                if at[t] < len(self.items[t]):
+                    rest.append((self.items[t][at[t]], t))
+            order = sorted(rest)
+        return out
+
+
 def _question_answer(text: str) -> tuple[str, str]:
     parts = [p for p in _END.split(text.strip()) if terms(p)]
     if len(parts) > 1:
@@ -129,19 +174,35 @@ def _question_answer(text: str) -> tuple[str, str]:
     return " ".join(words[: -(len(words) // 3) or None]), " ".join(words[len(words) - len(words) // 3 :])
 
 
-def _shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    """The test items, in shards that are small enough to broadcast."""
+def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in common.slices(batches):
+        split = [terms(t) for t in batch.column("t").to_pylist()]
+        distinct = [list(set(w)) for w in split]
+        yield pa.RecordBatch.from_arrays([batch.column("shard"), pa.array(map(len, split), pa.int64()), pa.array(distinct, pa.list_(pa.string()))], ["shard", "size", "terms"])
+
+
+def _shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[list[tuple[int, str]], Statistics]]:
+    """The test items, in shards that are small enough to broadcast, with the whole benchmark's statistics of
+    their terms."""
     items = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t is not null")
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-size // SHARD_BYTES) or 1
+    items = items.withColumn("shard", F.pmod(F.xxhash64("i", "t"), F.lit(n)).cast("int"))
+    described = common.stored(items.select("shard", "t").mapInArrow(_terms_of, "shard int, size bigint, terms array<string>").where("size > 0"), "benchmark-terms")
+    whole = described.agg(F.count("*").alias("n"), F.avg("size").alias("mean"), F.max("size").alias("longest")).first()
+    by_term = described.select("shard", F.explode("terms").alias("term"))
+    df = common.stored(by_term.groupBy("term").agg(F.count("*").alias("df"), F.collect_set("shard").alias("shards")), "benchmark-df")
     for k in range(n):
-        yield [(r.i, r.t) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).orderBy("i", "t").collect()]
+        of = {r.term: r.df for r in df.where(F.array_contains("shards", k)).select("term", "df").collect()}  # a shard's terms
+        rows = [(r.i, r.t) for r in items.where(F.col("shard") == k).orderBy("i", "t").collect()]
+        yield rows, Statistics(whole.n, whole.mean or 1.0, whole.longest or 1, of)
+    common.release(described, df)
 
 
 def _index_of(shared) -> Index:
     """The worker's index for a broadcast shard."""
     if getattr(_index_of, "held", (None,))[0] != shared.id:
-        _index_of.held = (shared.id, Index(shared.rows.value))
+        _index_of.held = (shared.id, Index(*shared.rows.value))
     return _index_of.held[1]
 
 

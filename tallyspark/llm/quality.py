@@ -1,15 +1,18 @@
 """Document quality by nearest-neighbour voting over latent-semantic vectors.
 
-Each text becomes a vector of term counts: the shapes of its words, short words, and how much repeats.
-Counts are weighted by inverse document frequency over all documents and projected on the leading
-singular vectors of a labelled sample. Every document's cosine with every sample vector is computed
-exactly, in blocks; its NEIGHBOURS nearest vote with their label, weighted by similarity and by the
-share of their label among all labelled rows.
+Each text becomes a vector of term counts: its words, hashed whole, at any length; the shapes of its words;
+short words; and how much repeats. Counts are weighted by inverse document frequency over all documents and
+projected on the leading singular vectors of a labelled sample. Every document's cosine with every sample
+vector is computed exactly, in blocks; its NEIGHBOURS nearest vote with their label, weighted by similarity
+and by the share of their label among all labelled rows.
 
 The sample has at most SAMPLE labelled documents of each label, the first by a hash of their id; that
-bound, not the data, limits what is broadcast. Null and empty texts are vectors like any other: they
-have a term of their own. Rows are independent, so repeated rows get equal scores. Without any labelled
-row every score is 0.5. Of several labels of a document the smallest counts.
+bound, not the data, limits what is broadcast. Of sample documents as near as the last neighbour, which
+count is left to numpy, alike for equal vectors. Null and empty texts are vectors like any other: they
+have a term of their own. Very long texts are vectors of the same width. Rows are independent, so repeated
+rows get equal scores, and null ids stay. Without any labelled row every score is 0.5; an empty table gives an
+empty result. Of several labels of a document the smallest counts. Only id and text are read; drop_poor
+keeps all columns, of which none may be named __vector.
 """
 
 from __future__ import annotations
@@ -29,7 +32,10 @@ from .pieces import words
 
 SAMPLE, NEIGHBOURS, DIMENSIONS, ACCEPT = 1500, 25, 32, 0.7
 SHAPES, SHORT, OTHER = 256, 192, 16
-WIDTH = SHAPES + SHORT + OTHER
+DENSE, WORDS = SHAPES + SHORT + OTHER, 2048
+WIDTH = DENSE + WORDS
+#: What a hashed word counts beside a shape.
+WORD_WEIGHT = 0.3
 _SHAPE = str.maketrans({**{chr(c): "A" for c in range(65, 91)}, **{chr(c): "a" for c in range(97, 123)}, **{chr(c): "9" for c in range(48, 58)}})
 
 
@@ -37,19 +43,15 @@ def _bucket(text: str, n: int) -> int:
     return zlib.crc32(text.encode()) % n
 
 
-def _terms(word: str) -> tuple[int, ...]:
-    """The terms of a word: its shape (runs of capitals, small letters, digits and each mark, folded)
-    and, where short, the word itself."""
-    if len(word) > 200:
-        return (_bucket("very long", SHAPES),)
-    shape = []
+def _shape(word: str) -> str:
+    """Runs of capitals, small letters, digits and each mark."""
+    out = []
     for c in word.translate(_SHAPE):
         if not c.isascii() and c.isalpha():
             c = "A" if c.isupper() else "a"
-        if not shape or shape[-1] != c:
-            shape.append(c)
-    out = (_bucket("".join(shape[:6]), SHAPES),)
-    return (*out, SHAPES + _bucket(word.lower(), SHORT)) if len(word) <= 4 else out
+        if not out or out[-1] != c:
+            out.append(c)
+    return "".join(out)
 
 
 def vectors(texts: pa.Array) -> np.ndarray:
@@ -59,11 +61,13 @@ def vectors(texts: pa.Array) -> np.ndarray:
         return np.zeros((0, WIDTH), np.float32)
     texts = pc.fill_null(texts, "")
     distinct, codes, offsets = words(texts)
-    terms = [_terms(w) for w in distinct]
     total, owner = np.diff(offsets), np.repeat(np.arange(n), np.diff(offsets))
-    shape = np.array([t[0] for t in terms], np.int64)[codes]
-    short = np.array([t[1] if len(t) > 1 else -1 for t in terms], np.int64)[codes]
-    where = np.concatenate([owner * WIDTH + shape, (owner * WIDTH + short)[short >= 0]])
+    of = lambda terms: np.array(terms, np.int64)[codes] if terms else codes
+    shape = of([_bucket(_shape(w), SHAPES) for w in distinct])
+    short = of([SHAPES + _bucket(w.lower(), SHORT) if len(w) <= 4 else -1 for w in distinct])
+    whole = of([DENSE + _bucket(w.lower(), WORDS) for w in distinct])
+    base = owner * WIDTH
+    where = np.concatenate([base + shape, (base + short)[short >= 0], base + whole])
     out = np.bincount(where, minlength=n * WIDTH).reshape(n, WIDTH).astype(np.float32)
 
     pairs, repeats = np.unique(owner * len(distinct) + codes, return_counts=True)
@@ -78,20 +82,21 @@ def vectors(texts: pa.Array) -> np.ndarray:
     out[:, at + 3], out[:, at + 4] = most, total == 0
     out[:, at + 5] = pc.utf8_length(texts).to_numpy() / 8
     out = np.log1p(out * (200 / (size + 10))[:, None].astype(np.float32))
+    out[:, DENSE:] *= WORD_WEIGHT
     bits = np.minimum(8, np.ceil(np.log2(total + 1)).astype(int))
     out[np.arange(n), at + 6 + bits] = 1
     return out.astype(np.float16)
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in common.slices(batches, 2000):
+    for batch in common.slices(batches, 1000):
         rows = [v.tobytes() for v in vectors(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "vector"])
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen, n = np.zeros(WIDTH, np.int64), 0
-    for batch in batches:
+    for batch in common.slices(batches, 1000):
         if batch.num_rows:
             seen += (_dense(batch.column("vector")) > 0).sum(axis=0)
             n += batch.num_rows
@@ -107,8 +112,11 @@ class Model:
 
     def __init__(self, idf: np.ndarray, sample: np.ndarray, labels: np.ndarray, share: dict[int, float]):
         weighted = sample * idf
-        _, _, axes = np.linalg.svd(weighted, full_matrices=False)
-        self.axes = (axes[:DIMENSIONS].T * idf[:, None]).astype(np.float32)
+        axes = np.random.default_rng(11).normal(size=(weighted.shape[1], 2 * DIMENSIONS)).astype(np.float32)
+        for _ in range(8):  # subspace iteration
+            axes, _ = np.linalg.qr(weighted.T @ (weighted @ axes))
+        _, _, turn = np.linalg.svd(weighted @ axes, full_matrices=False)
+        self.axes = ((axes @ turn.T)[:, :DIMENSIONS] * idf[:, None]).astype(np.float32)
         self.points, self.labels = self.latent(sample), labels.astype(np.float32)
         counts = {y: max(1, int((labels == y).sum())) for y in (0, 1)}
         self.weight = np.array([share.get(int(y), 0) / counts[int(y)] for y in labels], np.float32) * len(labels)
@@ -164,7 +172,7 @@ def score(vectors: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in common.slices(batches, 1000):
             values = np.full(batch.num_rows, 0.5) if own is None else own.scores(_dense(batch.column("vector"))).astype(float)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.float64())], ["doc_id", "score"])
 
@@ -178,7 +186,7 @@ def drop_poor(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT, id_col
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, 2000):
+        for batch in common.slices(batches, 1000):
             rows = pa.array([v.tobytes() for v in vectors(batch.column(text_col))], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, rows], [*batch.schema.names, "__vector"])
 
@@ -187,7 +195,7 @@ def drop_poor(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT, id_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
-        for batch in common.slices(batches, 2000):
+        for batch in common.slices(batches, 1000):
             if own is not None and batch.num_rows:
                 batch = batch.filter(pa.array(own.scores(_dense(batch.column("__vector"))) >= accept))
             yield batch.drop_columns(["__vector"])

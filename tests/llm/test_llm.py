@@ -371,6 +371,13 @@ def test_quality_scores_are_exact_votes():
         assert got == pytest.approx((vote * model.labels[near]).sum() / vote.sum(), abs=1e-4)
 
 
+def test_words_of_any_length_tell_texts_apart():
+    one, two = quality.vectors(pa.array(["magnificent laboratory discovery published yesterday", "abominable gibberish advertising clickbait worthless"]))
+    assert (one[: quality.SHAPES] == two[: quality.SHAPES]).all() and (one != two).any()
+    one, two = quality.vectors(pa.array(["x" * 300 + "a", "x" * 300 + "b"]))
+    assert (one != two).any()
+
+
 def test_quality_odd_tables(spark, odd_texts):
     docs, none = some(spark, odd_texts), spark.createDataFrame([], "doc_id bigint, label int")
     vectors = quality.vectorize(docs)
@@ -456,6 +463,15 @@ def test_pruned_search_equals_full_scoring():
         assert {f[0] for f in index.search(ids)} == want
 
 
+def test_shards_give_equal_scores(spark, sf, monkeypatch):
+    docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    whole = sorted(decontam.leaks(docs, items).collect())
+    monkeypatch.setattr(decontam, "SHARD_BYTES", items.agg(F.sum(F.octet_length("text"))).first()[0] // 4)
+    parts = sorted(decontam.leaks(docs, items).collect())
+    assert whole and [r[:2] for r in parts] == [r[:2] for r in whole]
+    assert np.allclose([r[2:] for r in parts], [r[2:] for r in whole])
+
+
 def test_decontamination_on_table(spark, sf):
     """Every document with an item's whole text is found, no other."""
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
