@@ -12,7 +12,7 @@ count is left to numpy, alike for equal vectors. Null and empty texts are vector
 have a term of their own. Very long texts are vectors of the same width. Rows are independent, so repeated
 rows get equal scores, and null ids stay. Without any labelled row every score is 0.5; an empty table gives an
 empty result. Of several labels of a document the smallest counts. Only id and text are read; drop_poor
-keeps all columns, of which none may be named __vector.
+keeps all columns.
 """
 
 from __future__ import annotations
@@ -91,7 +91,7 @@ def vectors(texts: pa.Array) -> np.ndarray:
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in common.slices(batches, 1000):
         rows = [v.tobytes() for v in vectors(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "vector"])
+        yield batch.drop_columns(["text"]).append_column("vector", pa.array(rows, pa.binary()))
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,46 +158,42 @@ def fit(vectors: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model |
     return Model(idf, dense, np.array([r.label for r in rows]), {int(y): c / sum(share.values()) for y, c in share.items()})
 
 
-def vectorize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and vector (half floats) of whole texts, written once for fitting and scoring."""
-    docs = common.keyed(docs, id_col, text_col)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return common.stored(docs.mapInArrow(_vectors, f"doc_id {kind}, vector binary"), "quality-vectors")
+def vectorize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``keep`` and vector (half floats) of whole texts, written once for fitting and scoring."""
+    docs = docs.select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("text"))
+    schema = T.StructType([*docs.drop("text").schema.fields, T.StructField("vector", T.BinaryType())])
+    return common.stored(docs.mapInArrow(_vectors, schema), "quality-vectors")
 
 
-def score(vectors: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id and score of every vector."""
-    kind = vectors.schema["doc_id"].dataType.simpleString()
+def score(vectors: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``keep`` and score of every vector."""
+    vectors = vectors.select("doc_id", *keep, "vector")
+    schema = T.StructType([*vectors.drop("vector").schema.fields, T.StructField("score", T.DoubleType())])
     shared = vectors.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in common.slices(batches, 1000):
             values = np.full(batch.num_rows, 0.5) if own is None else own.scores(_dense(batch.column("vector"))).astype(float)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.float64())], ["doc_id", "score"])
+            yield batch.drop_columns(["vector"]).append_column("score", pa.array(values, pa.float64()))
 
-    return vectors.mapInArrow(run, f"doc_id {kind}, score double")
+    return vectors.mapInArrow(run, schema)
 
 
 def drop_poor(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of docs, with all their columns, whose score reaches ``accept``.
 
-    The rows are staged with their vectors, so no text is read twice and nothing is joined back.
+    Vectors are computed and scored once; what is rejected is told by 96 bits of a hash of id and text, and
+    leaves docs by a join that shuffles no text while rejected rows are few enough to broadcast.
     """
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, 1000):
-            rows = pa.array([v.tobytes() for v in vectors(batch.column(text_col))], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, rows], [*batch.schema.names, "__vector"])
-
-    staged = common.stored(docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField("__vector", T.BinaryType())])), "quality-staged")
-    model = docs.sparkSession.sparkContext.broadcast(fit(staged.select(F.col(id_col).alias("doc_id"), F.col("__vector").alias("vector")), labels))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model.value
-        for batch in common.slices(batches, 1000):
-            if own is not None and batch.num_rows:
-                batch = batch.filter(pa.array(own.scores(_dense(batch.column("__vector"))) >= accept))
-            yield batch.drop_columns(["__vector"])
-
-    return staged.mapInArrow(run, docs.schema)
+    one, two = F.xxhash64(F.col(id_col), F.col(text_col)), F.crc32(F.coalesce(F.col(text_col), F.lit("")))
+    keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), one.alias("one"), two.alias("two"))
+    named = vectorize(keyed, keep=("one", "two"))
+    model = fit(named.select("doc_id", "vector"), labels)
+    if model is None:
+        common.release(named)
+        return docs
+    rejected = score(named, model, keep=("one", "two")).where(F.col("score") < accept)
+    rejected = common.stored(rejected.select(F.col("one").alias("__one"), F.col("two").alias("__two")).distinct(), "quality-rejected")
+    common.release(named)
+    return docs.join(common.small(rejected), (one == F.col("__one")) & (two == F.col("__two")), "left_anti")

@@ -287,7 +287,14 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     A column of docs that is named removed_chars is replaced.
     """
-    kept = kept_ranges(common.keyed(docs, id_col, text_col))
+    found = kept_ranges(common.keyed(docs, id_col, text_col))
+    ids = common.small(common.stored(found.select(F.col("doc_id").alias("__id")).distinct(), "span-ids"))
+    changed = docs.join(ids, docs[id_col] == F.col("__id"), "left_semi")  # only their texts are shuffled
+    rest = docs.join(ids, docs[id_col] == F.col("__id"), "left_anti")
+    return _stripped(changed, found, id_col, text_col).unionByName(rest.drop("removed_chars").withColumn("removed_chars", F.lit(0).cast("bigint")))
+
+
+def _stripped(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kept = kept.select(F.col("doc_id").alias("__doc"), F.col("row").alias("__row"), F.arrays_zip("starts", "sizes").alias("__kept"))
     row = F.crc32(F.coalesce(docs[text_col], F.lit("")))
     joined = docs.join(kept, (docs[id_col] == F.col("__doc")) & (row == F.col("__row")), "left")
