@@ -455,3 +455,54 @@ def report_titles(spark, sf_dir):
 
     lines = issue_lines(validate.record_issues(testdata_holdings(spark, sf_dir))).where("line not like '- %'")
     return lines.select(F.regexp_extract("line", r"^(.*) \((\d+)\)$", 1).alias("title"), F.regexp_extract("line", r"^(.*) \((\d+)\)$", 2).cast("bigint").alias("n"))
+
+
+# -- repairs within a table: a part is a document with one table
+
+
+def _repaired(spark: SparkSession, sf_dir: str, repair: Callable, *rows: tuple) -> DataFrame:
+    """p_partkey, row_idx, cells (joined) of a table with these rows, repaired."""
+    cells = F.array(*(F.array(*(F.lit(c) if isinstance(c, str) else c for c in row)) for row in rows))
+    found = table(spark, sf_dir, "part").select("p_partkey", F.posexplode(repair(cells)).alias("row_idx", "row"))
+    return found.select("p_partkey", "row_idx", F.array_join("row", "|").alias("cells"))
+
+
+def _rows_oracle(*rows: str) -> str:
+    return " UNION ALL ".join(f"SELECT p_partkey, CAST({k} AS INTEGER) AS row_idx, {row} AS cells FROM part" for k, row in enumerate(rows))
+
+
+_SIZE = "CAST(p_size AS VARCHAR)"
+
+
+@query("t3_pipe_columns", _rows_oracle("'Name|Size'", f"concat(p_name, '|', {_SIZE})"))
+def pipe_columns(spark, sf_dir):
+    return _repaired(spark, sf_dir, tables.drop_pipe_columns, ("", "Name", "Size", ""), ("", F.col("p_name"), F.col("p_size").cast("string"), ""))
+
+
+@query("t4_continuations", _rows_oracle("'Description|Qty|Value'", f"concat(p_brand, ' CUSIP: ', p_partkey, ' ISIN: X more words|', {_SIZE}, '|7')", "'BOND FUNDS||'", f"concat(p_type, '|1|', {_SIZE})"))
+def continuations(spark, sf_dir):
+    size = F.col("p_size").cast("string")
+    return _repaired(spark, sf_dir, tables.merge_continuations, ("Description", "Qty", "Value"), (F.col("p_brand"), "--", ""), (F.concat(F.lit("CUSIP: "), F.col("p_partkey").cast("string")), size, "7"), ("ISIN: X", "9"), ("more words", "", ""), ("BOND FUNDS", "", ""), (F.col("p_type"), "1", size))
+
+
+@query("t5_split_securities", _rows_oracle("'D|Q|V'", "concat('ACME CORP NEW ', p_brand, ' CLASS A|1|2')", "concat('BETA ', p_brand, '|3|4')"))
+def split_securities(spark, sf_dir):
+    return _repaired(spark, sf_dir, tables.merge_split_securities, ("D", "Q", "V"), (F.concat(F.lit("ACME CORP NEW "), F.col("p_brand")), "1", "2"), ("ACME CORP NEW CLASS A", "", "--"), (F.concat(F.lit("BETA "), F.col("p_brand")), "3", "4"))
+
+
+@query("t6_lot_codes", _rows_oracle("'D|Date|N|V'", f"concat(p_brand, '|03 Feb 2021|', {_SIZE}, '|')", f"concat(p_brand, '|x||', {_SIZE})"))
+def lot_codes(spark, sf_dir):
+    size = F.col("p_size").cast("string")
+    return _repaired(spark, sf_dir, tables.strip_lot_codes, ("D", "Date", "N", "V"), (F.col("p_brand"), "03 Feb 2021", "N", size), (F.col("p_brand"), "x", "ST", F.concat(size, F.lit(" LT"))))
+
+
+@query("t7_stacked_pairs", _rows_oracle("'D|Est. Accrued Inc.|Est. Annual Inc.'", f"concat(p_brand, '||', {_SIZE})", f"concat(p_brand, '|3|', {_SIZE})", f"concat(p_brand, '|1|', {_SIZE})"))
+def stacked_pairs(spark, sf_dir):
+    size, name = F.col("p_size").cast("string"), F.col("p_brand")
+    return _repaired(spark, sf_dir, tables.fix_stacked_pairs, ("D", "Est. Accrued Inc.", "Est. Annual Inc."), (name, "--", size), (name, "3", "--", size), (name, "1", size))
+
+
+@query("i1_extraction_failures", "SELECT CAST(page_id AS VARCHAR) AS doc_id, 'extraction_failures' AS category, concat('Pages ', page_id, '-', page_id + 6, ' could not be extracted') AS message FROM pages")
+def extraction_failures(spark, sf_dir):
+    failed = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc_id"), F.concat_ws("-", "page_id", F.col("page_id") + 6).alias("page_range"))
+    return validate.extraction_failures(failed).select("doc_id", "category", "message")
