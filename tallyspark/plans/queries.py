@@ -506,3 +506,27 @@ def stacked_pairs(spark, sf_dir):
 def extraction_failures(spark, sf_dir):
     failed = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc_id"), F.concat_ws("-", "page_id", F.col("page_id") + 6).alias("page_range"))
     return validate.extraction_failures(failed).select("doc_id", "category", "message")
+
+
+@query("t10_overlap", "SELECT p_partkey AS doc_id, CAST(0 AS INTEGER) AS table_idx, concat('A|a ', p_partkey, '|b ', p_partkey, '|c ', p_partkey, '|d ', p_partkey) AS names FROM part")
+def overlap(spark, sf_dir):
+    """Two tables of a part under one header; the second begins with the first's last two rows."""
+    row = lambda name: F.array(F.concat_ws(" ", F.lit(name), "p_partkey"), F.col("p_size").cast("string"))
+    head = F.array(F.lit("A"), F.lit("B"))
+    part = table(spark, sf_dir, "part")
+    both = [part.select(F.col("p_partkey").alias("doc_id"), F.lit(k).alias("table_idx"), F.array(head, *map(row, names)).alias("rows")) for k, names in enumerate(("abc", "bcd"))]
+    merged = tables.merge_shared_headers(both[0].unionByName(both[1]))
+    return merged.select("doc_id", "table_idx", F.array_join(F.transform("rows", lambda r: r[0]), "|").alias("names"))
+
+
+_TITLES = ("Description", "Quantity", "Total Cost Basis", "Ending Market Value", "Unrealized Gain/Loss", "Est. Annual Income (EAI)", "Est. Yield (EY)")
+_RESOLVED = {"quantity": 1, "cost_basis": 2, "market_value": 3, "gain_loss": 4, "annual_income": 5, "yield": 6}
+
+
+@query("c1_resolve_column", "SELECT p_partkey, " + ", ".join(f"CAST(({at} + 7 - p_partkey % 7) % 7 + 1 AS INTEGER) AS {field}" for field, at in _RESOLVED.items()) + " FROM part")
+def resolve_column(spark, sf_dir):
+    """A header that begins with another of its columns for each part."""
+    turn = (F.col("p_partkey") % 7).cast("int")
+    titles = F.array(*map(F.lit, _TITLES))
+    header = F.concat(F.slice(titles, turn + 1, F.lit(7)), F.slice(titles, F.lit(1), turn))
+    return table(spark, sf_dir, "part").select("p_partkey", *(parse.resolve_column(header, field).alias(field) for field in _RESOLVED))
