@@ -530,3 +530,14 @@ def resolve_column(spark, sf_dir):
     titles = F.array(*map(F.lit, _TITLES))
     header = F.concat(F.slice(titles, turn + 1, F.lit(7)), F.slice(titles, F.lit(1), turn))
     return table(spark, sf_dir, "part").select("p_partkey", *(parse.resolve_column(header, field).alias(field) for field in _RESOLVED))
+
+
+@query("r6_stated_totals", """SELECT p_partkey AS doc_id, CAST(0 AS INTEGER) AS table_idx, CAST(2 * p_size AS DECIMAL(30,6)) AS quantity, CAST(p_size + 5 AS DECIMAL(30,6)) AS market_value FROM part""")
+def stated_totals(spark, sf_dir):
+    """Two sub-sections with totals; a total right below another and the holdings' own aren't counted."""
+    size = F.col("p_size").cast("string")
+    rows = [("Description", "Quantity", "Ending Market Value"), ("A", "1", "2"), ("Total Common Stock", size, size), ("B", "3", "4"), ("Total Bonds", size, "5"), ("Total Securities", "99", "99"), ("C", "1", "1"), ("Total Holdings", "77", "77")]
+    made = F.array(*(F.array(*(F.lit(c) if isinstance(c, str) else c for c in row)) for row in rows))
+    docs = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.lit(0).alias("table_idx"), made.alias("rows"))
+    found = parse.stated_totals(docs)
+    return found.select("doc_id", "table_idx", *(F.col(c).cast("decimal(30,6)").alias(c) for c in ("quantity", "market_value")))
