@@ -26,6 +26,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archives(common.table(spark, sf_dir, "pages"), path)
     read = warc.read_archives(warc.read_index(spark, path))
     payload = read.select("page_id", "record_type", "refers_to", "digest", F.length("payload").cast("bigint").alias("n"))
+    payload = common.stored(payload, "read-pages")  # the archives are read once
     full = payload.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), "digest").agg(F.max("n").alias("full"))
     rows = payload.join(full, ["refers_to", "digest"], "left")
     size = F.when(F.col("record_type") == "revisit", F.col("full")).otherwise(F.col("n"))

@@ -151,6 +151,11 @@ def test_warc(spark):
         assert r.digest == hashlib.sha256(raw).hexdigest()
         assert (r.record_type, r.refers_to) == (("response", None) if owner == 10 + i else ("revisit", owner))
         assert bytes(r.payload) == (raw if owner == 10 + i else b"")
+        assert r.refers_to_record == (None if owner == 10 + i else got[owner].record_id)
+    assert len({r.record_id for r in got.values()}) == len(html)
+    swapped = index.withColumn("page_id", F.col("page_id") + 1)
+    with pytest.raises(Exception, match="another page"):
+        warc.read_archives(swapped).collect()
     assert warc.read_archives(index.where("page_id in (12, 17)")).count() == 2
     empty = common.scratch(spark, "test-warc")
     warc.write_archives(pages.limit(0), empty)
@@ -160,6 +165,14 @@ def test_warc(spark):
     warc.write_archives(same, odd)
     kinds = Counter((r.page_id, r.record_type) for r in warc.read_index(spark, odd).collect())
     assert kinds == {(1, "response"): 2, (None, "response"): 1, (2, "revisit"): 1}
+    read = warc.read_archives(warc.read_index(spark, odd)).collect()
+    assert len({r.record_id for r in read}) == 4
+    assert {(r.page_id, r.refers_to, r.refers_to_record) for r in read} == {(1, None, None), (None, None, None), (2, 1, None)}
+    long = common.scratch(spark, "test-warc")
+    text = "ab<é" * (1 << 20)
+    warc.write_archives(spark.createDataFrame([("x\n: y", "u", text), ("b", "u", text)], "page_id string, url string, html string"), long)
+    got = rows_of(warc.read_archives(warc.read_index(spark, long)), "page_id")
+    assert bytes(got["b"].payload).decode() == text and got["x\n: y"].refers_to_record == got["b"].record_id and got["x\n: y"].refers_to == "b"
 
 
 def test_warc_records_are_standard_gzip_members(spark, tmp_path):
