@@ -18,7 +18,7 @@ VERDICT_ORDER = (CONFIRMED, FALSE_POSITIVE, RESOLVED, TRUE_MISMATCH, BAD_TOTAL,
 FRAGMENT = 40
 #: Issues that one call of a model gets.
 PER_CALL = 50
-ANSWER = "array<struct<issue_id:string,verdict:string,reason:string,corrected_symbol:string,corrected_cost_basis:string,corrected_value:string,account_type:string,account_number:string,pdf_total:string,phase1_corrections:array<struct<name:string,parsed_value:string,pdf_value:string,match:boolean,corrected_value:string>>>>"
+ANSWER = "array<struct<issue_id:string,verdict:string,reason:string,corrected_symbol:string,corrected_cost_basis:string,corrected_value:string,account_type:string,account_number:string,pdf_total:string,total_ok:boolean,checks_ok:boolean,phase1_corrections:array<struct<name:string,parsed_value:string,pdf_value:string,match:boolean,corrected_value:string>>>>"
 _FIELDS = {"negative_values": "corrected_value", "missing_data": "corrected_cost_basis", "missing_symbol": "corrected_symbol"}
 
 
@@ -26,31 +26,58 @@ class ModelClient(Protocol):
     """What checks issues against the source. It must be picklable; tasks call it."""
 
     def verify(self, category: str, issues: list[dict]) -> str:
-        """JSON array with an object for each issue (issue_id, verdict, reason, corrected values)."""
+        """JSON array with an object for each issue (issue_id, verdict, reason, corrected values).
+
+        Issues hold issue_id, message, expected, calculated (mismatches) and holdings (JSON: the issue's
+        holding, or its table's). For a mismatch, total_ok with pdf_total (the total as read) and checks_ok
+        with phase1_corrections (holdings spot-checked) may take the verdict's place.
+        """
 
 
 # -- verdicts
 
 
-def verify(issues: DataFrame, client: ModelClient) -> DataFrame:
+_ASKED = ("issue_id", "message", "expected", "calculated", "holdings")
+
+
+def with_holdings(issues: DataFrame, holdings: DataFrame) -> DataFrame:
+    """issues with ``holdings``: what the model needs to know of the issue's holding, or of all holdings of
+    its table (tens of rows) where it names none, as a JSON array."""
+    shown = F.struct("holding_id", "name", "symbol", "account", "quantity", "cost_basis", "market_value", "unrealized_gl", "est_annual_income")
+    own = holdings.select("holding_id", F.to_json(F.array(shown)).alias("__own"))
+    tables = holdings.groupBy("doc_id", "table_idx").agg(F.to_json(F.array_sort(F.collect_list(shown))).alias("__all"))
+    told = issues.where("holding_id is not null").join(own, "holding_id", "left").withColumn("__all", F.lit(None).cast("string"))
+    rest = issues.where("holding_id is null").join(tables, ["doc_id", "table_idx"], "left").withColumn("__own", F.lit(None).cast("string"))
+    return told.unionByName(rest).withColumn("holdings", F.coalesce("__own", "__all")).drop("__own", "__all")
+
+
+def verify(issues: DataFrame, client: ModelClient, holdings: DataFrame | None = None) -> DataFrame:
     """issues with the model's verdict and corrections. Bad or missing answers mean NEEDS REVIEW.
 
     A category's issues are dealt by hash into calls of about PER_CALL. Store the result before using
     it twice: a second evaluation would call the model again.
     """
     sizes = issues.groupBy("category").agg(F.ceil(F.count("*") / PER_CALL).alias("__calls"))
-    dealt = issues.join(F.broadcast(sizes), "category")  # a row per category
-    dealt = dealt.withColumn("__call", F.pmod(F.xxhash64("issue_id"), F.col("__calls"))).select("category", "__call", "issue_id", "message")
+    told = issues.withColumn("holdings", F.lit(None).cast("string")) if holdings is None else with_holdings(issues, holdings)
+    dealt = told.join(F.broadcast(sizes), "category")  # a row per category
+    asked = [(F.col(c) if c in dealt.columns else F.lit(None)).cast("string").alias(c) for c in _ASKED]
+    dealt = dealt.withColumn("__call", F.pmod(F.xxhash64("issue_id"), F.col("__calls"))).select("category", "__call", *asked)
 
     def ask(pdf):
         import pandas as pd
 
-        rows = pdf[["issue_id", "message"]].to_dict("records")
+        rows = pdf[list(_ASKED)].astype(object).where(pdf[list(_ASKED)].notna(), None).to_dict("records")
         return pd.DataFrame({"answer": [client.verify(pdf["category"].iloc[0], rows)]})
 
     answers = dealt.groupBy("category", "__call").applyInPandas(ask, "answer string")
     parsed = answers.select(F.explode(F.from_json(X.unfenced(F.col("answer")), ANSWER)).alias("a")).select("a.*").dropDuplicates(["issue_id"])
-    return issues.join(parsed, "issue_id", "left").withColumn("verdict", known_verdict(F.col("category"), F.col("verdict")))
+    judged = issues.join(parsed, "issue_id", "left")
+    verdict = known_verdict(F.col("category"), F.col("verdict"))
+    if "expected" in issues.columns:
+        wrong = F.filter("phase1_corrections", lambda c: c["corrected_value"].isNotNull())
+        steps = (F.col("category") == "total_mismatches") & F.coalesce("total_ok", "checks_ok").isNotNull()
+        verdict = F.when(steps, mismatch_verdict(_amount(F.col("pdf_total")), F.col("total_ok"), F.col("checks_ok"), wrong, F.col("expected"))).otherwise(verdict)
+    return judged.withColumn("verdict", verdict)
 
 
 def known_verdict(category: Column, verdict: Column) -> Column:
@@ -65,6 +92,7 @@ def mismatch_verdict(read_total: Column, total_ok: Column, checks_ok: Column, co
     review = ~F.coalesce(checks_ok, F.lit(False))
     incorrect = F.coalesce(F.size(corrections), F.lit(0)) > 0
     right = F.abs(read_total - expected) <= 1
+    total_ok = total_ok & read_total.isNotNull()
     return F.when(review, NEEDS_REVIEW).when(incorrect, VALUES_INCORRECT).when(~F.coalesce(total_ok, F.lit(False)), NEEDS_REVIEW).when(right, TRUE_MISMATCH).otherwise(BAD_TOTAL)
 
 
@@ -173,7 +201,7 @@ def self_correct(holdings: DataFrame, totals: DataFrame, client: ModelClient, it
         issues = find_issues(holdings, totals, tolerance)
         if resolved is not None:
             issues = unresolved(issues, resolved)
-        verdicts = verify(issues, client).withColumn("iteration", F.lit(n)).checkpoint()
+        verdicts = verify(issues, client, holdings).withColumn("iteration", F.lit(n)).checkpoint()
         if verdicts.isEmpty():
             break
         changes = change_log(holdings, proposed_changes(verdicts, holdings)).withColumn("iteration", F.lit(n)).checkpoint()

@@ -144,6 +144,35 @@ def test_mismatch_rules(spark):
     assert [r.got for r in got] == [r.want for r in got]
 
 
+class TwoSteps:
+    """Reads totals and spot-checks holdings, and leaves the verdict on mismatches to the rules."""
+
+    def verify(self, category, issues):
+        answers = []
+        for i in issues:
+            held = json.loads(i["holdings"])
+            a = {"issue_id": i["issue_id"], "verdict": "CONFIRMED", "reason": ",".join(sorted(h["name"] for h in held))}
+            if category == "total_mismatches":
+                assert i["calculated"] is not None
+                a |= {"verdict": None, "pdf_total": i["expected"], "total_ok": True, "checks_ok": True}
+                if "Table 6" in i["message"]:
+                    a["phase1_corrections"] = [{"name": held[0]["name"], "corrected_value": "9,900.00"}]
+            answers.append(a)
+        return json.dumps(answers)
+
+
+def test_two_step_mismatches(statement, holdings):
+    issues = validate.find_issues(holdings, parse.stated_totals(statement))
+    verdicts = correct.verify(issues, TwoSteps(), holdings).collect()
+    mismatches = [v for v in verdicts if v.category == "total_mismatches"]
+    assert mismatches and len(mismatches) < len(verdicts)
+    for v in mismatches:
+        assert v.verdict == ("VALUES INCORRECT" if "Table 6" in v.message else "CONFIRMED TRUE MISMATCH")
+    for v in verdicts:
+        names = {r.name for r in holdings.collect() if (r.holding_id == v.holding_id if v.holding_id else (r.doc_id, r.table_idx) == (v.doc_id, v.table_idx))}
+        assert set(v.reason.split(",")) == names
+
+
 def test_names_match_as_substrings(spark):
     names = ["ACME Corp (New)", "acme", "a", None, "Other acme corp"]
     fragments = ["acme corp", "A", "(new", "zzz", ""]
