@@ -75,7 +75,9 @@ class Encoder:
         spelt = np.zeros(len(texts), bool)
         if self.added:
             spelt = pc.fill_null(pc.match_substring_regex(texts, self.added), False).to_numpy(zero_copy_only=False)
-        out = encode_texts(pc.if_else(pa.array(spelt), None, texts), self.pieces, self.each)
+        # taking, since if_else with a null gives wrong offsets for a slice of an array of strings
+        plain = texts.take(pa.array(np.arange(len(texts)), mask=spelt)) if spelt.any() else texts
+        out = encode_texts(plain, self.pieces, self.each)
         found = np.flatnonzero(spelt).tolist()
         for k, ids in zip(found, self.each([texts[k].as_py() for k in found]), strict=True):
             out[k] = ids

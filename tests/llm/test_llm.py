@@ -196,6 +196,15 @@ def test_op2_query(spark, sf):
         assert (r.record_type, r.refers_to) == (("response", None) if owner == p.page_id else ("revisit", owner))
 
 
+def test_slices_are_encoded_alike():
+    own = token_store.Encoder(queries._vocabulary("byte_bpe_50k.json"))
+    texts = [f"text {i} " + "é word, " * i for i in range(40)]
+    for spelt in (None, 17):
+        some_texts = [t + "<|endoftext|> x" if i == spelt else t for i, t in enumerate(texts)] + [None, ""]
+        got = own.encode(pa.array(some_texts).slice(9, 33))
+        assert [x.tolist() for x in got] == [own.tokenizer.encode(t or "", add_special_tokens=False).ids for t in some_texts[9:]]
+
+
 # -- operator 3
 
 
