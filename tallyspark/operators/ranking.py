@@ -1,94 +1,140 @@
-"""Global ranks without a single-partition sort.
+"""Global ranks, tiles and places without a single-partition sort.
 
-Rows are counted by value first, so a frequent value is one row from there on. The values are then placed
-by a few numbers that grow with them (whole multiples of each of STEPS): how many rows lie before a value
-is the sum of what lies before its multiple of each step, among those of one multiple of the step before.
-Every window so holds multiples or values of one interval only, whatever their distribution; nothing is
-sampled and no job runs while a query is built.
+Rows are counted by value first, so a frequent value is one row from there on. The counts are stored in ranges
+of the values' order (Spark samples the splitters), each range with its number. How many rows lie before a value is
+then what lies before it within its range, plus the sum of the ranges before; there are as many of these sums as
+ranges. Ranges are of a bounded size, whatever the distribution, for a counted value occurs once.
+
+Counting and storing run while a query is built; what is returned joins the ranks to the rows, which so are
+derived twice in all.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEPS = (1e4, 1e-2, 1e-6)
+from ..storage import stored
+
 _FIRST, _LAST = Window.unboundedPreceding, -1
 
 
-def _same(columns: tuple[str, ...], prefix: str, plain: tuple[str, ...] = ()) -> Column:
-    """Equality of columns with their prefixed namesakes; nulls are equal, but ``plain`` columns have none."""
-    pairs = [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in columns] + [F.col(c) == F.col(f"{prefix}{c}") for c in plain]
-    return reduce(lambda a, b: a & b, pairs, F.lit(True))
+def _same(columns: tuple[str, ...], prefix: str) -> Column:
+    """Equality of columns with their prefixed namesakes; nulls are equal."""
+    return reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in columns))
+
+
+def ordering(by: tuple[str, ...], descending: bool) -> list[Column]:
+    """The first column in the direction asked for, the others ascending; nulls last."""
+    first = F.col(by[0]).desc_nulls_last() if descending else F.col(by[0]).asc_nulls_last()
+    return [first, *(F.col(c).asc_nulls_last() for c in by[1:])]
+
+
+def ranged(counts: DataFrame, within: tuple[str, ...], by: tuple[str, ...], descending: bool) -> DataFrame:
+    """``counts`` stored in ranges by group and value, with the range's number as __part."""
+    dealt = counts.repartitionByRange(*(F.col(c).asc_nulls_first() for c in within), *ordering(by, descending))
+    return stored(dealt.withColumn("__part", F.spark_partition_id()), "ranges")
 
 
-def _before(counts: DataFrame, value: str, within: tuple[str, ...], descending: bool, steps: tuple[float, ...]) -> DataFrame:
-    """counts (within, value, n) with __before, the rows of earlier values of their group."""
-    levels = tuple(f"__level{k}" for k in range(len(steps)))
-    v = F.col(value).cast("double")  # rounding, division and floor keep the order
-    placed = counts.withColumns({c: F.when(F.isnan(v), F.lit(2**63 - 1)).otherwise(F.floor(v / s)) for c, s in zip(levels, steps, strict=True)})
-    direction = F.desc if descending else F.asc
-    above = None  # offsets of the level before
-    for k, name in enumerate([*levels, value]):
-        keys = (*within, *levels[:k])
-        sums = placed if name == value else placed.groupBy(*keys, name).agg(F.sum("n").alias("n"))
-        window = Window.partitionBy(*keys).orderBy(direction(name)).rowsBetween(_FIRST, _LAST)
-        sums = sums.withColumn("__before", F.coalesce(F.sum("n").over(window), F.lit(0)))
-        if above is not None:
-            above = above.select(*(F.col(c).alias(f"__of_{c}") for c in keys), F.col("__before").alias("__offset"))
-            sums = sums.join(above, _same(within, "__of_", levels[:k])).withColumn("__before", F.col("__before") + F.col("__offset")).drop("__offset", *(f"__of_{c}" for c in keys))
-        above = sums
-    return above.drop(*levels)
+def _offsets(parts: DataFrame, within: tuple[str, ...]) -> DataFrame:
+    """Rows of a group in the ranges before, where there are any: fewer rows than ranges, for only a group that
+    goes on from one range to the next has them."""
+    sums = parts.groupBy(*within, "__part").agg(F.sum("n").alias("__n"))
+    if within:
+        earlier = Window.partitionBy(*within).orderBy("__part").rowsBetween(_FIRST, _LAST)
+        return sums.select(*within, "__part", F.sum("__n").over(earlier).alias("__offset")).where("__offset > 0")
+    found = sorted(sums.collect())  # a row for each range
+    upto = accumulate((r["__n"] for r in found), initial=0)
+    return parts.sparkSession.createDataFrame([(r["__part"], n) for r, n in zip(found, upto, strict=False)], "__part int, __offset bigint")
 
 
-def _steps(df: DataFrame, by: str) -> tuple[float, ...]:
-    """Decimals have few values between two multiples of the second step."""
-    return STEPS if df.schema[by].dataType.typeName() in ("double", "float") else STEPS[:2]
+def with_before(counts: DataFrame, within: tuple[str, ...], by: tuple[str, ...], descending: bool = False) -> DataFrame:
+    """counts (within, by, n; each value of a group once) with __before, the rows of earlier values of the group; nulls
+    are the last value."""
+    parts = ranged(counts, within, by, descending)
+    keys = (*within, "__part")
+    offsets = _offsets(parts, within).withColumnsRenamed({c: f"__o_{c}" for c in keys})
+    own = Window.partitionBy(*keys).orderBy(*ordering(by, descending)).rowsBetween(_FIRST, _LAST)
+    placed = parts.withColumn("__own", F.coalesce(F.sum("n").over(own), F.lit(0))).join(F.broadcast(offsets), _same(keys, "__o_"), "left")
+    return placed.withColumn("__before", F.col("__own") + F.coalesce("__offset", F.lit(0))).select(*counts.columns, "__before")
 
 
-def with_ranks(df: DataFrame, by: str, outs: dict[str, tuple[str, ...]]) -> DataFrame:
+def _counted(df: DataFrame, *keys: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
+def value_counts(df: DataFrame, *keys: str) -> DataFrame:
+    """keys and n, stored: what ranks and sums by value can share."""
+    return stored(_counted(df, *keys), "counted-values")
+
+
+def with_ranks(df: DataFrame, by: str, outs: dict[str, tuple[str, ...]], counted: DataFrame | None = None) -> DataFrame:
     """df with RANK() OVER (PARTITION BY within ORDER BY by DESC NULLS LAST) for each out: within, for groups
-    of any size; nulls share the rank after all others. Rows are counted once for all ranks."""
+    of any size. Rows are counted once for all ranks; ``counted`` is value_counts of all groups and the value."""
     groups = tuple(dict.fromkeys(c for within in outs.values() for c in within))
-    counted = df.groupBy(*groups, by).agg(F.count("*").alias("n"))
-    known = counted.where(F.col(by).isNotNull())
-    ranks = counted
-    for out, within in outs.items():
-        sums = known if set(within) == set(groups) else known.groupBy(*within, by).agg(F.sum("n").alias("n"))
-        before = _before(sums, by, within, True, _steps(df, by)).select(*(F.col(c).alias(f"__r_{c}") for c in (*within, by)), (F.col("__before") + 1).alias(out))
-        total = known.groupBy(*within).agg(F.sum("n").alias("__known")).select(*(F.col(c).alias(f"__t_{c}") for c in within), "__known")
-        ranks = ranks.join(before, _same(within, "__r_", (by,)), "left").join(total, _same(within, "__t_"), "left")
-        ranks = ranks.withColumn(out, F.coalesce(out, F.coalesce("__known", F.lit(0)) + 1).cast("int")).drop("__known", *(f"__r_{c}" for c in (*within, by)), *(f"__t_{c}" for c in within))
-    ranks = ranks.drop("n").withColumnsRenamed({c: f"__k_{c}" for c in (*groups, by)})
-    return df.join(ranks, _same((*groups, by), "__k_")).drop(*(f"__k_{c}" for c in (*groups, by)))
+    if counted is None:
+        counted = value_counts(df, *groups, by) if len(outs) > 1 else _counted(df, *groups, by)
+    ranks = None
+    for out, within in sorted(outs.items(), key=lambda x: -len(x[1])):
+        sums = counted if set(within) == set(groups) else counted.groupBy(*within, by).agg(F.sum("n").alias("n"))
+        one = with_before(sums, within, (by,), True).select(*within, by, (F.col("__before") + 1).cast("int").alias(out))
+        if ranks is None:
+            ranks = one if set(within) == set(groups) else counted.drop("n")
+        if out not in ranks.columns:
+            keys = (*within, by)
+            ranks = ranks.join(one.withColumnsRenamed({c: f"__r_{c}" for c in keys}), _same(keys, "__r_")).drop(*(f"__r_{c}" for c in keys))
+    keys = (*groups, by)
+    return df.join(ranks.withColumnsRenamed({c: f"__k_{c}" for c in keys}), _same(keys, "__k_")).drop(*(f"__k_{c}" for c in keys)).select(*df.columns, *outs)
 
 
 def with_rank(df: DataFrame, by: str, out: str, within: tuple[str, ...] = ()) -> DataFrame:
     return with_ranks(df, by, {out: within})
 
 
+def with_place(df: DataFrame, within: tuple[str, ...], by: tuple[str, ...], out: str, descending: bool = False) -> DataFrame:
+    """df with the place (from 0) of each row of its group in the order of ``by``, which tells the rows of a
+    group apart; rows that are equal in it share the first one's place."""
+    places = with_before(_counted(df, *within, *by), within, by, descending).select(*within, *by, F.col("__before").alias(out))
+    keys = (*within, *by)
+    return df.join(places.withColumnsRenamed({c: f"__p_{c}" for c in keys}), _same(keys, "__p_")).drop(*(f"__p_{c}" for c in keys))
+
+
 def with_ntile(df: DataFrame, n: int, by: str, tiebreak: str, out: str) -> DataFrame:
     """NTILE(n) OVER (ORDER BY by NULLS LAST, tiebreak): the first count % n tiles have one row more.
 
-    Most values have all their rows in one tile; the tiebreak orders rows of the at most n - 1 values that
-    lie across a border, and only those."""
-    counted = df.groupBy(by).agg(F.count("*").alias("n"))
-    known = counted.where(F.col(by).isNotNull())
-    before = _before(known, by, (), False, _steps(df, by))
-    sizes = counted.agg(F.sum("n").alias("__total"), F.coalesce(F.sum(F.when(F.col(by).isNotNull(), F.col("n"))), F.lit(0)).alias("__known"))
-    nulls = counted.where(F.col(by).isNull()).crossJoin(F.broadcast(sizes)).select(by, "n", F.col("__known").alias("__before"))  # one row each
-    small, more = F.expr(f"__total div {n}"), F.expr(f"__total % {n}")
+    Most values have all their rows in one tile. Rows of the at most n - 1 values that lie across a border are placed
+    by the tiebreak, again in ranges, so a value may be as frequent as it likes. Of rows that are equal in both, any may be
+    in the earlier tile; those that a border divides are numbered together.
+    """
+    keys = stored(df.select(by, tiebreak), "tile-keys")
+    small, more = divmod(keys.count(), n)
 
     def tile(row: Column) -> Column:
-        late = more + F.floor((row - more * (small + 1)) / F.greatest(small, F.lit(1)))
-        return (F.when(row < more * (small + 1), F.floor(row / (small + 1))).otherwise(late) + 1).cast("int")
-
-    values = before.select(by, "n", "__before").unionByName(nulls).crossJoin(F.broadcast(sizes))
-    values = values.withColumns({"__tile": tile(F.col("__before")), "__until": tile(F.col("__before") + F.col("n") - 1)}).withColumnsRenamed({by: "__value"}).drop("n", "__known")
-    rows = df.join(values, F.col(by).eqNullSafe(F.col("__value"))).drop("__value")
-    whole = rows.where("__tile = __until").withColumn(out, F.col("__tile"))
-    order = Window.partitionBy("__before").orderBy(tiebreak)
-    across = rows.where("__tile < __until").withColumn(out, tile(F.col("__before") + F.row_number().over(order) - 1))
-    return whole.unionByName(across).drop("__tile", "__until", "__before", "__total")
+        early = F.floor(row / (small + 1))
+        return (F.when(row < more * (small + 1), early).otherwise(more + F.floor((row - more * (small + 1)) / max(small, 1))) + 1).cast("int")
+
+    def tiled(counts: DataFrame, first: Column) -> DataFrame:
+        return counts.withColumns({"__tile": tile(first), "__until": tile(first + F.col("n") - 1)})
+
+    values = stored(tiled(with_before(_counted(keys, by), (), (by,)), F.col("__before")), "tiled-values")
+    borders = values.where("__tile < __until").select(F.col(by).alias("__value"), F.col("__before").alias("__from"))  # n - 1 rows at most
+    rows = df.join(values.select(F.col(by).alias("__v"), "__tile", "__until"), F.col(by).eqNullSafe(F.col("__v"))).drop("__v")
+    if borders.isEmpty():
+        return rows.withColumn(out, F.col("__tile")).drop("__tile", "__until")
+    across = keys.join(F.broadcast(borders), F.col(by).eqNullSafe(F.col("__value"))).drop("__value")
+    ids = with_before(_counted(across, by, "__from", tiebreak), (by, "__from"), (tiebreak,))
+    divided = not ids.where("n > 1").isEmpty()
+    ids = tiled(ids, F.col("__from") + F.col("__before")).withColumn("__first", F.col("__from") + F.col("__before"))
+    named = ids.select(F.col(by).alias("__v"), F.col(tiebreak).alias("__t"), F.lit(True).alias("__of_border"), F.col("__tile").alias("__id_tile"), F.col("__until").alias("__id_until"), "__first")
+    # the tiebreak is among the keys, so rows of other values are dealt out as well
+    on = F.col(by).eqNullSafe(F.col("__v")) & F.col(tiebreak).eqNullSafe(F.col("__t")) & (F.col("__tile") < F.col("__until")).eqNullSafe(F.col("__of_border"))
+    rows = rows.join(named, on, "left").withColumn(out, F.coalesce("__id_tile", "__tile"))
+    if divided:
+        both = F.col("__id_tile") < F.col("__id_until")
+        order = Window.partitionBy(by, tiebreak).orderBy(F.lit(0))
+        numbered = rows.where(both).withColumn(out, tile(F.col("__first") + F.row_number().over(order) - 1))
+        rows = rows.where(~F.coalesce(both, F.lit(False))).unionByName(numbered)
+    return rows.select(*df.columns, out)

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import SENTINEL
-from .ranking import with_ntile, with_rank, with_ranks
+from .ranking import value_counts, with_ntile, with_place, with_ranks
+
 
 def _known(name: str) -> Column:
     """The amount, null where it is the sentinel."""
@@ -67,8 +68,9 @@ def account_summary(holdings: DataFrame) -> DataFrame:
 
 def income_generating_holdings(holdings: DataFrame) -> DataFrame:
     paying = holdings.where("est_annual_income > 0")
-    total = paying.agg(F.sum("est_annual_income").alias("__income"))
-    ranked = with_rank(paying, "est_annual_income", "income_rank").crossJoin(F.broadcast(total))  # one row
+    counted = value_counts(paying, "est_annual_income")
+    total = counted.agg(F.sum(F.col("est_annual_income") * F.col("n")).alias("__income"))
+    ranked = with_ranks(paying, "est_annual_income", {"income_rank": ()}, counted).crossJoin(F.broadcast(total))  # one row
     out = ranked.select("symbol", "name", "asset_class", "account_type", "account", _money(F.col("market_value")).alias("market_value"), _money(F.col("est_annual_income")).alias("est_annual_income"), F.round("est_yield", 4).cast("double").alias("est_yield_pct"), "income_rank", _ratio(F.col("est_annual_income"), F.col("__income"), 2).alias("pct_of_total_income"))
     return out.orderBy("income_rank")
 
@@ -143,16 +145,23 @@ def weighted_avg_yield(holdings: DataFrame) -> DataFrame:
     return out.select("account", "account_type", F.col("n").alias("yielding_holdings"), _money(F.col("mv")).alias("total_market_value"), _money(F.col("income")).alias("total_est_income"), _ratio(F.col("weighted"), F.col("mv"), 4, 1.0).alias("weighted_avg_yield_pct"))
 
 
-def yield_tier_distribution(holdings: DataFrame, tiebreak: str | None = None, symbols: bool = True) -> DataFrame:
-    """``symbols`` lists all symbols of a tier, by value, in one string: a report for small portfolios.
-    Without it the view aggregates any number of holdings."""
-    rows, y = holdings.where("market_value is not null"), F.col("est_yield")
+def _tiers() -> tuple[Column, Column]:
+    """A holding's tier and, by ``tier``, its name."""
+    y = F.col("est_yield")
     tier = F.when(y.isNull() | (y == 0), 1).when(y <= 2, 2).when(y <= 4, 3).otherwise(4)
     # fixed values
     names = {1: "No Yield", 2: "Low  (0–2%)", 3: "Mid  (2–4%)", 4: "High (4%+)"}
     label = F.lit(None).cast("string")
     for n, name in names.items():
         label = F.when(F.col("tier") == n, name).otherwise(label)
+    return tier, label
+
+
+def yield_tier_distribution(holdings: DataFrame, tiebreak: str | None = None, symbols: bool = True) -> DataFrame:
+    """``symbols`` lists all symbols of a tier, by value, in one string: a report for small portfolios.
+    Without it the view aggregates any number of holdings; ``yield_tier_symbols`` then has the lists in pieces."""
+    rows = holdings.where("market_value is not null")
+    tier, label = _tiers()
     order = f"market_value DESC{f', {tiebreak}' if tiebreak else ''}"
     listed = [F.expr(f"listagg(symbol, ', ') WITHIN GROUP (ORDER BY {order})").alias("symbols")] if symbols else []
     sums = rows.withColumn("tier", tier).groupBy("tier").agg(F.count("*").alias("holding_count"), F.sum("market_value").alias("mv"), F.sum("est_annual_income").alias("income"), *listed)
@@ -161,6 +170,19 @@ def yield_tier_distribution(holdings: DataFrame, tiebreak: str | None = None, sy
     return out.orderBy("tier").drop("tier")
 
 
+def yield_tier_symbols(holdings: DataFrame, tiebreak: str = "holding_id", size: int = 1000) -> DataFrame:
+    """yield_tier, piece, holding_count, symbols: the symbols of a tier by value, ``size`` holdings a piece, so no task
+    gathers a whole tier; a writer that joins the pieces in order has the tier's list. Without a symbol a holding counts, but
+    isn't listed; a piece without any symbol has null."""
+    tier, label = _tiers()
+    rows = holdings.where("market_value is not null").withColumn("tier", tier)
+    placed = with_place(rows.select("tier", "market_value", tiebreak, "symbol"), ("tier",), ("market_value", tiebreak), "__place", True)
+    pieces = placed.groupBy("tier", F.floor(F.col("__place") / size).alias("piece"))
+    listed = F.expr(f"listagg(symbol, ', ') WITHIN GROUP (ORDER BY market_value DESC, {tiebreak})")
+    out = pieces.agg(F.count("*").alias("holding_count"), listed.alias("symbols")).orderBy("tier", "piece")
+    return out.select(label.alias("yield_tier"), "piece", "holding_count", "symbols")
+
+
 def account_income_positioning(holdings: DataFrame) -> DataFrame:
     paying = F.when(F.col("est_annual_income") > 0, 1).otherwise(0)
     sums = holdings.where("market_value is not null").groupBy("account", "account_type").agg(F.count("*").alias("total_holdings"), F.sum(paying).alias("income_bearing_count"), F.sum("market_value").alias("mv"), F.sum("est_annual_income").alias("income"))

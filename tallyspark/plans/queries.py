@@ -74,6 +74,15 @@ for _n, (_name, _view) in enumerate(views.VIEWS.items(), 1):
     ORACLES[f"v{_n}_{_name[2:]}"] = VIEW_ORACLES[_name]
 
 
+_TIER = """CASE WHEN est_yield IS NULL OR est_yield = 0 THEN 'No Yield' WHEN est_yield <= 2 THEN 'Low  (0–2%)' WHEN est_yield <= 4 THEN 'Mid  (2–4%)' ELSE 'High (4%+)' END"""
+
+
+@query("v10_symbol_pieces", f"""WITH placed AS (SELECT {_TIER} AS yield_tier, symbol, market_value, holding_id, ROW_NUMBER() OVER (PARTITION BY {_TIER} ORDER BY market_value DESC, holding_id) - 1 AS place FROM ({holdings_oracle()}) WHERE market_value IS NOT NULL)
+    SELECT yield_tier, place // 100 AS piece, COUNT(*) AS holding_count, string_agg(symbol, ', ' ORDER BY market_value DESC, holding_id) AS symbols FROM placed GROUP BY yield_tier, place // 100""")
+def symbol_pieces(spark, sf_dir):
+    return views.yield_tier_symbols(testdata_holdings(spark, sf_dir), size=100)
+
+
 @query("v0_holdings", holdings_oracle())
 def holdings(spark, sf_dir):
     return testdata_holdings(spark, sf_dir)
