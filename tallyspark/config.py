@@ -21,6 +21,15 @@ class Config:
     tolerance: float = 0.01
     max_correction_iterations: int = 3
     table_name: str = "brokerage_statement"
+    answers: str | None = None
+    attempts: int = 3
+    retry_delay: float = 5.0
+    reassign_by_name: bool = False
+
+    @property
+    def answers_path(self) -> str:
+        """Where a model's answers are written down; a folder that all executors share."""
+        return self.answers or f"{self.output}/answers"
 
     @classmethod
     def of(cls, settings: dict) -> Config:

@@ -1,7 +1,7 @@
 """The stages of a statement run in order: extract, parse, correct, load.
 
 Stages hand DataFrames on; what each writes under ``config.output`` is a record, or input of a later run,
-not the hand-over. The session needs a checkpoint folder, for answers of a model aren't asked for twice.
+not the hand-over. A model's answers are written down in ``config.answers``, so neither a task nor a run that is repeated asks again.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from .config import Config
-from .operators import correct, extract, parse, tables, validate, views
+from .operators import correct, extract, journal, parse, tables, validate, views
 from .sources import readers, writers
 
 
@@ -33,6 +33,7 @@ def extract_flow(spark: SparkSession, config: Config, reader: extract.PageReader
     if config.pages is None:
         return Extracted(readers.read_numbered_csvs(spark, config.tables, config.table_prefix), None)
     pages = readers.read_pages(spark, config.pages, config.dpi, config.max_image_dimension)
+    reader = journal.JournaledReader(reader, config.answers_path, config.attempts, config.retry_delay)
     responses, failed = extract.read_batches(pages, reader, config.batch_size)
     found = tables.drop_repeated_tables(tables.merge_shared_headers(tables.parse_responses(responses)))
     found = tables.renumbered(found).checkpoint()
@@ -41,8 +42,14 @@ def extract_flow(spark: SparkSession, config: Config, reader: extract.PageReader
     return Extracted(found, failed)
 
 
-def parse_flow(config: Config, extracted: Extracted, accounts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Holdings and stated totals; the first issue report is written."""
+def parse_flow(config: Config, extracted: Extracted, accounts: DataFrame | None = None, client: extract.AccountReader | None = None) -> tuple[DataFrame, DataFrame]:
+    """Holdings and stated totals; the first issue report is written. Where no ``accounts`` are given, a client that can
+    find accounts is asked about the documents whose tables name none."""
+    if accounts is None and hasattr(client, "accounts"):
+        named = parse.account_list(parse.prepared(extracted.tables)).select("doc_id").distinct()
+        asked = extracted.tables.select("doc_id").distinct().join(named, "doc_id", "left_anti")
+        client = journal.JournaledClient(client, config.answers_path, config.attempts, config.retry_delay)
+        accounts = extract.supplied_accounts(asked, client).checkpoint()
     holdings = parse.extract_holdings(extracted.tables, accounts).checkpoint()
     totals = parse.stated_totals(extracted.tables).checkpoint()
     issues = validate.find_issues(holdings, totals, config.tolerance, extracted.failed)
@@ -51,11 +58,13 @@ def parse_flow(config: Config, extracted: Extracted, accounts: DataFrame | None
     return holdings, totals
 
 
-def correct_flow(config: Config, holdings: DataFrame, totals: DataFrame, client: correct.ModelClient | None) -> Corrected:
-    """Holdings after at most max_correction_iterations rounds; without a client as they are."""
+def correct_flow(config: Config, holdings: DataFrame, totals: DataFrame, client: correct.ModelClient | None, sources: DataFrame | None = None) -> Corrected:
+    """Holdings after at most max_correction_iterations rounds; without a client as they are. Given tables' rows (parse.named_rows),
+    a table's holdings are looked for by name."""
     if client is None:
         return Corrected(holdings, None, None)
-    fixed, ledger, log = correct.self_correct(holdings, totals, client, config.max_correction_iterations, config.tolerance)
+    client = journal.JournaledClient(client, config.answers_path, config.attempts, config.retry_delay)
+    fixed, ledger, log = correct.self_correct(holdings, totals, client, config.max_correction_iterations, config.tolerance, sources)
     writers.append_ledger(ledger, f"{config.output}/ledger")
     writers.write_text(writers.verdict_lines(ledger), f"{config.output}/ledger-text")
     writers.write_holdings_csv(fixed, f"{config.output}/holdings/corrected")
@@ -70,7 +79,8 @@ def load_flow(config: Config, holdings: DataFrame) -> list[str]:
 
 def run(spark: SparkSession, config: Config, reader: extract.PageReader | None = None, client: correct.ModelClient | None = None, accounts: DataFrame | None = None) -> Corrected:
     extracted = extract_flow(spark, config, reader)
-    holdings, totals = parse_flow(config, extracted, accounts)
-    corrected = correct_flow(config, holdings, totals, client)
+    holdings, totals = parse_flow(config, extracted, accounts, client)
+    sources = parse.named_rows(extracted.tables) if config.reassign_by_name else None
+    corrected = correct_flow(config, holdings, totals, client, sources)
     load_flow(config, corrected.holdings)
     return corrected

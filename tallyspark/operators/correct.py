@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cells as X
-from .validate import TOLERANCE, find_issues
+from ..storage import stored
+from .matching import match_names, reassigned
+from .validate import TOLERANCE, find_issues, revalidated
 
 # fixed values: verdicts
 CONFIRMED, FALSE_POSITIVE, NEEDS_REVIEW, RESOLVED = "CONFIRMED", "FALSE POSITIVE", "NEEDS REVIEW", "RESOLVED"
@@ -100,26 +102,6 @@ def verdict_counts(verdicts: DataFrame) -> DataFrame:
     return verdicts.groupBy("category").agg(*(F.count(F.when(F.col("verdict") == v, 1)).alias(v) for v in VERDICT_ORDER))
 
 
-# -- matching by name
-
-
-def match_names(fragments: DataFrame, holdings: DataFrame) -> DataFrame:
-    """fragments (fragment_id, fragment) with every holding_id whose name contains the fragment, in any case.
-
-    Both sides meet on a string of up to four characters: one of the fragment's and each of the name's,
-    so there is no product of the two tables; containment is then tested.
-    """
-    text = F.lower(F.col("fragment"))
-    size = F.least(F.length(text), F.lit(4))
-    grams = lambda t, n: F.transform(F.sequence(F.lit(1), F.length(t) - n + 1), lambda i: F.substring(t, i, n))
-    rarest = F.array_min(F.transform(grams(text, size), lambda g: F.struct(F.xxhash64(g).alias("o"), g.alias("g"))))["g"]
-    asked = fragments.where(F.length("fragment") > 0).withColumn("gram", rarest)
-    name = F.lower(F.col("name"))
-    own = F.flatten(F.array(*(F.when(F.length(name) >= n, grams(name, F.lit(n))).otherwise(F.array().cast("array<string>")) for n in range(1, 5))))
-    named = holdings.where("name is not null").select("holding_id", "name", F.explode(F.array_distinct(own)).alias("gram"))
-    return asked.join(named, "gram").where(F.lower("name").contains(F.lower("fragment"))).select(*fragments.columns, "holding_id")
-
-
 # -- corrections
 
 
@@ -128,7 +110,7 @@ def _amount(raw: Column) -> Column:
 
 
 def proposed_changes(verdicts: DataFrame, holdings: DataFrame) -> DataFrame:
-    """issue_id, seq, holding_id, security, column, new_value (as text), status of each correctable verdict.
+    """issue_id, seq, doc_id, table_idx, holding_id, security, column, new_value (as text), status of each correctable verdict.
 
     Issues that name a holding change that one; corrections of a mismatch change the holdings of the
     issue's table whose name contains theirs. Changes that match no holding, or aren't numbers, fail.
@@ -138,17 +120,17 @@ def proposed_changes(verdicts: DataFrame, holdings: DataFrame) -> DataFrame:
     plain = verdicts.where((F.col("verdict") == FALSE_POSITIVE) & F.col("category").isin(*_FIELDS))
     column = F.when(F.col("category") == "missing_symbol", "symbol").when(F.col("category") == "missing_data", "cost_basis").otherwise(F.col("field"))
     value = F.when(F.col("category") == "missing_symbol", F.trim(by_category)).when(F.col("category") == "negative_values", F.abs(_amount(by_category)).cast("string")).otherwise(_amount(by_category).cast("string"))
-    plain = plain.where(by_category.isNotNull()).select("issue_id", order.alias("seq"), "holding_id", F.col("name").alias("security"), column.alias("column"), value.alias("new_value"))
+    plain = plain.where(by_category.isNotNull()).select("issue_id", order.alias("seq"), "doc_id", "table_idx", "holding_id", F.col("name").alias("security"), column.alias("column"), value.alias("new_value"))
 
     resolved = verdicts.where((F.col("verdict") == RESOLVED) & (F.col("category") == "missing_account") & (F.col("account_type") != "") & (F.col("account_number") != ""))
     new = F.array(F.struct(F.lit("account").alias("column"), F.concat_ws(" ", "account_type", "account_number").alias("new_value")), F.struct(F.lit("account_type").alias("column"), X.account_type(F.col("account_type")).alias("new_value")))
-    accounts = resolved.select("issue_id", order.alias("seq"), "holding_id", F.col("name").alias("security"), F.explode(new).alias("n")).select("issue_id", "seq", "holding_id", "security", "n.column", "n.new_value")
+    accounts = resolved.select("issue_id", order.alias("seq"), "doc_id", "table_idx", "holding_id", F.col("name").alias("security"), F.explode(new).alias("n")).select("issue_id", "seq", "doc_id", "table_idx", "holding_id", "security", "n.column", "n.new_value")
 
     wrong = verdicts.where((F.col("verdict") == VALUES_INCORRECT) & (F.col("category") == "total_mismatches"))
     wrong = wrong.select("issue_id", order.alias("seq"), "doc_id", "table_idx", "field", F.posexplode("phase1_corrections").alias("k", "c")).where("c.name <> '' and c.corrected_value is not null")
     fragments = wrong.select(F.concat_ws("-", "issue_id", "k").alias("fragment_id"), F.trim(F.substring("c.name", 1, FRAGMENT)).alias("fragment"), "*")
-    matched = match_names(fragments.select("fragment_id", "fragment", F.col("doc_id").alias("of_doc"), F.col("table_idx").alias("of_table")), holdings).join(holdings.select("holding_id", "doc_id", "table_idx"), "holding_id").where("doc_id = of_doc and table_idx = of_table").select("fragment_id", "holding_id")
-    mismatches = fragments.join(matched, "fragment_id", "left").select("issue_id", "seq", "holding_id", F.col("c.name").alias("security"), F.col("field").alias("column"), _amount(F.col("c.corrected_value")).cast("string").alias("new_value"))
+    matched = match_names(fragments.select("fragment_id", "fragment", "doc_id", "table_idx"), holdings, ("doc_id", "table_idx")).select("fragment_id", "holding_id")
+    mismatches = fragments.join(matched, "fragment_id", "left").select("issue_id", "seq", "doc_id", "table_idx", "holding_id", F.col("c.name").alias("security"), F.col("field").alias("column"), _amount(F.col("c.corrected_value")).cast("string").alias("new_value"))
 
     status = F.when(F.col("holding_id").isNull(), "FAILED — no row matched").when(F.col("new_value").isNull(), "FAILED — value not numeric").otherwise("APPLIED")
     return plain.unionByName(accounts).unionByName(mismatches).withColumn("status", status)
@@ -189,32 +171,57 @@ def final_disposition(ledger: DataFrame) -> DataFrame:
     return last.orderBy(F.array_position(F.array(*map(F.lit, VERDICT_ORDER)), F.col("verdict")), "message")
 
 
-def self_correct(holdings: DataFrame, totals: DataFrame, client: ModelClient, iterations: int = 3, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame, DataFrame]:
+#: Parts of the documents: a round reads those in which something has changed.
+BUCKETS = 64
+
+
+def in_buckets(df: DataFrame, label: str, buckets: int = BUCKETS) -> DataFrame:
+    """``df`` stored in folders by a hash of doc_id, which readers can leave out; large ones in several files."""
+    dealt = df.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    return stored(dealt.hint("rebalance", "bucket"), label, "bucket")
+
+
+def self_correct(holdings: DataFrame, totals: DataFrame, client: ModelClient, iterations: int = 3, tolerance: float = TOLERANCE, sources: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Corrected holdings, the ledger of verdicts and the log of changes, both with iteration.
 
-    A round validates, asks about what isn't resolved, applies corrections and checkpoints; the loop
-    ends without open issues, without changes, or after ``iterations`` rounds. The session needs a
-    checkpoint folder.
+    A round asks about the issues that aren't resolved, applies corrections and finds anew the issues of the holdings and
+    tables that these touch; all others stay as they were. Holdings, totals and issues lie in buckets of documents, and
+    only buckets with a change are read and written again. The loop ends without open issues, without changes, or after
+    ``iterations`` rounds. Each round's tables are stored, so the model is asked once.
+
+    With ``sources`` (doc_id, table_idx, row_idx, name of the tables' rows) totals are held against the holdings that a table's
+    rows name by their first 60 characters, in whatever table they are; corrections don't change names, so the holdings
+    are looked up once.
     """
+    columns = holdings.columns
+    state, totals = in_buckets(holdings, "holdings"), in_buckets(totals, "totals")
+    members = None if sources is None else in_buckets(reassigned(sources, state), "members")
+    issues = in_buckets(find_issues(state, totals, tolerance, members=members), "issues")
     ledger = log = resolved = None
     for n in range(1, iterations + 1):
-        issues = find_issues(holdings, totals, tolerance)
-        if resolved is not None:
-            issues = unresolved(issues, resolved)
-        verdicts = verify(issues, client, holdings).withColumn("iteration", F.lit(n)).checkpoint()
+        asked = issues.drop("bucket") if resolved is None else unresolved(issues.drop("bucket"), resolved)
+        verdicts = stored(verify(asked, client, state).withColumn("iteration", F.lit(n)), "verdicts")
         if verdicts.isEmpty():
             break
-        changes = change_log(holdings, proposed_changes(verdicts, holdings)).withColumn("iteration", F.lit(n)).checkpoint()
+        proposed = stored(proposed_changes(verdicts, state), "proposed")
+        touched = proposed.where("status = 'APPLIED'").select("doc_id", "table_idx", "holding_id").distinct()
+        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")
+        changed = sorted(r[0] for r in touched.select(bucket).distinct().collect())  # BUCKETS rows at most
+        inside = F.col("bucket").isin(changed) if changed else F.lit(False)
+        changes = stored(change_log(state.where(inside), proposed).withColumn("iteration", F.lit(n)), "changes")
         ledger = verdicts if ledger is None else ledger.unionByName(verdicts)
         log = changes if log is None else log.unionByName(changes)
         done = resolved_issues(verdicts, changes)
-        resolved = (done if resolved is None else resolved.union(done)).checkpoint()
-        if changes.where("status = 'APPLIED'").isEmpty():
+        resolved = stored(done if resolved is None else resolved.union(done), "resolved")
+        if not changed:
             break
-        holdings = apply_changes(holdings, changes).checkpoint()
+        fixed = in_buckets(apply_changes(state.where(inside), changes).drop("bucket"), "holdings")
+        state = state.where(~inside).unionByName(fixed)
+        if n < iterations:
+            own = None if members is None else members.where(inside)
+            again = revalidated(issues.where(inside).drop("bucket"), fixed, totals.where(inside), touched, tolerance, own)
+            issues = issues.where(~inside).unionByName(in_buckets(again, "issues"), allowMissingColumns=True)
     if ledger is None:
         ledger = verdicts
-        log = change_log(holdings, proposed_changes(verdicts, holdings)).withColumn("iteration", F.lit(0))
-    return holdings, ledger, log
-
-
+        log = change_log(state, proposed_changes(verdicts, state)).withColumn("iteration", F.lit(0))
+    return state.select(columns), ledger, log

@@ -7,13 +7,15 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import cells as X
 from .tables import END, NO_TABLES, START
 
 _RESPONSE = "doc_id string, first_page int, last_page int, text string, finish_reason string"
 
 
 class PageReader(Protocol):
-    """What reads page images. It must be picklable; tasks call it, and it retries on its own."""
+    """What reads page images. It must be picklable; tasks call it. ``journal.JournaledReader`` adds retries, and
+    answers that outlive a task."""
 
     def read(self, doc_id: str, pages: list[tuple[int, bytes]]) -> tuple[str, str | None]:
         """Text in the delimited format, and why it ended (STOP where it is whole)."""
@@ -74,3 +76,31 @@ def _rebatched(pages: DataFrame, size: int) -> DataFrame:
     order = Window.partitionBy("doc_id", "first_page").orderBy("page_number")
     nth = F.floor((F.row_number().over(order) - 1) / size) * size
     return pages.withColumn("batch_idx", (F.col("first_page") + nth).cast("int"))
+
+
+class AccountReader(Protocol):
+    """What looks for accounts in a whole statement. It must be picklable; tasks call it."""
+
+    def accounts(self, doc_id: str) -> str:
+        """JSON array of objects with account_type and account_number, in the document's order."""
+
+
+def supplied_accounts(docs: DataFrame, client: AccountReader) -> DataFrame:
+    """doc_id, account_idx, kind, number: the accounts that the model finds in each document (doc_id), one call for each.
+
+    Entries without a type or a number are left out; an answer that is no such array gives no accounts. Store the result
+    before using it twice.
+    """
+
+    def ask(frames):
+        import pandas as pd
+
+        for frame in frames:
+            for doc in frame["doc_id"]:
+                yield pd.DataFrame({"doc_id": [doc], "answer": [client.accounts(doc)]})
+
+    answers = docs.select("doc_id").distinct().mapInPandas(ask, "doc_id string, answer string")
+    found = F.from_json(X.unfenced(F.col("answer")), "array<struct<account_type:string,account_number:string>>")
+    trimmed = F.transform(found, lambda a: F.struct(F.trim(a["account_type"]).alias("kind"), F.trim(a["account_number"]).alias("number")))
+    usable = F.filter(trimmed, lambda a: F.coalesce((a["kind"] != "") & (a["number"] != ""), F.lit(False)))
+    return answers.select("doc_id", F.posexplode(usable).alias("account_idx", "a")).select("doc_id", "account_idx", "a.kind", "a.number")

@@ -136,6 +136,13 @@ def extract_holdings(tables: DataFrame, supplied: DataFrame | None = None) -> Da
     return holdings.select("doc_id", "table_idx", "row_idx", "holding_id", *COLUMNS)
 
 
+def named_rows(tables: DataFrame) -> DataFrame:
+    """doc_id, table_idx, row_idx and the security's name of every row of holdings tables that is no total: by these a table
+    finds its holdings again."""
+    rows = table_rows(with_columns_resolved(prepared(tables))).where(F.col("description").isNotNull() & ~X.is_total(F.col("description")))
+    return rows.select("doc_id", "table_idx", "row_idx", X.security_name(F.col("description")).alias("name")).where("name <> ''")
+
+
 def stated_totals(tables: DataFrame) -> DataFrame:
     """doc_id, table_idx and, per amount, the sum of the tables' own sub-section totals.
 

@@ -62,14 +62,42 @@ def extraction_failures(failed: DataFrame) -> DataFrame:
     return failed.select(null().alias("holding_id"), null().alias("name"), F.lit("extraction_failures").alias("category"), null().alias("field"), message.alias("message"), "doc_id")
 
 
-def find_issues(holdings: DataFrame, totals: DataFrame, tolerance: float = TOLERANCE, failed: DataFrame | None = None) -> DataFrame:
-    """All issues of holdings with doc_id and table_idx: records, totals, failed pages."""
-    issues = record_issues(holdings, ("doc_id", "table_idx")).unionByName(mismatch_issues(reconcile(holdings, totals, ["doc_id", "table_idx"], tolerance)), allowMissingColumns=True)
+def find_issues(holdings: DataFrame, totals: DataFrame, tolerance: float = TOLERANCE, failed: DataFrame | None = None, members: DataFrame | None = None) -> DataFrame:
+    """All issues of holdings with doc_id and table_idx: records, totals, failed pages.
+
+    ``members`` (doc_id, table_idx, holding_id) says which holdings count for a table; without it each counts for its own.
+    """
+    keys = ["doc_id", "table_idx"]
+    counted = holdings if members is None else members.select(*keys, "holding_id").join(holdings.drop(*keys), "holding_id")
+    issues = record_issues(holdings, tuple(keys)).unionByName(mismatch_issues(reconcile(counted, totals, keys, tolerance)), allowMissingColumns=True)
     if failed is not None:
         issues = issues.unionByName(extraction_failures(failed), allowMissingColumns=True)
+    return _with_ids(issues)
+
+
+def _with_ids(issues: DataFrame) -> DataFrame:
     return issues.withColumn("issue_id", F.sha2(F.concat_ws("\x1f", "doc_id", "table_idx", "holding_id", "category", "field"), 256))
 
 
+def revalidated(issues: DataFrame, holdings: DataFrame, totals: DataFrame, touched: DataFrame, tolerance: float = TOLERANCE, members: DataFrame | None = None) -> DataFrame:
+    """``issues`` after a change of the ``touched`` holdings (doc_id, table_idx, holding_id): those of touched holdings and tables
+    are found anew, the others are kept. The result is that of find_issues over everything.
+    """
+    ids = touched.select("holding_id").distinct()
+    own = holdings.select("doc_id", "table_idx", "holding_id") if members is None else members.select("doc_id", "table_idx", "holding_id")
+    tables = own.join(ids, "holding_id", "left_semi").select("doc_id", "table_idx").distinct()
+    keys = ["doc_id", "table_idx"]
+    of_holdings, of_tables = issues.where("holding_id is not null"), issues.where("holding_id is null")
+    mismatch = F.col("category") == "total_mismatches"
+    kept = of_holdings.join(ids, "holding_id", "left_anti").unionByName(of_tables.where(mismatch).join(tables, keys, "left_anti")).unionByName(of_tables.where(~mismatch))
+
+    records = record_issues(holdings.join(ids, "holding_id", "left_semi"), ("doc_id", "table_idx"))
+    counted = holdings.join(tables, keys, "left_semi") if members is None else members.join(tables, keys, "left_semi").select(*keys, "holding_id").join(holdings.drop(*keys), "holding_id")
+    sums = mismatch_issues(reconcile(counted, totals.join(tables, keys, "left_semi"), keys, tolerance))
+    found = records.unionByName(sums, allowMissingColumns=True)
+    return kept.select(issues.columns).unionByName(_with_ids(found), allowMissingColumns=True)
+
+
 def issue_counts(issues: DataFrame) -> DataFrame:
     """A row with the count of each category, 0 included."""
     unknown = F.when(~F.col("category").isin(*CATEGORIES), F.raise_error(F.concat(F.lit("unknown category "), F.col("category"))))

@@ -27,8 +27,10 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` and read it back: later steps neither repeat its work nor depend on executors' disks."""
+def stored(df: DataFrame, label: str, *folders: str) -> DataFrame:
+    """Write ``df`` and read it back: later steps neither repeat its work nor depend on executors' disks. ``folders`` are
+    columns by whose values the files are divided; they come last in the schema."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
+    order = [c for c in df.columns if c not in folders] + list(folders)
+    return df.sparkSession.read.schema(df.select(order).schema).parquet(path)

@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.operators import correct, extract, parse, validate
+from tallyspark.operators import correct, extract, journal, matching, parse, validate
 from tallyspark.sources import readers, writers
 
 TABLE = "doc_id string, table_idx int, rows array<array<string>>"
@@ -176,7 +176,7 @@ def test_two_step_mismatches(statement, holdings):
 def test_names_match_as_substrings(spark):
     names = ["ACME Corp (New)", "acme", "a", None, "Other acme corp"]
     fragments = ["acme corp", "A", "(new", "zzz", ""]
-    got = correct.match_names(spark.createDataFrame([(f, f) for f in fragments], "fragment_id string, fragment string"), spark.createDataFrame(list(enumerate(names)), "holding_id int, name string"))
+    got = matching.match_names(spark.createDataFrame([(f, f) for f in fragments], "fragment_id string, fragment string"), spark.createDataFrame(list(enumerate(names)), "holding_id int, name string"))
     want = {(f, i) for f in fragments if f for i, n in enumerate(names) if n and f.lower() in n.lower()}
     assert {(r.fragment, r.holding_id) for r in got.collect()} == want and got.count() == len(want)
 
@@ -184,6 +184,159 @@ def test_names_match_as_substrings(spark):
 # -- files
 
 
+@pytest.mark.parametrize("hot", [10_000, 2, 0])
+def test_names_with_a_string_that_all_have(spark, hot):
+    """One string is in every name; fragments are looked up by their rarest ones, hot ones by two together."""
+    names = [(k, f"FUND OF {k % 7} and {'x' * (k % 5)} {k}", k % 3) for k in range(300)] + [(900, None, 1), (901, "", 1), (902, "fun", 1)]
+    fragments = ["fund of 3", "FUND", "d of 5 and xx", "and", "n", "zz", "", "fund of 9", "12", " xxxx "]
+    asked = spark.createDataFrame([(f"{f}/{g}", f, g) for f in [*fragments, None] for g in range(3)], "fragment_id string, fragment string, g int")
+    held = spark.createDataFrame(names, "holding_id int, name string, g int")
+    for within in ((), ("g",)):
+        got = sorted((r.fragment_id, r.holding_id) for r in matching.match_names(asked, held, within, hot).collect())
+        want = sorted((f"{f}/{g}", i) for f in fragments for g in range(3) for i, n, h in names if f and n and f in n.lower() or f and n and f.lower() in n.lower() if not within or g == h)
+        assert got == want
+
+
+def test_rows_find_holdings_by_sixty_characters(spark):
+    long = "A VERY LONG NAME OF A SECURITY THAT GOES ON FOR MORE THAN SIXTY CHARACTERS"
+    held = spark.createDataFrame([("a", 0, "h1", long + " SERIES A"), ("a", 1, "h2", long.lower() + " series b"), ("b", 0, "h3", long), ("a", 2, "h4", "ACME"), ("a", 2, "h5", "New Acme Corp")], "doc_id string, table_idx int, holding_id string, name string")
+    rows = spark.createDataFrame([("a", 0, 0, long + " SERIES A"), ("a", 1, 0, "acme"), ("a", 1, 1, "acme"), ("b", 0, 0, "nothing"), ("b", 1, 0, None), ("b", 1, 1, "  ")], "doc_id string, table_idx int, row_idx int, name string")
+    got = sorted(tuple(r) for r in matching.reassigned(rows, held).collect())
+    assert got == [("a", 0, 0, "h1"), ("a", 0, 0, "h2"), ("a", 1, 0, "h4"), ("a", 1, 0, "h5"), ("a", 1, 1, "h4"), ("a", 1, 1, "h5")]
+
+
+def many_holdings(spark, docs=30):
+    """Documents of two tables with three holdings, every third with something wrong."""
+    rows, totals = [], []
+    for d in range(docs):
+        for t in range(2):
+            for k in range(3):
+                value = -5 if (d + k) % 9 == 0 else 10
+                rows.append((f"d{d}", t, k, f"d{d}-{t}-{k}", f"name {k} of {d}", None if (d + t) % 7 == 0 and k == 1 else "S", "acc", "Taxable", 1, None if d % 11 == 0 and k == 0 else 3, value))
+            totals.append((f"d{d}", t, None, None, 30, None, None))
+    amounts = "decimal(20,6)"
+    holdings = spark.createDataFrame([(*r[:8], *map(str_or_none, r[8:])) for r in rows], "doc_id string, table_idx int, row_idx int, holding_id string, name string, symbol string, account string, account_type string, quantity string, cost_basis string, market_value string")
+    holdings = holdings.withColumns({c: F.col(c).cast(amounts) for c in ("quantity", "cost_basis", "market_value")} | {c: F.lit("1").cast(amounts) for c in ("unrealized_gl", "est_annual_income")})
+    given = spark.createDataFrame([(*r[:2], *map(str_or_none, r[2:])) for r in totals], "doc_id string, table_idx int, quantity string, cost_basis string, market_value string, unrealized_gl string, est_annual_income string")
+    return holdings, given.withColumns({c: F.col(c).cast(amounts) for c in ("quantity", "cost_basis", "market_value", "unrealized_gl", "est_annual_income")})
+
+
+def str_or_none(x):
+    return None if x is None else str(x)
+
+
+class Doubter:
+    """Finds a negative value of document d0 or d9 wrong, everything else as printed."""
+
+    def verify(self, category, issues):
+        wrong = lambda i: category == "negative_values" and any(f" of {d}" in i["message"][-6:] for d in (0, 9))
+        return json.dumps([{"issue_id": i["issue_id"], "verdict": "FALSE POSITIVE" if wrong(i) else "CONFIRMED" if category != "missing_symbol" else "?", "corrected_value": "10" if wrong(i) else None} for i in issues])
+
+
+@pytest.mark.parametrize("by_name", [False, True])
+def test_rounds_validate_what_has_changed(spark, monkeypatch, by_name):
+    holdings, totals = many_holdings(spark)
+    sources = holdings.select("doc_id", "table_idx", "row_idx", "name") if by_name else None
+    seen, plain = [], validate.revalidated
+
+    def watched(issues, rows, totals, touched, tolerance, members):
+        out = plain(issues, rows, totals, touched, tolerance, members)
+        seen.append((rows, totals, touched, issues, out))
+        return out
+
+    monkeypatch.setattr(correct, "revalidated", watched)
+    fixed, ledger, log = correct.self_correct(holdings, totals, Doubter(), sources=sources)
+    assert len(seen) == 1
+    rows, some_totals, touched, before, after = seen[0]
+    assert {r.doc_id for r in touched.collect()} <= {"d0", "d9"} and touched.count() > 0
+    assert rows.count() < holdings.count() / 4 and some_totals.count() < totals.count() / 4  # only buckets with a change
+    # the same issues as from scratch, in the buckets that were read again and in all
+    docs = [r.doc_id for r in rows.select("doc_id").distinct().collect()]
+    own = fixed.where(F.col("doc_id").isin(docs))
+    counted = own if sources is None else matching.reassigned(sources, own).join(own.drop("doc_id", "table_idx", "row_idx"), "holding_id")
+    records = validate.record_issues(own, ("doc_id", "table_idx"))
+    sums = validate.mismatch_issues(validate.reconcile(counted, totals.where(F.col("doc_id").isin(docs)), ["doc_id", "table_idx"]))
+    want = records.unionByName(sums, allowMissingColumns=True)
+    shown = lambda df: sorted(map(str, ((r.doc_id, r.table_idx, r.holding_id, r.category, r.field, r.message, r.expected, r.calculated) for r in df.collect())))
+    assert shown(after) == shown(want)
+    assert float(fixed.where("holding_id = 'd0-0-0'").first().market_value) == 10
+    second = ledger.where("iteration = 2")
+    # by name, the holdings of both tables count for each
+    assert second.where("category = 'total_mismatches' and doc_id = 'd0'").count() == (2 if by_name else 0) and second.where("category = 'missing_symbol'").count() > 0
+
+
+class Moody:
+    """Fails twice before each answer, and writes down what it was asked."""
+
+    def __init__(self, path, failures=2):
+        self.path, self.failures = str(path), failures
+
+    def _asked(self, key):
+        from pathlib import Path
+
+        tries = Path(self.path, key)
+        n = int(tries.read_text()) if tries.exists() else 0
+        tries.write_text(str(n + 1))
+        if n < self.failures:
+            raise journal.Unavailable("busy")
+
+    def read(self, doc_id, pages):
+        self._asked("-".join(map(str, [doc_id, *(n for n, _ in pages)])))
+        return f"===TABLE_START===\nA|B\n{pages[0][0]}|x\n===TABLE_END===", "STOP"
+
+    def verify(self, category, issues):
+        self._asked(category)
+        return json.dumps([{"issue_id": i["issue_id"], "verdict": "CONFIRMED"} for i in issues])
+
+    def accounts(self, doc_id):
+        self._asked(doc_id)
+        return '```json\n[{"account_type": " Roth IRA ", "account_number": "1"}, {"account_type": "", "account_number": "2"}, {"account_type": "Trust", "account_number": "3"}]\n```'
+
+
+def test_a_task_that_runs_again_asks_nothing(spark, tmp_path):
+    from pathlib import Path
+
+    asked, answers = tmp_path / "asked", f"file://{tmp_path}/answers"
+    asked.mkdir()
+    pages = spark.createDataFrame([(d, k, bytes([k])) for d in ("a", "b") for k in range(1, 9)], "doc_id string, page_number int, image binary")
+    reader = journal.JournaledReader(Moody(asked), answers, delay=0)
+    batches = extract.batched(pages, 4).groupBy("doc_id", "batch_idx").applyInPandas(extract._ask(reader), extract._RESPONSE)
+    first, again = (sorted(map(tuple, batches.collect())) for _ in range(2))  # the tasks run twice
+    assert first == again and len(first) == 4 and all("===TABLE_END===" in r[3] for r in first)
+    assert {p.name: p.read_text() for p in Path(asked).iterdir()} == {f"{d}-{'-'.join(map(str, range(a, a + 4)))}": "3" for d in ("a", "b") for a in (1, 5)}
+    holdings, totals = many_holdings(spark, 4)
+    client = journal.JournaledClient(Moody(asked), answers, delay=0)
+    issues = validate.find_issues(holdings, totals)
+    for _ in range(2):
+        verdicts = correct.verify(issues, client, holdings)
+        assert verdicts.where("verdict = 'CONFIRMED'").count() > 0
+    assert all(Path(asked, c).read_text() == "3" for c in ("negative_values", "missing_symbol", "missing_data") if Path(asked, c).exists())
+
+
+def test_requests_that_keep_failing(tmp_path):
+    asked = tmp_path / "asked"
+    asked.mkdir()
+    waits = []
+    assert journal.retried(lambda: Moody(asked, 99)._asked("x"), 5, 2, 5, waits.append) is None
+    assert waits == [2, 4, 5, 5]
+    reader = journal.JournaledReader(Moody(asked, 4), str(tmp_path / "answers"), 3, 0)
+    assert reader.read("d", [(1, b"")]) == ("NO_TABLES_FOUND", None)  # not written down, so asked again
+    assert reader.read("d", [(1, b"")])[1] == "STOP"
+    with pytest.raises(ZeroDivisionError):
+        journal.retried(lambda: 1 / 0)
+    client = journal.JournaledClient(Moody(asked, 99), str(tmp_path / "answers"), 2, 0)
+    assert client.verify("c", [{"issue_id": "1"}]) == "[]"
+
+
+def test_accounts_from_the_model(spark, tmp_path):
+    asked = tmp_path / "asked"
+    asked.mkdir()
+    client = journal.JournaledClient(Moody(asked), str(tmp_path / "answers"), delay=0)
+    docs = spark.createDataFrame([("one",), ("two",), ("one",)], "doc_id string")
+    got = sorted(tuple(r) for r in extract.supplied_accounts(docs, client).collect())
+    assert got == [(d, k, *a) for d in ("one", "two") for k, a in enumerate((("Roth IRA", "1"), ("Trust", "3")))]
+
+
 def test_tables_round_trip(spark, statement, tmp_path):
     writers.write_tables(statement, f"{tmp_path}/out")
     parts = sorted((tmp_path / "out").glob("doc_id=s/table=*/part-*"))
