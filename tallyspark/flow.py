@@ -37,7 +37,7 @@ def extract_flow(spark: SparkSession, config: Config, reader: extract.PageReader
     responses, failed = extract.read_batches(pages, reader, config.batch_size)
     found = tables.drop_repeated_tables(tables.merge_shared_headers(tables.parse_responses(responses)))
     found = tables.renumbered(found).checkpoint()
-    writers.write_tables(found, f"{config.output}/tables")
+    writers.write_tables(found, f"{config.output}/tables", config.table_prefix)
     writers.write_manifest(writers.manifest(pages, responses, found, failed), f"{config.output}/manifest")
     return Extracted(found, failed)
 

@@ -18,6 +18,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from ..storage import arrow_files
 from .tables import NO_TABLES
 
 
@@ -55,13 +56,8 @@ class Journal:
 
     path: str
 
-    def _files(self):
-        from pyarrow import fs
-
-        return fs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("file:") else (fs.LocalFileSystem(), self.path)
-
     def get(self, key: str):
-        files, root = self._files()
+        files, root = arrow_files(self.path)
         try:
             with files.open_input_stream(f"{root}/{key[:2]}/{key}.json") as stream:
                 return json.loads(stream.read())
@@ -70,7 +66,7 @@ class Journal:
 
     def put(self, key: str, answer: object) -> object:
         """Write the answer down unless there is one; returns the one that is there."""
-        files, root = self._files()
+        files, root = arrow_files(self.path)
         folder = f"{root}/{key[:2]}"
         files.create_dir(folder, recursive=True)
         draft = f"{folder}/.{key}-{uuid.uuid4().hex}"

@@ -5,20 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.tables import padded
 from ..schema import FIELDS
+from . import numbered
 
 
-def write_tables(tables: DataFrame, path: str) -> None:
-    """Tables as CSV, a folder for each document and table (from 1), rows padded to one width.
-
-    Earlier output at ``path`` is replaced. A table's rows are in order within its one file.
-    """
-    numbered = tables.select("doc_id", (F.col("table_idx") + 1).alias("table"), F.posexplode(padded(F.col("rows"))).alias("row_idx", "row"))
-    quoted = lambda c: F.when(c.rlike('[",\r\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
-    lines = numbered.select("doc_id", "table", "row_idx", F.array_join(F.transform("row", quoted), ",").alias("value"))
-    ordered = lines.repartition("doc_id", "table").sortWithinPartitions("doc_id", "table", "row_idx")
-    ordered.select("doc_id", "table", "value").write.mode("overwrite").partitionBy("doc_id", "table").text(path)
+def write_tables(tables: DataFrame, path: str, prefix: str = "table_") -> None:
+    """Tables as CSV files ``{path}/{doc_id}/{prefix}{n}.csv``, numbered from 1, rows padded to one width, as
+    ``readers.read_numbered_csvs`` reads them. Earlier files of this prefix at ``path`` are replaced."""
+    numbered.register(tables.sparkSession)
+    tables.select("doc_id", "table_idx", "rows").write.format(numbered.FORMAT).option("prefix", prefix).mode("overwrite").save(path)
 
 
 def manifest(pages: DataFrame, responses: DataFrame, tables: DataFrame, failed: DataFrame) -> DataFrame:

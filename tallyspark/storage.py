@@ -23,6 +23,16 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def arrow_files(path: str):
+    """The filesystem and inner path of a path or URI that tasks open by themselves (local, hdfs, s3, gs)."""
+    from pyarrow import fs
+
+    if "://" in path or path.startswith("file:"):
+        scheme, _, rest = path.partition(":")
+        return fs.FileSystem.from_uri(f"file:///{rest.lstrip('/')}" if scheme == "file" else path)
+    return fs.LocalFileSystem(), path
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 

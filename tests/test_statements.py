@@ -338,15 +338,15 @@ def test_accounts_from_the_model(spark, tmp_path):
 
 
 def test_tables_round_trip(spark, statement, tmp_path):
-    writers.write_tables(statement, f"{tmp_path}/out")
-    parts = sorted((tmp_path / "out").glob("doc_id=s/table=*/part-*"))
-    assert len(parts) == len(STATEMENT)
     folder = tmp_path / "csv" / "s"
-    folder.mkdir(parents=True)
-    for p in parts:
-        (folder / f"t_{p.parent.name.partition('=')[2]}.csv").write_text(p.read_text())
+    writers.write_tables(statement, f"{tmp_path}/csv", "t_")
+    assert sorted(p.name for p in folder.iterdir()) == [f"t_{n}.csv" for n in range(1, len(STATEMENT) + 1)]
+    assert [p.name for p in (tmp_path / "csv").iterdir()] == ["s"]  # nothing staged is left
     (folder / "notes.csv").write_text("x")
     (folder / "t_9.csv").write_text('"two\nlines",b\n1,"a ""quoted"" cell"\n')
+    for path in (f"{tmp_path}/csv", f"file://{tmp_path}/csv"):
+        again = sorted((tuple(r) for r in readers.read_numbered_csvs(spark, path, "t_").collect()))
+        assert again == sorted((tuple(r) for r in readers.read_numbered_csvs(spark, f"{tmp_path}/csv/*/*.csv", "t_").collect()))
     got = {r.table_idx: r.rows for r in readers.read_numbered_csvs(spark, f"{tmp_path}/csv/*/*.csv", "t_").collect()}
     widest = [max(map(len, t)) for t in STATEMENT]
     assert {i: got[i] for i in range(len(STATEMENT))} == {i: [r + [""] * (w - len(r)) for r in t] for i, (t, w) in enumerate(zip(STATEMENT, widest, strict=True))}
@@ -357,6 +357,52 @@ def test_tables_round_trip(spark, statement, tmp_path):
     assert [(r.name, r.value) for r in one.where("value <> ''").orderBy("row_idx").collect()] == [("ACME CORP (ACME)", "$50.00"), ("SHORT CO (SHRT)", "(10.00)"), ("NO SYMBOL FUND", "3.00")]
 
 
+def test_numbered_files(spark, tmp_path, monkeypatch):
+    """Many documents, odd names and cells; written twice, read in packs."""
+    from tallyspark.sources import numbered
+
+    cells = ['"', "a,b", "two\nlines", "", " padded ", "é"]
+    rows = [(f"file:/in/{d} +%.zip", t, [[f"{d}.{t}", cells[(d + t) % 6]], ["x"]]) for d in range(25) for t in range(8)]
+    for n in (200, 120):  # fewer the second time: the earlier ones are replaced
+        writers.write_tables(spark.createDataFrame(rows[:n], TABLE).repartition(7), f"{tmp_path}/many", "n_")
+        got = sorted(tuple(r) for r in readers.read_numbered_csvs(spark, f"{tmp_path}/many", "n_").collect())
+        assert got == sorted((d, t, [[a, b.strip()], ["x", ""]]) for d, t, ((a, b), _) in rows[:n])
+    assert sorted(tuple(r) for r in readers.read_numbered_csvs(spark, f"{tmp_path}/many/*/*.csv", "n_").collect()) == got
+    assert {len(p.paths) for p in numbered.NumberedReader(f"{tmp_path}/many", "n_").partitions()} == {120}
+    monkeypatch.setattr(numbered, "MANY", 50)
+    assert [len(p.paths) for p in numbered.NumberedReader(f"{tmp_path}/many", "n_").partitions()] == [50, 50, 20]
+    before = sorted(tmp_path.glob("many/*/*"))
+    twice = spark.createDataFrame([("d", 0, [["a"]]), ("d", 0, [["b"]])], TABLE)
+    for bad in (twice.coalesce(1), twice.repartition(2), spark.createDataFrame([(None, 0, [["a"]])], TABLE)):
+        with pytest.raises(Exception, match="one number|can't be named"):
+            writers.write_tables(bad, f"{tmp_path}/many", "n_")
+        assert sorted(tmp_path.glob("many/*/*")) == before  # an aborted write leaves what was there
+    writers.write_tables(spark.createDataFrame([], TABLE), f"{tmp_path}/many", "n_")
+    assert readers.read_numbered_csvs(spark, f"{tmp_path}/many", "n_").collect() == []
+
+
+def test_reports_in_two_encodings(spark, tmp_path):
+    lines = ["MISSING DATA (1)", "- Missing Cost Basis for Café – “A” €", "", "negative values", "  -  Negative Quantity = -1 for Ž", "MISSING SYMBOL (0)"]
+    (tmp_path / "a.txt").write_bytes("\r\n".join(lines).encode("windows-1252"))
+    (tmp_path / "b.txt").write_bytes("\n".join(["- before any title", *lines]).encode())
+    (tmp_path / "c.txt").write_bytes(b"")
+    got = [(r.file.rpartition("/")[2], r.category, r.message) for r in readers.read_issue_report(spark, str(tmp_path)).orderBy("file", "seq").collect()]
+    assert got == [(f, c, m) for f in ("a.txt", "b.txt") for c, m in (("missing_data", lines[1][2:]), ("negative_values", "Negative Quantity = -1 for Ž"))]
+    # a file that is read in several parts
+    many = [f"{t.upper()} ({k})\n" + "".join(f"- {t} {k} {n}\n" for n in range(400)) for k in range(3) for t in readers.SECTIONS]
+    (tmp_path / "long").mkdir()
+    (tmp_path / "long" / "d.txt").write_text("".join(many))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        back = readers.read_issue_report(spark, f"{tmp_path}/long")
+        rows = back.orderBy("seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.message for r in rows] == [f"{t} {k} {n}" for k in range(3) for t in readers.SECTIONS for n in range(400)]
+    assert all(readers.SECTIONS[r.message.rsplit(" ", 2)[0]] == r.category for r in rows)
+
+
 def test_holdings_round_trip(spark, holdings, tmp_path):
     writers.write_holdings_csv(holdings, f"{tmp_path}/h")
     back = readers.read_holdings_csv(spark, f"{tmp_path}/h")
@@ -400,6 +446,90 @@ def test_pages(spark, tmp_path):
         readers.read_pages(spark, str(tmp_path)).collect()
 
 
+def test_a_large_archive_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    with zipfile.ZipFile(tmp_path / "large.zip", "w") as z:
+        for n in range(2000):
+            z.writestr(f"page_{n}.png", f"image {n}")
+    pages = readers.read_pages(spark, str(tmp_path)).withColumn("task", F.spark_partition_id())
+    rows = pages.orderBy("page_number").collect()
+    assert [(r.page_number, bytes(r.image)) for r in rows] == [(n + 1, f"image {n}".encode()) for n in range(2000)]
+    tasks = [r["count"] for r in pages.groupBy("task").count().collect()]
+    assert len(tasks) > 10 and max(tasks) <= 8 * readers.RUN_PAGES
+
+
+def picture(height, width, samples, seed=0):
+    import numpy as np
+
+    y, x = np.mgrid[:height, :width]
+    waves = [128 + 90 * np.sin(x / (7 + s)) * np.cos(y / (5 + s)) for s in range(samples)]
+    return np.stack(waves, -1).astype(np.uint8)
+
+
+@pytest.mark.parametrize("samples", [1, 2, 3, 4])
+def test_png_round_trip(samples):
+    import numpy as np
+
+    from tallyspark.sources import images
+
+    pixels = picture(33, 47, samples)
+    assert (images.png_pixels(images.png_bytes(pixels)) == pixels).all()
+    # every filter, in mixed order, applied pixel by pixel
+    rng, step = np.random.default_rng(1), samples
+    flat = pixels.reshape(33, -1).astype(int)
+    lines = np.zeros((33, flat.shape[1] + 1), np.uint8)
+    for r in range(33):
+        kind = int(rng.integers(5))
+        lines[r, 0] = kind
+        for c in range(flat.shape[1]):
+            left, up = (flat[r, c - step] if c >= step else 0), (flat[r - 1, c] if r else 0)
+            corner = flat[r - 1, c - step] if r and c >= step else 0
+            p = left + up - corner
+            paeth = min((abs(p - left), 0, left), (abs(p - up), 1, up), (abs(p - corner), 2, corner))[2]
+            lines[r, c + 1] = (flat[r, c] - (0, left, up, (left + up) // 2, paeth)[kind]) % 256
+    assert (images._unfiltered(lines, step) == flat).all()
+    with pytest.raises(ValueError, match="checksum"):
+        images.png_pixels(images.png_bytes(pixels)[:60] + b"x" + images.png_bytes(pixels)[61:])
+
+
+def test_small_depths_and_palettes():
+    import struct
+    import zlib
+
+    import numpy as np
+
+    from tallyspark.sources import images
+
+    def png(head, lines, **chunks):
+        chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+        return images.SIGNATURE + chunk(b"IHDR", struct.pack(">IIBBBBB", *head)) + b"".join(chunk(k.encode(), v) for k, v in chunks.items()) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+    assert images.png_pixels(png((5, 1, 1, 0, 0, 0, 0), b"\0\xa8"))[..., 0].tolist() == [[255, 0, 255, 0, 255]]
+    palette = images.png_pixels(png((2, 1, 4, 3, 0, 0, 0), b"\0\x10", PLTE=bytes([1, 2, 3, 4, 5, 6]), tRNS=b"\x80"))
+    assert palette.tolist() == [[[4, 5, 6, 255], [1, 2, 3, 128]]]
+    assert images.png_pixels(png((1, 1, 16, 0, 0, 0, 0), b"\0\x12\x34")).tolist() == [[[0x12]]]
+    assert images.png_pixels(png((1, 1, 8, 0, 0, 0, 1), b"\0\0")) is None and images.png_pixels(b"jpeg") is None
+    assert np.array_equal(images.png_pixels(png((2, 1, 8, 2, 0, 0, 0), b"\0abcdef")), np.array([[[97, 98, 99], [100, 101, 102]]]))
+
+
+def test_images_obey_one_bound(spark, tmp_path):
+    import numpy as np
+
+    from tallyspark.sources import images
+
+    flat = np.full((40, 90, 3), 77, np.uint8)
+    assert (images.resampled(flat, 31, 17) == 77).all()  # a plain area stays as it is, at the edges too
+    smooth = picture(200, 300, 1)
+    half = images.resampled(smooth, 150, 100).astype(int)
+    means = smooth.reshape(100, 2, 150, 2).mean((1, 3))
+    assert np.abs(half[5:-5, 5:-5, 0] - means[5:-5, 5:-5]).max() < 6
+    assert images.bounded(4000, 1000, 2048) == (2048, 512) and images.bounded(10, 3000, 100) == (1, 100) and images.bounded(5, 5, 5) == (5, 5)
+    with zipfile.ZipFile(tmp_path / "p.zip", "w") as z:
+        for name, pixels in (("1.png", picture(60, 240, 3)), ("2.png", picture(30, 20, 1))):
+            z.writestr(name, images.png_bytes(pixels))
+    got = {r.page_number: images.png_pixels(bytes(r.image)).shape for r in readers.read_pages(spark, str(tmp_path), largest=100).collect()}
+    assert got == {1: (25, 100, 3), 2: (30, 20, 1)}
+
+
 class Reader:
     """A model that is cut off on page 9, and on any batch of more than three pages."""
 
