@@ -216,38 +216,63 @@ def header_key(rows: Column) -> Column:
     return F.array_join(F.transform(F.element_at(rows, 1), lambda h: F.lower(F.trim(h))), "\x1f")
 
 
-def _without_overlap(merged: Column, table: Column, safe: bool) -> Column:
-    """merged (structs of cells, fingerprint) with the new rows of table behind it.
+def _repeated(fingerprints: list[str], tail, safe: bool) -> int:
+    """How many of a table's first rows repeat what ``tail`` has."""
+    known, n = set(tail), 0
+    for k, fingerprint in enumerate(fingerprints, 1):
+        if fingerprint in known:
+            n = k
+        elif safe:
+            break
+    return n
 
-    Rows up to the last one that is among the last OVERLAP_TAIL of merged are taken for repeats. With
-    ``safe``, only an unbroken run of repeats from the table's start is, so no row is lost.
-    """
-    tail = F.transform(F.slice(merged, F.greatest(F.size(merged) - OVERLAP_TAIL + 1, F.lit(1)), F.lit(OVERLAP_TAIL)), lambda r: r["fp"])
-    seen = F.transform(table, lambda r: F.array_contains(tail, r["fp"]))
-    run = F.aggregate(seen, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda a, s: F.struct((a["n"] + F.when(a["on"] & s, 1).otherwise(0)).alias("n"), (a["on"] & s).alias("on")))["n"]
-    last = F.aggregate(F.transform(seen, lambda s, i: F.when(s, i + 1).otherwise(0)), F.lit(0), lambda a, n: F.greatest(a, n))
-    skip = run if safe else last
-    return F.concat(merged, F.slice(table, skip + 1, F.size(table)))
+
+def _trimmed(safe: bool):
+    """Tables as they come, by island and place, without the rows that repeat the island's last OVERLAP_TAIL."""
+
+    def run(batches):
+        from collections import deque
+
+        import pyarrow as pa
+
+        island, tail = None, deque(maxlen=OVERLAP_TAIL)
+        for batch in batches:
+            skipped = []
+            for doc, nth, prints in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "__island", "__prints")), strict=True):
+                if (doc, nth) != island:
+                    island, n = (doc, nth), 0
+                    tail.clear()
+                else:
+                    n = _repeated(prints, tail, safe)
+                tail.extend(prints[n:])
+                skipped.append(n)
+            yield batch.drop_columns(["__prints"]).append_column("__skipped", pa.array(skipped, pa.int32()))
+
+    return run
 
 
 def merge_shared_headers(tables: DataFrame, safe: bool = True) -> DataFrame:
     """Neighbouring tables of a document with one header, each with data, as one table.
 
-    Islands come from the previous table's header; the tables of an island are then appended in order,
-    without the rows that overlap what is there.
+    Islands come from the previous table's header. An island's tables pass a task in order, which keeps the fingerprints of the
+    last OVERLAP_TAIL rows and says how many rows of each table are repeats: those up to the last one that is among
+    these. With ``safe``, only an unbroken run of repeats from the table's start is taken for repeats, so no
+    row is lost. What is left is then put together at once.
     """
     order = Window.partitionBy("doc_id").orderBy("table_idx")
     keyed = tables.withColumns({"__key": header_key(F.col("rows")), "__data": F.size("rows") > 1})
     joins = (F.col("__key") == F.lag("__key").over(order)) & F.col("__data") & F.lag("__data").over(order) & (F.col("__key") != "")
     keyed = keyed.withColumn("__joins", F.coalesce(joins, F.lit(False)))
     keyed = keyed.withColumn("__island", F.sum(F.when(F.col("__joins"), 0).otherwise(1)).over(order))
-    data = F.transform(F.slice("rows", F.lit(2), F.size("rows")), lambda r: F.struct(r.alias("cells"), row_fingerprint(r).alias("fp")))
-    islands = keyed.groupBy("doc_id", "__island").agg(F.array_sort(F.collect_list(F.struct("table_idx", "rows", data.alias("data")))).alias("parts"))
-    first = F.element_at("parts", 1)
-    rest = F.slice("parts", F.lit(2), F.size("parts"))
-    merged = F.aggregate(rest, first["data"], lambda acc, part: _without_overlap(acc, part["data"], safe))
-    rows = F.concat(F.slice(first["rows"], 1, 1), F.transform(merged, lambda r: r["cells"]))
-    return islands.select("doc_id", first["table_idx"].alias("table_idx"), rows.alias("rows"))
+    data = F.slice("rows", F.lit(2), F.size("rows"))
+    rows = keyed.select("doc_id", "__island", "table_idx", "__joins", "rows", F.transform(data, row_fingerprint).alias("__prints"))
+    dealt = rows.repartition("doc_id", "__island").sortWithinPartitions("doc_id", "__island", "table_idx")
+    kind = tables.schema["doc_id"].dataType.simpleString()
+    index = tables.schema["table_idx"].dataType.simpleString()
+    trimmed = dealt.mapInArrow(_trimmed(safe), f"doc_id {kind}, __island bigint, table_idx {index}, __joins boolean, rows array<array<string>>, __skipped int")
+    left = F.when(F.col("__joins"), F.slice("rows", F.col("__skipped") + 2, F.size("rows"))).otherwise(F.col("rows"))
+    parts = trimmed.select("doc_id", "__island", F.struct("table_idx", left.alias("rows")).alias("part")).groupBy("doc_id", "__island").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    return parts.select("doc_id", F.col("parts")[0]["table_idx"].alias("table_idx"), F.flatten(F.col("parts")["rows"]).alias("rows"))
 
 
 def drop_repeated_tables(tables: DataFrame) -> DataFrame:

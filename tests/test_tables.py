@@ -100,6 +100,16 @@ def test_merge_shared_headers(spark, safe):
     assert got == {d: merged_model(ts, safe) for d, ts in docs.items()}
 
 
+@pytest.mark.parametrize("safe", [True, False])
+def test_an_island_of_ten_thousand_tables(spark, safe):
+    """Each table begins with the last two rows of the one before."""
+    n, step = 10_000, 3
+    df = spark.range(n).selectExpr("'d' AS doc_id", "CAST(id AS INT) AS table_idx", f"concat(array(array('A', 'B')), transform(sequence(CASE WHEN id = 0 THEN 0 ELSE id * {step} - 2 END, id * {step} + {step - 1}), k -> array('row', CAST(k AS STRING)))) AS rows").repartition(5)
+    got = T.merge_shared_headers(df, safe).collect()
+    assert len(got) == 1 and got[0].table_idx == 0
+    assert got[0].rows == [["A", "B"], *(["row", str(k)] for k in range(n * step))]
+
+
 def test_repeated_tables(spark):
     data = [("d", 0, [["H"], ["a", "1"]]), ("d", 1, [["H"]]), ("d", 2, [["Other"], ["A ", "1"]]), ("d", 3, [["H"]]), ("e", 0, [["H"], ["a", "1"]])]
     got = T.drop_repeated_tables(spark.createDataFrame(data, TABLE)).orderBy("doc_id", "table_idx").collect()
