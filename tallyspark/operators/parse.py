@@ -45,11 +45,17 @@ def resolve_column(header: Column, field: str) -> Column:
     return F.coalesce(*map(first_with, X.COLUMN_KEYWORDS[field])).cast("int")
 
 
-def match_field(field: Column, column: Column, ignored: tuple[str, ...] = ("the", "a", "an", "of", "est")) -> Column:
-    """Whether a free-text field means a column: one contains the other, or they share a telling word."""
-    a, b = F.lower(F.trim(field)), F.lower(F.trim(column))
-    words = lambda t: F.array_except(F.split(t, r"[^a-z0-9]+"), F.array(*map(F.lit, ("", *ignored))))
-    return a.contains(b) | b.contains(a) | F.arrays_overlap(words(a), words(b))
+def _shares_word(a: Column, b: Column, ignored: tuple[str, ...]) -> Column:
+    words = lambda t: F.array_except(F.regexp_extract_all(t, F.lit("[a-z]+"), 0), F.array(*map(F.lit, ignored)))
+    return F.arrays_overlap(words(a), words(b))
+
+
+def matching_column(header: Column, field: Column, ignored: tuple[str, ...] = ("the", "a", "an", "of", "est")) -> Column:
+    """1-based place of the first named column that contains a free-text field or is contained in it, else of the first
+    that shares a telling word; null where none does."""
+    sought, names = F.lower(F.trim(field)), F.transform(header, lambda h: F.lower(F.trim(h)))
+    first = lambda test: F.nullif(F.array_position(F.transform(names, lambda h: F.coalesce((h != "") & (sought != "") & test(h), F.lit(False))), True), F.lit(0))
+    return F.coalesce(first(lambda h: h.contains(sought) | sought.contains(h)), first(lambda h: _shares_word(sought, h, ignored))).cast("int")
 
 
 # -- tables of a document, one row each: doc_id, table_idx, rows

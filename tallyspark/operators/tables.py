@@ -128,7 +128,7 @@ def merge_split_securities(rows: Column) -> Column:
     def step(done: Column, row: Column) -> Column:
         above = F.element_at(done, -1)
         alike = (_first(row) != "") & (leading(_first(row)) == leading(_first(above))) & (F.upper(_first(row)) != F.upper(_first(above)))
-        empty = F.forall(_values(row), blank)
+        empty = F.forall(_values(row), lambda v: F.trim(v) == "")
         borrowed = F.exists(_values(above), lambda v: ~blank(v)) & ~_first(row).rlike(DATE_OR_NUMBER)
         joins = (F.size(done) > 0) & alike & (empty | borrowed)
         return F.when(joins, _with_last(done, absorbed(above, row))).otherwise(F.concat(done, F.array(row)))
@@ -137,10 +137,12 @@ def merge_split_securities(rows: Column) -> Column:
 
 
 def strip_lot_codes(rows: Column) -> Column:
-    """Data rows without holding-period codes: an N behind a date makes way for the cells after it, a
+    """Data rows without holding-period codes: Ns behind a date make way for the cells after them, a
     code on its own leaves an empty cell, a code behind a number goes."""
     def row_of(row: Column) -> Column:
-        kept = F.filter(row, lambda c, i: ~((i > 0) & (F.upper(F.trim(c)) == "N") & F.coalesce(F.try_element_at(row, i).rlike(DATED), F.lit(False))))
+        code = lambda c: F.upper(F.trim(c)) == "N"
+        before = lambda i: F.try_element_at(F.filter(F.slice(row, F.lit(1), i), lambda c: ~code(c)), F.lit(-1))
+        kept = F.filter(row, lambda c, i: ~((i > 0) & code(c) & F.coalesce(before(i).rlike(DATED), F.lit(False))))
         padded = F.concat(kept, F.array_repeat(F.lit(""), F.size(row) - F.size(kept)))
         clean = lambda c: F.when(F.upper(F.trim(c)).isin(*LOT_CODES), "").otherwise(F.trim(F.regexp_replace(F.trim(c), CODE_BEHIND_NUMBER, "")))
         return F.transform(padded, lambda c, i: F.when(i == 0, c).otherwise(clean(c)))

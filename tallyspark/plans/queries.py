@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import cells as X
 from ..operators import correct, matching, parse, tables, validate, views
 from ..schema import holdings_oracle, table, testdata_holdings
+from . import shapes
 from .view_oracles import ORACLES as VIEW_ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,41 +173,50 @@ def row_fingerprint(spark, sf_dir):
     SELECT conv_id, MIN(turn) AS turn, MIN(role) AS role, COUNT(*) AS n FROM islands GROUP BY conv_id, island""")
 def islands(spark, sf_dir):
     """Neighbouring turns of one role, joined as tables with one header are."""
-    order = Window.partitionBy("conv_id").orderBy("turn")
-    rows = table(spark, sf_dir, "conversations").withColumn("opens", F.when(F.col("role") == F.lag("role").over(order), 0).otherwise(1))
-    rows = rows.withColumn("island", F.sum("opens").over(order))
-    return rows.groupBy("conv_id", "island").agg(F.min("turn").alias("turn"), F.min("role").alias("role"), F.count("*").alias("n")).drop("island")
+    rows = F.array(F.array(F.col("role")), F.array(F.col("turn").cast("string")))
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("table_idx"), rows.alias("rows"))
+    merged = tables.merge_shared_headers(turns)
+    return merged.select(F.col("doc_id").alias("conv_id"), F.col("table_idx").alias("turn"), F.col("rows")[0][0].alias("role"), (F.size("rows") - 1).cast("bigint").alias("n"))
 
 
 @query("t12_keep_last", "SELECT source, lang, MAX(doc_id) AS doc_id FROM documents GROUP BY source, lang, text")
 def keep_last(spark, sf_dir):
-    """Of documents with one text in a source, the last."""
+    """Of documents with one text in a source, the last: a source and language is a statement, a document a table of one row."""
     docs = table(spark, sf_dir, "documents")
-    last = F.row_number().over(Window.partitionBy("source", "lang", F.sha2("text", 256)).orderBy(F.desc("doc_id")))
-    return docs.select("source", "lang", "doc_id", last.alias("n")).where("n = 1").drop("n")
+    rows = F.array(F.array(F.lit("text")), F.array(F.concat(F.lit("0"), F.sha2("text", 256))))
+    kept = tables.drop_repeated_tables(docs.select(F.struct("source", "lang").alias("doc_id"), F.col("doc_id").alias("table_idx"), rows.alias("rows")))
+    return kept.select("doc_id.source", "doc_id.lang", F.col("table_idx").alias("doc_id"))
 
 
 # -- columns and carried values
 
 
+_HEADS = ("Quantity", "Ending Market Value Accrued Interest (AI)", "Total Cost Basis", "Unrealized Gain/Loss", "Est. Annual Income (EAI)", "Est. Yield (EY)", "Cost Basis", "Price", "Coupon Rate", "Ending Value")
+
+
 def _keyword_oracle() -> str:
-    heads = "(VALUES ('Quantity'), ('Ending Market Value Accrued Interest (AI)'), ('Total Cost Basis'), ('Unrealized Gain/Loss'), ('Est. Annual Income (EAI)'), ('Est. Yield (EY)'), ('Cost Basis'), ('Price'), ('Coupon Rate'), ('Ending Value')) AS h(title)"
-    cases = ", ".join(f"{_labels('lower(title)', [(k, str(i)) for i, k in enumerate(ks)], 'NULL')} AS {field}" for field, ks in X.COLUMN_KEYWORDS.items())
-    return f"SELECT title, {cases} FROM {heads}"
+    heads = f"SELECT p_partkey, concat(['{"', '".join(_HEADS)}'][p_partkey % 10 + 1], ' ', p_size) AS title FROM part"
+    cases = ", ".join(f"CASE WHEN {' OR '.join(f"contains(lower(title), '{k}')" for k in ks)} THEN 2 END AS {field}" for field, ks in X.COLUMN_KEYWORDS.items())
+    return f"SELECT p_partkey, title, {cases} FROM ({heads})"
 
 
 @query("c1_keyword_priority", _keyword_oracle())
 def keyword_priority(spark, sf_dir):
-    """For each header and field, which keyword, by priority, the header has."""
-    titles = ["Quantity", "Ending Market Value Accrued Interest (AI)", "Total Cost Basis", "Unrealized Gain/Loss", "Est. Annual Income (EAI)", "Est. Yield (EY)", "Cost Basis", "Price", "Coupon Rate", "Ending Value"]
-    rows = spark.createDataFrame([(t,) for t in titles], "title string")
-    return rows.select("title", *(X.first_label(F.lower("title"), [(k, str(i)) for i, k in enumerate(ks)]).alias(field) for field, ks in X.COLUMN_KEYWORDS.items()))
+    """Whether a part's title is a column for each field, in a header of that title and another."""
+    title = F.concat(F.element_at(F.array(*map(F.lit, _HEADS)), (F.col("p_partkey") % 10).cast("int") + 1), F.lit(" "), F.col("p_size").cast("string"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", title.alias("title"))
+    return rows.select("p_partkey", "title", *(parse.resolve_column(F.array(F.lit("-"), F.col("title")), field).alias(field) for field in X.COLUMN_KEYWORDS))
 
 
-@query("h2_carry_forward", f"SELECT user_id, event_id, last_value(heading IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS heading FROM ({_oracle(EVENT_ROWS, 'events')})")
+@query("h2_carry_forward", f"""WITH rows AS ({_oracle(EVENT_ROWS, "events")}), told AS (SELECT *, CASE substr(heading, 2) WHEN '0' THEN 'Equities' WHEN '1' THEN 'Fixed Income' WHEN '2' THEN 'Funds' WHEN '3' THEN 'Cash & Equivalents' WHEN '4' THEN 'Equities' END AS own FROM rows)
+    SELECT user_id, event_id, coalesce(asset_class, 'Fixed Income') AS asset_class FROM (SELECT *, last_value(own IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS asset_class FROM told) WHERE heading IS NULL""")
 def carry_forward(spark, sf_dir):
-    above = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return _derived(spark, EVENT_ROWS, sf_dir, "events").select("user_id", "event_id", F.last("heading", ignorenulls=True).over(above).alias("heading"))
+    """A user's events as rows of a table: errors are category headers, the others bonds of one name, which below no header are told by it."""
+    headings = F.array(*map(F.lit, ("Common Stock", "Municipal Bonds", "Bond Funds", "Cash & Sweep", "Common Stock")))
+    heading = F.element_at(headings, F.substring("heading", 2, 1).cast("int") + 1)
+    amount = F.when(F.col("heading").isNull(), F.lit(1).cast("decimal(20,6)"))
+    rows = _derived(spark, EVENT_ROWS, sf_dir, "events").select(F.col("user_id").alias("doc_id"), F.lit(0).alias("table_idx"), F.col("event_id").alias("row_idx"), F.when(F.col("heading").isNull(), "Escrow Bond").otherwise(heading).alias("name"), F.when(F.col("heading").isNull(), "SYM").alias("symbol"), *(amount.alias(c) for c in ("quantity", "cost_basis", "market_value")))
+    return parse.carry_forward_class(rows).select(F.col("doc_id").alias("user_id"), F.col("row_idx").alias("event_id"), "asset_class")
 
 
 @query("j1_account_as_of", """WITH marked AS (SELECT user_id, event_id, SUM(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM events),
@@ -224,13 +234,16 @@ def account_as_of(spark, sf_dir):
 
 
 @query("f3_sub_totals", """WITH rows AS (SELECT *, l_linestatus = 'F' AS total, lag(l_linestatus = 'F', 1, false) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) AS above FROM lineitem)
-    SELECT l_suppkey, COUNT(*) AS n, SUM(CAST(l_quantity AS DECIMAL(12,2))) AS quantity FROM rows WHERE total AND NOT above GROUP BY l_suppkey""")
+    SELECT l_suppkey, CAST(SUM(CAST(l_quantity AS DECIMAL(12,2))) AS DECIMAL(30,6)) AS quantity, CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(30,6)) AS market_value FROM rows WHERE total AND NOT above GROUP BY l_suppkey""")
 def sub_totals(spark, sf_dir):
-    """Totals that aren't directly below another total."""
-    order = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey")
-    rows = table(spark, sf_dir, "lineitem").withColumn("total", F.col("l_linestatus") == "F")
-    rows = rows.withColumn("above", F.lag("total", 1, False).over(order)).where("total and not above")
-    return rows.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("quantity"))
+    """A supplier's line items as a table, of which finished ones are totals; those directly below another total aren't counted."""
+    line = table(spark, sf_dir, "lineitem")
+    text = lambda c: F.col(c).cast("decimal(12,2)").cast("string")
+    cells = F.array(F.concat(F.when(F.col("l_linestatus") == "F", "Total ").otherwise(""), F.lit("item")), text("l_quantity"), text("l_extendedprice"))
+    rows = line.groupBy("l_suppkey").agg(F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_partkey", cells.alias("cells")))).alias("rows"))
+    made = F.concat(F.array(F.array(F.lit("Description"), F.lit("Quantity"), F.lit("Ending Market Value"))), F.col("rows")["cells"])
+    found = parse.stated_totals(rows.select(F.col("l_suppkey").alias("doc_id"), F.lit(0).alias("table_idx"), made.alias("rows")))
+    return found.select(F.col("doc_id").alias("l_suppkey"), *(F.col(c).cast("decimal(30,6)").alias(c) for c in ("quantity", "market_value")))
 
 
 # -- rules
@@ -625,3 +638,117 @@ def stated_totals(spark, sf_dir):
     docs = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.lit(0).alias("table_idx"), made.alias("rows"))
     found = parse.stated_totals(docs)
     return found.select("doc_id", "table_idx", *(F.col(c).cast("decimal(30,6)").alias(c) for c in ("quantity", "market_value")))
+
+
+# -- repairs of tables of many shapes
+
+for _name, (_, _shapes) in shapes.REPAIRS.items():
+    QUERIES[_name] = lambda spark, sf_dir, name=_name: shapes.repaired(spark, sf_dir, name)
+    ORACLES[_name] = shapes.oracle(_shapes)
+QUERIES["t8_composition"], ORACLES["t8_composition"] = shapes.composed, shapes.oracle(shapes.ANSWERS)
+
+
+@query("t10_overlap_rules", """SELECT p_partkey AS doc_id, CAST(k AS INTEGER) AS table_idx, safe, CASE WHEN k = 5 THEN 'B|x' WHEN safe THEN CASE p_partkey % 4 WHEN 0 THEN 'A|a|b|c|d|e' WHEN 1 THEN 'A|a|b|c|n|b|e' WHEN 2 THEN 'A|a|b|c' ELSE 'A|a|b|c|p|q|r' END
+    ELSE CASE p_partkey % 4 WHEN 0 THEN 'A|a|b|c|d|e' WHEN 1 THEN 'A|a|b|c|e' WHEN 2 THEN 'A|a|b|c' ELSE 'A|a|b|c|p|q|r' END END AS names
+    FROM part, (VALUES (0), (5)) AS tables(k), (VALUES (true), (false)) AS rules(safe)""")
+def overlap_rules(spark, sf_dir):
+    """Three tables of a part under one header, and one under another: repeats at the start, a new row between repeats, nothing
+    new, and no repeat; by the rule that loses no row, and by the other."""
+    def rows(head: str, names: str):
+        return F.array(F.array(F.lit(head), F.lit("v")), *(F.array(F.lit(n), F.concat(F.lit(n), F.col("p_size").cast("string"))) for n in names))
+
+    part, kind = table(spark, sf_dir, "part"), F.col("p_partkey") % 4
+    second = F.when(kind == 0, rows("A", "bcd")).when(kind == 1, rows("A", "cnb")).when(kind == 2, rows("A", "abc")).otherwise(rows("A", "pq"))
+    third = F.when(kind == 0, rows("A", "de")).when(kind == 1, rows("A", "e")).when(kind == 2, rows("A", "c")).otherwise(rows("A", "qr"))
+    made = F.array(*(F.struct(F.lit(k).alias("table_idx"), r.alias("rows")) for k, r in ((0, rows("A", "abc")), (1, second), (3, third), (5, rows("B", "x")))))
+    docs = part.select(F.col("p_partkey").alias("doc_id"), F.explode(made).alias("t")).select("doc_id", "t.table_idx", "t.rows")
+    both = [tables.merge_shared_headers(docs, safe).withColumn("safe", F.lit(safe)) for safe in (True, False)]
+    return both[0].unionByName(both[1]).select("doc_id", "table_idx", "safe", F.array_join(F.transform("rows", lambda r: r[0]), "|").alias("names"))
+
+
+#: A free-text field, and the title that it means.
+_MEANT = [("Market Value", 4), ("cost basis", 3), ("Unrealized", 5), ("annual", 6), ("units of quantity", 2), ("loss or profit", 5), ("est of the", None), ("nothing", None), ("", None)]
+_FIELD_TITLES = ("Description", "Quantity", "Total Cost Basis", "Ending Market Value", "Unrealized Gain/Loss", "Est. Annual Income (EAI)", "Market Price", "")
+
+
+@query("c2_c3_matching_column", "SELECT p_partkey, CASE p_partkey % 9 " + " ".join(f"WHEN {k} THEN {'NULL' if at is None else f'CAST(({at - 1} + 8 - p_partkey % 8) % 8 + 1 AS INTEGER)'}" for k, (_, at) in enumerate(_MEANT)) + " END AS place FROM part")
+def matching_column(spark, sf_dir):
+    """Headers that begin with another of their columns for each part; containment comes before a shared word."""
+    turn = (F.col("p_partkey") % 8).cast("int")
+    titles = F.array(*map(F.lit, _FIELD_TITLES))
+    header = F.concat(F.slice(titles, turn + 1, F.lit(8)), F.slice(titles, F.lit(1), turn))
+    field = F.element_at(F.array(*(F.lit(f) for f, _ in _MEANT)), (F.col("p_partkey") % 9).cast("int") + 1)
+    return table(spark, sf_dir, "part").select("p_partkey", parse.matching_column(header, field).alias("place"))
+
+
+@query("r9_m11_mismatch_verdicts", """WITH told AS (SELECT *, CASE l_linenumber WHEN 1 THEN NULL ELSE CAST(l_quantity + l_linenumber * 0.25 - 1 AS DECIMAL(20,6)) END AS seen,
+        CASE l_returnflag WHEN 'R' THEN NULL WHEN 'A' THEN false ELSE true END AS total_ok, CASE l_linestatus WHEN 'F' THEN l_linenumber % 2 = 0 ELSE true END AS checks_ok, l_suppkey % 5 = 0 AS wrong FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN NOT checks_ok THEN 'NEEDS REVIEW' WHEN wrong THEN 'VALUES INCORRECT' WHEN NOT coalesce(total_ok, false) OR seen IS NULL THEN 'NEEDS REVIEW'
+        WHEN abs(seen - CAST(l_quantity AS DECIMAL(20,6))) <= 1 THEN 'CONFIRMED TRUE MISMATCH' ELSE 'BAD TOTAL PARSE' END AS verdict FROM told""")
+def mismatch_verdicts(spark, sf_dir):
+    """What two steps, reading the total and spot checks, conclude for each line item: a total that is off by up to 0.75."""
+    n = F.col("l_linenumber")
+    seen = F.when(n != 1, (F.col("l_quantity") + n * 0.25 - 1).cast("decimal(20,6)"))
+    total_ok = F.when(F.col("l_returnflag") != "R", F.col("l_returnflag") != "A")
+    checks_ok = F.when(F.col("l_linestatus") == "F", n % 2 == 0).otherwise(True)
+    wrong = F.when(F.col("l_suppkey") % 5 == 0, F.array(F.lit("x"))).when(F.col("l_suppkey") % 5 == 1, F.array())
+    return table(spark, sf_dir, "lineitem").select(*_KEY.split(", "), correct.mismatch_verdict(seen, total_ok, checks_ok, wrong, F.col("l_quantity").cast("decimal(20,6)")).alias("verdict"))
+
+
+_MESSAGES = " UNION ALL ".join(
+    [
+        *(f"SELECT holding_id, 'negative_values' AS category, concat('Negative {validate.TITLES[c]} = ', CAST({c} AS VARCHAR), ' for ', name) AS message FROM scaled WHERE {c} < 0" for c in validate.CHECKED),
+        "SELECT holding_id, 'abnormal_quantities', concat('Abnormally large quantity = ', format('{:,}', CAST(quantity AS BIGINT)), ' for ', name) FROM scaled WHERE quantity > 1000000",
+        "SELECT holding_id, 'missing_symbol', concat('Missing Symbol/CUSIP for ', name) FROM scaled WHERE symbol IS NULL OR symbol = ''",
+        *(f"SELECT holding_id, 'missing_data', concat('Missing {validate.TITLES[c]} for ', name) FROM scaled WHERE {c} IS NULL" for c in validate.CHECKED),
+    ]
+)
+_SCALED = f"scaled AS (SELECT * REPLACE (CAST(quantity * 50000 AS DECIMAL(20,6)) AS quantity) FROM ({holdings_oracle()}))"
+
+
+def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holdings with quantities of up to 2,500,000."""
+    return testdata_holdings(spark, sf_dir).withColumn("quantity", (F.col("quantity") * 50000).cast("decimal(20,6)"))
+
+
+@query("x15_messages", f"WITH {_SCALED} {_MESSAGES}")
+def messages(spark, sf_dir):
+    return validate.record_issues(_scaled(spark, sf_dir)).select("holding_id", "category", "message")
+
+
+@query("k5_report", f"""WITH {_SCALED}, told AS ({_MESSAGES}) SELECT concat('- ', message) AS line, COUNT(*) AS n FROM told GROUP BY message
+    UNION ALL SELECT concat(upper(replace(category, '_', ' ')), ' (', COUNT(*), ')'), 1 FROM told GROUP BY category""")
+def report(spark, sf_dir):
+    """All lines of the issue report, bullets and titles; equal lines are counted."""
+    from ..sources.writers import issue_lines
+
+    return issue_lines(validate.record_issues(_scaled(spark, sf_dir))).groupBy("line").agg(F.count("*").alias("n"))
+
+
+_OFF = """totals AS (SELECT l_suppkey, l_linenumber, SUM(CAST(l_quantity AS DECIMAL(12,2))) AS quantity, SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS market_value FROM lineitem GROUP BY l_suppkey, l_linenumber),
+    off AS (SELECT l_suppkey, l_linenumber, 'Quantity' AS title, CAST(quantity + 7 AS DECIMAL(30,6)) AS expected, CAST(quantity AS DECIMAL(30,6)) AS calculated FROM totals WHERE l_suppkey % 2 = 0
+      UNION ALL SELECT l_suppkey, l_linenumber, 'Market Value', CAST(market_value * 2 AS DECIMAL(30,6)), CAST(market_value AS DECIMAL(30,6)) FROM totals WHERE l_linenumber > 3)"""
+
+
+@query("x9_mismatch_messages", f"""WITH {_OFF} SELECT CAST(l_suppkey AS VARCHAR) AS doc_id, CAST(l_linenumber AS INTEGER) AS table_idx, title AS field, CAST(l_linenumber + 1 AS INTEGER) AS table_number, CAST(expected AS DECIMAL(20,6)) AS expected,
+    CAST(abs(calculated - expected) AS DOUBLE) / CAST(abs(expected) AS DOUBLE) * 100 AS off_pct, concat('Table ', l_linenumber + 1, ': ', title, ' sum/total mismatch — Expected: $', format('{{:,.2f}}', CAST(expected AS DOUBLE)), ', Calculated: $', format('{{:,.2f}}', CAST(calculated AS DOUBLE))) AS message FROM off""")
+def mismatch_messages(spark, sf_dir):
+    """Tables off their stated totals as issues, whose messages are read again."""
+    from ..sources.readers import parse_issue
+
+    line = table(spark, sf_dir, "lineitem")
+    amounts = {"quantity": F.col("l_quantity"), "market_value": F.col("l_extendedprice")}
+    held = line.select(F.col("l_suppkey").cast("string").alias("doc_id"), F.col("l_linenumber").cast("int").alias("table_idx"), *(c.cast("decimal(12,2)").alias(n) for n, c in amounts.items()), *(F.lit(None).cast("decimal(20,6)").alias(c) for c in ("cost_basis", "unrealized_gl", "est_annual_income")))
+    sums = held.groupBy("doc_id", "table_idx").agg(F.sum("quantity").alias("quantity"), F.sum("market_value").alias("market_value"))
+    stated = sums.select("doc_id", "table_idx", F.when(F.col("doc_id").cast("int") % 2 == 0, F.col("quantity") + 7).alias("quantity"), F.when(F.col("table_idx") > 3, F.col("market_value") * 2).alias("market_value"), *(F.lit(None).cast("decimal(30,6)").alias(c) for c in ("cost_basis", "unrealized_gl", "est_annual_income")))
+    found = validate.reconcile(held, stated, ["doc_id", "table_idx"])
+    issues = validate.mismatch_issues(found).join(found.select("doc_id", "table_idx", "field", "off_pct"), ["doc_id", "table_idx", "field"])
+    told = parse_issue(F.col("message"))
+    return issues.select("doc_id", "table_idx", told["field"].alias("field"), told["table_number"].alias("table_number"), told["expected"].alias("expected"), "off_pct", "message")
+
+
+@query("u7_all_changes", f"{_WITH_HOLDINGS}, changed AS ({_CHANGED}) SELECT holding_id, \"column\", CAST(CAST(old_value AS DECIMAL(20,6)) AS VARCHAR) AS old_value, CAST(CAST(new_value AS DECIMAL(20,6)) AS VARCHAR) AS new_value FROM changed UNION ALL SELECT holding_id, 'symbol', symbol, concat('NEW', length(holding_id)) FROM holdings WHERE {_TURN} = 0 AND (symbol IS NULL OR symbol = '')")
+def all_changes(spark, sf_dir):
+    """The change log as text, symbols included."""
+    rows, verdicts = _judged(spark, sf_dir)
+    return correct.change_log(rows, correct.proposed_changes(verdicts, rows)).where("status = 'APPLIED'").select("holding_id", "column", "old_value", "new_value")

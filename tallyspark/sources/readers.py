@@ -48,11 +48,12 @@ def read_holdings_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_one_table(tables: DataFrame, number: int, field: str) -> DataFrame:
     """name and value of one prepared table's rows, by table number (from 1) and the field's free-text
     name; no rows where the table or a column for the field is missing."""
-    from ..operators.parse import match_field
+    from ..operators.parse import matching_column
 
     one = tables.where(F.col("table_idx") == number - 1).where(F.array_contains("header", "Description"))
-    place = F.array_position(F.transform("header", lambda h: (h != "Description") & match_field(F.lit(field), h, ("the", "a", "of"))), True)
-    rows = one.withColumn("at", place.cast("int")).where("at > 0").select("header", "at", F.posexplode("data").alias("row_idx", "row"))
+    names = F.transform("header", lambda h: F.when(h == "Description", "").otherwise(h))
+    place = matching_column(names, F.lit(field), ("the", "a", "of"))
+    rows = one.withColumn("at", place).where("at > 0").select("header", "at", F.posexplode("data").alias("row_idx", "row"))
     description = F.try_element_at("row", F.array_position("header", "Description").cast("int"))
     return rows.select("row_idx", description.alias("name"), F.try_element_at("row", F.col("at")).alias("value")).where("name <> '' and not name rlike '(?i)^\\\\s*total'")
 

@@ -83,8 +83,10 @@ def test_columns_by_priority(spark):
     header = ["Description", "Cost Basis", "Total Cost Basis", "Coupon Rate", "Yield", "Ending Market Value Accrued Interest (AI)"]
     row = spark.createDataFrame([(header,)], "h array<string>").select(*(parse.resolve_column(F.col("h"), f).alias(f) for f in ("cost_basis", "yield", "market_value", "quantity"))).first()
     assert tuple(row) == (3, 4, 6, None)
-    fits = spark.createDataFrame([("Market Value sum/total", "Market Value"), ("est. income", "Est. Annual Income"), ("the price", "Quantity")], "a string, b string")
-    assert [r[0] for r in fits.select(parse.match_field(F.col("a"), F.col("b"))).collect()] == [True, True, False]
+    titles = ["", "Market Price", "Quantity", "Ending Market Value", "Est. Annual Income (EAI)"]
+    asked = spark.createDataFrame([("Market Value", 4), ("est. income", 5), ("the price", 2), ("a value", 4), ("of the est", None), ("", None), (None, None), ("QUANTITY held", 3)], "f string, at int")
+    found = asked.select("at", parse.matching_column(F.array(*map(F.lit, titles)), F.col("f")).alias("got"))
+    assert [r for r in found.collect() if r.at != r.got] == []
 
 
 def test_supplied_accounts(spark):
