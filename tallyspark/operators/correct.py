@@ -31,26 +31,40 @@ class ModelClient(Protocol):
         """JSON array with an object for each issue (issue_id, verdict, reason, corrected values).
 
         Issues hold issue_id, message, expected, calculated (mismatches) and holdings (JSON: the issue's
-        holding, or its table's). For a mismatch, total_ok with pdf_total (the total as read) and checks_ok
-        with phase1_corrections (holdings spot-checked) may take the verdict's place.
+        holding; mismatches of one table come together, the first with all of the table's). For a
+        mismatch, total_ok with pdf_total (the total as read) and checks_ok with phase1_corrections (holdings
+        spot-checked) may take the verdict's place.
         """
 
 
 # -- verdicts
 
 
-_ASKED = ("issue_id", "message", "expected", "calculated", "holdings")
+_ASKED = ("issue_id", "message", "expected", "calculated")
+_SHOWN = ("holding_id", "name", "symbol", "account", "quantity", "cost_basis", "market_value", "unrealized_gl", "est_annual_income")
 
 
 def with_holdings(issues: DataFrame, holdings: DataFrame) -> DataFrame:
-    """issues with ``holdings``: what the model needs to know of the issue's holding, or of all holdings of
-    its table (tens of rows) where it names none, as a JSON array."""
-    shown = F.struct("holding_id", "name", "symbol", "account", "quantity", "cost_basis", "market_value", "unrealized_gl", "est_annual_income")
-    own = holdings.select("holding_id", F.to_json(F.array(shown)).alias("__own"))
-    tables = holdings.groupBy("doc_id", "table_idx").agg(F.to_json(F.array_sort(F.collect_list(shown))).alias("__all"))
-    told = issues.where("holding_id is not null").join(own, "holding_id", "left").withColumn("__all", F.lit(None).cast("string"))
-    rest = issues.where("holding_id is null").join(tables, ["doc_id", "table_idx"], "left").withColumn("__own", F.lit(None).cast("string"))
-    return told.unionByName(rest).withColumn("holdings", F.coalesce("__own", "__all")).drop("__own", "__all")
+    """issues but those of tables' totals, with ``holdings``: what the model needs to know of the issue's holding, as a JSON
+    array of one."""
+    shown = F.to_json(F.array(F.struct(*_SHOWN))).alias("holdings")
+    return issues.where("holding_id is not null or category <> 'total_mismatches'").join(holdings.select("holding_id", shown), "holding_id", "left")
+
+
+def of_tables(issues: DataFrame, holdings: DataFrame) -> DataFrame:
+    """doc_id, table_idx, issues, holdings: issues of totals by table, so a table's holdings (tens of rows) are sent once for
+    all its fields."""
+    keys = ["doc_id", "table_idx"]
+    asked = issues.where("holding_id is null and category = 'total_mismatches'")
+    if not {*keys} <= {*issues.columns}:
+        return issues.sparkSession.createDataFrame([], "doc_id string, table_idx int, issues array<struct<issue_id:string>>, holdings string")
+    rows = asked.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*_asked(asked)))).alias("issues"))
+    tables = holdings.join(rows.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.to_json(F.array_sort(F.collect_list(F.struct(*_SHOWN)))).alias("holdings"))
+    return rows.join(tables, keys, "left")
+
+
+def _asked(issues: DataFrame) -> list[Column]:
+    return [(F.col(c) if c in issues.columns else F.lit(None)).cast("string").alias(c) for c in _ASKED]
 
 
 def verify(issues: DataFrame, client: ModelClient, holdings: DataFrame | None = None) -> DataFrame:
@@ -59,19 +73,20 @@ def verify(issues: DataFrame, client: ModelClient, holdings: DataFrame | None =
     A category's issues are dealt by hash into calls of about PER_CALL. Store the result before using
     it twice: a second evaluation would call the model again.
     """
-    sizes = issues.groupBy("category").agg(F.ceil(F.count("*") / PER_CALL).alias("__calls"))
-    told = issues.withColumn("holdings", F.lit(None).cast("string")) if holdings is None else with_holdings(issues, holdings)
-    dealt = told.join(F.broadcast(sizes), "category")  # a row per category
-    asked = [(F.col(c) if c in dealt.columns else F.lit(None)).cast("string").alias(c) for c in _ASKED]
-    dealt = dealt.withColumn("__call", F.pmod(F.xxhash64("issue_id"), F.col("__calls"))).select("category", "__call", *asked)
+    alone = issues.withColumn("holdings", F.lit(None).cast("string")) if holdings is None else with_holdings(issues, holdings)
+    sizes = alone.groupBy("category").agg(F.ceil(F.count("*") / PER_CALL).alias("__calls"))
+    dealt = alone.join(F.broadcast(sizes), "category").withColumn("__call", F.pmod(F.xxhash64("issue_id"), F.col("__calls")))  # a row per category
+    names = [*_ASKED, "holdings"]
 
     def ask(pdf):
         import pandas as pd
 
-        rows = pdf[list(_ASKED)].astype(object).where(pdf[list(_ASKED)].notna(), None).to_dict("records")
+        rows = pdf[names].astype(object).where(pdf[names].notna(), None).to_dict("records")
         return pd.DataFrame({"answer": [client.verify(pdf["category"].iloc[0], rows)]})
 
-    answers = dealt.groupBy("category", "__call").applyInPandas(ask, "answer string")
+    answers = dealt.select("category", "__call", *_asked(alone), "holdings").groupBy("category", "__call").applyInPandas(ask, "answer string")
+    if holdings is not None:
+        answers = answers.unionByName(of_tables(issues, holdings).mapInPandas(_ask_of_tables(client), "answer string"))
     parsed = answers.select(F.explode(F.from_json(X.unfenced(F.col("answer")), ANSWER)).alias("a")).select("a.*").dropDuplicates(["issue_id"])
     judged = issues.join(parsed, "issue_id", "left")
     verdict = known_verdict(F.col("category"), F.col("verdict"))
@@ -82,6 +97,21 @@ def verify(issues: DataFrame, client: ModelClient, holdings: DataFrame | None =
     return judged.withColumn("verdict", verdict)
 
 
+def _ask_of_tables(client: ModelClient):
+    """A call for each table; only its first issue carries the holdings."""
+
+    def run(frames):
+        import pandas as pd
+
+        for frame in frames:
+            for issues, held in zip(frame["issues"], frame["holdings"], strict=True):
+                rows = [dict(i.asDict() if hasattr(i, "asDict") else i) for i in issues]
+                rows = [r | {"holdings": held if k == 0 else None} for k, r in enumerate(rows)]
+                yield pd.DataFrame({"answer": [client.verify("total_mismatches", rows)]})
+
+    return run
+
+
 def known_verdict(category: Column, verdict: Column) -> Column:
     v = F.upper(F.trim(verdict))
     allowed = F.when(category == "total_mismatches", v.isin(TRUE_MISMATCH, BAD_TOTAL, VALUES_INCORRECT)).when(category == "missing_account", v.isin(RESOLVED, CONFIRMED)).otherwise(v.isin(CONFIRMED, FALSE_POSITIVE))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import cells as X
 from ..operators import correct, matching, parse, tables, validate, views
-from ..schema import holdings_oracle, table, testdata_holdings
+from ..schema import COLUMNS, holdings_oracle, table, testdata_holdings
+from ..storage import arrow_files, fresh_path, shared_root, stored
 from . import shapes
 from .view_oracles import ORACLES as VIEW_ORACLES
 
@@ -386,7 +387,7 @@ def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         "corrected_cost_basis": F.lit("$1,234.50"), "corrected_value": F.lit("-77.25"), "account_type": nothing, "account_number": nothing,
         "phase1_corrections": F.lit(None).cast("array<struct<name:string,parsed_value:string,pdf_value:string,match:boolean,corrected_value:string>>"),
     })
-    return rows, found
+    return rows, stored(found, "verdicts")
 
 
 _TURN = "length(holding_id) % 3"
@@ -523,7 +524,7 @@ _H3_ACCOUNT = "CASE WHEN l_linenumber = 1 THEN 'Unknown Account' WHEN l_linenumb
     CASE WHEN l_linenumber = 1 THEN 'Unknown' WHEN l_linenumber <= 4 THEN 'Taxable' ELSE 'Tax-Exempt' END AS account_type FROM lineitem JOIN part ON l_partkey = p_partkey""")
 def extract_holdings(spark, sf_dir):
     """Printed tables back to holdings: headers, columns, accounts as of a table, classes carried down."""
-    found = parse.extract_holdings(_statements(spark, sf_dir))
+    found = parse.extract_holdings(stored(_statements(spark, sf_dir), "statements"))  # read for accounts, markers and rows
     return found.select("doc_id", "table_idx", "symbol", "name", "asset_class", "quantity", "market_value", "cost_basis", "account", "account_type")
 
 
@@ -752,3 +753,134 @@ def all_changes(spark, sf_dir):
     """The change log as text, symbols included."""
     rows, verdicts = _judged(spark, sf_dir)
     return correct.change_log(rows, correct.proposed_changes(verdicts, rows)).where("status = 'APPLIED'").select("holding_id", "column", "old_value", "new_value")
+
+
+# -- sources, sinks and calls of a model, over files and answers that are derived from the tables
+
+
+@query("k1_s5_numbered_tables", """WITH lines AS (SELECT CAST(l_suppkey AS VARCHAR) AS doc_id, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY ALL)
+    SELECT doc_id, CAST(l_linenumber * 2 + 1 AS INTEGER) AS table_idx, n + 3 AS n_rows, 4 * (n + 3) AS n_cells FROM lines
+    UNION ALL SELECT doc_id, t, CASE WHEN t = 0 THEN 4 ELSE 2 END, CASE WHEN t = 0 THEN 8 ELSE 4 END FROM (SELECT DISTINCT doc_id FROM lines), (VALUES (0), (4), (10), (12)) AS others(t)""")
+def numbered_tables(spark, sf_dir):
+    """Statements written as numbered CSV files and read back."""
+    from ..sources import readers, writers
+
+    path = fresh_path(spark, "numbered-tables")
+    writers.write_tables(_statements(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("string")), path)
+    read = readers.read_numbered_csvs(spark, path, "table_")
+    return read.select("doc_id", "table_idx", F.size("rows").cast("bigint").alias("n_rows"), F.aggregate("rows", F.lit(0).cast("bigint"), lambda n, r: n + F.size(r)).alias("n_cells"))
+
+
+@query("k4_s9_holdings_csv", f"SELECT {', '.join(COLUMNS)} FROM ({holdings_oracle()})")
+def holdings_csv(spark, sf_dir):
+    """Holdings written as CSV under their titles and read back."""
+    from ..sources import readers, writers
+
+    path = fresh_path(spark, "holdings-csv")
+    writers.write_holdings_csv(testdata_holdings(spark, sf_dir), path)
+    return readers.read_holdings_csv(spark, path)
+
+
+@query("s8_issue_report", f"WITH {_SCALED}, told AS ({_MESSAGES}) SELECT category, message, COUNT(*) AS n FROM told GROUP BY category, message")
+def issue_report(spark, sf_dir):
+    """The report written as text and read back: each bullet under its title, though files are split."""
+    from ..sources import readers, writers
+
+    path = fresh_path(spark, "issue-report")
+    writers.write_text(writers.issue_lines(validate.record_issues(_scaled(spark, sf_dir))).coalesce(1), path)
+    return readers.read_issue_report(spark, path).groupBy("category", "message").agg(F.count("*").alias("n"))
+
+
+@query("k6_verdict_lines", f"""{_WITH_HOLDINGS}, issues AS ({_ISSUES}) SELECT CAST(holding_id AS VARCHAR) AS holding_id, 1 AS iteration, category, concat('[', CASE {_TURN} WHEN 0 THEN 'FALSE POSITIVE' WHEN 1 THEN 'CONFIRMED' ELSE 'NEEDS REVIEW' END, '] ', holding_id, '/', field, CASE WHEN {_TURN} = 1 THEN ' — as printed' ELSE '' END) AS line FROM issues""")
+def verdict_lines(spark, sf_dir):
+    """The ledger's text lines, from a ledger that is stored by iteration and read again."""
+    from ..sources import writers
+
+    path = fresh_path(spark, "ledger")
+    verdicts = _judged(spark, sf_dir)[1]
+    told = verdicts.select("category", "verdict", F.concat_ws("/", "holding_id", "field").alias("message"), F.when(F.col("verdict") == correct.CONFIRMED, "as printed").alias("reason"), F.lit(1).alias("iteration"))
+    writers.append_ledger(told, path)
+    lines = writers.verdict_lines(spark.read.parquet(path))
+    return lines.select(F.regexp_extract("line", r"\] ([^/]+)/", 1).alias("holding_id"), "iteration", "category", "line")
+
+
+def _archived(path: str):
+    """Pages by archive, each written as one ZIP file."""
+
+    def run(pdf):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        from ..storage import arrow_files
+
+        files, root = arrow_files(path)
+        raw = io.BytesIO()
+        with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
+            for page, html in zip(pdf["page_id"], pdf["html"], strict=True):
+                archive.writestr(f"page {page}.png", html or "")
+        with files.open_output_stream(f"{root}/{pdf['archive'].iloc[0]}.zip") as out:
+            out.write(raw.getvalue())
+        return pd.DataFrame({"n": [len(pdf)]})
+
+    return run
+
+
+@query("s1_s3_archive_pages", """SELECT CAST(page_id // 100 AS VARCHAR) AS archive, CAST(ROW_NUMBER() OVER (PARTITION BY page_id // 100 ORDER BY page_id) AS INTEGER) AS page_number, md5(coalesce(html, '')) AS content, 'image/png' AS media_type FROM pages""")
+def archive_pages(spark, sf_dir):
+    """Raw pages put into archives of a hundred, and read as page images by runs of pages; what is no image stays as it is."""
+    from ..sources import readers
+
+    path = fresh_path(spark, "archives")
+    pages = table(spark, sf_dir, "pages").select("page_id", "html", F.floor(F.col("page_id") / 100).cast("string").alias("archive"))
+    arrow_files(path)[0].create_dir(arrow_files(path)[1], recursive=True)
+    pages.groupBy("archive").applyInPandas(_archived(path), "n bigint").agg(F.sum("n")).collect()
+    read = readers.read_pages(spark, f"{path}/*.zip")
+    return read.select(F.regexp_extract("doc_id", r"([^/]+)\.zip$", 1).alias("archive"), "page_number", F.md5("image").alias("content"), "media_type")
+
+
+class _Overfull:
+    """A reader whose answers are cut off for batches with a page number that ten divides, unless it is alone."""
+
+    def read(self, doc_id: str, pages: list[tuple[int, bytes]]) -> tuple[str, str | None]:
+        numbers = [n for n, _ in pages]
+        return ",".join(map(str, numbers)), None if len(numbers) > 1 and any(n % 10 == 0 for n in numbers) else "STOP"
+
+
+@query("m5_m6_adaptive_batches", """WITH numbered AS (SELECT CAST(page_id % 9 AS VARCHAR) AS doc_id, page_id AS p, ROW_NUMBER() OVER (PARTITION BY page_id % 9 ORDER BY page_id) - 1 AS n FROM pages),
+    whole AS (SELECT *, bool_or(p % 10 = 0) OVER (PARTITION BY doc_id, n // 7) AS cut7, bool_or(p % 10 = 0) OVER (PARTITION BY doc_id, n // 7, n % 7 // 3) AS cut3 FROM numbered),
+    batches AS (SELECT doc_id, MIN(p) AS first_page, string_agg(p, ',' ORDER BY p) AS text FROM whole GROUP BY doc_id, n // 7, CASE WHEN cut7 THEN n % 7 // 3 END, CASE WHEN cut7 AND cut3 THEN n END)
+    SELECT doc_id, CAST(ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY first_page) - 1 AS INTEGER) AS batch_idx, text FROM batches""")
+def adaptive_batches(spark, sf_dir):
+    """Batches of seven pages, asked again in threes and ones where answers are cut off."""
+    from ..operators.extract import read_batches
+
+    pages = table(spark, sf_dir, "pages").select((F.col("page_id") % 9).cast("string").alias("doc_id"), F.col("page_id").alias("page_number"), F.lit(b"").alias("image"))
+    shared_root(spark)  # the rounds are checkpointed
+    return read_batches(pages, _Overfull())[0]
+
+
+class _Accounts:
+    """A model that finds a fund's account and an entry without a number in each document."""
+
+    def accounts(self, doc_id: str) -> str:
+        return f'```json\n[{{"account_type": " Trust ", "account_number": "{doc_id}-1"}}, {{"account_type": "IRA", "account_number": " "}}, {{"account_type": "Roth IRA", "account_number": "{doc_id}-2"}}]\n```'
+
+
+@query("m8_supplied_accounts", "SELECT CAST(s_suppkey AS VARCHAR) AS doc_id, CAST(k AS INTEGER) AS account_idx, kind, concat(s_suppkey, '-', k + 1) AS number FROM supplier, (VALUES (0, 'Trust'), (1, 'Roth IRA')) AS found(k, kind)")
+def supplied_accounts(spark, sf_dir):
+    from ..operators.extract import supplied_accounts
+
+    return supplied_accounts(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("doc_id")), _Accounts())
+
+
+_DATED = ["12/17/13", "1-2-2013", "03 Feb 2021", "Feb 3, 2021", "sept 30 99", "12/17", "2021-02-03", "Feb 2021", "brand", ""]
+_ARE_DATES = (0, 1, 2, 3, 4)
+
+
+@query("x16_dates", f"SELECT p_partkey, p_partkey % 10 IN {_ARE_DATES} AS dated FROM part")
+def dates(spark, sf_dir):
+    """Texts of ten forms, of which five are dates."""
+    text = F.element_at(F.array(*map(F.lit, _DATED)), (F.col("p_partkey") % 10).cast("int") + 1)
+    return table(spark, sf_dir, "part").select("p_partkey", X.looks_like_date(text).alias("dated"))
