@@ -1,14 +1,15 @@
 """Benchmark decontamination with a BM25 index of the test items and block maxima.
 
-Every training passage (a window of words, long enough that any item fits whole into one) is a query.
-Impacts are divided by the item's score for its own text, so a score is the share of an item that the
+Every training passage is a query. Items are of classes by their length, up to SHORT words, four times as many and so
+on; a passage is twice as long as its class's longest, and begins every so many words, so any item fits whole into one,
+and a long item doesn't widen the passages of others. Impacts are divided by the item's score for its own text, so a score is the share of an item that the
 passage covers. Passages whose terms' best impacts can't reach THRESHOLD are skipped, then blocks of BLOCK
 successive items in which their best impacts can't; in the other blocks every item is scored exactly, all at
 once (walking to pivots one by one, as WAND does, finds the same at twice the time). Every item at or above
 THRESHOLD is verified: at least OVERLAP of the word trigrams of its question and of its answer must be in the passage.
 The answer is an item's last sentence, or its last third where it has just one.
 
-Item counts, document frequencies, mean and greatest length are those of the whole benchmark. The index is
+Item counts, document frequencies and mean length are those of the whole benchmark. The index is
 broadcast in shards of at most SHARD_BYTES of item text; more items mean more shards, and the same scores.
 
 Null or empty texts and items match nothing. Very long texts are many passages. Of an item's passages with
@@ -32,6 +33,8 @@ from . import common
 from .pieces import words
 
 THRESHOLD, OVERLAP, K1, B, BLOCK = 0.6, 0.5, 1.2, 0.75, 16
+#: Words of the first class of items; each further class has four times as many.
+SHORT = 64
 SHARD_BYTES = 16 << 20
 _MARKS = re.compile(r"[\W_]+")
 _END = re.compile(r"(?<=[.!?:])\s+|\n+")
@@ -46,20 +49,37 @@ def terms(text: str) -> list[str]:
 
 
 class Statistics:
-    """Of the whole benchmark: items, their mean and greatest length, and in how many items terms are."""
+    """Of the whole benchmark: items, their mean length, and in how many items terms are."""
 
-    def __init__(self, n: int, mean: float, longest: int, df: dict[str, int]):
-        self.n, self.mean, self.longest, self.df = n, mean, longest, df
+    def __init__(self, n: int, mean: float, df: dict[str, int]):
+        self.n, self.mean, self.df = n, mean, df
 
     @classmethod
     def of(cls, texts: list[str]) -> Statistics:
         split = [w for w in map(terms, texts) if w]
         sizes = [len(w) for w in split]
-        return cls(len(split), sum(sizes) / max(1, len(split)), max(sizes, default=1), Counter(t for w in split for t in set(w)))
+        return cls(len(split), sum(sizes) / max(1, len(split)), Counter(t for w in split for t in set(w)))
+
+
+def longest(size: int) -> int:
+    """Words of the longest item in the class of an item of ``size`` words."""
+    limit = SHORT
+    while limit < size:
+        limit *= 4
+    return limit
+
+
+def indexes(items: list[tuple[int, str]], statistics: Statistics) -> list[Index]:
+    """An index of each class of items."""
+    classes: dict[int, list[tuple[int, str]]] = {}
+    for i, t in items:
+        if n := len(terms(t or "")):
+            classes.setdefault(longest(n), []).append((i, t))
+    return [Index(some, statistics) for _, some in sorted(classes.items())]
 
 
 class Index:
-    """Postings with normalised impacts, their maxima per term and per block of items."""
+    """Postings of one class of items with normalised impacts, their maxima per term and per block of items."""
 
     def __init__(self, items: list[tuple[int, str]], statistics: Statistics | None = None):
         items = [(i, t) for i, t in items if t and terms(t)]
@@ -83,8 +103,8 @@ class Index:
             some, first = np.unique(x // BLOCK, return_index=True)
             self.block_best.append((some, np.maximum.reduceat(impact, first)))
         self.parts = [tuple(self.grams(np.array([self.vocabulary[t] for t in terms(p)], np.int64)) for p in _question_answer(t)) for _, t in items]
-        self.stride = max(32, statistics.longest)
-        self.passage = self.stride + statistics.longest
+        self.stride = longest(max(map(len, split), default=1))
+        self.passage = 2 * self.stride
 
     def grams(self, ids: np.ndarray) -> tuple[int, np.ndarray]:
         """Length and codes of the n-grams, n = 3 or the number of words if smaller."""
@@ -159,21 +179,21 @@ def _shards(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[
     n = -(-size // SHARD_BYTES) or 1
     items = items.withColumn("shard", F.pmod(F.xxhash64("i", "t"), F.lit(n)).cast("int"))
     described = common.stored(items.select("shard", "t").mapInArrow(_terms_of, "shard int, size bigint, terms array<string>").where("size > 0"), "benchmark-terms")
-    whole = described.agg(F.count("*").alias("n"), F.avg("size").alias("mean"), F.max("size").alias("longest")).first()
+    whole = described.agg(F.count("*").alias("n"), F.avg("size").alias("mean")).first()
     by_term = described.select("shard", F.explode("terms").alias("term"))
     df = common.stored(by_term.groupBy("term").agg(F.count("*").alias("df"), F.collect_set("shard").alias("shards")), "benchmark-df")
     for k in range(n):
         of = {r.term: r.df for r in df.where(F.array_contains("shards", k)).select("term", "df").collect()}  # a shard's terms
         rows = [(r.i, r.t) for r in items.where(F.col("shard") == k).orderBy("i", "t").collect()]
-        yield rows, Statistics(whole.n, whole.mean or 1.0, whole.longest or 1, of)
+        yield rows, Statistics(whole.n, whole.mean or 1.0, of)
     common.release(described, df)
 
 
-def _index_of(shared) -> Index:
-    """The worker's index for a broadcast shard."""
-    if getattr(_index_of, "held", (None,))[0] != shared.id:
-        _index_of.held = (shared.id, Index(*shared.rows.value))
-    return _index_of.held[1]
+def _indexes_of(shared) -> list[Index]:
+    """The worker's indexes for a broadcast shard."""
+    if getattr(_indexes_of, "held", (None,))[0] != shared.id:
+        _indexes_of.held = (shared.id, indexes(*shared.rows.value))
+    return _indexes_of.held[1]
 
 
 class _Shared:
@@ -187,13 +207,13 @@ class _Shared:
 
 def _find(shared: _Shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index_of(shared)
         for batch in common.slices(batches, 4000):
             where, rows = [], []
-            for k, ids in enumerate(index.numbers(batch.column("text"))):
-                for item, *values in index.search(ids):
-                    where.append(k)
-                    rows.append((index.ids[item], *values))
+            for index in _indexes_of(shared):
+                for k, ids in enumerate(index.numbers(batch.column("text"))):
+                    for item, *values in index.search(ids):
+                        where.append(k)
+                        rows.append((index.ids[item], *values))
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
             kinds = (pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(where, pa.int64())), *map(pa.array, columns, kinds)], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "first_word"])
@@ -213,10 +233,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def _clean(shared: _Shared, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index_of(shared)
         for batch in common.slices(batches, 4000):
-            ids = index.numbers(batch.column(text_col))
-            yield batch.filter(pa.array([not index.search(x) for x in ids], pa.bool_()))
+            for index in _indexes_of(shared):
+                ids = index.numbers(batch.column(text_col))
+                batch = batch.filter(pa.array([not index.search(x) for x in ids], pa.bool_()))
+            yield batch
 
     return run
 

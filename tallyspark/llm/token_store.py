@@ -171,18 +171,25 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
     manifest(docs.sparkSession, path).write.parquet(f"{path}/manifest")
 
 
-@F.udf(T.BinaryType())
-def _root_of(roots):
-    return merkle([bytes(r.root) for r in roots])
+@F.pandas_udf(T.BinaryType())
+def _root_of(leaves):
+    return leaves.map(lambda some: merkle(list(some)))
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """Merkle roots over the recipes; a segment has 2**20 documents at most, since each has an id."""
     recipes = spark.read.parquet(f"{path}/recipes").withColumn("segment", F.shiftright("start", SEGMENT_BITS))
-    ordered = F.array_sort(F.collect_list(F.struct("start", "root")))
-    segments = recipes.groupBy("segment").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), _root_of(ordered).alias("root"))
-    above = segments.groupBy(F.shiftright("segment", SEGMENT_BITS).alias("start")).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), _root_of(F.array_sort(F.collect_list(F.struct(F.col("segment").alias("start"), "root")))).alias("root"))
-    top = above.agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), _root_of(ordered).alias("root"))
+    one, many = F.lit(1).cast("bigint"), F.col("n_docs")
+
+    def joined(rows: DataFrame, n_docs: Column, *keys: Column) -> DataFrame:
+        """The root over rows (start, n_tokens, root) of each key, in the order of start."""
+        leaves = F.sort_array(F.collect_list(F.struct("start", "root")))["root"]
+        sums = rows.groupBy(*keys).agg(F.sum(n_docs).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), leaves.alias("leaves"))
+        return sums.withColumn("root", _root_of("leaves")).drop("leaves")
+
+    segments = joined(recipes, one, F.col("segment"))
+    above = joined(segments.withColumnRenamed("segment", "start"), many, F.shiftright("start", SEGMENT_BITS).alias("above"))
+    top = joined(above.withColumnRenamed("above", "start"), many)
     return segments.unionByName(top.where("n_docs > 0").select(F.lit(-1).cast("bigint").alias("segment"), "n_docs", "n_tokens", "root"))
 
 
@@ -190,8 +197,7 @@ def verify(spark: SparkSession, path: str) -> None:
     """Hold every recipe's root against its digests, and the manifest against the recipes; an error where
     they differ. The chunks themselves are checked as they are read."""
     wrong = F.raise_error(F.lit("a recipe doesn't match its root"))
-    digests = F.transform("digests", lambda d: F.struct(d.alias("root")))
-    recipes = spark.read.parquet(f"{path}/recipes").select(F.when(_root_of(digests) != F.col("root"), wrong).alias("checked"))
+    recipes = spark.read.parquet(f"{path}/recipes").select(F.when(_root_of("digests") != F.col("root"), wrong).alias("checked"))
     if recipes.where("checked is not null").count() or not _same(manifest(spark, path), spark.read.parquet(f"{path}/manifest")):
         raise ValueError("the manifest doesn't match the recipes")
 

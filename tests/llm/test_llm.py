@@ -393,6 +393,17 @@ def test_quality_scores_are_exact_votes():
         assert got == pytest.approx((vote * model.labels[near]).sum() / vote.sum(), abs=1e-4)
 
 
+def test_scores_do_not_depend_on_the_block():
+    rng = np.random.default_rng(5)
+    sample = (rng.random((700, 300)) ** 4).astype(np.float32)
+    model = quality.Model(np.ones(300, np.float32), sample, (np.arange(700) % 3 == 0).astype(np.int64), {0: 0.6, 1: 0.4})
+    dense = (rng.random((1300, 300)) ** 4).astype(np.float32)
+    whole = model.scores(dense)
+    assert (model.scores(dense[::-1])[::-1] == whole).all()
+    for k in (0, 7, 511, 512, 1299):
+        assert (model.scores(dense[k : k + 1]) == whole[k]).all() and (model.scores(dense[k : k + 40])[0] == whole[k]).all()
+
+
 def test_words_of_any_length_tell_texts_apart():
     one, two = quality.vectors(pa.array(["magnificent laboratory discovery published yesterday", "abominable gibberish advertising clickbait worthless"]))
     assert (one[: quality.SHAPES] == two[: quality.SHAPES]).all() and (one != two).any()
@@ -494,6 +505,24 @@ def test_shards_give_equal_scores(spark, sf, monkeypatch):
     assert np.allclose([r[2:] for r in parts], [r[2:] for r in whole])
 
 
+def test_a_long_item_leaves_the_others_alone():
+    """One item of 3,000 words among short ones: the passages and findings of the others stay."""
+    rng = random.Random(14)
+    words = [f"w{i}" for i in range(500)]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(15, 60)))) for i in range(200)]
+    long = (999, " ".join(f"x{i}" for i in range(3000)))
+    texts = [" ".join(rng.choices(words, k=300) + items[k][1].split() + rng.choices(words, k=300)) for k in range(20)] + [" ".join(rng.choices(words, k=4000)), long[1]]
+    found = []
+    for some_items in (items, [*items, long]):
+        got = set()
+        for index in decontam.indexes(some_items, decontam.Statistics.of([t for _, t in some_items])):
+            assert index.passage == (128 if index.ids != [999] else 8192)
+            got |= {(k, index.ids[f[0]]) for k, ids in enumerate(index.numbers(pa.array(texts))) for f in index.search(ids)}
+        found.append(got)
+    assert found[1] - {(21, 999)} == found[0] and (21, 999) in found[1]
+    assert found[0] >= {(k, k) for k in range(20)}
+
+
 def test_decontamination_on_table(spark, sf):
     """Every document with an item's whole text is found, no other."""
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
