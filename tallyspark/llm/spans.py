@@ -9,7 +9,9 @@ no such span is one span. Spans are hashed (96 bits over words with A-Z lower-ca
 the whole corpus; of the places of one hash the first, by doc_id, text (its crc32) and start, stays, and
 all sentences that another place covers are removed.
 
-A passage of 4 * WINDOW - 4 + WORDS words (48) or more always holds a span that doesn't depend on what is
+WORDS is a floor: runs of sentences with fewer words together aren't hashed, so that greetings, headings and licence lines
+that recur in texts of their own stay (of pairs of equal sentences in differing texts, none is found with 8 to 19 words
+together, all are with 24 and more). A passage of 4 * WINDOW - 4 + WORDS words (48) or more always holds a span that doesn't depend on what is
 beside it: cuts may differ in its first and last WINDOW - 1 words only.
 
 Null and empty texts have no spans and stay as they are. Very long texts are read in stretches. Rows that
@@ -175,8 +177,9 @@ _TYPES = {"rows": np.int64, "doc": np.int32, "one": _U64, "two": np.uint32, "sta
 
 
 def _scan(parts: int, kind: pa.DataType):
-    """Per part of the hash range the spans of some texts. Those that are the first of their hash among these texts come first
-    (``n``); the others are repeats already, so a part gets a hash once from each batch of texts."""
+    """Per part of the hash range the spans of some texts (``n``) that are the first of their hash among these texts, so a part
+    gets a hash once from each batch of texts. The others are repeats already; they go to parts below 0, dealt by
+    batch, so a span that most texts have doesn't gather anywhere."""
 
     def batch_of(ids: list, rows: np.ndarray, found: list[tuple]) -> pa.RecordBatch:
         doc, one, two, start, end = (np.concatenate([f[k] for f in found]) for k in range(5))
@@ -191,12 +194,17 @@ def _scan(parts: int, kind: pa.DataType):
         lead |= same(start) & same(rows[doc]) & same(ranked[doc])
         part = ((one >> _U64(40)) * _U64(parts) >> _U64(24)).astype(np.int64)
         out = []
-        some, at = np.unique(part, return_index=True)  # ascending, as the hashes are
-        for p, a, b in zip(some.tolist(), at.tolist(), np.append(at, len(part))[1:].tolist(), strict=True):
-            here = np.concatenate([a + np.flatnonzero(lead[a:b]), a + np.flatnonzero(~lead[a:b])])
+
+        def send(p: int, here: np.ndarray, n: int) -> None:
             docs, number = np.unique(doc[here], return_inverse=True)
-            n = int(lead[a:b].sum())
             out.append((p, [ids[d] for d in docs.tolist()], rows[docs].tobytes(), *(x.astype(t).tobytes() for x, t in ((number, np.int32), (one[here[:n]], _U64), (two[here[:n]], np.uint32), (start[here], np.uint32), (end[here], np.uint32))), n))
+
+        heads, known = np.flatnonzero(lead), np.flatnonzero(~lead)
+        some, at = np.unique(part[heads], return_index=True)  # ascending, as the hashes are
+        for p, a, b in zip(some.tolist(), at.tolist(), [*at[1:].tolist(), len(heads)], strict=False):
+            send(p, heads[a:b], b - a)
+        if len(known):  # nothing is compared with these: they go wherever there is room
+            send(-1 - int(rows[doc[known[0]]] % parts), known, 0)
         kinds = (pa.int32(), pa.list_(kind), *[pa.binary()] * 6, pa.int32())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [()] * 9, kinds, strict=True)], ["part", "ids", *_TYPES, "n"])
 
@@ -220,7 +228,7 @@ def _scan(parts: int, kind: pa.DataType):
 
 def _repeats(kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of a part, all spans but the first of each hash."""
+        """Of a part, all spans but the first of each hash; of a part below 0, all."""
         for _, sent in common.runs(batches, "part"):
             of = {c: [np.frombuffer(r[c], t) for r in sent] for c, t in _TYPES.items()}
             ids = [i for r in sent for i in r["ids"]]

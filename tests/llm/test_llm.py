@@ -737,6 +737,23 @@ def test_repeated_spans_odd_tables(spark):
     assert sorted((r.doc_id or 0, r.text is not None and len(r.text)) for r in got) == [(0, len(text)), (1, len(text)), (1, len(text)), (2, 0), (3, False)]
 
 
+def test_a_passage_of_all_texts_gathers_nowhere(monkeypatch):
+    """Each batch sends one copy of it to be compared, all others to parts that batches share."""
+    monkeypatch.setattr(spans, "FLUSH", 20_000)
+    passage = " ".join(f"word{k}" for k in range(60)) + ". "
+    texts = [passage + f"own {k} " * 5 for k in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600)), pa.array(texts)], ["doc_id", "text"])
+    sent = [r for b in spans._scan(50, pa.int64())(iter([batch.slice(k, 20) for k in range(0, 600, 20)])) for r in b.to_pylist()]
+    starts = {p: 0 for p in range(-50, 50)}
+    for r in sent:
+        assert (r["part"] < 0) == (r["n"] == 0)
+        starts[r["part"]] += len(r["start"]) // 4
+    batches = sum(r["part"] < 0 for r in sent)
+    assert batches > 10 and sum(n for p, n in starts.items() if p < 0) > 5 * 550
+    assert all(n <= 60 * batches for p, n in starts.items() if p >= 0) and sum(n for p, n in starts.items() if p >= 0) < 600 * 8
+    assert max(n for p, n in starts.items() if p < 0) < 0.5 * sum(n for p, n in starts.items() if p < 0)
+
+
 def test_repeated_passages_without_whole_sentences(spark):
     rng = random.Random(8)
     some_words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
