@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import stored
+
 Q = 4
 #: Occurrences in a scope beyond which a string is looked up together with a second one.
 HOT = 10_000
@@ -25,14 +27,20 @@ def _grams(text: Column, size: Column) -> Column:
 
 def match_names(fragments: DataFrame, holdings: DataFrame, within: tuple[str, ...] = (), hot: int = HOT) -> DataFrame:
     """fragments (fragment_id, fragment, ...) with every holding_id whose name contains the fragment, in any case,
-    and that has equal columns ``within``. Empty and null fragments and names match nothing."""
+    and that has equal columns ``within``. Empty and null fragments and names match nothing.
+
+    The fragments' strings and their occurrences are stored while the result is built; without fragments, names aren't read.
+    """
     keys = [*within, "__gram"]
     asked = fragments.where(F.length("fragment") > 0)
     text = F.lower(F.col("fragment"))
-    grams = asked.select("fragment_id", *within, F.explode(_grams(text, F.least(F.length(text), F.lit(Q)))).alias("__gram"))
+    grams = stored(asked.select("fragment_id", *within, F.explode(_grams(text, F.least(F.length(text), F.lit(Q)))).alias("__gram")), "fragment-strings")
+    sizes = sorted(r[0] for r in grams.select(F.length("__gram")).distinct().collect())  # Q rows at most
+    if not sizes:
+        return fragments.where(F.lit(False)).withColumn("holding_id", F.lit(None).cast(holdings.schema["holding_id"].dataType))
     named = holdings.where("name is not null").select("holding_id", *within, F.lower("name").alias("__name"))
-    every = F.concat(*(_grams(F.col("__name"), F.lit(n)) for n in range(1, Q + 1)))
-    found = named.select("*", F.explode(every).alias("__gram")).join(grams.select(*keys).distinct(), keys, "left_semi")
+    every = F.concat(*(_grams(F.col("__name"), F.lit(n)) for n in sizes))
+    found = stored(named.select("*", F.explode(every).alias("__gram")).join(grams.select(*keys).distinct(), keys, "left_semi"), "name-strings")
 
     counts = found.groupBy(*keys).agg(F.count("*").alias("__n"))
     ranked = grams.join(counts, keys, "left").groupBy("fragment_id").agg(
@@ -40,16 +48,18 @@ def match_names(fragments: DataFrame, holdings: DataFrame, within: tuple[str, ..
         F.sort_array(F.collect_list(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), "__gram"))).alias("__by_count"),
     )  # a fragment's strings: as many as it has characters at most
     first, second = F.col("__by_count")[0], F.try_element_at("__by_count", F.lit(2))
-    lookups = ranked.where("__least > 0").select("fragment_id", first["__gram"].alias("__gram"), F.when(first["n"] > hot, second["__gram"]).alias("__second"))
+    lookups = stored(ranked.where("__least > 0").select("fragment_id", first["__gram"].alias("__gram"), F.when(first["n"] > hot, second["__gram"]).alias("__second")), "lookups")
     asked = asked.join(lookups, "fragment_id")
 
-    single = asked.where("__second is null").join(found, keys)
+    contains = F.col("__name").contains(F.lower("fragment"))
+    columns = [*fragments.columns, "holding_id"]
+    single = asked.where("__second is null").join(found, keys).where(contains).select(columns)
+    if lookups.where("__second is not null").isEmpty():
+        return single
     pairs = asked.where("__second is not null").select(*keys, "__second").distinct()
     both = found.join(pairs.select(*keys).distinct(), keys, "left_semi").select(*keys, "holding_id", "__name", F.explode(_grams(F.col("__name"), F.lit(Q))).alias("__second"))
     double = asked.where("__second is not null").join(both.join(pairs, [*keys, "__second"], "left_semi"), [*keys, "__second"])
-    columns = [*fragments.columns, "holding_id"]
-    contains = F.col("__name").contains(F.lower("fragment"))
-    return single.where(contains).select(columns).unionByName(double.where(contains).select(columns))
+    return single.unionByName(double.where(contains).select(columns))
 
 
 #: Characters of a name by which a table's rows find their holdings again.

@@ -308,7 +308,7 @@ _SOURCES = "SELECT DISTINCT l_suppkey AS doc_id, l_linenumber AS table_idx, conc
     SELECT s.doc_id, s.table_idx, s.name, COUNT(*) AS n, COUNT(DISTINCT h.table_idx) AS tables, MIN(holding_id) AS first_id FROM sources AS s JOIN held AS h ON h.doc_id = s.doc_id AND contains(lower(h.name), lower(trim(left(s.name, 60)))) GROUP BY s.doc_id, s.table_idx, s.name""")
 def reassigned(spark, sf_dir):
     """The holdings of a document that each row of its tables names; every name occurs in several tables."""
-    sources = _derived(spark, _SOURCES, sf_dir, "lineitem", "part")
+    sources = stored(_derived(spark, _SOURCES, sf_dir, "lineitem", "part"), "sources")
     held = sources.select("doc_id", "table_idx", F.concat_ws("/", "doc_id", "table_idx", "name").alias("holding_id"), F.concat_ws(" ", F.upper("name"), "table_idx").alias("name"))
     rows = sources.select("doc_id", "table_idx", F.col("name").alias("row_idx"), "name")
     found = matching.reassigned(rows, held).join(held.select("holding_id", F.col("table_idx").alias("of_table")), "holding_id")
