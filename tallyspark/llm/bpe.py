@@ -1,30 +1,43 @@
 """Byte-level BPE encoding by corpus-level merge replay, and decoding.
 
-The new words of a batch of documents are encoded together. An inverted index maps each rank to the
-word positions whose pair has it; ranks are taken in ascending order, each is applied at all its
-positions, and only the two neighbours of a merged pair enter the index anew. What a worker has
-encoded it keeps, within bounds, so a word's merges are replayed once and not for each document.
+1. Documents are split into words (matches of the pattern) in blocks. A block's distinct words are dealt
+   into parts by crc32, so a word has one place in the whole corpus; a document is kept as the numbers of
+   its words.
+2. Each part brings together the words of all blocks. An inverted index maps each rank to the word
+   positions whose pair has it; ranks are taken in ascending order, each is applied at all its
+   positions, and only the two neighbours of a merged pair enter the index anew.
+3. The ids go back to the words' blocks, and the numbers of words become ids.
 
-Null texts count as empty and give no ids. Rows are independent: repeated rows, null ids and empty
-tables need no special case. The decoded bytes of any text are its UTF-8 bytes.
+A block holds at most 10,000 documents or 32 MB (a longer text is a block of its own); a part sends a
+block's words and gets their ids in one packed row each, so a word that all documents have costs a part one
+entry a block. A part replays up to FRESH words at once and remembers up to KEPT.
+
+Null texts count as empty and give no ids. Rows are independent: repeated rows, null ids, very long texts
+and empty tables need no special case; other columns are left out. The decoded bytes of any text are its
+UTF-8 bytes. What ``encode`` returns reads a scratch table, which stays.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from . import common
-from .pieces import encode_texts
+from .pieces import encode_texts, expanded
 
-#: Encoded words that a worker keeps.
-KEPT = 400_000
+#: Words whose merges are replayed at once, and encoded words of a part that are remembered.
+FRESH, KEPT = 100_000, 400_000
+#: Parts at most: a block has a row for each.
+PARTS = 4096
 _held: dict[tuple[str, str], Codec] = {}
 
 
@@ -43,7 +56,6 @@ class Codec:
         self.byte_pairs = np.array([[self.ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
         self.pairs: dict[int, int] = {}
         self.words = regex.compile(pattern)
-        self.known: dict[str, bytes] = {}
         self.code = "H" if len(self.tokens) <= 2**16 else "I"
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
@@ -106,35 +118,15 @@ class Codec:
         out = kept[real].tolist()
         return [out[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
-    def _packed(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, packed; the merges of all words that aren't known are replayed together."""
-        if len(self.known) > KEPT:  # short words recur
-            self.known = {w: v for w, v in self.known.items() if len(w) < 10}
-            if len(self.known) > KEPT * 3 // 4:
-                self.known = {}
-        split = list(map(self.words.findall, texts))
-        known = self.known
-        fresh = list({w for parts in split for w in parts if w not in known})
-        raw = [w.encode() for w in fresh]
-        ids = list(map(self.ranks.get, raw))
+    def encode_words(self, words: list[bytes], known: dict[bytes, bytes]) -> None:
+        """Add the packed ids of words to ``known``: those of the vocabulary at once, others by replay."""
+        fresh = list({w for w in words if w not in known})
+        ids = list(map(self.ranks.get, fresh))
         known.update((w, array(self.code, (i,)).tobytes()) for w, i in zip(fresh, ids, strict=True) if i is not None)
-        rest = [k for k, i in enumerate(ids) if i is None]
-        for at in range(0, len(rest), 20_000):
-            some = rest[at : at + 20_000]
-            known.update((fresh[k], array(self.code, x).tobytes()) for k, x in zip(some, self.replay([raw[k] for k in some]), strict=True))
-        return [known[parts[0]] if len(parts) == 1 else b"".join(map(known.__getitem__, parts)) for parts in split]
-
-    def each(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(v, self.code).astype(np.int32) for v in self._packed(texts)]
-
-    def pieces(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces with a space before each, one after another, and the number of each one's ids."""
-        packed = self._packed([" " + p for p in distinct.to_pylist()])
-        return np.frombuffer(b"".join(packed), self.code).astype(np.int32), np.fromiter(map(len, packed), np.int64, len(packed)) // np.dtype(self.code).itemsize
-
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text; a null counts as empty."""
-        return encode_texts(texts, self.pieces, self.each)
+        rest = [w for w, i in zip(fresh, ids, strict=True) if i is None]
+        for at in range(0, len(rest), FRESH):
+            some = rest[at : at + FRESH]
+            known.update((w, array(self.code, x).tobytes()) for w, x in zip(some, self.replay(some), strict=True))
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
@@ -147,15 +139,139 @@ def codec(ranks_path: str, pattern: str) -> Codec:
     return _held[ranks_path, pattern]
 
 
-def _run(ranks_path: str, pattern: str):
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of unsigned 32-bit numbers, each with its length before it."""
+    return zstandard.compress(b"".join(np.concatenate([[len(a)], a]).astype("<u4").tobytes() for a in arrays), 1)
+
+
+def _unpack(packed: bytes) -> list[np.ndarray]:
+    raw, out, at = np.frombuffer(zstandard.decompress(packed), "<u4"), [], 0
+    while at < len(raw):
+        out.append(raw[at + 1 : at + 1 + raw[at]])
+        at += 1 + int(raw[at])
+    return out
+
+
+class _Numbers:
+    """Numbers the words of a block."""
+
+    def __init__(self, pattern: str):
+        import regex
+
+        self.find, self.of = regex.compile(pattern).findall, {}
+
+    def each(self, texts: list[str]) -> list[np.ndarray]:
+        of = self.of
+        return [np.array([of.setdefault(w, len(of)) for w in self.find(t)], np.int64) for t in texts]
+
+    def pieces(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        of, flat, counts = self.of, [], []
+        for p in distinct.to_pylist():
+            found = self.find(" " + p)
+            flat += [of.setdefault(w, len(of)) for w in found]
+            counts.append(len(found))
+        return np.array(flat, np.int64), np.array(counts, np.int64)
+
+
+def _split(pattern: str, parts: int):
+    """A row of documents for each block (part -1: ids, numbers of words), and one for each of its parts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(ranks_path, pattern)
-        for batch in common.slices(batches, 2000):
-            ids = own.encode(batch.column("text"))
-            counts = [len(x) for x in ids]
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)])))
-            decoded = pa.array([own.decode(x) for x in ids], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), lists, decoded], ["doc_id", "n_tokens", "ids", "decoded"])
+        block = TaskContext.get().partitionId() << 32
+        for batch in common.slices(batches, 10_000):
+            numbers = _Numbers(pattern)
+            of_text = encode_texts(batch.column("text"), numbers.pieces, numbers.each)
+            words = [w.encode() for w in numbers.of]
+            part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
+            order = np.argsort(part, kind="stable")  # words are numbered by parts
+            number = np.empty(len(words), np.int64)
+            number[order] = np.arange(len(words))
+            codes = number[np.concatenate([*of_text, np.zeros(0, np.int64)])]
+            present, starts = np.unique(part[order], return_index=True)
+            packed = [_pack(np.array([len(x) for x in of_text]), codes)]
+            for places in np.split(order, starts[1:]) if len(words) else []:
+                own = [words[k] for k in places.tolist()]
+                packed.append(zstandard.compress(np.array([len(own), *map(len, own)], "<u4").tobytes() + b"".join(own), 1))
+            ids = batch.column("doc_id")
+            bounds = np.concatenate([[0], np.full(len(packed), len(ids))])  # only the first row has the ids
+            columns = [pa.array([block] * len(packed), pa.int64()), pa.array([-1, *present.tolist()], pa.int32()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), ids), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "part", "doc_ids", "packed"])
+            block += 1
+
+    return run
+
+
+def _words(packed: bytes) -> list[bytes]:
+    raw = zstandard.decompress(packed)
+    n = int.from_bytes(raw[:4], "little")
+    stops = np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64) + 4 + 4 * n
+    bounds = [4 + 4 * n, *stops.tolist()]
+    return [raw[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+
+def _replayed(ranks_path: str, pattern: str):
+    """The words of a part's rows become their numbers of ids, and the ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, known, at, waiting, fresh = codec(ranks_path, pattern), {}, None, [], 0
+        width = np.dtype(own.code).itemsize
+
+        def give() -> Iterator[pa.RecordBatch]:
+            own.encode_words([w for _, _, words in waiting for w in words], known)
+            packed = []
+            for _, _, words in waiting:
+                found = [known[w] for w in words]
+                packed.append(_pack(np.fromiter(map(len, found), np.int64, len(found)) // width, np.frombuffer(b"".join(found), own.code)))
+            blocks, parts = pa.array([b for b, _, _ in waiting], pa.int64()), pa.array([p for _, p, _ in waiting], pa.int32())
+            yield pa.RecordBatch.from_arrays([blocks, parts, pa.array(packed, pa.binary())], ["block", "part", "packed"])
+            waiting.clear()
+
+        for batch in common.slices(batches, 100, 4 << 20):
+            for row in batch.to_pylist():
+                if waiting and (row["part"] != at or fresh > FRESH):
+                    yield from give()
+                    fresh = 0
+                if row["part"] != at or len(known) > KEPT:
+                    at, known = row["part"], {}
+                words = _words(row["packed"])
+                waiting.append((row["block"], row["part"], words))
+                fresh += len(words)
+        if waiting:
+            yield from give()
+
+    return run
+
+
+def _assembled(ranks_path: str, pattern: str):
+    """Documents of a block whose row comes first, then the ids of its words by part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, docs, of_words = codec(ranks_path, pattern), None, []
+
+        def give() -> Iterator[pa.RecordBatch]:
+            lengths, codes = _unpack(docs[1])
+            found = [_unpack(p) for p in of_words]
+            counts = np.concatenate([*(c for c, _ in found), np.zeros(0)]).astype(np.int64)
+            flat = np.concatenate([*(x for _, x in found), np.zeros(0)]).astype(np.int32)
+            starts, bounds = np.cumsum(counts) - counts, np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+            for a in range(0, len(lengths), 500):
+                b = min(a + 500, len(lengths))
+                ids, begins = expanded(flat, starts, counts, codes[bounds[a] : bounds[b]])
+                edges = begins[bounds[a : b + 1] - bounds[a]]
+                decoded = pa.array([own.decode(ids[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([docs[0].slice(a, b - a), pa.array(np.diff(edges), pa.int64()), lists, decoded], ["doc_id", "n_tokens", "ids", "decoded"])
+
+        for batch in common.slices(batches, 1000):
+            for k, (part, packed) in enumerate(zip(batch.column("part").to_pylist(), batch.column("packed"), strict=True)):
+                if part < 0:
+                    if docs:
+                        yield from give()
+                    docs, of_words = (batch.column("doc_ids")[k].values, packed.as_py()), []
+                else:
+                    of_words.append(packed.as_py())
+        if docs:
+            yield from give()
 
     return run
 
@@ -164,4 +280,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """doc_id, n_tokens, ids (array of int) and decoded (the bytes that the ids give) of whole texts."""
     docs = common.keyed(docs, id_col, text_col)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(_run(ranks_path, pattern), f"doc_id {kind}, n_tokens bigint, ids array<int>, decoded binary")
+    parts = min(PARTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    split = common.stored(docs.mapInArrow(_split(pattern, parts), f"block bigint, part int, doc_ids array<{kind}>, packed binary"), "bpe-words")
+    words = split.where("part >= 0").select("block", "part", "packed").repartition(parts, "part").sortWithinPartitions("part")
+    ids = words.mapInArrow(_replayed(ranks_path, pattern), "block bigint, part int, packed binary")
+    blocks = split.where("part < 0").unionByName(ids, allowMissingColumns=True)
+    return blocks.repartition("block").sortWithinPartitions("block", "part").mapInArrow(_assembled(ranks_path, pattern), f"doc_id {kind}, n_tokens bigint, ids array<int>, decoded binary")

@@ -322,7 +322,17 @@ def test_png_filters():
     pixels = rng.integers(0, 256, (40, 24), dtype=np.uint8)
     for kinds in ([0] * 40, [1] * 40, [2] * 40, [3] * 40, [4] * 40, rng.integers(0, 5, 40)):
         data = media.encode_png(pixels.tobytes(), 24, np.array(kinds, np.uint8))
-        assert (media.decode_png(data) == pixels).all()
+        assert (media.decode_png(data)[0] == pixels).all()
+    images = [rng.integers(0, 256, (h, w), dtype=np.uint8) for h, w in ((1, 24), (30, 24), (3, 7), (3000, 7), (2, 24))]
+    stored = [media.encode_png(x.tobytes(), x.shape[1], np.array(rng.integers(0, 5, len(x)), np.uint8)) for x in images]
+    assert all((a == b).all() for a, b in zip(images, media.decode_png(*stored), strict=True))
+    slope = np.add.outer(np.arange(2500) * 3, np.arange(40) * 5).astype(np.uint8)  # over more than a band
+    rows = media.filtered(slope)
+    for r in (0, 1, 2047, 2048, 2499):
+        rests = [media.filtered(slope, np.full(len(slope), k))[r, 1:] for k in range(5)]
+        costs = [int(np.minimum(x.astype(int), 256 - x.astype(int)).sum()) for x in rests]
+        assert rows[r, 0] == costs.index(min(costs)) and (rows[r, 1:] == rests[rows[r, 0]]).all()
+    assert set(rows[:, 0]) - {0} and (media.decode_png(media.encode_png(slope.tobytes(), 40))[0] == slope).all()
     damaged = bytearray(data)
     damaged[60] ^= 1
     with pytest.raises(ValueError, match="checksum"):
@@ -343,6 +353,7 @@ def test_media(spark, odd_texts):
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-32:]))
         assert (r.media_bytes, r.media_sha256) == (len(own), hashlib.sha256(own).hexdigest())
         assert features.setdefault(raw, r.feature) == r.feature and len(r.feature) == 16
+    assert {k for r in stored.values() for k in media.inflated(bytes(r.media))[:, 0].tolist()} - {0}  # filters are used
     empty = common.scratch(spark, "test-media")
     media.write_media(some(spark, []), empty)
     assert media.features(spark.read.parquet(empty)).count() == 0
@@ -440,6 +451,8 @@ def test_bpe_equals_the_library(spark, odd_texts, sf):
         assert list(r.ids) == library.encode_ordinary(texts[i] or "") and r.n_tokens == len(r.ids)
         assert bytes(r.decoded) == (texts[i] or "").encode()
     assert bpe.encode(some(spark, []), path, public_tokenizers.PATTERN).count() == 0
+    clash = some(spark, ["one two", None]).selectExpr("*", "1 AS part", "2 AS block", "3 AS ids")  # in two blocks, too
+    assert sorted(r.n_tokens for r in bpe.encode(clash.repartition(2), path, public_tokenizers.PATTERN).collect()) == [0, len(library.encode_ordinary("one two"))]
     query = rows_of(queries.op6_bpe(spark, sf))
     for d in spark.read.parquet(f"{sf}/documents.parquet").collect():
         ids = library.encode_ordinary(d.text)
