@@ -6,7 +6,8 @@
 2. Each part brings together the words of all blocks. An inverted index maps each rank to the word
    positions whose pair has it; ranks are taken in ascending order, each is applied at all its
    positions, and only the two neighbours of a merged pair enter the index anew.
-3. The ids go back to the words' blocks, and the numbers of words become ids.
+3. The ids go back to the words' blocks, and the numbers of words become ids. Blocks are stored in buckets, so
+   documents aren't shuffled.
 
 A block holds at most 10,000 documents or 32 MB (a longer text is a block of its own); a part sends a
 block's words and gets their ids in one packed row each, so a word that all documents have costs a part one
@@ -140,15 +141,17 @@ def codec(ranks_path: str, pattern: str) -> Codec:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of unsigned 32-bit numbers, each with its length before it."""
-    return zstandard.compress(b"".join(np.concatenate([[len(a)], a]).astype("<u4").tobytes() for a in arrays), 1)
+    """Arrays of unsigned 32-bit numbers, each with its length before it and its bytes by significance."""
+    planes = [np.array([len(a)], "<u4").tobytes() + a.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for a in arrays]
+    return zstandard.compress(b"".join(planes), 1)
 
 
 def _unpack(packed: bytes) -> list[np.ndarray]:
-    raw, out, at = np.frombuffer(zstandard.decompress(packed), "<u4"), [], 0
+    raw, out, at = zstandard.decompress(packed), [], 0
     while at < len(raw):
-        out.append(raw[at + 1 : at + 1 + raw[at]])
-        at += 1 + int(raw[at])
+        n = int.from_bytes(raw[at : at + 4], "little")
+        out.append(np.frombuffer(raw, np.uint8, 4 * n, at + 4).reshape(4, n).T.copy().view("<u4").ravel())
+        at += 4 + 4 * n
     return out
 
 
@@ -181,14 +184,16 @@ def _split(pattern: str, parts: int):
         for batch in common.slices(batches, 10_000):
             numbers = _Numbers(pattern)
             of_text = encode_texts(batch.column("text"), numbers.pieces, numbers.each)
+            codes = np.concatenate([*of_text, np.zeros(0, np.int64)])
             words = [w.encode() for w in numbers.of]
+            by_count = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")  # small numbers for frequent words
+            rank = np.empty(len(words), np.int64)
+            rank[by_count] = np.arange(len(words))
+            words = [words[k] for k in by_count.tolist()]
             part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
-            order = np.argsort(part, kind="stable")  # words are numbered by parts
-            number = np.empty(len(words), np.int64)
-            number[order] = np.arange(len(words))
-            codes = number[np.concatenate([*of_text, np.zeros(0, np.int64)])]
+            order = np.argsort(part, kind="stable")
             present, starts = np.unique(part[order], return_index=True)
-            packed = [_pack(np.array([len(x) for x in of_text]), codes)]
+            packed = [_pack(np.array([len(x) for x in of_text]), part, rank[codes])]
             for places in np.split(order, starts[1:]) if len(words) else []:
                 own = [words[k] for k in places.tolist()]
                 packed.append(zstandard.compress(np.array([len(own), *map(len, own)], "<u4").tobytes() + b"".join(own), 1))
@@ -243,35 +248,26 @@ def _replayed(ranks_path: str, pattern: str):
 
 
 def _assembled(ranks_path: str, pattern: str):
-    """Documents of a block whose row comes first, then the ids of its words by part."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, docs, of_words = codec(ranks_path, pattern), None, []
-
-        def give() -> Iterator[pa.RecordBatch]:
-            lengths, codes = _unpack(docs[1])
-            found = [_unpack(p) for p in of_words]
-            counts = np.concatenate([*(c for c, _ in found), np.zeros(0)]).astype(np.int64)
-            flat = np.concatenate([*(x for _, x in found), np.zeros(0)]).astype(np.int32)
-            starts, bounds = np.cumsum(counts) - counts, np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-            for a in range(0, len(lengths), 500):
-                b = min(a + 500, len(lengths))
-                ids, begins = expanded(flat, starts, counts, codes[bounds[a] : bounds[b]])
-                edges = begins[bounds[a : b + 1] - bounds[a]]
-                decoded = pa.array([own.decode(ids[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
-                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([docs[0].slice(a, b - a), pa.array(np.diff(edges), pa.int64()), lists, decoded], ["doc_id", "n_tokens", "ids", "decoded"])
-
-        for batch in common.slices(batches, 1000):
-            for k, (part, packed) in enumerate(zip(batch.column("part").to_pylist(), batch.column("packed"), strict=True)):
-                if part < 0:
-                    if docs:
-                        yield from give()
-                    docs, of_words = (batch.column("doc_ids")[k].values, packed.as_py()), []
-                else:
-                    of_words.append(packed.as_py())
-        if docs:
-            yield from give()
+    """The documents of a block by the ids of its words."""
+
+    def run(docs: pa.Table, of_words: pa.Table) -> pa.Table:
+        own = codec(ranks_path, pattern)
+        lengths, part, codes = _unpack(docs["packed"][0].as_py())
+        found = [_unpack(p) for p in of_words.sort_by("part")["packed"].to_pylist()]
+        counts = np.concatenate([*(c for c, _ in found), np.zeros(0)]).astype(np.int64)
+        flat = np.concatenate([*(x for _, x in found), np.zeros(0)]).astype(np.int32)
+        order = np.argsort(part, kind="stable")  # words of a part keep their order
+        starts, own_counts = np.empty_like(counts), np.empty_like(counts)
+        starts[order], own_counts[order] = np.cumsum(counts) - counts, counts
+        bounds, ids_of_docs, out = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]), docs["doc_ids"][0].values, []
+        for a in range(0, len(lengths), 500):
+            b = min(a + 500, len(lengths))
+            ids, begins = expanded(flat, starts, own_counts, codes[bounds[a] : bounds[b]])
+            edges = begins[bounds[a : b + 1] - bounds[a]]
+            decoded = pa.array([own.decode(ids[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids))
+            out.append(pa.RecordBatch.from_arrays([ids_of_docs.slice(a, b - a), pa.array(np.diff(edges), pa.int64()), lists, decoded], ["doc_id", "n_tokens", "ids", "decoded"]))
+        return pa.Table.from_batches(out)
 
     return run
 
@@ -281,8 +277,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     docs = common.keyed(docs, id_col, text_col)
     kind = docs.schema["doc_id"].dataType.simpleString()
     parts = min(PARTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    split = common.stored(docs.mapInArrow(_split(pattern, parts), f"block bigint, part int, doc_ids array<{kind}>, packed binary"), "bpe-words")
+    split = docs.mapInArrow(_split(pattern, parts), f"block bigint, part int, doc_ids array<{kind}>, packed binary")
+    split = common.bucketed(split, "bpe_words", "block", parts)
     words = split.where("part >= 0").select("block", "part", "packed").repartition(parts, "part").sortWithinPartitions("part")
     ids = words.mapInArrow(_replayed(ranks_path, pattern), "block bigint, part int, packed binary")
-    blocks = split.where("part < 0").unionByName(ids, allowMissingColumns=True)
-    return blocks.repartition("block").sortWithinPartitions("block", "part").mapInArrow(_assembled(ranks_path, pattern), f"doc_id {kind}, n_tokens bigint, ids array<int>, decoded binary")
+    blocks = split.where("part < 0").groupBy("block").cogroup(ids.groupBy("block"))  # only ids are shuffled
+    return blocks.applyInArrow(_assembled(ranks_path, pattern), f"doc_id {kind}, n_tokens bigint, ids array<int>, decoded binary")

@@ -62,6 +62,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """``df`` as a table in the shared folder, in buckets of ``key``: grouping it by ``key`` needs no shuffle."""
+    path = scratch(df.sparkSession, label)
+    name = path.rpartition("/")[2].replace("-", "_")
+    df.write.options(**ZSTD, path=path).bucketBy(buckets, key).saveAsTable(name)
+    out = df.sparkSession.table(name)
+    out.scratch_path = path
+    return out
+
+
 def release(*tables: DataFrame) -> None:
     """Delete scratch tables made by ``stored`` that no later job reads."""
     for table in tables:
