@@ -199,6 +199,24 @@ def test_names_with_a_string_that_all_have(spark, hot):
         assert got == want
 
 
+@pytest.mark.parametrize("side", [2_000, 3])
+def test_texts_that_many_rows_have(spark, monkeypatch, side):
+    """Each distinct text is indexed once, however many fragments and holdings have it; their pairs are dealt out in squares."""
+    kept, plain = {}, matching.stored
+
+    def watched(df, label, *folders):
+        kept[label] = plain(df, label, *folders)
+        return kept[label]
+
+    monkeypatch.setattr(matching, "stored", watched)
+    asked = spark.createDataFrame([(k, ("Red W", "wheel", "x")[k % 3]) for k in range(60)], "fragment_id int, fragment string")
+    held = spark.createDataFrame([(k, ("red wheel", "RED WOOL", "blue wheel", None)[k % 4]) for k in range(80)], "holding_id int, name string")
+    got = sorted((r.fragment_id, r.holding_id) for r in matching.match_names(asked, held, side=side).collect())
+    assert got == [(f, h) for f in range(60) for h in range(80) if (f % 3, h % 4) in {(0, 0), (0, 1), (1, 0), (1, 2)}]
+    assert kept["name-strings"].count() < 20 and kept["matched-texts"].count() == 4
+    assert kept["frequent-texts"].count() == (2 if side == 3 else 0)
+
+
 def test_rows_find_holdings_by_sixty_characters(spark):
     long = "A VERY LONG NAME OF A SECURITY THAT GOES ON FOR MORE THAN SIXTY CHARACTERS"
     held = spark.createDataFrame([("a", 0, "h1", long + " SERIES A"), ("a", 1, "h2", long.lower() + " series b"), ("b", 0, "h3", long), ("a", 2, "h4", "ACME"), ("a", 2, "h5", "New Acme Corp")], "doc_id string, table_idx int, holding_id string, name string")
