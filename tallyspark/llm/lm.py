@@ -16,7 +16,7 @@ so a place is never predicted from itself. A document's score is the sum of the
 All counts run over the whole corpus and grow with it: slices of documents send what they count, dealt
 by hash, to parts of about PART keys each, and get the corpus's counts of their own keys back. The
 network learns in tasks, each from its own slices, and the tasks' weights are averaged after each of
-ROUNDS rounds; a round learns from one in SHARE of all places, chosen by their neighbours' hash.
+ROUNDS rounds. It learns from every place of the corpus once: a slice's places are dealt to the rounds in turn.
 
 Null and empty texts have no words and score 0, with a null mean. Rows are independent: repeated rows
 get equal scores and count as often as they occur; null ids stay. Words of equal count are ordered by
@@ -42,7 +42,7 @@ CLASSES, MEMBERS = 64, 64
 CODES, FREQUENT = CLASSES * MEMBERS, 3072
 EDGE = CODES  # the code beside a text's ends
 EMBEDDING, HIDDEN, RATE, BATCH, SEED = 16, 32, 0.01, 4096, 7
-ROUNDS, SHARE, WEIGHT = 2, 16, 1.0
+ROUNDS, WEIGHT = 2, 1.0
 PART, SLICE_ROWS, SLICE_BYTES = 1 << 19, 4000, 4 << 20
 _END = np.uint64(0x9E3779B97F4A7C15)  # the word beside a text's ends
 _SLICE = "slice string, docs array<{id}>, sizes binary, codes binary, words binary, tokens bigint"
@@ -83,10 +83,10 @@ class Slice:
             h = (h ^ (h >> _U64(29))) * _U64(0x94D049BB133111EB)
         return h ^ (h >> _U64(32))
 
-    def neighbours(self, codes: np.ndarray) -> np.ndarray:
-        """(words, 4) codes of the neighbours."""
-        x = self.padded(codes, EDGE)
-        return np.stack([x[self.at + step] for step in (-2, -1, 1, 2)], axis=1)
+    def neighbours(self, codes: np.ndarray, places: slice = slice(None)) -> np.ndarray:
+        """(words, 4) codes of the neighbours, of some places or all."""
+        x, at = self.padded(codes, EDGE), self.at[places]
+        return np.stack([x[at + step] for step in (-2, -1, 1, 2)], axis=1)
 
     def keyed(self, parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Per part of the hash range that holds windows of the slice: its number, the words' places, distinct keys, the key of
@@ -224,6 +224,13 @@ class Network:
         scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
         return scores
 
+    @staticmethod
+    def _softmax(scores: np.ndarray) -> np.ndarray:
+        scores -= scores.max(axis=1, keepdims=True)
+        np.exp(scores, out=scores)
+        scores /= scores.sum(axis=1, keepdims=True)
+        return scores
+
     def log_p(self, window: np.ndarray, codes: np.ndarray, block: int = 1 << 15) -> np.ndarray:
         w, out = self.weights, np.empty(len(codes), np.float32)
         for a in range(0, len(codes), block):
@@ -238,24 +245,35 @@ class Network:
     def gradients(self, window: np.ndarray, codes: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability."""
         w, n = self.weights, len(codes)
+        order = np.argsort(codes.astype(np.uint16), kind="stable")  # places of a class lie together
+        window, codes = window[order], codes[order]
         inside, hidden = self._hidden(window)
-        out = np.exp(self._log_softmax(hidden @ w["outer"] + w["outer_bias"]))
-        out[np.arange(n), codes // MEMBERS] -= 1
+        out = self._softmax(hidden @ w["outer"] + w["outer_bias"])
+        rows, classes, members = np.arange(n), codes // MEMBERS, codes % MEMBERS
+        out[rows, classes] -= 1
         back = out @ w["outer"].T
         grads = {"outer": hidden.T @ out, "outer_bias": out.sum(axis=0), "last": np.zeros_like(w["last"]), "last_bias": np.zeros_like(w["last_bias"])}
-        for c, rows in self._by_class(codes):
-            part = np.exp(self._log_softmax(hidden[rows] @ w["last"][c] + w["last_bias"][c]))
-            part[np.arange(len(rows)), codes[rows] % MEMBERS] -= 1
-            grads["last"][c], grads["last_bias"][c] = hidden[rows].T @ part, part.sum(axis=0)
-            back[rows] += part @ w["last"][c].T
+        starts = np.flatnonzero(np.diff(classes, prepend=-1))
+        own = np.empty((n, MEMBERS), np.float32)
+        spans = list(zip(classes[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), n], strict=True))
+        for c, a, b in spans:
+            np.matmul(hidden[a:b], w["last"][c], out=own[a:b])
+        own = self._softmax(np.add(own, w["last_bias"][classes], out=own))
+        own[rows, members] -= 1
+        for c, a, b in spans:
+            part = own[a:b]
+            np.matmul(hidden[a:b].T, part, out=grads["last"][c])
+            back[a:b] += part @ w["last"][c].T
+        grads["last_bias"][classes[starts]] = np.add.reduceat(own, starts, axis=0)
         back *= 1 - hidden**2
         grads |= {"inner": inside.T @ back, "inner_bias": back.sum(axis=0)}
         flat, at = (back @ w["inner"].T).reshape(-1, EMBEDDING), window.ravel()
-        order = np.argsort(at, kind="stable")
-        some, starts = np.unique(at[order], return_index=True)
+        order = np.argsort(at.astype(np.uint16), kind="stable")
+        at = at[order]
+        starts = np.flatnonzero(np.diff(at, prepend=-1))
         grads["embedding"] = np.zeros_like(w["embedding"])
-        grads["embedding"][some] = np.add.reduceat(flat[order], starts, axis=0)
-        return {k: g / n for k, g in grads.items()}
+        grads["embedding"][at[starts]] = np.add.reduceat(flat[order], starts, axis=0)
+        return {k: np.divide(g, n, out=g) for k, g in grads.items()}
 
     def learn(self, windows: Iterator[tuple[np.ndarray, np.ndarray]]) -> int:
         """Adam steps over batches of (window, codes); how many places there were."""
@@ -333,8 +351,8 @@ def _learn(shared, turn: int):
                 for row in batch.to_pylist():
                     x = Slice(row)
                     codes = coder.codes(x.words)
-                    some = np.flatnonzero((x.windows() >> _U64(16)) % _U64(SHARE) == _U64(turn))
-                    yield x.neighbours(codes)[some], codes[x.codes[some]]
+                    own = slice(turn, None, ROUNDS)
+                    yield x.neighbours(codes, own), codes[x.codes[own]]
 
         seen = network.learn(chosen())
         yield _blocks(seen, network.flat().astype(np.float64) * seen)

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import types
 import zlib
 from collections import Counter
 
@@ -680,6 +681,15 @@ def test_lm_network():
     assert network.log_p(windows, codes).mean() > before + 1
 
 
+def test_lm_learns_from_every_place(spark, odd_texts):
+    """Over all rounds the network sees each place of the corpus once."""
+    corpus = lm.gather(some(spark, odd_texts[:40]))
+    rows = corpus.slices.select("sizes", "codes", "words").toArrow().to_batches()
+    shared = types.SimpleNamespace(value=(lm.Coder(corpus.frequent), np.ones(lm.CODES, np.int64), None))
+    seen = [next(lm._learn(shared, turn)(iter(rows))).column("n")[0].as_py() for turn in range(lm.ROUNDS)]
+    assert sum(seen) == sum(len((t or "").split()) for t in odd_texts[:40]) and min(seen) > 0
+
+
 # -- operator 10
 
 
