@@ -102,6 +102,20 @@ def with_place(df: DataFrame, within: tuple[str, ...], by: tuple[str, ...], out:
     return df.join(places.withColumnsRenamed({c: f"__p_{c}" for c in keys}), _same(keys, "__p_")).drop(*(f"__p_{c}" for c in keys))
 
 
+def numbered(df: DataFrame, within: tuple[str, ...], by: tuple[str, ...], out: str, descending: bool = False) -> DataFrame:
+    """The other columns of df, and the number (from 0) of each row of its group in the order of ``by``; rows that are equal in it
+    are in any order. Rows are stored in ranges of that order, so they are sorted once and not joined."""
+    dealt = df.repartitionByRange(*(F.col(c).asc_nulls_first() for c in within), *ordering(by, descending))
+    dealt = dealt.sortWithinPartitions(*(F.col(c).asc_nulls_first() for c in within), *ordering(by, descending))
+    kept = [c for c in df.columns if c not in by or c in within]
+    rows = stored(dealt.select(*kept, F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__nth")), "numbered-rows")
+    keys = (*within, "__part")
+    parts = rows.groupBy(*keys).agg(F.min("__nth").alias("__first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(*within).orderBy("__part").rowsBetween(_FIRST, _LAST)), F.lit(0))
+    parts = parts.withColumn("__from", before - F.col("__first")).drop("n", "__first").withColumnsRenamed({c: f"__n_{c}" for c in keys})  # a row for a range and group
+    return rows.join(F.broadcast(parts), _same(keys, "__n_")).select(*kept, (F.col("__nth") + F.col("__from")).alias(out))
+
+
 def with_ntile(df: DataFrame, n: int, by: str, tiebreak: str, out: str) -> DataFrame:
     """NTILE(n) OVER (ORDER BY by NULLS LAST, tiebreak): the first count % n tiles have one row more.
 

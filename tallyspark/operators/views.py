@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import SENTINEL
-from .ranking import value_counts, with_ntile, with_place, with_ranks
+from .ranking import numbered, value_counts, with_ntile, with_ranks
 
 
 def _known(name: str) -> Column:
@@ -158,28 +158,38 @@ def _tiers() -> tuple[Column, Column]:
 
 
 def yield_tier_distribution(holdings: DataFrame, tiebreak: str | None = None, symbols: bool = True) -> DataFrame:
-    """``symbols`` lists all symbols of a tier, by value, in one string: a report for small portfolios.
-    Without it the view aggregates any number of holdings; ``yield_tier_symbols`` then has the lists in pieces."""
+    """``symbols`` lists all symbols of a tier, by value, in one string: a report for small portfolios. The list is put together
+    from pieces, so no task sorts a tier. Without it the view aggregates any number of holdings; ``yield_tier_symbols`` then has the
+    lists in pieces."""
     rows = holdings.where("market_value is not null")
     tier, label = _tiers()
-    order = f"market_value DESC{f', {tiebreak}' if tiebreak else ''}"
-    listed = [F.expr(f"listagg(symbol, ', ') WITHIN GROUP (ORDER BY {order})").alias("symbols")] if symbols else []
-    sums = rows.withColumn("tier", tier).groupBy("tier").agg(F.count("*").alias("holding_count"), F.sum("market_value").alias("mv"), F.sum("est_annual_income").alias("income"), *listed)
+    rows = rows.withColumn("tier", tier)
+    count, listed = F.count("*"), []
+    if symbols:
+        amounts = [F.sum(c).alias(c) for c in ("__mv", "est_annual_income")]
+        columns = ["tier", F.col("market_value").alias("__mv"), "est_annual_income", "symbol", "market_value", *([tiebreak] if tiebreak else [])]
+        rows = _symbol_pieces(rows.select(*columns), ("market_value", *([tiebreak] if tiebreak else [])), 1000, *amounts).withColumnRenamed("__mv", "market_value")
+        count, listed = F.sum("holding_count"), [F.expr("listagg(symbols, ', ') WITHIN GROUP (ORDER BY piece)").alias("symbols")]
+    sums = rows.groupBy("tier").agg(count.alias("holding_count"), F.sum("market_value").cast("decimal(30,6)").alias("mv"), F.sum("est_annual_income").cast("decimal(30,6)").alias("income"), *listed)
     share = _ratio(F.col("mv"), _overall("mv"), 2)
     out = sums.orderBy("tier").select(label.alias("yield_tier"), "holding_count", _money(F.col("mv")).alias("total_market_value"), share.alias("pct_of_portfolio"), _money(F.col("income")).alias("total_est_income"), *(["symbols"] if symbols else []), "tier")
     return out.orderBy("tier").drop("tier")
 
 
+def _symbol_pieces(rows: DataFrame, by: tuple[str, ...], size: int, *more: Column) -> DataFrame:
+    """tier, piece, holding_count, symbols and aggregates ``more``: the symbols of a tier by falling value, ``size`` holdings a piece."""
+    placed = numbered(rows, ("tier",), by, "__place", True)
+    listed = F.expr("listagg(symbol, ', ') WITHIN GROUP (ORDER BY __place)")
+    return placed.groupBy("tier", F.floor(F.col("__place") / size).alias("piece")).agg(F.count("*").alias("holding_count"), listed.alias("symbols"), *more)
+
+
 def yield_tier_symbols(holdings: DataFrame, tiebreak: str = "holding_id", size: int = 1000) -> DataFrame:
     """yield_tier, piece, holding_count, symbols: the symbols of a tier by value, ``size`` holdings a piece, so no task
     gathers a whole tier; a writer that joins the pieces in order has the tier's list. Without a symbol a holding counts, but
     isn't listed; a piece without any symbol has null."""
     tier, label = _tiers()
     rows = holdings.where("market_value is not null").withColumn("tier", tier)
-    placed = with_place(rows.select("tier", "market_value", tiebreak, "symbol"), ("tier",), ("market_value", tiebreak), "__place", True)
-    pieces = placed.groupBy("tier", F.floor(F.col("__place") / size).alias("piece"))
-    listed = F.expr(f"listagg(symbol, ', ') WITHIN GROUP (ORDER BY market_value DESC, {tiebreak})")
-    out = pieces.agg(F.count("*").alias("holding_count"), listed.alias("symbols")).orderBy("tier", "piece")
+    out = _symbol_pieces(rows.select("tier", "market_value", tiebreak, "symbol"), ("market_value", tiebreak), size).orderBy("tier", "piece")
     return out.select(label.alias("yield_tier"), "piece", "holding_count", "symbols")
 
 
