@@ -163,3 +163,31 @@ def test_ranks_derive_rows_twice(spark, sf):
     for name in ("v3_income_generating_holdings", "v5_return_on_cost_by_holding", "v8_gain_loss_quartiles"):
         plan = queries.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("lineitem.parquet") == 1 and plan.count("FileScan") <= 12
+
+
+def test_numbers_of_rows_in_groups(spark, monkeypatch):
+    """Numbers go on from one range to the next, and a tier's list is put together from pieces that are gathered alone."""
+    rows = [(k % 2, None if k % 11 == 0 else k * 7 % 30, k, f"S{k}" if k % 5 else None) for k in range(200)]
+    df = spark.createDataFrame(rows, "g int, v int, id int, s string")
+    want = {}
+    for g in (0, 1):
+        order = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
+        want |= {r[3]: n for n, r in enumerate(order) if r[3]}
+    got = ranking.numbered(df.repartition(5), ("g",), ("v", "id"), "n", True)
+    assert got.columns == ["g", "s", "n"] and {r.s: r.n for r in got.collect() if r.s} == want and got.count() == 200
+
+    pieces, plain = [], views._symbol_pieces
+    monkeypatch.setattr(views, "_symbol_pieces", lambda *a: pieces.append(plain(*a)) or pieces[-1])
+    amount = lambda c: F.col(c).cast("decimal(20,6)").alias(c)
+    held = spark.range(2500).select(F.col("id").alias("holding_id"), F.concat(F.lit("P"), "id").alias("symbol"), F.lit(1).alias("market_value"), F.lit(2).alias("est_annual_income"), F.lit(3).alias("est_yield"))
+    held = held.select("holding_id", "symbol", *map(amount, ("market_value", "est_annual_income", "est_yield")))
+    out = views.yield_tier_distribution(held, "holding_id").collect()
+    assert [(r.yield_tier, r.holding_count, r.total_market_value, r.total_est_income) for r in out] == [("Mid  (2–4%)", 2500, 2500.0, 5000.0)]
+    assert out[0].symbols == ", ".join(f"P{k}" for k in range(2500)) and sorted(r.holding_count for r in pieces[0].collect()) == [500, 1000, 1000]
+
+
+def test_small_rows_are_dealt_by_number(spark):
+    from tallyspark.storage import spread
+
+    few = spark.range(0, 100, 1, 1)
+    assert spread(few, "id", rows=30).rdd.getNumPartitions() == 4 and spread(few, "id").rdd.getNumPartitions() == 1
