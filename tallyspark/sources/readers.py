@@ -177,27 +177,39 @@ def decoded(raw: Column, valid: Column) -> Column:
     return F.when(valid, raw.cast("string")).otherwise(F.translate(F.decode(raw, "ISO-8859-1"), _CONTROLS, _WINDOWS))
 
 
+#: Reports whose titles are sent to all tasks, at most.
+FEW_REPORTS = 100_000
+
+
 def read_issue_report(spark: SparkSession, path: str) -> DataFrame:
     """file, seq, category, message of the bullets of text reports, each under the last title above it; seq orders a
-    file's bullets.
+    report's bullets.
 
-    A file with a line that isn't UTF-8 is read as Windows-1252. Files are split like any text; a line finds its title
-    among those of its file, which are few, by its place.
+    A folder with the parts that ``writers.write_text`` made is one report, in the order of their names; any other file is one of its
+    own. A report with a line that isn't UTF-8 is read as Windows-1252. Files are split like any text; a line finds its title
+    among those of its report, which are few and stored, by its place.
     """
-    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), place.alias("seq"), F.col("value").cast("binary").alias("raw"))
+    own = F.col("_metadata.file_path")
+    report = F.regexp_replace(own, r"/part-\d+-[^/]+$", "")
+    place = F.struct(F.when(report != own, own).alias("part"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select(report.alias("file"), place.alias("seq"), F.col("value").cast("binary").alias("raw"))
     valid = F.is_valid_utf8(F.col("raw").cast("string"))
-    broken = lines.where(~valid).select("file").distinct().withColumn("__broken", F.lit(True))
+    broken = _by_report(stored(lines.where(~valid).select("file").distinct(), "broken-reports").withColumn("__broken", F.lit(True)))
     text = lines.join(broken, "file", "left").select("file", "seq", F.rtrim(decoded(F.col("raw"), F.col("__broken").isNull())).alias("line"))
     title = F.coalesce(*(F.when(F.upper(F.trim("line")).startswith(t), c) for t, c in SECTIONS.items()))
     titles = text.select("file", "seq", title.alias("category")).where("category is not null")
-    titles = titles.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("seq", "category")), asc=False).alias("__titles"))
+    titles = _by_report(stored(titles.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("seq", "category")), asc=False).alias("__titles")), "titles"))
     message = F.nullif(F.regexp_extract("line", r"^\s*-\s+(.*\S)\s*$", 1), F.lit(""))
     bullets = text.withColumn("message", message).where("message is not null").join(titles, "file")
     above = F.try_element_at(F.filter("__titles", lambda t: t["seq"] < F.col("seq")), F.lit(1))["category"]
     return bullets.select("file", "seq", above.alias("category"), "message").where("category is not null")
 
 
+def _by_report(rows: DataFrame) -> DataFrame:
+    """A row for each report, to be joined: sent to all tasks unless there are many, so one large report isn't one task's."""
+    return F.broadcast(rows) if rows.count() <= FEW_REPORTS else rows
+
+
 def parse_issue(message: Column) -> dict[str, Column]:
     """Security, table number, field and expected amount that an issue's text names, as columns."""
     found = lambda p: F.nullif(F.regexp_extract(message, p, 1), F.lit(""))

@@ -186,6 +186,16 @@ def test_names_match_as_substrings(spark):
 # -- files
 
 
+def test_report_in_parts(spark, tmp_path):
+    """A report that was written in parts is one: bullets find titles of earlier parts, and no task writes it all."""
+    issues = spark.createDataFrame([("negative_values", f"n{k:03}") for k in range(50)] + [("missing_data", f"d{k:03}") for k in range(50)], "category string, message string")
+    writers.write_text(writers.issue_lines(issues).repartitionByRange(6, "section", "kind", "line").sortWithinPartitions("section", "kind", "line"), str(tmp_path / "report"))
+    assert len(list((tmp_path / "report").glob("part-*"))) > 3
+    got = readers.read_issue_report(spark, str(tmp_path / "report")).orderBy("seq").collect()
+    assert [(r.category, r.message) for r in got] == [(c, f"{m}{k:03}") for c, m in (("negative_values", "n"), ("missing_data", "d")) for k in range(50)]
+    assert len({r.file for r in got}) == 1
+
+
 @pytest.mark.parametrize("hot", [10_000, 2, 0])
 def test_names_with_a_string_that_all_have(spark, hot):
     """One string is in every name; fragments are looked up by their rarest ones, hot ones by two together."""
