@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import cells as X
 from .tables import END, NO_TABLES, START
 
+#: Answers that are handed back to Spark together.
+ANSWERS = 100
 _RESPONSE = "doc_id string, first_page int, last_page int, text string, finish_reason string"
 
 
@@ -34,13 +36,24 @@ def batched(pages: DataFrame, size: int = 7) -> DataFrame:
 
 
 def _ask(reader: PageReader):
-    def run(pdf):
+    """Calls for batches as they come, a batch's pages one after another; a call's pages are all that is held besides the rows
+    that Spark hands over together."""
+
+    def run(frames):
+        import itertools
+
         import pandas as pd
 
-        pdf = pdf.sort_values("page_number")
-        doc = pdf["doc_id"].iloc[0]
-        text, reason = reader.read(doc, list(zip(pdf["page_number"].tolist(), pdf["image"].tolist(), strict=True)))
-        return pd.DataFrame([(doc, pdf["page_number"].min(), pdf["page_number"].max(), text, reason)], columns=["doc_id", "first_page", "last_page", "text", "finish_reason"])
+        rows = (row for frame in frames for row in zip(*(frame[c].tolist() for c in ("doc_id", "batch_idx", "page_number", "image")), strict=True))
+        answers = []
+        for (doc, _), some in itertools.groupby(rows, key=lambda r: r[:2]):
+            pages = [r[2:] for r in some]
+            answers.append((doc, pages[0][0], pages[-1][0], *reader.read(doc, pages)))
+            if len(answers) >= ANSWERS:
+                yield pd.DataFrame(answers, columns=["doc_id", "first_page", "last_page", "text", "finish_reason"])
+                answers = []
+        if answers:
+            yield pd.DataFrame(answers, columns=["doc_id", "first_page", "last_page", "text", "finish_reason"])
 
     return run
 
@@ -54,7 +67,8 @@ def read_batches(pages: DataFrame, reader: PageReader, size: int = 7) -> tuple[D
     whole, pending, failed = None, pages.select("doc_id", "page_number", "image"), None
     while True:
         dealt = batched(pending, size) if whole is None else _rebatched(pending, size)
-        answers = dealt.groupBy("doc_id", "batch_idx").applyInPandas(_ask(reader), _RESPONSE).checkpoint()
+        ordered = dealt.select("doc_id", "batch_idx", "page_number", "image").repartition("doc_id", "batch_idx").sortWithinPartitions("doc_id", "batch_idx", "page_number")
+        answers = ordered.mapInPandas(_ask(reader), _RESPONSE).checkpoint()
         cut = is_truncated(F.col("finish_reason"), F.col("text"))
         good = answers.where(~cut)
         whole = good if whole is None else whole.unionByName(good)

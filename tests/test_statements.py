@@ -186,6 +186,21 @@ def test_names_match_as_substrings(spark):
 # -- files
 
 
+def test_batches_are_asked_as_they_come():
+    """A task's batches go through one stream of frames, however they are cut; a batch is one call."""
+    import pandas as pd
+
+    class Reader:
+        def read(self, doc_id, pages):
+            return ",".join(str(n) for n, _ in pages), "STOP"
+
+    rows = [("a", k // 3, k, b"") for k in range(250)] + [("b", 0, k, b"") for k in range(2)]
+    frame = pd.DataFrame(rows, columns=["doc_id", "batch_idx", "page_number", "image"])
+    got = pd.concat(extract._ask(Reader())(iter([frame[:100], frame[100:101], frame[101:]])))
+    assert len(got) == 85 and list(got["text"][-2:]) == ["249", "0,1"] and ",".join(got["text"][:-1]) == ",".join(map(str, range(250)))
+    assert list(got["first_page"][:3]) == [0, 3, 6] and list(got["last_page"][:3]) == [2, 5, 8]
+
+
 def test_report_in_parts(spark, tmp_path):
     """A report that was written in parts is one: bullets find titles of earlier parts, and no task writes it all."""
     issues = spark.createDataFrame([("negative_values", f"n{k:03}") for k in range(50)] + [("missing_data", f"d{k:03}") for k in range(50)], "category string, message string")
