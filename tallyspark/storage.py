@@ -37,6 +37,17 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Rows that a task gets where much is done with each.
+SPREAD = 10_000
+
+
+def spread(df: DataFrame, *keys: str, rows: int = SPREAD) -> DataFrame:
+    """``df`` dealt by its keys into parts of about ``rows`` rows: readers make tasks by bytes, and a small file of many short
+    rows would be one task, however long each row takes."""
+    parts = -(-df.count() // rows)
+    return df.repartition(parts, *keys) if parts > 1 else df
+
+
 def stored(df: DataFrame, label: str, *folders: str) -> DataFrame:
     """Write ``df`` and read it back: later steps neither repeat its work nor depend on executors' disks. ``folders`` are
     columns by whose values the files are divided; they come last in the schema."""
