@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import tables
 from ..schema import table
+from ..storage import spread
 
 Shapes = list[tuple[str, str]]
 SAME = ""  # the repair leaves the table as it is
@@ -100,7 +101,7 @@ def _filled(text: Column) -> Column:
 
 def _given(spark: SparkSession, sf_dir: str, shapes: Shapes) -> DataFrame:
     nth = (F.col("p_partkey") % len(shapes)).cast("int")
-    return table(spark, sf_dir, "part").select("p_partkey", _filled(F.element_at(F.array(*(F.lit(given) for given, _ in shapes)), nth + 1)).alias("text"))
+    return spread(table(spark, sf_dir, "part"), "p_partkey").select("p_partkey", _filled(F.element_at(F.array(*(F.lit(given) for given, _ in shapes)), nth + 1)).alias("text"))
 
 
 def _shown(rows: Column) -> Column:
