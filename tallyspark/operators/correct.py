@@ -177,11 +177,11 @@ def apply_changes(holdings: DataFrame, changes: DataFrame) -> DataFrame:
 def change_log(holdings: DataFrame, changes: DataFrame) -> DataFrame:
     """changes with old_value: what the cell held before, other changes of this round included."""
     names = ["symbol", "quantity", "cost_basis", "market_value", "unrealized_gl", "est_annual_income", "account", "account_type"]
-    cells = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*(F.col(c).cast("string") for c in names)))
-    before = changes.join(holdings.select("holding_id", cells.alias("__cells")), "holding_id", "left")
+    cells = holdings.select("holding_id", *(F.col(c).alias(f"__{c}") for c in names))
+    before = changes.join(cells, "holding_id", "left").withColumn("__cell", F.coalesce(*(F.when(F.col("column") == c, F.col(f"__{c}").cast("string")) for c in names)))
     order = Window.partitionBy("holding_id", "column").orderBy("seq", "issue_id")
-    old = F.when(F.col("status") == "APPLIED", F.coalesce(F.lag("new_value").over(order), F.try_element_at("__cells", F.col("column"))))
-    return before.withColumn("old_value", old).drop("__cells")
+    old = F.when(F.col("status") == "APPLIED", F.coalesce(F.lag("new_value").over(order), "__cell"))
+    return before.select(*changes.columns, "__cell").withColumn("old_value", old).drop("__cell")
 
 
 def resolved_issues(verdicts: DataFrame, changes: DataFrame) -> DataFrame:
