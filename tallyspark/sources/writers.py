@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import FIELDS
+from ..storage import stored
 from . import numbered
 
 
@@ -36,9 +37,11 @@ def write_holdings_csv(holdings: DataFrame, path: str) -> None:
 
 
 def issue_lines(issues: DataFrame) -> DataFrame:
-    """The report's lines with their order: each category's title and count, then its issues."""
+    """The report's lines with their order: each category's title and count, then its issues. Issues are found once and
+    stored, for they are counted, sampled for their order, and told."""
     from ..operators.validate import CATEGORIES
 
+    issues = stored(issues.select("category", "message"), "told-issues")
     order = F.array_position(F.array(*map(F.lit, CATEGORIES)), F.col("category"))
     titles = issues.groupBy("category").agg(F.count("*").alias("n"))
     title = F.concat(F.upper(F.replace("category", F.lit("_"), F.lit(" "))), F.lit(" ("), F.col("n").cast("string"), F.lit(")"))

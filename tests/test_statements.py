@@ -604,3 +604,10 @@ def test_truncation(spark):
     rows = [(None, "", True), ("MAX_TOKENS", "", True), ("OTHER", "x", True), ("STOP", "===TABLE_START===", True), ("STOP", "===TABLE_START=== ===TABLE_END===", False), ("STOP", None, False)]
     df = spark.createDataFrame(rows, "reason string, text string, want boolean")
     assert all(r.want == r.got for r in df.select("want", extract.is_truncated(F.col("reason"), F.col("text")).alias("got")).collect())
+
+
+def test_issues_of_a_report_are_found_once(spark):
+    issues = spark.createDataFrame([("negative_values", "a"), ("negative_values", "b"), ("missing_data", "c")], "category string, message string")
+    lines = writers.issue_lines(issues)
+    assert lines.inputFiles() and all("told-issues" in f for f in lines.inputFiles())  # counts and bullets are of the stored ones
+    assert [r.line for r in lines.collect()] == ["NEGATIVE VALUES (2)", "- a", "- b", "MISSING DATA (1)", "- c"]
