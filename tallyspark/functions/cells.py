@@ -84,13 +84,12 @@ def currency(raw: Column) -> Column:
     letters go, and what is then no number is null."""
     text = F.regexp_replace(F.trim(raw), r"^\((.*)\)$", "-$1")
     text = F.trim(F.translate(text, "$,cBt*", ""))
-    return F.when(F.lower(text).isin("", "-", "--", "unknown", "nan", "n/a"), None).otherwise(text).try_cast(AMOUNT)
+    return text.try_cast(AMOUNT)
 
 
 def percentage(raw: Column) -> Column:
     """A percentage cell by its magnitude: 4.68% is 4.68."""
-    text = F.trim(F.replace(F.trim(raw), F.lit("%"), F.lit("")))
-    return F.when(F.lower(text).isin("", "-", "--", "unknown", "nan", "n/a"), None).otherwise(text).try_cast(AMOUNT)
+    return F.trim(F.replace(F.trim(raw), F.lit("%"), F.lit(""))).try_cast(AMOUNT)
 
 
 # -- securities

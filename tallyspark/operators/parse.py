@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cells as X
 from ..schema import COLUMNS
+from ..storage import stored
 
 MARKER = "Beginning Account Value"
 AMOUNT_FIELDS = {"quantity": "quantity", "cost_basis": "cost_basis", "market_value": "market_value", "gain_loss": "unrealized_gl", "annual_income": "est_annual_income", "yield": "est_yield"}
@@ -63,7 +64,8 @@ def matching_column(header: Column, field: Column, ignored: tuple[str, ...] = ("
 
 def prepared(tables: DataFrame) -> DataFrame:
     """doc_id, table_idx, header, data (rows below the header)."""
-    rows = tables.withColumn("rows", drop_index_column(from_header(F.col("rows"))))
+    # a step each: as one expression the rows from the header on would be made for each of their uses
+    rows = tables.withColumn("rows", from_header(F.col("rows"))).withColumn("rows", drop_index_column(F.col("rows")))
     return rows.select("doc_id", "table_idx", F.element_at("rows", 1).alias("header"), F.slice("rows", F.lit(2), F.size("rows")).alias("data"))
 
 
@@ -80,28 +82,33 @@ def account_list(tables: DataFrame, supplied: DataFrame | None = None) -> DataFr
     """
     named = tables.where(F.array_contains("header", "Account Number")).select("doc_id", "table_idx", "header", F.posexplode("data").alias("row_idx", "row"))
     at = lambda name: F.array_position("header", name).cast("int")
-    kinds = named.select("doc_id", "table_idx", "row_idx", X.account_label(_cell(F.col("row"), at("Account Type/Name"))).alias("kind")).where("kind is not null")
-    numbers = named.select("doc_id", "table_idx", "row_idx", F.trim(_cell(F.col("row"), at("Account Number"))).alias("number")).where("number is not null")
-    order = Window.partitionBy("doc_id").orderBy("table_idx", "row_idx")
-    kinds = kinds.select("doc_id", (F.row_number().over(order) - 1).alias("account_idx"), "kind")
-    found = kinds.join(numbers.select("doc_id", (F.row_number().over(order) - 1).alias("account_idx"), "number"), ["doc_id", "account_idx"])
+    kind, number = X.account_label(_cell(F.col("row"), at("Account Type/Name"))), F.trim(_cell(F.col("row"), at("Account Number")))
+    told = F.array(*(F.struct(F.lit(what).alias("what"), text.alias("text")) for what, text in (("kind", kind), ("number", number))))
+    told = named.select("doc_id", "table_idx", "row_idx", F.explode(told).alias("t")).select("doc_id", "table_idx", "row_idx", "t.*").where("text is not null")
+    order = Window.partitionBy("doc_id", "what").orderBy("table_idx", "row_idx")
+    placed = told.withColumn("account_idx", F.row_number().over(order) - 1)
+    both = placed.groupBy("doc_id", "account_idx").agg(*(F.max(F.when(F.col("what") == c, F.col("text"))).alias(c) for c in ("kind", "number")))
+    found = both.where("kind is not null and number is not null")
     if supplied is None:
         return found
-    usable = supplied.where("kind <> '' and number <> ''").join(kinds.select("doc_id").distinct(), "doc_id", "left_anti")
+    usable = supplied.where("kind <> '' and number <> ''").join(placed.where("what = 'kind'").select("doc_id").distinct(), "doc_id", "left_anti")
     return found.unionByName(usable.select(found.columns))
 
 
 def account_of_tables(tables: DataFrame, accounts: DataFrame) -> DataFrame:
     """tables with account: that of the last marker table at or before each, "Unknown Account" before
-    the first. The n-th marker opens the n-th account; markers beyond the last account open none."""
+    the first. The n-th marker opens the n-th account; markers beyond the last account open none.
+
+    Markers are counted over the tables' numbers alone, so tables are dealt out once, to meet their account's name."""
     counts = accounts.groupBy("doc_id").agg(F.count("*").alias("__accounts"))
-    marked = tables.join(counts, "doc_id", "left")
     order = Window.partitionBy("doc_id").orderBy("table_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     has_marker = F.exists("data", lambda row: F.exists(row, lambda c: c.contains(MARKER)))
-    nth = F.sum(F.when(has_marker, 1).otherwise(0)).over(order)
-    marked = marked.withColumn("account_idx", F.least(nth, F.coalesce("__accounts", F.lit(0))) - 1)
-    joined = marked.join(accounts, ["doc_id", "account_idx"], "left")
-    return joined.withColumn("account", X.account_name(F.col("kind"), F.col("number"))).select(*tables.columns, "account")
+    keys = ["doc_id", "table_idx"]
+    marked = tables.groupBy(*keys).agg(F.sum(F.when(has_marker, 1).otherwise(0)).alias("__markers")).join(counts, "doc_id", "left")
+    nth = F.least(F.sum("__markers").over(order), F.coalesce("__accounts", F.lit(0)))
+    named = marked.withColumn("account_idx", nth - 1).where("account_idx >= 0").join(accounts, ["doc_id", "account_idx"])
+    named = named.select(*keys, X.account_name(F.col("kind"), F.col("number")).alias("account"))
+    return tables.join(named, keys, "left").withColumn("account", F.coalesce("account", F.lit(X.UNKNOWN_ACCOUNT))).select(*tables.columns, "account")
 
 
 def with_columns_resolved(tables: DataFrame) -> DataFrame:
@@ -113,11 +120,22 @@ def with_columns_resolved(tables: DataFrame) -> DataFrame:
 
 
 def table_rows(tables: DataFrame) -> DataFrame:
-    """A row per data row of holdings tables: description and the six amounts."""
-    rows = tables.select("*", F.posexplode("data").alias("row_idx", "row"))
-    amounts = {name: (X.percentage if field == "yield" else X.currency)(_cell(F.col("row"), F.col(f"at_{field}"))) for field, name in AMOUNT_FIELDS.items()}
+    """A row per data row of holdings tables: description and the six amounts.
+
+    Rows are parsed in their array: as columns, filters and cells would be compiled into methods too long for the JIT."""
     keep = [c for c in ("doc_id", "table_idx", "account") if c in tables.columns]
-    return rows.select(*keep, "row_idx", _cell(F.col("row"), F.col("at_description")).alias("description"), *(v.alias(k) for k, v in amounts.items()))
+
+    def parsed(row: Column, k: Column) -> Column:
+        amounts = {name: (X.percentage if field == "yield" else X.currency)(_cell(row, F.col(f"at_{field}"))) for field, name in AMOUNT_FIELDS.items()}
+        return F.struct(k.alias("row_idx"), _cell(row, F.col("at_description")).alias("description"), *(v.alias(c) for c, v in amounts.items()))
+
+    return tables.select(*keep, F.inline(F.transform("data", parsed)))
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """rows with the name and symbol that their descriptions tell; filters by these stay behind it."""
+    told = F.transform(F.array("description"), lambda d: F.struct(X.security_name(d).alias("name"), X.symbol(d).alias("symbol")))
+    return rows.select("*", F.inline(told)).where("name <> ''")
 
 
 def carry_forward_class(rows: DataFrame) -> DataFrame:
@@ -132,12 +150,14 @@ def carry_forward_class(rows: DataFrame) -> DataFrame:
 
 
 def extract_holdings(tables: DataFrame, supplied: DataFrame | None = None) -> DataFrame:
-    """doc_id, table_idx, row_idx, holding_id and the canonical columns of every holding of raw tables."""
-    tables = prepared(tables)
+    """doc_id, table_idx, row_idx, holding_id and the canonical columns of every holding of raw tables.
+
+    Prepared tables are stored, for they are read for accounts, markers and rows.
+    """
+    tables = stored(prepared(tables), "prepared-tables")
     accounted = account_of_tables(tables, account_list(tables, supplied))
     rows = table_rows(with_columns_resolved(accounted)).where(F.col("description").isNotNull() & ~X.is_total(F.col("description")))
-    rows = rows.withColumns({"name": X.security_name(F.col("description")), "symbol": X.symbol(F.col("description"))}).where("name <> ''")
-    holdings = carry_forward_class(rows).where("coalesce(quantity, cost_basis, market_value) is not null")
+    holdings = carry_forward_class(_named(rows)).where("coalesce(quantity, cost_basis, market_value) is not null")
     holdings = holdings.withColumns({"account_type": X.account_type(F.col("account")), "holding_id": F.concat_ws("-", "doc_id", "table_idx", "row_idx")})
     return holdings.select("doc_id", "table_idx", "row_idx", "holding_id", *COLUMNS)
 
@@ -146,7 +166,7 @@ def named_rows(tables: DataFrame) -> DataFrame:
     """doc_id, table_idx, row_idx and the security's name of every row of holdings tables that is no total: by these a table
     finds its holdings again."""
     rows = table_rows(with_columns_resolved(prepared(tables))).where(F.col("description").isNotNull() & ~X.is_total(F.col("description")))
-    return rows.select("doc_id", "table_idx", "row_idx", X.security_name(F.col("description")).alias("name")).where("name <> ''")
+    return _named(rows).select("doc_id", "table_idx", "row_idx", "name")
 
 
 def stated_totals(tables: DataFrame) -> DataFrame:

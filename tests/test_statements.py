@@ -611,3 +611,15 @@ def test_issues_of_a_report_are_found_once(spark):
     lines = writers.issue_lines(issues)
     assert lines.inputFiles() and all("told-issues" in f for f in lines.inputFiles())  # counts and bullets are of the stored ones
     assert [r.line for r in lines.collect()] == ["NEGATIVE VALUES (2)", "- a", "- b", "MISSING DATA (1)", "- c"]
+
+
+def test_prepared_tables_are_stored_and_read_for_all_steps(spark):
+    cells = [["Description", "Quantity", "Ending Market Value"], ["Common Stock", "", "--"], ["RED WIDGET (P1)", "(2)", "$1,234.50"], ["PLAIN (no", "n/a", "7"], ["(X) ", "1", "1"], ["Total", "9", "9"]]
+    listed = [["Account Type/Name", "Account Number"], ["Doe - Roth IRA", "2-2"], ["Total Portfolio", ""]]
+    marker = [["", "This Period"], ["Beginning Account Value", "$1.00"]]
+    tables = spark.createDataFrame([("d", 0, listed), ("d", 1, cells), ("d", 2, marker), ("d", 3, cells), (None, 0, cells)], "doc_id string, table_idx int, rows array<array<string>>")
+    found = parse.extract_holdings(tables)
+    assert found.inputFiles() and all("prepared-tables" in f for f in found.inputFiles())
+    rows = sorted((r.doc_id or "", r.table_idx, r.row_idx, r.name, r.symbol, r.asset_class, r.quantity and float(r.quantity), float(r.market_value), r.account) for r in found.collect())
+    of = lambda doc, t, account: [(doc, t, 1, "RED WIDGET", "P1", "Equities", -2.0, 1234.5, account), (doc, t, 2, "PLAIN (no", None, "Equities", None, 7.0, account)]
+    assert rows == of("", 0, "Unknown Account") + of("d", 1, "Unknown Account") + of("d", 3, "Roth IRA 2-2")
