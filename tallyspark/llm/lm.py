@@ -42,6 +42,7 @@ CLASSES, MEMBERS = 64, 64
 CODES, FREQUENT = CLASSES * MEMBERS, 3072
 EDGE = CODES  # the code beside a text's ends
 EMBEDDING, HIDDEN, RATE, BATCH, SEED = 16, 32, 0.01, 4096, 7
+BLOCK = 1 << 10  # places whose numbers stay in a core's cache
 ROUNDS, WEIGHT = 2, 1.0
 PART, SLICE_ROWS, SLICE_BYTES = 1 << 19, 4000, 4 << 20
 _END = np.uint64(0x9E3779B97F4A7C15)  # the word beside a text's ends
@@ -210,69 +211,83 @@ class Network:
             at += n
 
     def _hidden(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        inside = self.weights["embedding"][window].reshape(len(window), -1)
-        return inside, np.tanh(inside @ self.weights["inner"] + self.weights["inner_bias"])
-
-    def _by_class(self, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(codes // MEMBERS, kind="stable")
-        some, starts = np.unique(codes[order] // MEMBERS, return_index=True)
-        return zip(some.tolist(), np.split(order, starts[1:]), strict=True)
+        inside = self.weights["embedding"].take(window.ravel(), axis=0).reshape(len(window), -1)
+        hidden = inside @ self.weights["inner"]
+        hidden += self.weights["inner_bias"]
+        return inside, np.tanh(hidden, out=hidden)
 
     @staticmethod
-    def _log_softmax(scores: np.ndarray) -> np.ndarray:
+    def _softmax(scores: np.ndarray) -> np.ndarray:
         scores -= scores.max(axis=1, keepdims=True)
-        scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
+        np.exp(scores, out=scores)
+        scores /= scores @ np.ones((scores.shape[1], 1), scores.dtype)
         return scores
 
     @staticmethod
-    def _softmax(scores: np.ndarray) -> np.ndarray:
+    def _log_softmax_at(scores: np.ndarray, at: np.ndarray | int) -> np.ndarray:
+        """Of one column of each row."""
         scores -= scores.max(axis=1, keepdims=True)
+        own = scores[np.arange(len(scores)), at]
         np.exp(scores, out=scores)
-        scores /= scores.sum(axis=1, keepdims=True)
-        return scores
+        return own - np.log(scores @ np.ones(scores.shape[1], scores.dtype))
 
-    def log_p(self, window: np.ndarray, codes: np.ndarray, block: int = 1 << 15) -> np.ndarray:
+    @staticmethod
+    def _spans(classes: np.ndarray) -> list[tuple[int, int, int]]:
+        """Ascending classes, each with its first place and the one behind its last."""
+        starts = np.flatnonzero(np.diff(classes, prepend=-1))
+        return list(zip(classes[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(classes)], strict=True))
+
+    def log_p(self, window: np.ndarray, codes: np.ndarray, block: int = BLOCK) -> np.ndarray:
         w, out = self.weights, np.empty(len(codes), np.float32)
-        for a in range(0, len(codes), block):
-            own = codes[a : a + block]
-            _, hidden = self._hidden(window[a : a + block])
-            found = self._log_softmax(hidden @ w["outer"] + w["outer_bias"])[np.arange(len(own)), own // MEMBERS]
-            for c, rows in self._by_class(own):
-                found[rows] += self._log_softmax(hidden[rows] @ w["last"][c] + w["last_bias"][c])[np.arange(len(rows)), own[rows] % MEMBERS]
-            out[a : a + block] = found
+        order = np.argsort(codes.astype(np.uint16), kind="stable")  # places of a class lie together
+        members = codes.take(order) % MEMBERS
+        for c, first, end in self._spans(codes.take(order) // MEMBERS):
+            for a in range(first, end, block):
+                places = order[a : min(a + block, end)]
+                _, hidden = self._hidden(window.take(places, axis=0))
+                outer, own = hidden @ w["outer"], hidden @ w["last"][c]
+                outer += w["outer_bias"]
+                own += w["last_bias"][c]
+                out[places] = self._log_softmax_at(outer, c) + self._log_softmax_at(own, members[a : a + len(places)])
         return out
 
-    def gradients(self, window: np.ndarray, codes: np.ndarray) -> dict[str, np.ndarray]:
+    def gradients(self, window: np.ndarray, codes: np.ndarray, block: int = BLOCK) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability."""
         w, n = self.weights, len(codes)
         order = np.argsort(codes.astype(np.uint16), kind="stable")  # places of a class lie together
-        window, codes = window[order], codes[order]
-        inside, hidden = self._hidden(window)
-        out = self._softmax(hidden @ w["outer"] + w["outer_bias"])
-        rows, classes, members = np.arange(n), codes // MEMBERS, codes % MEMBERS
-        out[rows, classes] -= 1
-        back = out @ w["outer"].T
-        grads = {"outer": hidden.T @ out, "outer_bias": out.sum(axis=0), "last": np.zeros_like(w["last"]), "last_bias": np.zeros_like(w["last_bias"])}
-        starts = np.flatnonzero(np.diff(classes, prepend=-1))
-        own = np.empty((n, MEMBERS), np.float32)
-        spans = list(zip(classes[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), n], strict=True))
-        for c, a, b in spans:
-            np.matmul(hidden[a:b], w["last"][c], out=own[a:b])
-        own = self._softmax(np.add(own, w["last_bias"][classes], out=own))
-        own[rows, members] -= 1
-        for c, a, b in spans:
-            part = own[a:b]
-            np.matmul(hidden[a:b].T, part, out=grads["last"][c])
-            back[a:b] += part @ w["last"][c].T
-        grads["last_bias"][classes[starts]] = np.add.reduceat(own, starts, axis=0)
-        back *= 1 - hidden**2
-        grads |= {"inner": inside.T @ back, "inner_bias": back.sum(axis=0)}
-        flat, at = (back @ w["inner"].T).reshape(-1, EMBEDDING), window.ravel()
+        window, codes = window.take(order, axis=0), codes.take(order)
+        grads, flat = {k: np.zeros_like(x) for k, x in w.items()}, np.empty((n, 4 * EMBEDDING), np.float32)
+        for first in range(0, n, block):
+            inside, hidden = self._hidden(window[first : first + block])
+            classes, members = np.divmod(codes[first : first + block], MEMBERS)
+            rows, one = np.arange(len(classes)), np.ones(len(classes), np.float32)
+            out = hidden @ w["outer"]
+            out += w["outer_bias"]
+            out = self._softmax(out)
+            out[rows, classes] -= 1
+            back = out @ w["outer"].T
+            grads["outer"] += hidden.T @ out
+            grads["outer_bias"] += one @ out
+            spans, own = self._spans(classes), out  # the classes' scores are done with
+            for c, a, b in spans:
+                np.matmul(hidden[a:b], w["last"][c], out=own[a:b])
+                own[a:b] += w["last_bias"][c]
+            own = self._softmax(own)
+            own[rows, members] -= 1
+            for c, a, b in spans:
+                grads["last"][c] += hidden[a:b].T @ own[a:b]
+                grads["last_bias"][c] += one[a:b] @ own[a:b]
+                back[a:b] += own[a:b] @ w["last"][c].T
+            hidden *= hidden
+            back *= np.subtract(1, hidden, out=hidden)
+            grads["inner"] += inside.T @ back
+            grads["inner_bias"] += one @ back
+            np.matmul(back, w["inner"].T, out=flat[first : first + block])
+        flat, at = flat.reshape(-1, EMBEDDING), window.ravel()
         order = np.argsort(at.astype(np.uint16), kind="stable")
-        at = at[order]
+        at = at.take(order)
         starts = np.flatnonzero(np.diff(at, prepend=-1))
-        grads["embedding"] = np.zeros_like(w["embedding"])
-        grads["embedding"][at[starts]] = np.add.reduceat(flat[order], starts, axis=0)
+        grads["embedding"][at[starts]] = np.add.reduceat(flat.take(order, axis=0), starts, axis=0)
         return {k: np.divide(g, n, out=g) for k, g in grads.items()}
 
     def learn(self, windows: Iterator[tuple[np.ndarray, np.ndarray]]) -> int:
@@ -284,9 +299,18 @@ class Network:
                 step += 1
                 seen += len(codes[a : a + BATCH])
                 for k, g in self.gradients(window[a : a + BATCH], codes[a : a + BATCH]).items():
-                    m[k] += 0.1 * (g - m[k])
-                    v[k] += 0.01 * (g * g - v[k])
-                    self.weights[k] -= RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
+                    m[k] *= 0.9
+                    m[k] += 0.1 * g
+                    v[k] *= 0.99
+                    g *= g
+                    g *= 0.01
+                    v[k] += g
+                    np.divide(v[k], 1 - 0.99**step, out=g)
+                    np.sqrt(g, out=g)
+                    g += 1e-8
+                    np.divide(m[k], g, out=g)
+                    g *= RATE / (1 - 0.9**step)
+                    self.weights[k] -= g
         return seen
 
 
