@@ -1,8 +1,9 @@
 """Tables as CSV files by number, ``{path}/{document}/{prefix}{n}.csv``: a data source for both directions.
 
 Writing has two phases. Tasks write their files below a folder of their own under ``{path}/_staging-...``; when all are done,
-the driver moves the files of the tasks that count to their names and deletes the rest, so a failed or repeated task leaves
-nothing behind. Reading packs files, which are small, into partitions of PACK bytes or MANY files. A document's id is
+the driver moves what the tasks that count have written to its name and deletes the rest, so a failed or repeated task leaves
+nothing behind. A document that one task wrote, and that has no folder yet, is moved as a folder where the file system
+can; then the driver does one rename a document and lists no files. Reading packs files, which are small, into partitions of PACK bytes or MANY files. A document's id is
 its folder's name, with percent signs for characters that names can't have; numbers begin with 1.
 """
 
@@ -12,6 +13,7 @@ import csv
 import io
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -23,6 +25,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from ..storage import arrow_files
 
 FORMAT, SCHEMA = "numbered_csv", "doc_id string, table_idx int, rows array<array<string>>"
+#: File systems that rename a folder at once.
+RENAMES = ("local", "hdfs")
 #: What a reading task gets at most (one larger file is alone), a file counting for OPEN bytes more than it has.
 PACK, MANY, OPEN = 16 << 20, 2000, 4096
 
@@ -76,6 +80,7 @@ class NumberedReader(DataSourceReader):
 class Staged(WriterCommitMessage):
     folder: str
     files: int
+    documents: dict[str, int]  # different files by document's folder
 
 
 class NumberedWriter(DataSourceArrowWriter):
@@ -85,41 +90,50 @@ class NumberedWriter(DataSourceArrowWriter):
 
     def write(self, iterator) -> Staged:
         files, root = arrow_files(self.path)
-        folder, n, made = f"{root}/{self.staging}/{uuid.uuid4().hex}", 0, set()
+        folder, n, made = f"{root}/{self.staging}/{uuid.uuid4().hex}", 0, {}
         for batch in iterator:
             for row in batch.to_pylist():
                 if row["doc_id"] is None or row["table_idx"] is None:
                     raise ValueError("a table without document or number can't be named")
-                own = f"{folder}/{quote(row['doc_id'], safe=' ')}"
+                own = quote(row["doc_id"], safe=" ")
                 if own not in made:
-                    files.create_dir(own, recursive=True)
-                    made.add(own)
-                with files.open_output_stream(f"{own}/{self.prefix}{row['table_idx'] + 1}.csv") as out:
+                    files.create_dir(f"{folder}/{own}", recursive=True)
+                    made[own] = set()
+                made[own].add(row["table_idx"])
+                with files.open_output_stream(f"{folder}/{own}/{self.prefix}{row['table_idx'] + 1}.csv") as out:
                     out.write(printed([[c or "" for c in r or []] for r in row["rows"] or []]).encode())
                 n += 1
-        return Staged(folder, n)
+        return Staged(folder, n, {own: len(numbers) for own, numbers in made.items()})
 
     def commit(self, messages: list[Staged | None]) -> None:
         from pyarrow import fs
 
         files, root = arrow_files(self.path)
-        staged, here = [], re.compile(rf"{re.escape(self.prefix)}\d+\.csv")
-        for message in filter(None, messages):
-            found = [f.path for f in files.get_file_info(fs.FileSelector(message.folder, recursive=True, allow_not_found=True)) if f.is_file]
-            if len(found) != message.files:
-                raise ValueError(f"{message.files} tables were written to {message.folder}, which has {len(found)}: two have one number")
-            staged += [(path, path[len(message.folder) + 1 :]) for path in found]
+        messages, here = [m for m in messages if m], re.compile(rf"{re.escape(self.prefix)}\d+\.csv")
+        for message in messages:
+            if (n := sum(message.documents.values())) != message.files:
+                raise ValueError(f"{message.files} tables were written to {message.folder}, which has {n}: two have one number")
+        writers = Counter(name for message in messages for name in message.documents)
+        there = [f for f in files.get_file_info(fs.FileSelector(root, allow_not_found=True)) if not f.is_file and not f.base_name.startswith("_")]
+        old = {f.base_name for f in there}
+        whole = lambda name: files.type_name in RENAMES and writers[name] == 1 and name not in old
+        moves, staged = [], []
+        for message in messages:
+            moves += [(f"{message.folder}/{name}", name) for name in message.documents if whole(name)]
+            for name in message.documents:
+                if not whole(name):
+                    staged += [(f.path, f"{name}/{f.base_name}") for f in files.get_file_info(fs.FileSelector(f"{message.folder}/{name}")) if f.is_file]
         if len({name for _, name in staged}) != len(staged):
             raise ValueError("two tables of a document have one number")
         if self.overwrite:
-            old = files.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
-            for f in old:
-                if f.is_file and here.fullmatch(f.base_name) and "/_" not in f.path[len(root) :]:
-                    files.delete_file(f.path)
+            for folder in there:
+                for f in files.get_file_info(fs.FileSelector(folder.path, recursive=True)):
+                    if f.is_file and here.fullmatch(f.base_name) and "/_" not in f.path[len(folder.path) :]:
+                        files.delete_file(f.path)
         for folder in {name.partition("/")[0] for _, name in staged}:
             files.create_dir(f"{root}/{folder}", recursive=True)
         with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda move: files.move(move[0], f"{root}/{move[1]}"), staged))
+            list(pool.map(lambda move: files.move(move[0], f"{root}/{move[1]}"), moves + staged))
         self.abort(messages)
 
     def abort(self, messages) -> None:

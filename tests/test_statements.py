@@ -4,6 +4,7 @@ import io
 import json
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -426,6 +427,40 @@ def test_numbered_files(spark, tmp_path, monkeypatch):
     assert readers.read_numbered_csvs(spark, f"{tmp_path}/many", "n_").collect() == []
 
 
+def test_numbered_files_are_moved_by_document(spark, tmp_path, monkeypatch):
+    """A new document is one rename; in a folder that is there already, files are moved one by one beside what it has."""
+    from pyarrow import fs
+
+    from tallyspark.sources import numbered
+
+    def staged(name, rows):
+        writer = numbered.NumberedWriter(f"{tmp_path}/{name}", "n_", True)
+        return writer, [writer.write(pa.Table.from_pylist([dict(zip(TABLE_NAMES, r, strict=True)) for r in part]).to_batches()) for part in rows]
+
+    class Counted(fs.LocalFileSystem):
+        moved = []
+
+        def move(self, source, target):
+            self.moved.append(target)
+            super().move(source, target)
+
+    monkeypatch.setattr(numbered, "arrow_files", lambda path: (Counted(), path))
+    TABLE_NAMES = ("doc_id", "table_idx", "rows")
+    first = [[("a", t, [["x"]]) for t in range(5)] + [("both", 0, [["y"]])], [("both", 1, [["z"]])]]
+    writer, messages = staged("out", first)
+    writer.commit(messages)
+    assert sorted(p.removeprefix(f"{tmp_path}/out/") for p in Counted.moved) == ["a", "both/n_1.csv", "both/n_2.csv"]
+    assert sorted(str(p.relative_to(tmp_path / "out")) for p in tmp_path.glob("out/*/*")) == [f"a/n_{t}.csv" for t in range(1, 6)] + ["both/n_1.csv", "both/n_2.csv"]
+    (tmp_path / "out" / "a" / "notes.csv").write_text("x")
+    writer, messages = staged("out", [[("a", 6, [["x"]])]])
+    writer.commit(messages)
+    assert sorted(str(p.relative_to(tmp_path / "out")) for p in tmp_path.glob("out/*/*")) == ["a/n_7.csv", "a/notes.csv"]
+    writer, messages = staged("out", [[("a", 0, [["x"]]), ("a", 0, [["y"]])]])
+    with pytest.raises(ValueError, match="one number"):
+        writer.commit(messages)
+    assert (tmp_path / "out" / "a" / "n_7.csv").exists()
+
+
 def test_reports_in_two_encodings(spark, tmp_path):
     lines = ["MISSING DATA (1)", "- Missing Cost Basis for Café – “A” €", "", "negative values", "  -  Negative Quantity = -1 for Ž", "MISSING SYMBOL (0)"]
     (tmp_path / "a.txt").write_bytes("\r\n".join(lines).encode("windows-1252"))
