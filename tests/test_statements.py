@@ -459,6 +459,9 @@ def test_numbered_files_are_moved_by_document(spark, tmp_path, monkeypatch):
     with pytest.raises(ValueError, match="one number"):
         writer.commit(messages)
     assert (tmp_path / "out" / "a" / "n_7.csv").exists()
+    tables = [[["a", None], None, []], None, [], [["b"], ["c", ""]], [None]]
+    column = pa.array([[["left", "out"]], *tables], pa.list_(pa.list_(pa.string())))[1:]
+    assert list(numbered.cells(column)) == [[[c or "" for c in r or []] for r in t or []] for t in tables]
 
 
 def test_reports_in_two_encodings(spark, tmp_path):
