@@ -191,3 +191,15 @@ def test_small_rows_are_dealt_by_number(spark):
 
     few = spark.range(0, 100, 1, 1)
     assert spread(few, "id", rows=30).rdd.getNumPartitions() == 4 and spread(few, "id").rdd.getNumPartitions() == 1
+
+
+def test_holdings_deal_out_lines_twice(spark):
+    """Orders find their customers before lines find their orders; the rows are those of the text as it stands."""
+    from tallyspark import schema
+
+    sf_dir = "/root/testdata/sf0.001"
+    got = schema.testdata_holdings(spark, sf_dir)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Join Inner, (l_orderkey") < plan.index("Join Inner, (o_custkey")
+    plain = spark.sql(schema.HOLDINGS_SQL, **{name: schema.table(spark, sf_dir, name) for name in schema._TABLES})
+    assert got.exceptAll(plain).isEmpty() and got.count() == plain.count()
