@@ -235,7 +235,7 @@ class Network:
     def _spans(classes: np.ndarray) -> list[tuple[int, int, int]]:
         """Ascending classes, each with its first place and the one behind its last."""
         starts = np.flatnonzero(np.diff(classes, prepend=-1))
-        return list(zip(classes[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(classes)], strict=True))
+        return list(zip(classes[starts].tolist(), starts.tolist(), np.append(starts, len(classes))[1:].tolist(), strict=True))
 
     def log_p(self, window: np.ndarray, codes: np.ndarray, block: int = BLOCK) -> np.ndarray:
         w, out = self.weights, np.empty(len(codes), np.float32)

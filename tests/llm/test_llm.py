@@ -681,6 +681,18 @@ def test_lm_network():
     assert network.log_p(windows, codes).mean() > before + 1
 
 
+def test_lm_network_in_blocks():
+    """Places are done in blocks of any size, also where a class goes on from one block to the next."""
+    rng = np.random.default_rng(4)
+    network = lm.Network(rng.integers(0, 50, lm.CODES))
+    windows, codes = rng.integers(0, lm.CODES + 1, (300, 4)), np.append(rng.integers(0, lm.CODES, 200), rng.integers(0, 64, 100))
+    whole = network.gradients(windows, codes, block=300)
+    for k, g in network.gradients(windows, codes, block=7).items():
+        assert np.allclose(g, whole[k], atol=1e-6)
+    assert np.allclose(network.log_p(windows, codes, block=7), network.log_p(windows, codes), atol=1e-5)
+    assert network.log_p(windows[:0], codes[:0]).shape == (0,)  # a slice without words
+
+
 def test_lm_learns_from_every_place(spark, odd_texts):
     """Over all rounds the network sees each place of the corpus once."""
     corpus = lm.gather(some(spark, odd_texts[:40]))
