@@ -42,7 +42,7 @@ CLASSES, MEMBERS = 64, 64
 CODES, FREQUENT = CLASSES * MEMBERS, 3072
 EDGE = CODES  # the code beside a text's ends
 EMBEDDING, HIDDEN, RATE, BATCH, SEED = 16, 32, 0.01, 4096, 7
-BLOCK = 1 << 10  # places whose numbers stay in a core's cache
+BLOCK = 464  # places: (HIDDEN + 1) * CLASSES * BLOCK is below a million, and products of that size were fastest
 ROUNDS, WEIGHT = 2, 1.0
 PART, SLICE_ROWS, SLICE_BYTES = 1 << 19, 4000, 4 << 20
 _END = np.uint64(0x9E3779B97F4A7C15)  # the word beside a text's ends
@@ -187,132 +187,172 @@ def gather(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> C
 
 
 class Network:
-    """Log-probabilities of codes from the codes of four neighbours, by a hierarchical softmax."""
+    """Log-probabilities of codes from the codes of four neighbours, by a hierarchical softmax.
 
-    SHAPES = {"embedding": (CODES + 1, EMBEDDING), "inner": (4 * EMBEDDING, HIDDEN), "inner_bias": (HIDDEN,), "outer": (HIDDEN, CLASSES), "outer_bias": (CLASSES,), "last": (CLASSES, HIDDEN, MEMBERS), "last_bias": (CLASSES, MEMBERS)}
+    All weights are one vector. A softmax's biases are its matrix's last column, for which hidden layers end in a 1. Scores
+    and hidden layers have a column for each place, so that numpy's passes over them run along the places.
+    """
+
+    SHAPES = {"embedding": (CODES + 1, EMBEDDING), "inner": (4 * EMBEDDING, HIDDEN), "inner_bias": (HIDDEN,), "outer_all": (CLASSES, HIDDEN + 1), "last_all": (CLASSES, MEMBERS, HIDDEN + 1)}
 
     def __init__(self, mass: np.ndarray):
         """Random weights; the biases are the logarithms of the codes' frequencies."""
         rng = np.random.default_rng(SEED)
-        self.weights = {k: rng.normal(0, 0.1, s).astype(np.float32) for k, s in self.SHAPES.items()}
+        self.vector = np.zeros(sum(int(np.prod(s)) for s in self.SHAPES.values()), np.float32)
+        w = self.weights
+        for k in ("embedding", "inner", "inner_bias", "outer", "outer_bias", "last"):
+            w[k][:] = rng.normal(0, 0.1, w[k].shape)
         smooth = mass.reshape(CLASSES, MEMBERS) + 0.5
-        self.weights["outer_bias"] = np.log(smooth.sum(axis=1) / smooth.sum()).astype(np.float32)
-        self.weights["last_bias"] = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
-        self.weights["inner_bias"] = np.zeros(HIDDEN, np.float32)
+        w["outer_bias"][:] = np.log(smooth.sum(axis=1) / smooth.sum())
+        w["last_bias"][:] = np.log(smooth / smooth.sum(axis=1, keepdims=True))
+        w["inner_bias"][:] = 0
+
+    @classmethod
+    def views(cls, vector: np.ndarray) -> dict[str, np.ndarray]:
+        """The parts of a vector of all weights, by name."""
+        out, at = {}, 0
+        for k, s in cls.SHAPES.items():
+            n = int(np.prod(s))
+            out[k] = vector[at : at + n].reshape(s)
+            at += n
+        for k in ("outer", "last"):
+            both = out[f"{k}_all"]
+            out[k], out[f"{k}_bias"] = both[..., :HIDDEN].swapaxes(-1, -2), both[..., HIDDEN]
+        return out
+
+    @property
+    def weights(self) -> dict[str, np.ndarray]:
+        return self.views(self.vector)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in self.weights.values()])
+        return self.vector.copy()
 
     def take(self, flat: np.ndarray) -> None:
-        at = 0
-        for k, s in self.SHAPES.items():
-            n = int(np.prod(s))
-            self.weights[k] = flat[at : at + n].reshape(s).astype(np.float32)
-            at += n
+        self.vector[:] = flat
 
-    def _hidden(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        inside = self.weights["embedding"].take(window.ravel(), axis=0).reshape(len(window), -1)
-        hidden = inside @ self.weights["inner"]
-        hidden += self.weights["inner_bias"]
-        return inside, np.tanh(hidden, out=hidden)
+    @staticmethod
+    def _hidden(w: dict[str, np.ndarray], window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, 4 * EMBEDDING) and (HIDDEN + 1, places), whose last row is 1."""
+        inside = w["embedding"].take(window.ravel(), axis=0).reshape(len(window), -1)
+        hidden = np.ones((HIDDEN + 1, len(window)), np.float32)
+        own = np.matmul(w["inner"].T, inside.T, out=hidden[:HIDDEN])
+        own += w["inner_bias"][:, None]
+        np.tanh(own, out=own)
+        return inside, hidden
 
     @staticmethod
-    def _softmax(scores: np.ndarray) -> np.ndarray:
-        scores -= scores.max(axis=1, keepdims=True)
+    def _shifted(scores: np.ndarray) -> np.ndarray:
+        """Scores, less a number for each column where a sum of their exponentials could leave float32's range."""
+        if not (scores.min() > -80 and scores.max() < 80):
+            scores -= scores.max(axis=0)
+        return scores
+
+    @classmethod
+    def _softmax(cls, scores: np.ndarray) -> np.ndarray:
+        scores = cls._shifted(scores)
         np.exp(scores, out=scores)
-        scores /= scores @ np.ones((scores.shape[1], 1), scores.dtype)
+        scores /= scores.sum(axis=0)
         return scores
 
-    @staticmethod
-    def _log_softmax_at(scores: np.ndarray, at: np.ndarray | int) -> np.ndarray:
-        """Of one column of each row."""
-        scores -= scores.max(axis=1, keepdims=True)
-        own = scores[np.arange(len(scores)), at]
+    @classmethod
+    def _log_softmax_at(cls, scores: np.ndarray, at: np.ndarray | int) -> np.ndarray:
+        """Of one row of each column."""
+        scores = cls._shifted(scores)
+        own = scores[at, np.arange(scores.shape[1])]
         np.exp(scores, out=scores)
-        return own - np.log(scores @ np.ones(scores.shape[1], scores.dtype))
+        return own - np.log(scores.sum(axis=0))
 
     @staticmethod
     def _spans(classes: np.ndarray) -> list[tuple[int, int, int]]:
         """Ascending classes, each with its first place and the one behind its last."""
-        starts = np.flatnonzero(np.diff(classes, prepend=-1))
-        return list(zip(classes[starts].tolist(), starts.tolist(), np.append(starts, len(classes))[1:].tolist(), strict=True))
+        ends = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+        return [(c, a, b) for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if a < b]
 
     def log_p(self, window: np.ndarray, codes: np.ndarray, block: int = BLOCK) -> np.ndarray:
         w, out = self.weights, np.empty(len(codes), np.float32)
         order = np.argsort(codes.astype(np.uint16), kind="stable")  # places of a class lie together
-        members = codes.take(order) % MEMBERS
-        for c, first, end in self._spans(codes.take(order) // MEMBERS):
+        classes = codes.take(order) // MEMBERS
+        members = codes.take(order) - MEMBERS * classes
+        for c, first, end in self._spans(classes):
             for a in range(first, end, block):
                 places = order[a : min(a + block, end)]
-                _, hidden = self._hidden(window.take(places, axis=0))
-                outer, own = hidden @ w["outer"], hidden @ w["last"][c]
-                outer += w["outer_bias"]
-                own += w["last_bias"][c]
+                _, hidden = self._hidden(w, window.take(places, axis=0))
+                outer, own = w["outer_all"] @ hidden, w["last_all"][c] @ hidden
                 out[places] = self._log_softmax_at(outer, c) + self._log_softmax_at(own, members[a : a + len(places)])
         return out
 
     def gradients(self, window: np.ndarray, codes: np.ndarray, block: int = BLOCK) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability."""
-        w, n = self.weights, len(codes)
+        return self.views(self._gradient(window, codes, block))
+
+    def _gradient(self, window: np.ndarray, codes: np.ndarray, block: int = BLOCK) -> np.ndarray:
+        w, n, vector = self.weights, len(codes), np.zeros_like(self.vector)
         order = np.argsort(codes.astype(np.uint16), kind="stable")  # places of a class lie together
         window, codes = window.take(order, axis=0), codes.take(order)
-        grads, flat = {k: np.zeros_like(x) for k, x in w.items()}, np.empty((n, 4 * EMBEDDING), np.float32)
+        grads, flat, begun = self.views(vector), np.empty((4 * EMBEDDING, n), np.float32), -1
+        last, last_back, of_last = w["last_all"], w["last"], grads["last_all"]
+        classes = codes // MEMBERS
+        members, columns, spans = codes - MEMBERS * classes, np.arange(n), self._spans(classes)
         for first in range(0, n, block):
-            inside, hidden = self._hidden(window[first : first + block])
-            classes, members = np.divmod(codes[first : first + block], MEMBERS)
-            rows, one = np.arange(len(classes)), np.ones(len(classes), np.float32)
-            out = hidden @ w["outer"]
-            out += w["outer_bias"]
-            out = self._softmax(out)
-            out[rows, classes] -= 1
-            back = out @ w["outer"].T
-            grads["outer"] += hidden.T @ out
-            grads["outer_bias"] += one @ out
-            spans, own = self._spans(classes), out  # the classes' scores are done with
-            for c, a, b in spans:
-                np.matmul(hidden[a:b], w["last"][c], out=own[a:b])
-                own[a:b] += w["last_bias"][c]
+            places = slice(first, first + block)
+            inside, hidden = self._hidden(w, window[places])
+            hidden_rows = np.ascontiguousarray(hidden.T)
+            out = self._softmax(w["outer_all"] @ hidden)
+            out[classes[places], columns[: out.shape[1]]] -= 1
+            back = w["outer"] @ out
+            grads["outer_all"] += out @ hidden_rows
+            own, more = out, np.empty_like(back)  # the classes' scores are done with
+            here = [(c, max(a - first, 0), min(b - first, block)) for c, a, b in spans if a < first + block and b > first]
+            for c, a, b in here:
+                np.matmul(last[c], hidden[:, a:b], out=own[:, a:b])
             own = self._softmax(own)
-            own[rows, members] -= 1
-            for c, a, b in spans:
-                grads["last"][c] += hidden[a:b].T @ own[a:b]
-                grads["last_bias"][c] += one[a:b] @ own[a:b]
-                back[a:b] += own[a:b] @ w["last"][c].T
-            hidden *= hidden
-            back *= np.subtract(1, hidden, out=hidden)
-            grads["inner"] += inside.T @ back
-            grads["inner_bias"] += one @ back
-            np.matmul(back, w["inner"].T, out=flat[first : first + block])
-        flat, at = flat.reshape(-1, EMBEDDING), window.ravel()
-        order = np.argsort(at.astype(np.uint16), kind="stable")
-        at = at.take(order)
-        starts = np.flatnonzero(np.diff(at, prepend=-1))
-        grads["embedding"][at[starts]] = np.add.reduceat(flat.take(order, axis=0), starts, axis=0)
-        return {k: np.divide(g, n, out=g) for k, g in grads.items()}
+            own[members[places], columns[: own.shape[1]]] -= 1
+            for c, a, b in here:
+                some = own[:, a:b]
+                if c == begun:  # in the block before
+                    of_last[c] += some @ hidden_rows[a:b]
+                else:
+                    np.matmul(some, hidden_rows[a:b], out=of_last[c])
+                np.matmul(last_back[c], some, out=more[:, a:b])
+            begun = c
+            back += more
+            slope = hidden[:HIDDEN]
+            slope *= slope
+            back *= np.subtract(1, slope, out=slope)
+            grads["inner"] += inside.T @ back.T
+            grads["inner_bias"] += back.sum(axis=1)
+            np.matmul(w["inner"], back, out=flat[:, places])
+        at, flat = window.T.ravel(), flat.reshape(4, EMBEDDING, n)
+        for k in range(EMBEDDING):
+            grads["embedding"][:, k] = np.bincount(at, flat[:, k].ravel(), CODES + 1)
+        vector /= n
+        return vector
 
     def learn(self, windows: Iterator[tuple[np.ndarray, np.ndarray]]) -> int:
         """Adam steps over batches of (window, codes); how many places there were."""
-        m, v = ({k: np.zeros_like(x) for k, x in self.weights.items()} for _ in range(2))
+        m, v = np.zeros_like(self.vector), np.zeros_like(self.vector)
         step = seen = 0
         for window, codes in windows:
             for a in range(0, len(codes), BATCH):
                 step += 1
                 seen += len(codes[a : a + BATCH])
-                for k, g in self.gradients(window[a : a + BATCH], codes[a : a + BATCH]).items():
-                    m[k] *= 0.9
-                    m[k] += 0.1 * g
-                    v[k] *= 0.99
-                    g *= g
-                    g *= 0.01
-                    v[k] += g
-                    np.divide(v[k], 1 - 0.99**step, out=g)
-                    np.sqrt(g, out=g)
-                    g += 1e-8
-                    np.divide(m[k], g, out=g)
-                    g *= RATE / (1 - 0.9**step)
-                    self.weights[k] -= g
+                self._step(self._gradient(window[a : a + BATCH], codes[a : a + BATCH]), m, v, step)
         return seen
 
+    def _step(self, g: np.ndarray, m: np.ndarray, v: np.ndarray, step: int) -> None:
+        """Adam's step ``step``. ``m`` is ten times, ``v`` a hundred times the mean that Adam keeps; ``g`` is used up."""
+        root = 0.1 / np.sqrt(1 - 0.99**step).item()
+        m *= 0.9
+        m += g
+        v *= 0.99
+        g *= g
+        v += g
+        np.sqrt(v, out=g)
+        g += 1e-8 / root
+        np.divide(m, g, out=g)
+        g *= RATE * 0.1 / (1 - 0.9**step) / root
+        self.vector -= g
+
 
 class Coder:
     """The code of any word."""

@@ -27,7 +27,8 @@ def words(texts: pa.Array, ascii_only: bool = False) -> tuple[list[str], np.ndar
     split = pc.ascii_split_whitespace if ascii_only else pc.utf8_split_whitespace
     lists = split(pc.fill_null(texts, ""))
     values = lists.flatten().dictionary_encode()
-    distinct, codes = values.dictionary.to_pylist(), values.indices.to_numpy()
+    distinct = values.dictionary.to_numpy(zero_copy_only=False).tolist()  # Arrow's own to_pylist makes a scalar of each
+    codes = values.indices.to_numpy()
     offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     if "" in distinct:  # before leading and behind trailing white space
         real = codes != distinct.index("")

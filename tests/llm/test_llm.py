@@ -2,11 +2,15 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
+import subprocess
+import sys
 import types
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -693,6 +697,57 @@ def test_lm_network_in_blocks():
     assert network.log_p(windows[:0], codes[:0]).shape == (0,)  # a slice without words
 
 
+def test_lm_network_with_great_scores():
+    """Scores beyond the range of float32's exponential are shifted, others are not: the probabilities are those of float64."""
+    rng = np.random.default_rng(6)
+    for scale in (1, 50, 300):
+        scores = rng.normal(0, scale, (lm.CLASSES, 40)).astype(np.float32)
+        scores[:, 7] -= 4 * scale
+        exact = scores.astype(float) - scores.max(axis=0)
+        exact -= np.log(np.exp(exact).sum(axis=0))
+        assert np.allclose(lm.Network._softmax(scores.copy()), np.exp(exact), atol=1e-6)
+        at = rng.integers(0, lm.CLASSES, 40)
+        assert np.allclose(lm.Network._log_softmax_at(scores.copy(), at), exact[at, np.arange(40)], rtol=1e-5, atol=1e-4)
+
+
+_STEPS = """
+import time
+import numpy as np
+from tallyspark.llm import lm
+
+rng = np.random.default_rng(3)
+codes = np.minimum(rng.zipf(1.2, lm.BATCH * 4), lm.CODES) - 1
+windows = codes[rng.integers(0, len(codes), (len(codes), 4))]
+network = lm.Network(np.bincount(codes, minlength=lm.CODES))
+new = lambda *shape: rng.random(shape, dtype=np.float32)
+inside, hidden, scores = (new(lm.BATCH, k) for k in (4 * lm.EMBEDDING, lm.HIDDEN, lm.CLASSES))
+inner, outer = new(4 * lm.EMBEDDING, lm.HIDDEN), new(lm.HIDDEN, lm.CLASSES)
+first, second, third = np.empty_like(hidden), np.empty_like(scores), np.empty_like(outer)
+
+def products():
+    for _ in range(4):
+        np.matmul(inside, inner, out=first), np.matmul(hidden, inner.T, out=second), inside.T @ hidden
+        for _ in range(2):
+            np.matmul(hidden, outer, out=second), np.matmul(scores, outer.T, out=first), np.matmul(hidden.T, scores, out=third), np.exp(scores, out=second)
+
+def took(f):
+    start = time.process_time()
+    f()
+    return time.process_time() - start
+
+pairs = [(took(lambda: network.learn(iter([(windows, codes)]))), took(products)) for _ in range(25)]
+print(min(a for a, _ in pairs) / min(b for _, b in pairs))
+"""
+
+
+def test_lm_steps_are_mostly_products():
+    """A step of learning takes little more than its matrix products and exponentials do, on one core."""
+    root = str(Path(lm.__file__).parents[2])
+    env = os.environ | {"OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1", "PYTHONPATH": root}
+    ratios = (float(subprocess.run([sys.executable, "-c", _STEPS], env=env, capture_output=True, check=True, text=True).stdout) for _ in range(4))
+    assert any(r < 3.5 for r in ratios)
+
+
 def test_lm_learns_from_every_place(spark, odd_texts):
     """Over all rounds the network sees each place of the corpus once."""
     corpus = lm.gather(some(spark, odd_texts[:40]))
