@@ -116,26 +116,27 @@ class Model:
         for _ in range(8):  # subspace iteration
             axes, _ = np.linalg.qr(weighted.T @ (weighted @ axes))
         _, _, turn = np.linalg.svd(weighted @ axes, full_matrices=False)
-        self.axes = ((axes @ turn.T)[:, :DIMENSIONS] * idf[:, None]).astype(np.float32)
+        axes = (axes @ turn.T)[:, :DIMENSIONS].astype(np.float64) * idf[:, None]
+        self.axes = np.rint(axes * (2**18 / max(np.abs(axes).max(), 1e-30)))
         self.points, self.labels = self.latent(sample), labels.astype(np.float32)
         counts = {y: max(1, int((labels == y).sum())) for y in (0, 1)}
         self.weight = np.array([share.get(int(y), 0) / counts[int(y)] for y in labels], np.float32) * len(labels)
 
     def latent(self, dense: np.ndarray) -> np.ndarray:
-        out = dense @ self.axes
-        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+        """Unit vectors in steps of 2**-20. Sums of products of such steps are exact in float64 (here, for rows that sum up to
+        less than 2**19), whichever kernel and order BLAS takes for a row."""
+        out = np.rint(dense.astype(np.float64) * 2**16) @ self.axes
+        return np.rint(out * (2**20 / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1))) / 2**20
 
     def scores(self, dense: np.ndarray, block: int = 512) -> np.ndarray:
         """Share of label 1 among the nearest neighbours' votes.
 
-        Every product is of a whole block, filled up with zeros, and cosines are taken in steps of 1e-5, ties by place in the sample;
-        so a vector has one score whatever vectors are beside it."""
+        Products are exact, and cosines are taken in steps of 1e-5, ties by place in the sample; so a vector has one score whatever
+        vectors are beside it, on any machine."""
         k, out, n = min(NEIGHBOURS, len(self.labels)), [], len(self.labels)
         for at in range(0, len(dense), block):
             some = dense[at : at + block]
-            whole = np.zeros((block, dense.shape[1]), np.float32)
-            whole[: len(some)] = some
-            cosine = np.rint((self.latent(whole) @ self.points.T)[: len(some)] * 1e5).astype(np.int64)
+            cosine = np.rint((self.latent(some) @ self.points.T) * 1e5).astype(np.int64)
             near = np.sort(np.argpartition(cosine * n - np.arange(n), n - k, axis=1)[:, n - k :], axis=1)
             vote = np.maximum(np.take_along_axis(cosine, near, axis=1) * 1e-5, 1e-6) ** 4 * self.weight[near]
             out.append((vote * self.labels[near]).sum(axis=1) / vote.sum(axis=1))

@@ -420,6 +420,25 @@ def test_scores_do_not_depend_on_the_block():
         assert (model.scores(dense[k : k + 1]) == whole[k]).all() and (model.scores(dense[k : k + 40])[0] == whole[k]).all()
 
 
+_PLACES = """
+import numpy as np
+from tallyspark.llm import quality
+
+rng = np.random.default_rng(5)
+sample = (rng.random((700, 300)) ** 4).astype(np.float32)
+model = quality.Model(np.ones(300, np.float32), sample, np.arange(700) % 3 % 2, {0: 0.6, 1: 0.4})
+dense = (rng.random((1300, 300)) ** 4).astype(np.float32)
+print(sum(int((model.latent(dense[k:])[::-1] != model.latent(dense[::-1])[: 1300 - k]).sum()) for k in (0, 1, 7)), int((model.scores(dense[::-1])[::-1] != model.scores(dense)).sum()))
+"""
+
+
+@pytest.mark.parametrize("kernels", ["Haswell", "Zen", "SkylakeX"])
+def test_scores_do_not_depend_on_the_kernels(kernels):
+    """BLAS sums a row's products in an order that depends on the row's place, with some machines' kernels."""
+    env = os.environ | {"OPENBLAS_CORETYPE": kernels, "PYTHONPATH": str(Path(quality.__file__).parents[2])}
+    assert subprocess.run([sys.executable, "-c", _PLACES], env=env, capture_output=True, check=True, text=True).stdout.split() == ["0", "0"]
+
+
 def test_words_of_any_length_tell_texts_apart():
     one, two = quality.vectors(pa.array(["magnificent laboratory discovery published yesterday", "abominable gibberish advertising clickbait worthless"]))
     assert (one[: quality.SHAPES] == two[: quality.SHAPES]).all() and (one != two).any()
