@@ -37,7 +37,9 @@ def components(links: DataFrame) -> DataFrame:
         turn += 1
         if links.isEmpty():
             break
-    smallest = mapping.groupBy("p").agg(F.min("node").alias("component_id"))
+    # both are stored, so that the join stands alone and Spark can split a large component
+    mapping = common.stored(mapping, "mapping")
+    smallest = common.stored(mapping.groupBy("p").agg(F.min("node").alias("component_id")), "smallest")
     out = common.stored(mapping.join(smallest, "p").select("node", "component_id"), "components")
-    common.release(*kept)
+    common.release(*kept, mapping, smallest)
     return out

@@ -217,14 +217,16 @@ def _across(members: DataFrame, described: DataFrame, found: DataFrame) -> DataF
     labelled = members.join(found.withColumnsRenamed({"node": "doc_id", "component_id": "c"}), "doc_id", "left").select("key", "doc_id", "leader", F.coalesce("c", "doc_id").alias("c"))
     labelled = common.stored(labelled, "labelled")
     several = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).where("low != high and n > 2").select("key")
+    several = common.stored(several, "several")
     open_rows = common.stored(labelled.join(several, "key").select("doc_id", "c", F.col("leader.doc_id").alias("leader")).distinct(), "open")
     clusters = components(open_rows.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")))
-    docs = common.stored(open_rows.select("doc_id", "c").distinct().join(clusters.withColumnsRenamed({"node": "doc_id", "component_id": "cluster"}), "doc_id").join(described.select("doc_id", "n"), "doc_id"), "clusters")
-    sizes = docs.groupBy("cluster", "c").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
+    clustered = common.stored(open_rows.select("doc_id", "c").distinct().join(clusters.withColumnsRenamed({"node": "doc_id", "component_id": "cluster"}), "doc_id").join(described.select("doc_id", "n"), "doc_id"), "clusters")
+    sizes = clustered.groupBy("cluster", "c").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
     blocks = lambda k, n: F.greatest(F.ceil(k / BLOCK), F.ceil(n / BLOCK_SHINGLES), F.lit(1)).cast("int")
     most = sizes.groupBy("cluster").agg(F.max(F.struct("k", "c", "n")).alias("main"), F.sum("k").alias("k"), F.sum("n").alias("n"))
     most = most.select("cluster", F.col("main.c").alias("largest"), blocks(F.col("main.k"), F.col("main.n")).alias("inside"), blocks(F.col("k") - F.col("main.k"), F.col("n") - F.col("main.n")).alias("outside"))
-    docs = docs.join(most, "cluster").withColumn("is_main", F.col("c") == F.col("largest"))
+    most = common.stored(most, "cluster-sizes")
+    docs = clustered.join(most, "cluster").withColumn("is_main", F.col("c") == F.col("largest"))
     block = F.pmod(F.xxhash64("doc_id"), F.when(F.col("is_main"), F.col("inside")).otherwise(F.col("outside"))).cast("int")
     docs = docs.withColumn("block", block).withColumn("own", F.when(F.col("is_main"), -1 - F.col("block")).otherwise(F.col("block")))
     others = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -236,13 +238,18 @@ def _across(members: DataFrame, described: DataFrame, found: DataFrame) -> DataF
     ordered = dealt.repartition("cluster", "main", "low", "high").sortWithinPartitions("cluster", "main", "low", "high", "doc_id")
     kind = described.schema["doc_id"].dataType
     out = common.stored(ordered.mapInArrow(_compare(to_arrow_type(kind)), f"a {kind.simpleString()}, b {kind.simpleString()}"), "similar")
-    common.release(labelled, open_rows, clusters, docs)
+    common.release(labelled, several, open_rows, clusters, clustered, most)
     return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of docs."""
-    docs = common.keyed(docs, id_col, text_col)
+    """doc_id, n_shingles, component_id, kept for every row of docs. What the driver gets is bounded, however
+    many rows there are."""
+    with common.measured_joins(docs.sparkSession):
+        return _near_duplicates(common.keyed(docs, id_col, text_col))
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = common.stored(docs.mapInArrow(_sign, f"doc_id {kind}, n bigint, whole binary, keys array<bigint>, sketch binary"), "signed")
     rows = signed.where("doc_id is not null and n > 0")

@@ -286,6 +286,27 @@ def test_near_duplicates_in_a_cluster_of_several_components(spark):
     assert [got[i].component_id for i in range(len(texts))] == brute_components(texts)[0]
 
 
+def test_near_duplicates_broadcast_counted_ids_alone(spark, odd_texts, monkeypatch):
+    """Files of ids are small beside what they take in the driver, so their size is no reason to broadcast them."""
+    plans, write, settings = [], common.write, (common.ESTIMATED, common.MEASURED)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "write", lambda df, *a, **b: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, *a, **b))
+    before = [spark.conf.get(k, None) for k in settings]
+    got = rows_of(minhash.near_duplicates(some(spark, odd_texts)))
+    assert [got[i].component_id for i in range(len(odd_texts))] == brute_components(odd_texts)[0]
+    assert sum("SortMergeJoin" in p for p in plans) > 5 and not [p for p in plans if "Broadcast" in p]
+    assert [spark.conf.get(k, None) for k in settings] == before
+
+
+def test_more_ids_than_may_be_broadcast_are_shuffled(spark, monkeypatch):
+    ids = common.stored(spark.range(3).toDF("doc_id"), "ids")
+    for most, kind in ((3, "Broadcast"), (2, "SortMerge")):
+        monkeypatch.setattr(common, "BROADCAST_ROWS", most)
+        found = some(spark, ["a", "b"], [1, 7]).join(common.small(ids), "doc_id", "left_semi")
+        assert f"{kind}HashJoin" in (plan := found._jdf.queryExecution().executedPlan().toString()) or f"{kind}Join" in plan
+        assert [r.doc_id for r in found.collect()] == [1]
+
+
 def test_banding_and_sketches_find_similar_pairs():
     """Of 2,000 pairs at the threshold none is lost by bands or sketches."""
     rng = np.random.default_rng(17)
