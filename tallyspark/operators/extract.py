@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Protocol
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,13 +39,11 @@ def batched(pages: DataFrame, size: int = 7) -> DataFrame:
 
 def _ask(reader: PageReader):
     """Calls for batches as they come, a batch's pages one after another; a call's pages are all that is held besides the rows
-    that Spark hands over together."""
+    that Spark hands over together. By its hints Spark takes it for a function of frames over groups, too."""
 
-    def run(frames):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import itertools
 
-        import pandas as pd
-
         rows = (row for frame in frames for row in zip(*(frame[c].tolist() for c in ("doc_id", "batch_idx", "page_number", "image")), strict=True))
         answers = []
         for (doc, _), some in itertools.groupby(rows, key=lambda r: r[:2]):
